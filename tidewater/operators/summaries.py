@@ -189,3 +189,24 @@ def kpi_cards(kpi: DataFrame) -> DataFrame:
     out = kpi.agg(*cols).filter(F.col("n_months") > 0)
     return out.withColumn("domestic_share_gap",
                           F.col("domestic_share_last") - F.col("domestic_share_mean"))
+
+
+# -- F11: card text ------------------------------------------------------------------
+
+def kpi_cards_text(cards: DataFrame) -> DataFrame:
+    """The cards as the dashboard prints them (thousands separators, one
+    decimal with a percent sign, signed deltas)."""
+    from tidewater.functions.columns import one_decimal, thousands
+
+    def signed(c):
+        return F.concat(F.when(F.col(c) >= 0, F.lit("+")).otherwise(F.lit("")), one_decimal(c))
+
+    return cards.select(
+        thousands("impl_total_window").alias("impl_total_text"),
+        F.concat(F.lit("+"), thousands("impl_last_month"), F.lit(" за месяц")).alias("impl_delta_text"),
+        F.concat(one_decimal("domestic_share_last"), F.lit("%")).alias("domestic_share_text"),
+        F.concat(signed("domestic_share_gap"), F.lit("% vs среднее")).alias("domestic_gap_text"),
+        F.concat(thousands("econ_effect_last"), F.lit(" ₽ эффект")).alias("effect_text"),
+        F.concat(one_decimal("support_coverage_last"), F.lit("%")).alias("coverage_text"),
+        F.concat(thousands("support_count_last"), F.lit(" мер поддержки")).alias("support_text"),
+    )

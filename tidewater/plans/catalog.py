@@ -98,3 +98,103 @@ def impl_count_status(spark, sf_dir):
 @query
 def trend_series(spark, sf_dir):
     return S.trend_series(_kpi(spark, sf_dir))
+
+
+# -- declared metrics (M1-M15) ---------------------------------------------------------
+
+from tidewater.functions.columns import month_end, year_of  # noqa: E402
+from tidewater.operators import metrics as M  # noqa: E402
+
+
+def _impl_support(spark, sf_dir):
+    return implementations(spark, sf_dir), support_measures(spark, sf_dir)
+
+
+def _kpi_full(spark, sf_dir):
+    impl, sup = _impl_support(spark, sf_dir)
+    kpi = S.kpi_monthly(spark, impl, P.CAL_START, P.CAL_END)
+    return M.kpi_monthly_full(spark, kpi, impl, sup, P.CAL_START, P.CAL_END, P.ISI_WEIGHTS)
+
+
+@query
+def domestic_share(spark, sf_dir):
+    return M.domestic_share(implementations(spark, sf_dir), [year_of("date_go_live").alias("year")])
+
+
+@query
+def support_coverage(spark, sf_dir):
+    return M.support_coverage(*_impl_support(spark, sf_dir), ["region_name"])
+
+
+@query
+def roi_3y(spark, sf_dir):
+    return M.roi_by_program(*_impl_support(spark, sf_dir), 36)
+
+
+@query
+def roi_5y(spark, sf_dir):
+    return M.roi_by_program(*_impl_support(spark, sf_dir), 60)
+
+
+@query
+def payback_month(spark, sf_dir):
+    return M.payback_month(*_impl_support(spark, sf_dir), 36)
+
+
+@query
+def isi_index(spark, sf_dir):
+    comp = M.isi_components(implementations(spark, sf_dir),
+                            [month_end("date_go_live").alias("date_month")])
+    return M.isi_index(comp, P.ISI_WEIGHTS)
+
+
+@query
+def domestic_cube(spark, sf_dir):
+    return M.domestic_cube(implementations(spark, sf_dir),
+                           ["industry_name", "region_name", "class_scm"])
+
+
+@query
+def region_heatmap(spark, sf_dir):
+    return M.region_heatmap(implementations(spark, sf_dir))
+
+
+@query
+def vendor_share(spark, sf_dir):
+    return M.vendor_share(implementations(spark, sf_dir))
+
+
+@query
+def hot_segments(spark, sf_dir):
+    return M.hot_segments(implementations(spark, sf_dir), P.AS_OF, P.HOT_DAYS,
+                          P.HOT_MIN_VOLUME, P.TOP_K)
+
+
+@query
+def whatif_budget(spark, sf_dir):
+    return M.whatif_budget(roi_3y(spark, sf_dir), P.WHATIF_MULTIPLIERS)
+
+
+@query
+def star_fact(spark, sf_dir):
+    return M.star_fact(implementations(spark, sf_dir))
+
+
+@query
+def support_monthly(spark, sf_dir):
+    return M.support_monthly(spark, support_measures(spark, sf_dir), P.CAL_START, P.CAL_END)
+
+
+@query
+def kpi_monthly_full(spark, sf_dir):
+    return _kpi_full(spark, sf_dir)
+
+
+@query
+def kpi_cards(spark, sf_dir):
+    return S.kpi_cards(S.recent(_kpi_full(spark, sf_dir), "date_month", P.AS_OF, P.MONTHS_BACK))
+
+
+@query
+def kpi_cards_text(spark, sf_dir):
+    return S.kpi_cards_text(kpi_cards(spark, sf_dir))

@@ -150,4 +150,173 @@ union all select 'support_measures', count(*) from support"""
 select * from kpi where date_month > date '{P.AS_OF}' - {30 * P.MONTHS_BACK}"""
     q["trend_series"] = with_(IMPL, cal(), kpi_monthly_sql()[1:]) + """
 select date_month, impl_count, domestic_share_pct from kpi"""
+    metric_sql(q)
     return q
+
+
+# -- declared metrics ---------------------------------------------------------------
+
+FIRST_SUPPORT = """
+fs as (select recipient_id org_id, min(approval_date) first_approval from support group by 1),
+flagged as (
+  select i.*, coalesce(fs.first_approval <= i.date_go_live, false) has_support
+  from impl i left join fs on i.org_id = fs.org_id
+)"""
+
+
+def attributed_sql(horizon: int) -> str:
+    """Brute force: every (rollout, earlier grant of its org) pair, keep the
+    latest grant (ties: smallest id), then the horizon test."""
+    return f"""
+pairs as (
+  select i.impl_key, i.date_go_live, i.revenue_uplift + i.opex_delta effect,
+         s.support_id, s.program_name, s.approval_date,
+         row_number() over (partition by i.impl_key
+                            order by s.approval_date desc, s.support_id asc) rn
+  from impl i join support s on i.org_id = s.recipient_id and s.approval_date <= i.date_go_live
+),
+att as (select * from pairs where rn = 1 and date_go_live <= approval_date + interval {horizon} month),
+cost as (select program_name, coalesce(sum(amount_rub), 0) grant_total from support group by 1)"""
+
+
+def roi_sql(horizon: int) -> str:
+    return f"""
+eff as (select program_name, sum(effect) effect_total, count(*) n_attributed from att group by 1),
+roi as (
+  select c.program_name, cast(grant_total as double) grant_total,
+         cast(coalesce(effect_total, 0) as double) effect_total,
+         cast(coalesce(n_attributed, 0) as bigint) n_attributed,
+         case when cast(grant_total as double) <> 0
+              then (cast(coalesce(effect_total, 0) as double) - cast(grant_total as double))
+                   / cast(grant_total as double) * 100.0 end roi_pct
+  from cost c left join eff e on c.program_name = e.program_name
+)"""
+
+
+def isi_cols(w) -> str:
+    return f"""
+  {pct('sum(cast(is_domestic as bigint))', 'count(*)')} domestic_share,
+  {pct('coalesce(sum(case when is_domestic then capex else 0 end), 0)', 'coalesce(sum(capex), 0)')}
+      local_components,
+  {pct("count(*) filter (where status = 'pilot')", 'count(*)')} rd_share"""
+
+
+def isi_sql(w) -> str:
+    return f"""
+isi_c as (select last_day(date_go_live) date_month, {isi_cols(w)} from impl group by 1),
+isi as (select *, domestic_share * {w[0]} + local_components * {w[1]} + rd_share * {w[2]} isi_index
+        from isi_c)"""
+
+
+def kpi_full_sql() -> str:
+    return kpi_monthly_sql()[1:] + "," + FIRST_SUPPORT[1:] + "," + isi_sql(P.ISI_WEIGHTS)[1:] + """,
+sm as (select last_day(approval_date) date_month, count(*) support_count,
+              cast(coalesce(sum(amount_rub), 0) as double) total_support_amount
+       from support group by 1),
+covm as (select last_day(date_go_live) date_month,
+                """ + pct("sum(cast(has_support as bigint))", "count(*)") + """ support_coverage_pct
+         from flagged group by 1),
+kpi_full as (
+  select k.*, cast(coalesce(sm.support_count, 0) as bigint) support_count,
+         coalesce(sm.total_support_amount, 0.0) total_support_amount,
+         coalesce(covm.support_coverage_pct, 0.0) support_coverage_pct,
+         coalesce(isi.isi_index, 0.0) isi_index
+  from kpi k left join sm on k.date_month = sm.date_month
+             left join covm on k.date_month = covm.date_month
+             left join isi on k.date_month = isi.date_month
+)"""
+
+
+CARDS = f"""
+cards as (
+  select count(*) n_months, cast(coalesce(sum(impl_count), 0) as bigint) impl_total_window,
+         arg_max(impl_count, date_month) impl_last_month,
+         arg_max(domestic_share_pct, date_month) domestic_share_last,
+         avg(domestic_share_pct) domestic_share_mean,
+         arg_max(total_econ_effect, date_month) econ_effect_last,
+         arg_max(support_coverage_pct, date_month) support_coverage_last,
+         arg_max(support_count, date_month) support_count_last
+  from kpi_full where date_month > date '{P.AS_OF}' - {30 * P.MONTHS_BACK}
+  having count(*) > 0
+)"""
+
+
+def metric_sql(q: dict[str, str]) -> None:
+    base = with_(IMPL, SUPPORT)
+    q["domestic_share"] = with_(IMPL) + f"""
+select cast(year(date_go_live) as bigint) "year", count(*) installs_all,
+       cast(coalesce(sum(cast(is_domestic as bigint)), 0) as bigint) installs_domestic,
+       {pct('coalesce(sum(cast(is_domestic as bigint)), 0)', 'count(*)')} domestic_share_pct
+from impl group by 1"""
+    q["support_coverage"] = base[:-1] + "," + FIRST_SUPPORT[1:] + f"""
+select region_name, count(*) impl_all,
+       cast(coalesce(sum(cast(has_support as bigint)), 0) as bigint) impl_with_support,
+       {pct('sum(cast(has_support as bigint))', 'count(*)')} support_coverage_pct
+from flagged group by 1"""
+    for key, h in (("roi_3y", 36), ("roi_5y", 60)):
+        q[key] = base[:-1] + "," + attributed_sql(h)[1:] + "," + roi_sql(h)[1:] + "\nselect * from roi"
+    q["payback_month"] = base[:-1] + "," + attributed_sql(36)[1:] + """,
+monthly as (select program_name, last_day(date_go_live) date_month, sum(effect) effect
+            from att group by 1, 2),
+cum as (select *, sum(effect) over (partition by program_name order by date_month
+                                    rows between unbounded preceding and current row) cum_effect
+        from monthly),
+reached as (select c.program_name, min(date_month) payback_month from cum c
+            join cost k on c.program_name = k.program_name
+            where cum_effect >= grant_total group by 1)
+select k.program_name, cast(grant_total as double) grant_total, payback_month
+from cost k left join reached r on k.program_name = r.program_name"""
+    q["isi_index"] = with_(IMPL, isi_sql(P.ISI_WEIGHTS)[1:]) + "select * from isi"
+    q["domestic_cube"] = with_(IMPL) + f"""
+select industry_name, region_name, class_scm,
+       cast(grouping(industry_name, region_name, class_scm) as bigint) gid,
+       count(*) impl_count, cast(coalesce(sum(cast(is_domestic as bigint)), 0) as bigint) domestic_count,
+       {r1(pct('coalesce(sum(cast(is_domestic as bigint)), 0)', 'count(*)'))} domestic_share
+from impl group by cube(industry_name, region_name, class_scm)"""
+    q["region_heatmap"] = with_(IMPL) + """
+select region_name,
+       count(*) filter (where quarter(date_go_live) = 1) q1,
+       count(*) filter (where quarter(date_go_live) = 2) q2,
+       count(*) filter (where quarter(date_go_live) = 3) q3,
+       count(*) filter (where quarter(date_go_live) = 4) q4
+from impl where region_name is not null group by 1"""
+    q["vendor_share"] = with_(IMPL) + f"""
+select vendor_name, impl_count, cast(capex_total as double) capex_total,
+       {pct('impl_count', 'sum(impl_count) over ()')} share_count_pct,
+       {pct('capex_total', 'sum(capex_total) over ()')} share_capex_pct
+from (select vendor_name, count(*) impl_count, coalesce(sum(capex), 0) capex_total
+      from impl where vendor_name is not null group by 1) v"""
+    d = P.HOT_DAYS
+    q["hot_segments"] = with_(IMPL) + f"""
+select *, case when n_previous > 0 then cast(n_current - n_previous as double) / n_previous end growth
+from (
+  select class_scm, industry_name,
+         count(*) filter (where date_go_live > date '{P.AS_OF}' - {d}) n_current,
+         count(*) filter (where date_go_live <= date '{P.AS_OF}' - {d}) n_previous
+  from impl where date_go_live > date '{P.AS_OF}' - {2 * d} and date_go_live <= date '{P.AS_OF}'
+  group by 1, 2
+) s where n_current >= {P.HOT_MIN_VOLUME}
+order by growth desc nulls last, class_scm, industry_name limit {P.TOP_K}"""
+    mult = ", ".join(f"(cast({m} as double))" for m in P.WHATIF_MULTIPLIERS)
+    q["whatif_budget"] = base[:-1] + "," + attributed_sql(36)[1:] + "," + roi_sql(36)[1:] + f"""
+select program_name, grant_total, n_attributed, roi_pct, cost_per_impl, multiplier,
+       grant_total * multiplier budget,
+       case when cost_per_impl > 0 then grant_total * multiplier / cost_per_impl end implied_impls
+from (select *, case when n_attributed > 0 then grant_total / n_attributed end cost_per_impl from roi) r,
+     (values {mult}) m(multiplier)"""
+    q["star_fact"] = with_(IMPL) + """
+select impl_key, org_id, vendor_name, solution_name, class_scm, region_name, industry_name, status,
+       last_day(date_go_live) date_month, date_go_live, is_domestic, cast(capex as double) capex,
+       cast(revenue_uplift + opex_delta as double) econ_effect
+from impl"""
+    q["support_monthly"] = with_(SUPPORT, cal()) + """
+select c.date_month, cast(coalesce(support_count, 0) as bigint) support_count,
+       coalesce(total_support_amount, 0.0) total_support_amount
+from cal c left join (
+  select last_day(approval_date) date_month, count(*) support_count,
+         cast(coalesce(sum(amount_rub), 0) as double) total_support_amount
+  from support group by 1) s on c.date_month = s.date_month"""
+    q["kpi_monthly_full"] = base + "," + cal()[1:] + "," + kpi_full_sql() + "\nselect * from kpi_full"
+    q["kpi_monthly_full"] = q["kpi_monthly_full"].replace("\n,", ",", 1)
+    q["kpi_cards"] = (q["kpi_monthly_full"].replace("\nselect * from kpi_full", "," + CARDS[1:])
+                      + "\nselect *, domestic_share_last - domestic_share_mean domestic_share_gap from cards")

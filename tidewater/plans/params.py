@@ -24,3 +24,10 @@ ISI_WEIGHTS = (0.5, 0.3, 0.2)
 # Events span 2024-01-01..30; the recency filter looks back from the end.
 EVENTS_AS_OF = "2024-01-30"
 EVENTS_DAYS_BACK = 7
+
+# Hot segments: period length, minimum volume in the current period.
+HOT_DAYS = 180
+HOT_MIN_VOLUME = 5
+
+# What-if budget multipliers.
+WHATIF_MULTIPLIERS = [0.5, 1.0, 1.5]
