@@ -198,3 +198,118 @@ def kpi_cards(spark, sf_dir):
 @query
 def kpi_cards_text(spark, sf_dir):
     return S.kpi_cards_text(kpi_cards(spark, sf_dir))
+
+
+# -- sources and extraction (S1-S13), table maintenance (K2-K7) -------------------------------
+
+from tidewater.functions.columns import parse_money as _parse_money  # noqa: E402
+from tidewater.session import scratch_path  # noqa: E402
+from tidewater.sources import extract as X  # noqa: E402
+from tidewater.sources import pages as PG  # noqa: E402
+from tidewater.sources import tables as K  # noqa: E402
+from tidewater.sources.testdata import table  # noqa: E402
+
+
+def _solutions(spark, sf_dir):
+    pages = PG.registry_pages(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation"))
+    return X.extract_table_rows(pages)
+
+
+def _cards(spark, sf_dir):
+    return X.extract_fields(PG.support_card_pages(support_measures(spark, sf_dir)), **PG_CARD)
+
+
+PG_CARD = X.SUPPORT_CARD
+
+
+def _indicators(spark, sf_dir):
+    return X.json_indicators(PG.indicator_payloads(table(spark, sf_dir, "events")))
+
+
+def _links(spark, sf_dir):
+    return X.extract_links(table(spark, sf_dir, "pages"))
+
+
+def _hits(spark, sf_dir):
+    return X.keyword_hits(table(spark, sf_dir, "documents"), P.SEARCH_KEYWORDS)
+
+
+@query
+def extract_table_rows(spark, sf_dir):
+    return _solutions(spark, sf_dir)
+
+
+@query
+def extract_links(spark, sf_dir):
+    return _links(spark, sf_dir)
+
+
+@query
+def extract_fields(spark, sf_dir):
+    return _cards(spark, sf_dir)
+
+
+@query
+def json_indicators(spark, sf_dir):
+    return _indicators(spark, sf_dir)
+
+
+@query
+def parse_money(spark, sf_dir):
+    m = PG.money_strings(table(spark, sf_dir, "lineitem"))
+    return m.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
+                    _parse_money("money_text").alias("parsed"),
+                    _parse_money("money_text", compat=True).alias("parsed_compat"))
+
+
+@query
+def keyword_hits(spark, sf_dir):
+    return _hits(spark, sf_dir)
+
+
+@query
+def keyword_top10(spark, sf_dir):
+    return X.keyword_top(_hits(spark, sf_dir), P.TOP_K)
+
+
+@query
+def recent_rows(spark, sf_dir):
+    return X.recent_rows(table(spark, sf_dir, "events"), "ts", P.EVENTS_AS_OF, P.EVENTS_DAYS_BACK)
+
+
+@query
+def source_counts(spark, sf_dir):
+    loaders = {
+        "solutions": (lambda: _solutions(spark, sf_dir), K.SCHEMAS["real_solutions"]),
+        "procurements": (lambda: _links(spark, sf_dir), K.SCHEMAS["real_procurements"]),
+        "indicators": (lambda: _indicators(spark, sf_dir), K.SCHEMAS["real_indicators"]),
+        "support_measures": (lambda: _cards(spark, sf_dir), K.SCHEMAS["real_support_measures"]),
+    }
+    return K.collect_sources(spark, loaders)[1]
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """Orders written as a CSV dump and read back with an explicit schema."""
+    from pyspark.sql import types as T
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+    path = scratch_path(spark, "csv-orders")
+    table(spark, sf_dir, "orders").select(*cols).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()),
+                           T.StructField("o_custkey", T.LongType()),
+                           T.StructField("o_orderstatus", T.StringType()),
+                           T.StructField("o_totalprice", T.DoubleType()),
+                           T.StructField("o_orderdate", T.TimestampNTZType())])
+    return K.read_csv(spark, path, schema).drop("_corrupt_record")
+
+
+@query
+def latest_per_key(spark, sf_dir):
+    """The same refresh appended twice (the reference's repeated refresh),
+    then the newest row per natural key (doc_id, keyword)."""
+    log_path = scratch_path(spark, "hits-log")
+    hits = _hits(spark, sf_dir)
+    K.append_batch(hits, log_path, 1)
+    K.append_batch(hits, log_path, 2)
+    log = K.read_log(spark, log_path)
+    return K.latest_per_key(log, ["doc_id", "keyword"]).select("doc_id", "keyword", "hits", "batch_id")

@@ -151,6 +151,7 @@ select * from kpi where date_month > date '{P.AS_OF}' - {30 * P.MONTHS_BACK}"""
     q["trend_series"] = with_(IMPL, cal(), kpi_monthly_sql()[1:]) + """
 select date_month, impl_count, domestic_share_pct from kpi"""
     metric_sql(q)
+    source_sql(q)
     return q
 
 
@@ -320,3 +321,73 @@ from cal c left join (
     q["kpi_monthly_full"] = q["kpi_monthly_full"].replace("\n,", ",", 1)
     q["kpi_cards"] = (q["kpi_monthly_full"].replace("\nselect * from kpi_full", "," + CARDS[1:])
                       + "\nselect *, domestic_share_last - domestic_share_mean domestic_share_gap from cards")
+
+
+# -- sources ------------------------------------------------------------------------------
+
+def html_text_sql(x: str) -> str:
+    s = f"regexp_replace({x}, '\\s*<[^>]*>\\s*', '', 'g')"
+    s = f"trim({s})"
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''")):
+        s = f"replace({s}, '{a}', '{b}')"
+    return f"replace({s}, '&amp;', '&')"
+
+
+LINK = r'(?is)<li\b[^>]*>\s*<a\b[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'
+
+
+def source_sql(q: dict[str, str]) -> None:
+    q["extract_table_rows"] = """
+select s_suppkey page_id, cast(2 as integer) row_no, s_name || '& Co' "name", n_name vendor,
+       'v' || cast(s_nationkey as varchar) "version", cast(s_acctbal as varchar) registration_date,
+       case when s_acctbal >= 0 then 'active' else 'suspended' end status,
+       'SCM' category, true is_domestic, 'reestr_po' source
+from supplier join nation on s_nationkey = n_nationkey"""
+    strip = ("regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>', '', 'g'),"
+             " '(?is)<style\\b.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g')")
+    q["extract_links"] = f"""
+select * from (
+  select page_id, cast(item_no - 1 as integer) item_no,
+         {html_text_sql("regexp_extract(item, '" + LINK + "', 2)")} title,
+         regexp_extract(item, '{LINK}', 1) url, 'pages' source
+  from (select page_id, unnest(m) item, generate_subscripts(m, 1) item_no
+        from (select page_id, regexp_extract_all({strip}, '{LINK}', 0) m from pages) a) b
+) c where title <> ''"""
+    q["extract_fields"] = with_(SUPPORT) + """
+select support_id page_id, cast(0 as integer) block_no, program_name title,
+       measure_type description, cast(amount_rub as double) amount,
+       cast(disbursement_date as varchar) deadline, '' requirements, 'gisp' source
+from support where cast(roi_pct as integer) % 7 <> 0"""
+    q["json_indicators"] = """
+select event_type indicator, cast(year(ts) as bigint) "year", value, 'rub' unit,
+       case k % 3 when 0 then 'Российская Федерация' when 1 then null
+            else 'R' || cast(user_id as varchar) end region,
+       'fedstat' source
+from (select *, cast(json_extract_string(props, '$.k') as int) k from events) e
+where k % 10 <> 9"""
+    q["parse_money"] = """
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+       cast(cast(l_extendedprice as decimal(14,2)) as double) parsed,
+       case when l_linenumber % 3 = 1 and l_extendedprice >= 1000 then 0.0
+            else cast(cast(l_extendedprice as decimal(14,2)) as double) end parsed_compat
+from lineitem"""
+    kws = ", ".join(f"('{k}')" for k in P.SEARCH_KEYWORDS)
+    q["keyword_hits"] = f"""
+select doc_id, keyword,
+       cast((length(low) - length(replace(low, keyword, ''))) / length(keyword) as bigint) hits
+from (select doc_id, lower(text) low from documents) d, (values {kws}) k(keyword)
+where contains(low, keyword)"""
+    q["keyword_top10"] = "with h as (" + q["keyword_hits"] + f""")
+select * from (
+  select *, row_number() over (partition by keyword order by hits desc, doc_id asc) "rank" from h
+) r where "rank" <= {P.TOP_K}"""
+    q["recent_rows"] = f"""
+select * from events where ts > timestamp '{P.EVENTS_AS_OF}' - interval {P.EVENTS_DAYS_BACK} day"""
+    q["source_counts"] = (
+        "select 'solutions' source, cast(count(*) as bigint) n_rows, 'ok' status from supplier "
+        "join nation on s_nationkey = n_nationkey\nunion all\n"
+        "select 'procurements', count(*), 'ok' from (" + q["extract_links"] + ") l\nunion all\n"
+        "select 'indicators', count(*), 'ok' from (" + q["json_indicators"] + ") i\nunion all\n"
+        "select 'support_measures', count(*), 'ok' from (" + q["extract_fields"] + ") f")
+    q["csv_roundtrip"] = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate from orders"
+    q["latest_per_key"] = "with h as (" + q["keyword_hits"] + ")\nselect *, cast(2 as bigint) batch_id from h"
