@@ -313,3 +313,68 @@ def latest_per_key(spark, sf_dir):
     K.append_batch(hits, log_path, 2)
     log = K.read_log(spark, log_path)
     return K.latest_per_key(log, ["doc_id", "keyword"]).select("doc_id", "keyword", "hits", "batch_id")
+
+
+# -- data quality (Q1-Q6) -----------------------------------------------------------------
+
+from tidewater.operators import quality as DQ  # noqa: E402
+
+
+@query
+def dq_unique(spark, sf_dir):
+    impl, sup = _impl_support(spark, sf_dir)
+    return DQ.union_all([DQ.unique(impl, "implementations", "impl_key"),
+                         DQ.unique(sup, "support_measures", "support_id"),
+                         DQ.unique(_kpi(spark, sf_dir), "kpi_monthly", "date_month")])
+
+
+@query
+def dq_not_null(spark, sf_dir):
+    impl, sup = _impl_support(spark, sf_dir)
+    return DQ.union_all([
+        DQ.not_null(impl, "implementations", ["impl_key", "org_id", "region_name", "date_go_live",
+                                              "capex"]),
+        DQ.not_null(sup, "support_measures", ["support_id", "program_name", "amount_rub",
+                                              "approval_date"])])
+
+
+@query
+def dq_in_set(spark, sf_dir):
+    impl, sup = _impl_support(spark, sf_dir)
+    return DQ.union_all([DQ.in_set(impl, "implementations", {"status": P.STATUSES}),
+                         DQ.in_set(sup, "support_measures", {"measure_type": P.MEASURE_TYPES})])
+
+
+@query
+def dq_range(spark, sf_dir):
+    impl, sup = _impl_support(spark, sf_dir)
+    return DQ.union_all([DQ.in_range(impl, "implementations", P.IMPL_RANGES),
+                         DQ.in_range(sup, "support_measures", P.SUPPORT_RANGES)])
+
+
+@query
+def dq_orphans(spark, sf_dir):
+    t = lambda n: table(spark, sf_dir, n)
+    return DQ.union_all([
+        DQ.orphans(t("lineitem"), t("orders"), "l_orderkey", "o_orderkey", "lineitem"),
+        DQ.orphans(t("lineitem"), t("part"), "l_partkey", "p_partkey", "lineitem"),
+        DQ.orphans(t("lineitem"), t("supplier"), "l_suppkey", "s_suppkey", "lineitem"),
+        DQ.orphans(t("orders"), t("customer"), "o_custkey", "c_custkey", "orders"),
+        DQ.orphans(support_measures(spark, sf_dir), t("customer"), "recipient_id", "c_custkey",
+                   "support_measures")])
+
+
+@query
+def dq_freshness(spark, sf_dir):
+    impl, sup = _impl_support(spark, sf_dir)
+    return DQ.union_all([
+        DQ.freshness(impl, "implementations", "date_go_live", P.AS_OF, P.FRESH_MONTH_DAYS),
+        DQ.freshness(sup, "support_measures", "approval_date", P.AS_OF, P.FRESH_MONTH_DAYS),
+        DQ.freshness(table(spark, sf_dir, "events"), "events", "ts", P.EVENTS_AS_OF,
+                     P.FRESH_DAY_DAYS)])
+
+
+@query
+def dq_parse_rate(spark, sf_dir):
+    m = PG.money_strings(table(spark, sf_dir, "lineitem"))
+    return DQ.parse_rate(m, "money_strings", DQ.money_checks("money_text"))

@@ -152,6 +152,7 @@ select * from kpi where date_month > date '{P.AS_OF}' - {30 * P.MONTHS_BACK}"""
 select date_month, impl_count, domestic_share_pct from kpi"""
     metric_sql(q)
     source_sql(q)
+    quality_sql(q)
     return q
 
 
@@ -391,3 +392,72 @@ select * from events where ts > timestamp '{P.EVENTS_AS_OF}' - interval {P.EVENT
         "select 'support_measures', count(*), 'ok' from (" + q["extract_fields"] + ") f")
     q["csv_roundtrip"] = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate from orders"
     q["latest_per_key"] = "with h as (" + q["keyword_hits"] + ")\nselect *, cast(2 as bigint) batch_id from h"
+
+
+# -- data quality ---------------------------------------------------------------------------
+
+def dq_row(check: str, table: str, column: str, failed: str, total: str, src: str) -> str:
+    return (f"select '{check}' \"check\", '{table}' table_name, '{column}' column_name, "
+            f"cast({failed} as bigint) failed, cast({total} as bigint) total, "
+            f"cast({failed} as bigint) = 0 ok from {src}")
+
+
+def union(parts: list[str]) -> str:
+    return "\nunion all\n".join(parts)
+
+
+def quality_sql(q: dict[str, str]) -> None:
+    base = with_(IMPL, SUPPORT)
+    q["dq_unique"] = with_(IMPL, SUPPORT, cal(), kpi_monthly_sql()[1:]) + union([
+        dq_row("unique", t, k, f"coalesce(sum(case when n > 1 then n else 0 end), 0)",
+               "coalesce(sum(n), 0)", f"(select {k}, count(*) n from {src} group by {k}) g")
+        for t, k, src in (("implementations", "impl_key", "impl"),
+                          ("support_measures", "support_id", "support"),
+                          ("kpi_monthly", "date_month", "kpi"))])
+    q["dq_not_null"] = base + union(
+        [dq_row("not_null", "implementations", c, f"count(*) filter (where {c} is null)", "count(*)",
+                "impl") for c in ("impl_key", "org_id", "region_name", "date_go_live", "capex")]
+        + [dq_row("not_null", "support_measures", c, f"count(*) filter (where {c} is null)",
+                  "count(*)", "support")
+           for c in ("support_id", "program_name", "amount_rub", "approval_date")])
+    st = ", ".join(f"'{s}'" for s in P.STATUSES)
+    mt = ", ".join(f"'{s}'" for s in P.MEASURE_TYPES)
+    q["dq_in_set"] = base + union([
+        dq_row("in_set", "implementations", "status",
+               f"count(*) filter (where not coalesce(status in ({st}), false))", "count(*)", "impl"),
+        dq_row("in_set", "support_measures", "measure_type",
+               f"count(*) filter (where not coalesce(measure_type in ({mt}), false))", "count(*)",
+               "support")])
+    q["dq_range"] = base + union(
+        [dq_row("in_range", "implementations", c,
+                f"count(*) filter (where not coalesce({c} between {lo} and {hi}, false))",
+                "count(*)", "impl") for c, (lo, hi) in P.IMPL_RANGES.items()]
+        + [dq_row("in_range", "support_measures", c,
+                  f"count(*) filter (where not coalesce({c} between {lo} and {hi}, false))",
+                  "count(*)", "support") for c, (lo, hi) in P.SUPPORT_RANGES.items()])
+    orph = (("lineitem", "l_orderkey", "orders", "o_orderkey"),
+            ("lineitem", "l_partkey", "part", "p_partkey"),
+            ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("orders", "o_custkey", "customer", "c_custkey"),
+            ("support_measures", "recipient_id", "customer", "c_custkey"))
+    q["dq_orphans"] = with_(SUPPORT) + union([
+        dq_row("orphans", ct, ck,
+               f"(select count(*) from {('support' if ct == 'support_measures' else ct)} c "
+               f"where not exists (select 1 from {pt} p where p.{pk} = c.{ck}))",
+               "count(*)", ('support' if ct == 'support_measures' else ct))
+        for ct, ck, pt, pk in orph])
+    def stale(col, src, as_of, days):
+        return (f"case when max(cast({col} as date)) is null or max(cast({col} as date)) < "
+                f"date '{as_of}' - {days} then 1 else 0 end")
+    q["dq_freshness"] = base + union([
+        dq_row("freshness", "implementations", "date_go_live",
+               stale("date_go_live", "impl", P.AS_OF, P.FRESH_MONTH_DAYS), "1", "impl"),
+        dq_row("freshness", "support_measures", "approval_date",
+               stale("approval_date", "support", P.AS_OF, P.FRESH_MONTH_DAYS), "1", "support"),
+        dq_row("freshness", "events", "ts", stale("ts", "events", P.EVENTS_AS_OF, P.FRESH_DAY_DAYS),
+               "1", "events")])
+    q["dq_parse_rate"] = union([
+        dq_row("parse_rate", "money_strings", "money_text", "0", "count(*)", "lineitem"),
+        dq_row("parse_rate", "money_strings", "money_text(compat)",
+               "count(*) filter (where l_linenumber % 3 = 1 and l_extendedprice >= 1000)",
+               "count(*)", "lineitem")])

@@ -31,3 +31,16 @@ HOT_MIN_VOLUME = 5
 
 # What-if budget multipliers.
 WHATIF_MULTIPLIERS = [0.5, 1.0, 1.5]
+
+# Domains of the status and measure-type columns.
+STATUSES = ["go-live", "pilot_ok", "pilot", "planned"]
+MEASURE_TYPES = ["subsidy", "grant", "tax_benefit", "state_order"]
+
+# Plausible ranges on the test data (ours; the reference's generator bounds
+# describe its own random rows).
+IMPL_RANGES = {"capex": (0, 1e9), "inv_turnover_delta": (0.0, 2.0), "lead_time_delta": (-3000, 3000)}
+SUPPORT_RANGES = {"roi_pct": (0.0, 100.0), "amount_rub": (0, 1e9)}
+
+# Freshness periods in days: monthly sources, daily events.
+FRESH_MONTH_DAYS = 31
+FRESH_DAY_DAYS = 1
