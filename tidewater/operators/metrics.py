@@ -283,3 +283,59 @@ def kpi_monthly_full(spark: SparkSession, kpi: DataFrame, impl: DataFrame, suppo
     return (kpi.join(sm, "date_month").join(cov, "date_month").join(isi, "date_month")
             .select(*kpi.columns, "support_count", "total_support_amount",
                     "support_coverage_pct", "isi_index"))
+
+
+# -- M10: average check with an exact, skew-safe median ------------------------------------------
+
+def exact_quantile(df: DataFrame, group: str, value: str, p: float) -> DataFrame:
+    """Exact linear-interpolated quantile per group (``quantile_cont``) without
+    gathering any group's values in one task.
+
+    A global sort on (group, value) range-partitions the rows, so a group
+    holding a third of them spans many partitions. Each row's rank inside
+    its group is the count of its group's rows in earlier partitions (from a
+    small (partition, group) count table) plus its position in its own
+    partition. The sorted rows are checkpointed first so the positions are
+    stable. Only the (at most two) rows at the target ranks are kept.
+    """
+    from tidewater.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    srt = (df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
+           .filter(F.col("g").isNotNull() & F.col("v").isNotNull())
+           .orderBy("g", "v")
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_mid", F.monotonically_increasing_id())
+           .checkpoint())
+    parts = srt.groupBy("_pid", "g").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.partitionBy("g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (parts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+             .withColumn("_total", F.sum("_n").over(Window.partitionBy("g"))))
+    pos = F.col("_total").cast("double") - 1.0
+    parts = (parts.withColumn("_lo", F.floor(pos * p).cast("long"))
+             .withColumn("_hi", F.ceil(pos * p).cast("long"))
+             .withColumn("_frac", pos * p - F.floor(pos * p)))
+    ranked = (srt.join(parts, ["_pid", "g"])
+              .withColumn("_rank", F.col("_before") + F.col("_mid") - F.col("_m0"))
+              .filter((F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi"))))
+    q = ranked.groupBy("g").agg(
+        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("v"))).alias("_vlo"),
+        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("v"))).alias("_vhi"),
+        F.first("_frac").alias("_frac"))
+    return q.select(F.col("g").alias(group),
+                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("q"))
+
+
+def avg_check(impl: DataFrame, by: str = "vendor_name", approx: bool = False) -> DataFrame:
+    """Average and median capex per vendor (or class). ``approx=True`` uses a
+    bounded-memory sketch (``percentile_approx``) instead of the exact
+    sort-based median."""
+    base = (impl.filter(F.col(by).isNotNull()).groupBy(by)
+            .agg(F.count(F.lit(1)).cast("long").alias("impl_count"),
+                 (F.sum("capex").cast("double") / F.count(F.lit(1))).alias("avg_capex")))
+    if approx:
+        med = impl.groupBy(by).agg(F.percentile_approx(F.col("capex").cast("double"), 0.5, 10000)
+                                   .alias("median_capex"))
+    else:
+        med = exact_quantile(impl, by, "capex", 0.5).withColumnRenamed("q", "median_capex")
+    return base.join(med, by, "left")

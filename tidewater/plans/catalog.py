@@ -378,3 +378,93 @@ def dq_freshness(spark, sf_dir):
 def dq_parse_rate(spark, sf_dir):
     m = PG.money_strings(table(spark, sf_dir, "lineitem"))
     return DQ.parse_rate(m, "money_strings", DQ.money_checks("money_text"))
+
+
+@query
+def avg_check(spark, sf_dir):
+    return M.avg_check(implementations(spark, sf_dir), "vendor_name")
+
+
+# -- causal estimators (C1-C7) --------------------------------------------------------------
+
+from tidewater.operators import causal as C  # noqa: E402
+
+
+def _match_units(spark, sf_dir):
+    """Customers as units: score = account balance (a given column), stratum =
+    market segment, treated = received any grant."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    tr = C.treated_orgs(support_measures(spark, sf_dir))
+    return (cust.join(tr, cust.c_custkey == tr.org_id, "left")
+            .select("c_custkey", "c_acctbal", "c_mktsegment",
+                    F.coalesce("treated", F.lit(False)).alias("treated")))
+
+
+def _matches(spark, sf_dir):
+    return C.nearest_match(_match_units(spark, sf_dir), "c_custkey", "c_acctbal", "c_mktsegment",
+                           "treated", P.CALIPER, P.CALIPER_SPLITS)
+
+
+@query
+def did_cells(spark, sf_dir):
+    return C.did_cells(*_impl_support(spark, sf_dir), P.DID_DATE)
+
+
+@query
+def did_effect(spark, sf_dir):
+    return C.did_effect(did_cells(spark, sf_dir))
+
+
+@query
+def psm_scores(spark, sf_dir):
+    return C.propensity_scores(*_impl_support(spark, sf_dir))
+
+
+@query
+def psm_match(spark, sf_dir):
+    return _matches(spark, sf_dir)
+
+
+@query
+def psm_balance(spark, sf_dir):
+    units = _match_units(spark, sf_dir).withColumnRenamed("c_acctbal", "acctbal")
+    return C.balance(units, _matches(spark, sf_dir), "c_custkey", "treated", ["acctbal"])
+
+
+@query
+def psm_did(spark, sf_dir):
+    return C.matched_did(implementations(spark, sf_dir), _matches(spark, sf_dir), P.DID_DATE)
+
+
+def _synth_inputs(spark, sf_dir):
+    impl = implementations(spark, sf_dir)
+    panel = C.unit_panel(impl, "region_name")
+    # The unit list is the nation dimension (25 rows): bounded metadata.
+    units = sorted(r[0] for r in table(spark, sf_dir, "nation").select("n_name").collect())
+    # Treated unit: the region with the most supported orgs (ties by name).
+    sup = C.treated_orgs(support_measures(spark, sf_dir))
+    top = (impl.select("org_id", "region_name").distinct().join(sup, "org_id")
+           .groupBy("region_name").count()
+           .orderBy(F.col("count").desc(), "region_name").first())
+    return impl, panel, units, top[0]
+
+
+@query
+def synth_gram(spark, sf_dir):
+    _, panel, units, _ = _synth_inputs(spark, sf_dir)
+    return C.gram(panel, units, P.DID_DATE)
+
+
+@query
+def synth_gap(spark, sf_dir):
+    _, panel, units, treated = _synth_inputs(spark, sf_dir)
+    w = C.synth_weights(C.gram(panel, units, P.DID_DATE), [treated])
+    return C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), [treated])
+
+
+@query
+def synth_placebo(spark, sf_dir):
+    _, panel, units, treated = _synth_inputs(spark, sf_dir)
+    w = C.synth_weights(C.gram(panel, units, P.DID_DATE), units)
+    gaps = C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), units)
+    return C.placebo_test(gaps, P.DID_DATE, treated)

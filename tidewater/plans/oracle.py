@@ -153,6 +153,7 @@ select date_month, impl_count, domestic_share_pct from kpi"""
     metric_sql(q)
     source_sql(q)
     quality_sql(q)
+    causal_sql(q)
     return q
 
 
@@ -461,3 +462,95 @@ def quality_sql(q: dict[str, str]) -> None:
         dq_row("parse_rate", "money_strings", "money_text(compat)",
                "count(*) filter (where l_linenumber % 3 = 1 and l_extendedprice >= 1000)",
                "count(*)", "lineitem")])
+
+
+# -- causal ---------------------------------------------------------------------------------
+
+def moments(y: str) -> str:
+    return (f"count({y}) n, cast(sum({y}) as double) / count({y}) mean, "
+            f"case when count({y}) > 1 then (cast(sum({y} * {y}) as double) - cast(sum({y}) as double)"
+            f" * cast(sum({y}) as double) / count({y})) / (count({y}) - 1.0) end var")
+
+
+DID_PANEL = f"""
+tr as (select distinct recipient_id org_id from support),
+flag as (
+  select coalesce(tr.org_id is not null, false) treated,
+         date_go_live >= date '{P.DID_DATE}' post,
+         cast(cast(lead_time_delta as decimal(12,0)) as decimal(20,8)) lead_time_delta,
+         cast(cast(inv_turnover_delta as decimal(12,4)) as decimal(20,8)) inv_turnover_delta,
+         cast(cast(penalties_delta as decimal(18,4)) as decimal(20,8)) penalties_delta,
+         cast(cast(case when capex > 0 then cast(revenue_uplift + opex_delta as double)
+                        / cast(capex as double) end as decimal(18,8)) as decimal(20,8)) margin
+  from impl i left join tr on i.org_id = tr.org_id
+),
+panel as (
+  unpivot flag on lead_time_delta, inv_turnover_delta, penalties_delta, margin
+  into name outcome value y
+),
+cells as (select outcome, treated, post, {moments('y')} from panel where y is not null
+          group by 1, 2, 3)"""
+
+
+MATCH = f"""
+units as (
+  select c_custkey id, c_acctbal s, c_mktsegment stratum,
+         c_custkey in (select recipient_id from support) t
+  from customer
+),
+pairs as (
+  select a.id treated_id, b.id control_id, a.stratum, a.s treated_score, b.s control_score,
+         abs(a.s - b.s) distance,
+         row_number() over (partition by a.id order by abs(a.s - b.s), b.id) rn
+  from units a join units b on a.stratum = b.stratum and not b.t and abs(a.s - b.s) <= {P.CALIPER}
+  where a.t
+),
+matches as (select * exclude (rn) from pairs where rn = 1)"""
+
+
+def causal_sql(q: dict[str, str]) -> None:
+    q["avg_check"] = with_(IMPL) + """
+select vendor_name, count(*) impl_count, cast(sum(capex) as double) / count(*) avg_capex,
+       quantile_cont(cast(capex as double), 0.5) median_capex
+from impl where vendor_name is not null group by 1"""
+    q["did_cells"] = with_(IMPL, SUPPORT) + "," + DID_PANEL[1:] + "\nselect * from cells"
+    q["did_effect"] = with_(IMPL, SUPPORT) + "," + DID_PANEL[1:] + """
+select outcome, t1, t0, c1, c0, (t1 - t0) - (c1 - c0) effect, sqrt(v) se from (
+  select outcome,
+         max(case when treated and post then mean end) t1,
+         max(case when treated and not post then mean end) t0,
+         max(case when not treated and post then mean end) c1,
+         max(case when not treated and not post then mean end) c0,
+         sum(var / n) v
+  from cells group by 1) x"""
+    q["psm_match"] = with_(SUPPORT) + "," + MATCH[1:] + "\nselect * from matches"
+    q["psm_balance"] = with_(SUPPORT) + "," + MATCH[1:] + f""",
+xs as (select id, t, cast(s as decimal(20,4)) x from units),
+cells as (
+  select 'before' sample, t, {moments('x')} from xs group by 2
+  union all
+  select 'after', t, {moments('x')} from (
+    select true t, x from matches m join xs on xs.id = m.treated_id
+    union all
+    select false, x from matches m join xs on xs.id = m.control_id) a
+  group by 2
+)
+select 'acctbal' covariate, sample, mean_t, mean_c, var_t, var_c,
+       case when sqrt((var_t + var_c) / 2.0) > 0
+            then (mean_t - mean_c) / sqrt((var_t + var_c) / 2.0) end smd
+from (select sample, max(case when t then mean end) mean_t, max(case when not t then mean end) mean_c,
+             max(case when t then var end) var_t, max(case when not t then var end) var_c
+      from cells group by 1) b"""
+    q["synth_gram"] = with_(IMPL) + f"""
+, units as (select distinct n_name unit from nation),
+panel as (select region_name unit, last_day(date_go_live) date_month, count(*) y from impl
+          where date_go_live < date '{P.DID_DATE}' group by 1, 2),
+months as (select distinct date_month from panel),
+full_panel as (
+  select u.unit, m.date_month, coalesce(p.y, 0) y
+  from units u cross join months m
+  left join panel p on p.unit = u.unit and p.date_month = m.date_month
+)
+select a.unit unit_i, b.unit unit_j, cast(coalesce(sum(a.y * b.y), 0) as bigint) g
+from full_panel a join full_panel b on a.date_month = b.date_month
+group by 1, 2"""

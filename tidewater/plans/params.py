@@ -44,3 +44,7 @@ SUPPORT_RANGES = {"roi_pct": (0.0, 100.0), "amount_rub": (0, 1e9)}
 # Freshness periods in days: monthly sources, daily events.
 FRESH_MONTH_DAYS = 31
 FRESH_DAY_DAYS = 1
+
+# Matching: caliper on the score and sub-buckets per caliper width.
+CALIPER = 25.0
+CALIPER_SPLITS = 4
