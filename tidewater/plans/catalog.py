@@ -468,3 +468,23 @@ def synth_placebo(spark, sf_dir):
     w = C.synth_weights(C.gram(panel, units, P.DID_DATE), units)
     gaps = C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), units)
     return C.placebo_test(gaps, P.DID_DATE, treated)
+
+
+# -- streaming (T1-T3) ------------------------------------------------------------------------
+
+from tidewater.streaming import ingest as ST  # noqa: E402
+
+
+@query
+def stream_survey_ingest(spark, sf_dir):
+    return ST.survey_ingest(spark, table(spark, sf_dir, "events"))
+
+
+@query
+def stream_upsert(spark, sf_dir):
+    return ST.upsert(spark, table(spark, sf_dir, "events"))
+
+
+@query
+def stream_daily_kpi(spark, sf_dir):
+    return ST.daily_kpi(spark, table(spark, sf_dir, "events"))

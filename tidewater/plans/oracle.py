@@ -154,6 +154,7 @@ select date_month, impl_count, domestic_share_pct from kpi"""
     source_sql(q)
     quality_sql(q)
     causal_sql(q)
+    stream_sql(q)
     return q
 
 
@@ -554,3 +555,12 @@ full_panel as (
 select a.unit unit_i, b.unit unit_j, cast(coalesce(sum(a.y * b.y), 0) as bigint) g
 from full_panel a join full_panel b on a.date_month = b.date_month
 group by 1, 2"""
+
+
+def stream_sql(q: dict[str, str]) -> None:
+    q["stream_survey_ingest"] = "select event_id, ts, user_id, event_type, value, props from events"
+    q["stream_upsert"] = q["stream_survey_ingest"]
+    q["stream_daily_kpi"] = """
+select cast(ts as date) "day", event_type, count(*) n_events,
+       cast(sum(cast(value as decimal(12,2))) as double) value_sum
+from events group by 1, 2"""
