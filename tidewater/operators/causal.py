@@ -98,23 +98,32 @@ def org_features(impl: DataFrame) -> DataFrame:
                  F.min("region_name").alias("region_name")))
 
 
-def propensity_scores(impl: DataFrame, support: DataFrame, max_iter: int = 50) -> DataFrame:
+def propensity_scores(impl: DataFrame, support: DataFrame, max_iter: int = 25) -> DataFrame:
     """Logistic regression of treatment on org covariates (pyspark.ml, trained
-    with distributed aggregation); score = P(treated)."""
+    with distributed aggregation); score = P(treated).
+
+    The org feature table (one row per org) is checkpointed to the shared
+    folder first: the indexer, scaler and solver each pass over it, and
+    without the cut every pass would redo the rollout joins behind it.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
+    from tidewater.session import checkpoint_root
+
+    checkpoint_root(impl.sparkSession)
     data = (org_features(impl).join(treated_orgs(support), "org_id", "left")
-            .withColumn("label", F.coalesce(F.col("treated"), F.lit(False)).cast("double")))
+            .withColumn("label", F.coalesce(F.col("treated"), F.lit(False)).cast("double"))
+            .checkpoint())
     stages = [StringIndexer(inputCols=["industry_name", "region_name"],
                             outputCols=["ind_ix", "reg_ix"], handleInvalid="keep"),
               OneHotEncoder(inputCols=["ind_ix", "reg_ix"], outputCols=["ind_oh", "reg_oh"]),
               VectorAssembler(inputCols=["n_impl", "capex_total", "revenue_total"], outputCol="num"),
               StandardScaler(inputCol="num", outputCol="num_s"),
               VectorAssembler(inputCols=["num_s", "ind_oh", "reg_oh"], outputCol="features"),
-              LogisticRegression(maxIter=max_iter, regParam=0.01)]
+              LogisticRegression(maxIter=max_iter, regParam=0.01, tol=1e-6)]
     model = Pipeline(stages=stages).fit(data)
     return model.transform(data).select(
         "org_id", F.col("label").cast("boolean").alias("treated"),
@@ -237,21 +246,26 @@ def unit_panel(impl: DataFrame, unit_col: str) -> DataFrame:
 def gram(panel: DataFrame, units: list[str], before: str) -> DataFrame:
     """G[i, j] = sum over pre-period months of y_i * y_j, for all unit pairs.
 
-    The panel is pivoted to one row per month (one column per unit, the
-    fixed list ``units``), and all products are summed in one aggregate, so
-    the Gram is a single pass with map-side partial sums.
+    The panel (bounded: units x months) is pivoted to one vector per month
+    over the fixed unit list, and MLlib's ``RowMatrix.computeGramianMatrix``
+    sums the outer products with a tree aggregate; no unit pairs are ever
+    materialised as rows. The result has U x U entries.
     """
+    from pyspark.mllib.linalg.distributed import RowMatrix
+
+    spark = panel.sparkSession
     wide = (panel.filter(F.col("date_month") < F.to_date(F.lit(before)))
-            .groupBy("date_month").pivot("unit", units).agg(F.first("y")).fillna(0))
-    cols = {u: F.coalesce(F.col(f"`{u}`"), F.lit(0)).cast("long") for u in units}
-    sums = [F.sum(cols[a] * cols[b]).alias(f"{i}_{j}")
-            for i, a in enumerate(units) for j, b in enumerate(units)]
-    agg = wide.agg(*sums)
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("unit_i"), F.lit(b).alias("unit_j"),
-                 F.coalesce(F.col(f"{i}_{j}"), F.lit(0)).cast("long").alias("g"))
-        for i, a in enumerate(units) for j, b in enumerate(units)]))
-    return agg.select(stack.alias("e")).select("e.*")
+            .groupBy("date_month").pivot("unit", units).agg(F.first("y")))
+    vecs = wide.select(F.array(*[F.coalesce(F.col(f"`{u}`"), F.lit(0)).cast("double")
+                                 for u in units]).alias("v"))
+    rows = vecs.rdd.map(lambda r: r.v)
+    n = len(units)
+    if rows.isEmpty():
+        g = np.zeros((n, n))
+    else:
+        g = RowMatrix(rows, numCols=n).computeGramianMatrix().toArray()
+    data = [(a, b, int(round(float(g[i, j])))) for i, a in enumerate(units) for j, b in enumerate(units)]
+    return spark.createDataFrame(data, "unit_i string, unit_j string, g long")
 
 
 def _simplex_projection(v: np.ndarray) -> np.ndarray:

@@ -203,7 +203,7 @@ def kpi_cards_text(spark, sf_dir):
 # -- sources and extraction (S1-S13), table maintenance (K2-K7) -------------------------------
 
 from tidewater.functions.columns import parse_money as _parse_money  # noqa: E402
-from tidewater.session import scratch_path  # noqa: E402
+from tidewater.session import checkpoint_root, scratch_path  # noqa: E402
 from tidewater.sources import extract as X  # noqa: E402
 from tidewater.sources import pages as PG  # noqa: E402
 from tidewater.sources import tables as K  # noqa: E402
@@ -438,13 +438,21 @@ def psm_did(spark, sf_dir):
 
 def _synth_inputs(spark, sf_dir):
     impl = implementations(spark, sf_dir)
-    panel = C.unit_panel(impl, "region_name")
+    # The panel (units x months) feeds the Gram, the gaps and the placebo
+    # runs: checkpoint it once to the shared folder instead of recomputing
+    # the joins behind it for every consumer.
+    checkpoint_root(spark)
+    panel = C.unit_panel(impl, "region_name").checkpoint()
     # The unit list is the nation dimension (25 rows): bounded metadata.
     units = sorted(r[0] for r in table(spark, sf_dir, "nation").select("n_name").collect())
-    # Treated unit: the region with the most supported orgs (ties by name).
+    # Treated unit: the region with the most supported orgs (ties by name);
+    # an org's region is its customer nation, so no rollout rows are needed.
     sup = C.treated_orgs(support_measures(spark, sf_dir))
-    top = (impl.select("org_id", "region_name").distinct().join(sup, "org_id")
-           .groupBy("region_name").count()
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    top = (sup.join(cust, sup.org_id == cust.c_custkey)
+           .join(nat, cust.c_nationkey == nat.n_nationkey)
+           .groupBy(F.col("n_name").alias("region_name")).count()
            .orderBy(F.col("count").desc(), "region_name").first())
     return impl, panel, units, top[0]
 
@@ -465,8 +473,8 @@ def synth_gap(spark, sf_dir):
 @query
 def synth_placebo(spark, sf_dir):
     _, panel, units, treated = _synth_inputs(spark, sf_dir)
-    w = C.synth_weights(C.gram(panel, units, P.DID_DATE), units)
-    gaps = C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), units)
+    w = C.synth_weights(C.gram(panel, units, P.DID_DATE), units).checkpoint()
+    gaps = C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), units).checkpoint()
     return C.placebo_test(gaps, P.DID_DATE, treated)
 
 

@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.functions.columns import (class_block_regex, first_field, html_text, parse_money,
-                                         strip_scripts)
+from tidewater.functions.columns import class_block_regex, html_text, parse_money, strip_scripts
 
 # The default region of an indicator row with no region key.
 DEFAULT_REGION = "Российская Федерация"
@@ -80,15 +79,33 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     parts = F.split(html, opening)
     blocks = F.slice(parts, 2, 1 << 30)
     out = pages.select("page_id", F.posexplode(blocks).alias("block_no", "b"))
+    # One scan of the block collects every element that has a class
+    # attribute; each field is then picked from that short list, so the block
+    # is not rescanned once per field.
+    elems = F.regexp_extract_all(F.col("b"), F.lit(CLASSED_ELEMENT), F.lit(0))
+    out = out.select("page_id", "block_no", elems.alias("_els"))
+
+    def pick(tag: str, cls: str) -> Column:
+        head = rf'(?is)^<{tag}\b[^>]*\bclass\s*=\s*"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"'
+        return F.try_element_at(F.filter(F.col("_els"), lambda e: e.rlike(head)), F.lit(1))
+
+    def text(tag: str, cls: str) -> Column:
+        el = F.coalesce(pick(tag, cls), F.lit(""))
+        return html_text(F.regexp_extract(el, class_block_regex(tag, cls), 1))
+
     req_name, req_tag, req_class = required
-    out = out.filter(F.col("b").rlike(class_block_regex(req_tag, req_class)))
-    cols: list[Column] = [first_field(F.col("b"), req_tag, req_class).alias(req_name)]
+    out = out.filter(pick(req_tag, req_class).isNotNull())
+    cols: list[Column] = [text(req_tag, req_class).alias(req_name)]
     for name, (tag, cls) in fields.items():
-        text = first_field(F.col("b"), tag, cls)
-        cols.append(parse_money(text).alias(name) if name in money_fields else text.alias(name))
+        t = text(tag, cls)
+        cols.append(parse_money(t).alias(name) if name in money_fields else t.alias(name))
     return out.select("page_id", "block_no", *cols, F.lit(source).alias("source"))
 
 
+# An element with a class attribute, up to the first closing tag of its name.
+CLASSED_ELEMENT = r'(?is)<([a-z][a-z0-9]*)\b[^>]*\bclass\s*=\s*"[^"]*"[^>]*>.*?</\1\s*>'
+
+
 SUPPORT_CARD = dict(
     block=("div", "measure-card"),
     required=("title", "h3", "measure-title"),
