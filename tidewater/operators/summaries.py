@@ -194,7 +194,7 @@ def kpi_cards(kpi: DataFrame) -> DataFrame:
 # -- F11: card text ------------------------------------------------------------------
 
 def kpi_cards_text(cards: DataFrame) -> DataFrame:
-    """The cards as the dashboard prints them (thousands separators, one
+    """The cards as the page prints them (thousands separators, one
     decimal with a percent sign, signed deltas)."""
     from tidewater.functions.columns import one_decimal, thousands
 

@@ -13,8 +13,11 @@ from pyspark.sql.window import Window
 
 from tidewater.functions.columns import class_block_regex, html_text, parse_money, strip_scripts
 
-# The default region of an indicator row with no region key.
+# The default region of an indicator row with no region key,
+# and the provenance tag each source writes into its rows' ``source`` column.
 DEFAULT_REGION = "Российская Федерация"
+SOURCE_TAGS = {"registry": "reestr_po", "procurement": "eis", "statistics": "fedstat",
+               "support": "gisp"}
 
 
 # -- S1: HTML table -> rows --------------------------------------------------------------
@@ -23,7 +26,7 @@ TABLE_FIELDS = ["name", "vendor", "version", "registration_date", "status"]
 
 
 def extract_table_rows(pages: DataFrame, css_class: str = "solutions-table",
-                       min_cells: int = 6, source: str = "reestr_po") -> DataFrame:
+                       min_cells: int = 6, source: str = SOURCE_TAGS["registry"]) -> DataFrame:
     """First ``table.css_class`` of each page; header row skipped; rows with at
     least ``min_cells`` cells give name, vendor, version, registration date,
     status (cells 0-4), plus the constant columns of the registry source."""
@@ -66,7 +69,7 @@ def extract_links(pages: DataFrame, base_url: str = "", source: str = "pages") -
 
 def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str, str, str],
                    fields: dict[str, tuple[str, str]], money_fields: tuple[str, ...] = (),
-                   source: str = "gisp") -> DataFrame:
+                   source: str = SOURCE_TAGS["support"]) -> DataFrame:
     """Each ``block`` element (tag, class) of a page becomes a row when its
     ``required`` (name, tag, class) element exists; other fields are the text
     of their first (tag, class) element or ''; money fields are parsed (0
@@ -136,7 +139,7 @@ def json_indicators(payloads: DataFrame, indicator_col: str = "indicator",
         F.col("m")["value"].try_cast("double").alias("value"),
         F.col("m")["unit"].alias("unit"),
         region.alias("region"),
-        F.lit("fedstat").alias("source"))
+        F.lit(SOURCE_TAGS["statistics"]).alias("source"))
 
 
 # -- S7 / S8: keyword search ------------------------------------------------------------------
