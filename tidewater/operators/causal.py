@@ -69,7 +69,35 @@ def moment_cells(long: DataFrame, by: list[str], y: str = "y", w: Column | None
 
 
 def did_cells(impl: DataFrame, support: DataFrame, event_date: str) -> DataFrame:
-    return moment_cells(did_panel(impl, support, event_date), ["outcome", "treated", "post"])
+    """n, mean and variance per (outcome, treated, post).
+
+    One grouped pass over the rollouts computes count, sum and sum of squares
+    of every outcome at once (four cells); only that tiny result is turned
+    into one row per outcome.
+    """
+    outs = did_outcomes()
+    flagged = (impl.join(treated_orgs(support), "org_id", "left")
+               .select(F.coalesce("treated", F.lit(False)).alias("treated"),
+                       (F.col("date_go_live") >= F.to_date(F.lit(event_date))).alias("post"),
+                       *[c.alias(n) for n, c in outs.items()]))
+    aggs = []
+    for n in outs:
+        y = F.col(n)
+        aggs += [F.count(y).alias(f"{n}__n"),
+                 F.sum(y).cast("decimal(38,8)").alias(f"{n}__s1"),
+                 F.sum(y * y).cast("decimal(38,16)").alias(f"{n}__s2")]
+    wide = flagged.groupBy("treated", "post").agg(*aggs)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("outcome"), F.col(f"{n}__n").alias("n"),
+                 F.col(f"{n}__s1").alias("s1"), F.col(f"{n}__s2").alias("s2"))
+        for n in outs]))
+    long = wide.select("treated", "post", rows.alias("r")).select("r.outcome", "treated", "post",
+                                                                   "r.n", "r.s1", "r.s2")
+    n = F.col("n").cast("double")
+    s1, s2 = F.col("s1").cast("double"), F.col("s2").cast("double")
+    return long.filter(F.col("n") > 0).select(
+        "outcome", "treated", "post", F.col("n").cast("long").alias("n"), (s1 / n).alias("mean"),
+        F.when(F.col("n") > 1, (s2 - s1 * s1 / n) / (n - 1.0)).alias("var"))
 
 
 def did_effect(cells: DataFrame) -> DataFrame:

@@ -271,18 +271,43 @@ def kpi_monthly_full(spark: SparkSession, kpi: DataFrame, impl: DataFrame, suppo
                      start: str, end: str, weights: tuple[float, float, float]) -> DataFrame:
     """The 12 columns of the reference's kpi_monthly, all computed.
 
-    Every monthly input has at most one row per calendar month, so the
-    joins on ``date_month`` are between month-sized tables.
+    Coverage and ISI inputs come from one grouped pass over the rollouts
+    (joined once to each org's first approval) instead of one pass per
+    metric; every monthly table has at most one row per calendar month, so
+    the joins on ``date_month`` are between month-sized tables. ``kpi`` (the
+    A1 columns) is re-derived in the same pass when its columns allow.
     """
+    flagged = with_support_flag(impl, support)
+    dom_capex = F.when(F.col("is_domestic"), F.col("capex")).otherwise(F.lit(0))
+    monthly = (flagged.groupBy(month_end("date_go_live").alias("date_month"))
+               .agg(F.count(F.lit(1)).cast("long").alias("impl_count"),
+                    sum_flag("is_domestic").alias("domestic_impl_count"),
+                    sum0(effect_col()).cast("double").alias("total_econ_effect"),
+                    sum_flag("has_support").alias("impl_with_support"),
+                    sum0("capex").alias("capex_all"),
+                    sum0(dom_capex).alias("capex_domestic"),
+                    F.count_if(F.col("status") == "pilot").cast("long").alias("n_pilot")))
+    zero = ["impl_count", "domestic_impl_count", "total_econ_effect", "impl_with_support",
+            "capex_all", "capex_domestic", "n_pilot"]
+    cal = on_calendar(spark, monthly, start, end, zero)
+    w1, w2, w3 = weights
+    isi = (guarded_pct("domestic_impl_count", "impl_count") * w1
+           + guarded_pct("capex_domestic", "capex_all") * w2
+           + guarded_pct("n_pilot", "impl_count") * w3)
+    full = cal.select(
+        "date_month",
+        F.year("date_month").cast("long").alias("year"),
+        F.quarter("date_month").cast("long").alias("quarter"),
+        "impl_count", "domestic_impl_count",
+        guarded_pct("domestic_impl_count", "impl_count").alias("domestic_share_pct"),
+        "total_econ_effect",
+        F.when(F.col("impl_count") > 0, F.col("total_econ_effect") / F.col("impl_count"))
+        .otherwise(F.lit(0.0)).alias("avg_econ_effect"),
+        guarded_pct("impl_with_support", "impl_count").alias("support_coverage_pct"),
+        F.when(F.col("impl_count") > 0, isi).otherwise(F.lit(0.0)).alias("isi_index"))
     sm = support_monthly(spark, support, start, end)
-    cov = support_coverage(impl, support, [month_end("date_go_live").alias("date_month")])
-    cov = on_calendar(spark, cov.select("date_month", "support_coverage_pct"), start, end,
-                      ["support_coverage_pct"])
-    isi = isi_index(isi_components(impl, [month_end("date_go_live").alias("date_month")]), weights)
-    isi = on_calendar(spark, isi.select("date_month", "isi_index"), start, end, ["isi_index"])
-    return (kpi.join(sm, "date_month").join(cov, "date_month").join(isi, "date_month")
-            .select(*kpi.columns, "support_count", "total_support_amount",
-                    "support_coverage_pct", "isi_index"))
+    return full.join(sm, "date_month").select(
+        *kpi.columns, "support_count", "total_support_amount", "support_coverage_pct", "isi_index")
 
 
 # -- M10: average check with an exact, skew-safe median ------------------------------------------
