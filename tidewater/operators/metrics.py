@@ -65,21 +65,20 @@ def support_coverage(impl: DataFrame, support: DataFrame, by: list[str]) -> Data
 
 # -- M4 / M6 / M12: as-of attribution of rollouts to grants -----------------------------
 
-def asof_grants(impl: DataFrame, support: DataFrame) -> DataFrame:
-    """For each (org, date) that has a rollout: the org's latest grant approved
-    on or before that date (ties: smallest support_id).
+def asof_grants(keys: DataFrame, support: DataFrame) -> DataFrame:
+    """For each distinct (org_id, date_go_live) in ``keys``: the org's latest
+    grant approved on or before that date (ties: smallest support_id).
 
     1. grants collapse to one per (org, approval date): the smallest id wins;
-    2. rollout dates collapse to distinct (org, date) pairs;
-    3. over the union of those dates, per org in date order, the last grant
-       seen so far is carried forward (``last(..., ignorenulls)``).
-    Step 3's window partitions hold one row per distinct date of an org, a
-    bound set by the calendar, not by the number of rows.
+    2. over the union of rollout and grant dates, per org in date order, the
+       last grant seen so far is carried forward (``last(..., ignorenulls)``).
+    The window partitions hold one row per distinct date of an org, a bound
+    set by the calendar, not by the number of rows.
     """
     g = (support.groupBy(F.col("recipient_id").alias("org_id"), F.col("approval_date").alias("d"))
          .agg(F.min_by(F.struct("support_id", "program_name", "approval_date"), "support_id")
               .alias("grant")))
-    dates = impl.select("org_id", F.col("date_go_live").alias("d")).distinct()
+    dates = keys.select("org_id", F.col("date_go_live").alias("d")).distinct()
     keyed = dates.join(g, ["org_id", "d"], "full")
     w = (Window.partitionBy("org_id").orderBy("d")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -90,12 +89,27 @@ def asof_grants(impl: DataFrame, support: DataFrame) -> DataFrame:
                           F.col("asof.approval_date").alias("approval_date"))
 
 
+def _attribute(rows: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
+    asof = asof_grants(rows, support).filter(F.col("support_id").isNotNull())
+    return (rows.join(asof, ["org_id", "date_go_live"])
+            .filter(F.col("date_go_live") <= F.add_months("approval_date", horizon_months)))
+
+
 def attributed(impl: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
     """Rollouts attributed to the org's latest earlier grant within the horizon."""
-    asof = asof_grants(impl, support).filter(F.col("support_id").isNotNull())
-    return (impl.select("impl_key", "org_id", "date_go_live", effect_col().alias("effect"))
-            .join(asof, ["org_id", "date_go_live"])
-            .filter(F.col("date_go_live") <= F.add_months("approval_date", horizon_months)))
+    rows = impl.select("impl_key", "org_id", "date_go_live", effect_col().alias("effect"))
+    return _attribute(rows, support, horizon_months)
+
+
+def attributed_daily(impl: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
+    """As ``attributed``, on rollouts pre-aggregated per (org, date): all
+    rollouts of an org on one day share their grant, so effect sum and count
+    per (org, date) are attributed as one row. The pre-aggregation combines
+    map-side (a hot org shrinks before the shuffle) and the rollout joins run
+    once for both the key set and the attributed rows."""
+    daily = (impl.groupBy("org_id", "date_go_live")
+             .agg(sum0(effect_col()).alias("effect"), F.count(F.lit(1)).cast("long").alias("n")))
+    return _attribute(daily, support, horizon_months)
 
 
 def roi_by_program(impl: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
@@ -104,9 +118,9 @@ def roi_by_program(impl: DataFrame, support: DataFrame, horizon_months: int) ->
     Grant cost counts every grant of the program, also those that attract no
     rollout.
     """
-    eff = (attributed(impl, support, horizon_months).groupBy("program_name")
+    eff = (attributed_daily(impl, support, horizon_months).groupBy("program_name")
            .agg(sum0("effect").alias("effect_total"),
-                F.count(F.lit(1)).cast("long").alias("n_attributed")))
+                F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_attributed")))
     cost = support.groupBy("program_name").agg(sum0("amount_rub").alias("grant_total"))
     out = cost.join(eff, "program_name", "left")
     e = F.coalesce(F.col("effect_total"), F.lit(0)).cast("double")
@@ -122,7 +136,7 @@ def roi_by_program(impl: DataFrame, support: DataFrame, horizon_months: int) ->
 def payback_month(impl: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
     """First month in which a program's cumulative attributed effect reaches its
     grant total (NULL if never). The running sum is per program over months."""
-    monthly = (attributed(impl, support, horizon_months)
+    monthly = (attributed_daily(impl, support, horizon_months)
                .groupBy("program_name", month_end("date_go_live").alias("date_month"))
                .agg(sum0("effect").alias("effect")))
     w = (Window.partitionBy("program_name").orderBy("date_month")
