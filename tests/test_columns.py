@@ -58,3 +58,11 @@ def test_first_field_absent_is_empty(spark):
     df = spark.createDataFrame([('<div class="a b">hi</div>',), ("<div>no</div>",)], "h string")
     got = [r[0] for r in df.select(C.first_field("h", "div", "b")).collect()]
     assert got == ["hi", ""]
+
+
+def test_nan_read_as_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double").select(
+        C.nan_to_null("x").alias("x"))
+    from pyspark.sql import functions as F
+    row = df.agg(F.sum("x").alias("s"), F.count("x").alias("n"), F.avg("x").alias("m")).first()
+    assert (row.s, row.n, row.m) == (1.0, 1, 1.0)

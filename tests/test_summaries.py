@@ -73,3 +73,14 @@ def test_industry_shares_sum_to_100(spark, sf_dir):
     from tidewater.sources.testdata import implementations
     share = S.industry_share(implementations(spark, sf_dir))
     assert abs(share.agg(F.sum("share_pct")).first()[0] - 100.0) < 1e-9
+
+
+def test_cube_totals_equal_leaf_sums(spark, sf_dir):
+    from tidewater.operators import metrics as M
+    from tidewater.sources.testdata import implementations
+    cube = M.domestic_cube(implementations(spark, sf_dir), ["industry_name", "region_name", "class_scm"])
+    grand = cube.filter("gid = 7").first()
+    leaves = cube.filter("gid = 0").agg(F.sum("impl_count"), F.sum("domestic_count")).first()
+    assert (grand.impl_count, grand.domestic_count) == (leaves[0], leaves[1])
+    by_ind = cube.filter("gid = 3").agg(F.sum("impl_count")).first()[0]
+    assert by_ind == grand.impl_count

@@ -66,6 +66,12 @@ def round_half_even(c, digits: int = 1) -> Column:
     return F.rint(col_of(c).cast("double") * scale) / scale
 
 
+def nan_to_null(c) -> Column:
+    """NaN read as NULL: pandas skips NaN in sums and means, Spark would
+    propagate it (sum NaN) and count it."""
+    return F.nanvl(col_of(c), F.lit(None).cast("double"))
+
+
 def money(c, precision: int = 12, scale: int = 2) -> Column:
     """Money as a decimal so that sums do not depend on row order."""
     return col_of(c).cast(f"decimal({precision},{scale})")

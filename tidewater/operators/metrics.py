@@ -205,12 +205,15 @@ def region_heatmap(impl: DataFrame) -> DataFrame:
 
 
 def vendor_share(impl: DataFrame) -> DataFrame:
-    """Vendor market share by count and by capex; totals are scalar subqueries."""
+    """Vendor market share by count and by capex.
+
+    The totals are scalar subqueries over the grouped per-vendor result (one
+    row per vendor), not over the rollouts, so the rollouts are read once."""
     by_vendor = (impl.filter(F.col("vendor_name").isNotNull()).groupBy("vendor_name")
                  .agg(F.count(F.lit(1)).cast("long").alias("impl_count"),
                       sum0("capex").alias("capex_total")))
-    tot_n = impl.filter(F.col("vendor_name").isNotNull()).agg(F.count(F.lit(1))).scalar()
-    tot_c = impl.filter(F.col("vendor_name").isNotNull()).agg(sum0("capex")).scalar()
+    tot_n = by_vendor.agg(F.sum("impl_count")).scalar()
+    tot_c = by_vendor.agg(F.sum("capex_total")).scalar()
     return by_vendor.select(
         "vendor_name", "impl_count",
         F.col("capex_total").cast("double").alias("capex_total"),

@@ -193,20 +193,25 @@ def kpi_cards(kpi: DataFrame) -> DataFrame:
 
 # -- F11: card text ------------------------------------------------------------------
 
+# The texts the cards print after their numbers.
+CARD_PER_MONTH = " за месяц"
+CARD_VS_MEAN = "% vs среднее"
+CARD_EFFECT = " ₽ эффект"
+CARD_MEASURES = " мер поддержки"
+
+
 def kpi_cards_text(cards: DataFrame) -> DataFrame:
-    """The cards as the page prints them (thousands separators, one
-    decimal with a percent sign, signed deltas)."""
+    """The cards as the page prints them: thousands separators without
+    decimals, one decimal with a percent sign, a '+' before the month's
+    count."""
     from tidewater.functions.columns import one_decimal, thousands
 
-    def signed(c):
-        return F.concat(F.when(F.col(c) >= 0, F.lit("+")).otherwise(F.lit("")), one_decimal(c))
-
     return cards.select(
         thousands("impl_total_window").alias("impl_total_text"),
-        F.concat(F.lit("+"), thousands("impl_last_month"), F.lit(" за месяц")).alias("impl_delta_text"),
+        F.concat(F.lit("+"), thousands("impl_last_month"), F.lit(CARD_PER_MONTH)).alias("impl_delta_text"),
         F.concat(one_decimal("domestic_share_last"), F.lit("%")).alias("domestic_share_text"),
-        F.concat(signed("domestic_share_gap"), F.lit("% vs среднее")).alias("domestic_gap_text"),
-        F.concat(thousands("econ_effect_last"), F.lit(" ₽ эффект")).alias("effect_text"),
+        F.concat(one_decimal("domestic_share_gap"), F.lit(CARD_VS_MEAN)).alias("domestic_gap_text"),
+        F.concat(thousands("econ_effect_last"), F.lit(CARD_EFFECT)).alias("effect_text"),
         F.concat(one_decimal("support_coverage_last"), F.lit("%")).alias("coverage_text"),
-        F.concat(thousands("support_count_last"), F.lit(" мер поддержки")).alias("support_text"),
+        F.concat(thousands("support_count_last"), F.lit(CARD_MEASURES)).alias("support_text"),
     )

@@ -324,6 +324,16 @@ from cal c left join (
     q["kpi_monthly_full"] = q["kpi_monthly_full"].replace("\n,", ",", 1)
     q["kpi_cards"] = (q["kpi_monthly_full"].replace("\nselect * from kpi_full", "," + CARDS[1:])
                       + "\nselect *, domestic_share_last - domestic_share_mean domestic_share_gap from cards")
+    q["kpi_cards_text"] = q["kpi_cards"].replace(
+        "\nselect *, domestic_share_last - domestic_share_mean domestic_share_gap from cards", """
+select format('{:,.0f}', cast(impl_total_window as double)) impl_total_text,
+       '+' || format('{:,.0f}', cast(impl_last_month as double)) || ' за месяц' impl_delta_text,
+       format('{:.1f}', domestic_share_last) || '%' domestic_share_text,
+       format('{:.1f}', domestic_share_last - domestic_share_mean) || '% vs среднее' domestic_gap_text,
+       format('{:,.0f}', econ_effect_last) || ' ₽ эффект' effect_text,
+       format('{:.1f}', support_coverage_last) || '%' coverage_text,
+       format('{:,.0f}', cast(support_count_last as double)) || ' мер поддержки' support_text
+from cards""")
 
 
 # -- sources ------------------------------------------------------------------------------

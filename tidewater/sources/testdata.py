@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.columns import money
+from tidewater.functions.columns import money, nan_to_null
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -95,7 +95,7 @@ def implementations(spark: SparkSession, sf_dir: str) -> DataFrame:
         capex.alias("capex"),
         (capex * (F.lit(1) - disc)).alias("revenue_uplift"),
         (capex * tax).cast("decimal(18,4)").alias("opex_delta"),
-        (F.col("l_quantity") / F.lit(25.0)).alias("inv_turnover_delta"),
+        nan_to_null(F.col("l_quantity") / F.lit(25.0)).alias("inv_turnover_delta"),
         F.datediff("l_shipdate", "o_orderdate").cast("long").alias("lead_time_delta"),
         (capex * disc).cast("decimal(18,4)").alias("penalties_delta"),
     )
@@ -124,5 +124,5 @@ def support_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         money("value").alias("amount_rub"),
         F.date_add(base, offset).alias("approval_date"),
         F.date_add(base, offset + k).alias("disbursement_date"),
-        k.cast("double").alias("roi_pct"),
+        nan_to_null(k.cast("double")).alias("roi_pct"),
     )
