@@ -94,10 +94,10 @@ def append_batch(df: DataFrame, log_path: str, batch_id: int) -> None:
     """Write one refresh as ``batch_id=N`` (overwrite: a replay is idempotent),
     stamped with ``created_at``, then publish it in the manifest."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (df.withColumn("created_at", F.current_timestamp())
        .withColumn("batch_id", F.lit(batch_id).cast("long"))
-       .write.mode("overwrite").partitionBy("batch_id").parquet(f"{log_path}/data"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch_id").parquet(f"{log_path}/data"))
     (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"),
                            F.current_timestamp().alias("committed_at"))
      .write.mode("append").parquet(f"{log_path}/_manifest"))

@@ -9,6 +9,8 @@ lineitem scan.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,14 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     The relation (file listing and footer schema) is resolved once per
     session and path and then reused; every query still plans its own
-    pruned, filtered scan from it.
+    pruned, filtered scan from it. A stopped session's entries are dropped.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _READS.get(key)
-    if df is None:
+    per_session = _READS.setdefault(spark, {})
+    df = per_session.get(path)
+    if df is None or spark.sparkContext._jsc.sc().isStopped():
         df = spark.read.parquet(path)
-        _READS[key] = df
+        per_session[path] = df
     return df
 
 
