@@ -71,3 +71,17 @@ def test_stream_dedup_equals_batch(spark):
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(50)]
     out = ST.survey_ingest(spark, _events(spark, rows))
     assert sorted(r.event_id for r in out.collect()) == list(range(50))
+
+
+def test_save_all_commits_once_with_continuing_ids(spark):
+    root = scratch_path(spark, "t-save")
+    a = spark.createDataFrame([("x",), ("y",)], "name string")
+    b = spark.createDataFrame([("u",)], "title string")
+    K.save_all(spark, {"a": a, "b": b}, root, 1)
+    K.save_all(spark, {"a": a, "b": b}, root, 2)
+    ids = sorted(r.id for r in K.read_log(spark, f"{root}/a", f"{root}/_manifest").collect())
+    assert ids == [1, 2, 3, 4]
+    # a third batch written but never published stays invisible in every log
+    K.write_batch(K.with_dense_ids(a, 5), f"{root}/a", 3)
+    assert K.read_log(spark, f"{root}/a", f"{root}/_manifest").count() == 4
+    assert K.read_log(spark, f"{root}/b", f"{root}/_manifest").count() == 2

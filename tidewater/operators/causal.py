@@ -139,12 +139,11 @@ def propensity_scores(impl: DataFrame, support: DataFrame, max_iter: int = 25) -
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    from tidewater.session import checkpoint_root
+    from tidewater.session import materialize
 
-    checkpoint_root(impl.sparkSession)
-    data = (org_features(impl).join(treated_orgs(support), "org_id", "left")
-            .withColumn("label", F.coalesce(F.col("treated"), F.lit(False)).cast("double"))
-            .checkpoint())
+    data = materialize(org_features(impl).join(treated_orgs(support), "org_id", "left")
+                       .withColumn("label", F.coalesce(F.col("treated"), F.lit(False))
+                                   .cast("double")), "psm-features")
     stages = [StringIndexer(inputCols=["industry_name", "region_name"],
                             outputCols=["ind_ix", "reg_ix"], handleInvalid="keep"),
               OneHotEncoder(inputCols=["ind_ix", "reg_ix"], outputCols=["ind_oh", "reg_oh"]),

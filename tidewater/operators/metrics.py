@@ -337,18 +337,18 @@ def exact_quantile(df: DataFrame, group: str, value: str, p: float) -> DataFrame
     holding a third of them spans many partitions. Each row's rank inside
     its group is the count of its group's rows in earlier partitions (from a
     small (partition, group) count table) plus its position in its own
-    partition. The sorted rows are checkpointed first so the positions are
+    partition. The sorted rows are written once to the shared folder (see
+    ``materialize``) so the positions are
     stable. Only the (at most two) rows at the target ranks are kept.
     """
-    from tidewater.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
-    srt = (df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
-           .filter(F.col("g").isNotNull() & F.col("v").isNotNull())
-           .orderBy("g", "v")
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id())
-           .checkpoint())
+    from tidewater.session import materialize
+
+    srt = materialize(
+        df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
+        .filter(F.col("g").isNotNull() & F.col("v").isNotNull())
+        .orderBy("g", "v")
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_mid", F.monotonically_increasing_id()), "quantile-sorted")
     parts = srt.groupBy("_pid", "g").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.partitionBy("g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     parts = (parts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))

@@ -203,7 +203,7 @@ def kpi_cards_text(spark, sf_dir):
 # -- sources and extraction (S1-S13), table maintenance (K2-K7) -------------------------------
 
 from tidewater.functions.columns import parse_money as _parse_money  # noqa: E402
-from tidewater.session import checkpoint_root, scratch_path  # noqa: E402
+from tidewater.session import materialize, scratch_path  # noqa: E402
 from tidewater.sources import extract as X  # noqa: E402
 from tidewater.sources import pages as PG  # noqa: E402
 from tidewater.sources import tables as K  # noqa: E402
@@ -441,8 +441,7 @@ def _synth_inputs(spark, sf_dir):
     # The panel (units x months) feeds the Gram, the gaps and the placebo
     # runs: checkpoint it once to the shared folder instead of recomputing
     # the joins behind it for every consumer.
-    checkpoint_root(spark)
-    panel = C.unit_panel(impl, "region_name").checkpoint()
+    panel = materialize(C.unit_panel(impl, "region_name"), "synth-panel")
     # The unit list is the nation dimension (25 rows): bounded metadata.
     units = sorted(r[0] for r in table(spark, sf_dir, "nation").select("n_name").collect())
     # Treated unit: the region with the most supported orgs (ties by name);
@@ -473,8 +472,9 @@ def synth_gap(spark, sf_dir):
 @query
 def synth_placebo(spark, sf_dir):
     _, panel, units, treated = _synth_inputs(spark, sf_dir)
-    w = C.synth_weights(C.gram(panel, units, P.DID_DATE), units).checkpoint()
-    gaps = C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), units).checkpoint()
+    w = materialize(C.synth_weights(C.gram(panel, units, P.DID_DATE), units), "synth-weights")
+    gaps = materialize(C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), units),
+                       "synth-gaps")
     return C.placebo_test(gaps, P.DID_DATE, treated)
 
 
@@ -496,3 +496,29 @@ def stream_upsert(spark, sf_dir):
 @query
 def stream_daily_kpi(spark, sf_dir):
     return ST.daily_kpi(spark, table(spark, sf_dir, "events"))
+
+
+@query
+def refresh_commit(spark, sf_dir):
+    """The refresh run twice: all four sources extracted, stored with dense
+    surrogate ids and one commit per refresh; per table the committed rows
+    and their id range."""
+    root = scratch_path(spark, "refresh")
+    loaders = {
+        "real_solutions": (lambda: _solutions(spark, sf_dir), K.SCHEMAS["real_solutions"]),
+        "real_procurements": (lambda: _links(spark, sf_dir), K.SCHEMAS["real_procurements"]),
+        "real_indicators": (lambda: _indicators(spark, sf_dir), K.SCHEMAS["real_indicators"]),
+        "real_support_measures": (lambda: _cards(spark, sf_dir), K.SCHEMAS["real_support_measures"]),
+    }
+    for batch in (1, 2):
+        datasets, _ = K.collect_sources(spark, loaders)
+        K.save_all(spark, datasets, root, batch)
+    parts = [K.read_log(spark, f"{root}/{name}", f"{root}/_manifest")
+             .agg(F.count(F.lit(1)).cast("long").alias("n_rows"),
+                  F.min("id").cast("long").alias("min_id"), F.max("id").cast("long").alias("max_id"))
+             .select(F.lit(name).alias("table_name"), "n_rows", "min_id", "max_id")
+             for name in loaders]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -155,6 +155,7 @@ select date_month, impl_count, domestic_share_pct from kpi"""
     quality_sql(q)
     causal_sql(q)
     stream_sql(q)
+    refresh_sql(q)
     return q
 
 
@@ -574,3 +575,12 @@ def stream_sql(q: dict[str, str]) -> None:
 select cast(ts as date) "day", event_type, count(*) n_events,
        cast(sum(cast(value as decimal(12,2))) as double) value_sum
 from events group by 1, 2"""
+
+
+def refresh_sql(q: dict[str, str]) -> None:
+    parts = []
+    for name, key in (("real_solutions", "extract_table_rows"), ("real_procurements", "extract_links"),
+                      ("real_indicators", "json_indicators"), ("real_support_measures", "extract_fields")):
+        parts.append(f"select '{name}' table_name, cast(2 * count(*) as bigint) n_rows, "
+                     f"cast(1 as bigint) min_id, cast(2 * count(*) as bigint) max_id from ({q[key]}) t")
+    q["refresh_commit"] = "\nunion all\n".join(parts)

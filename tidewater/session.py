@@ -69,3 +69,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as parquet under the shared
+    checkpoint folder and reading it back.
+
+    Unlike ``Dataset.checkpoint()`` on an uncached input, which computes the
+    data once to count it and again to write it, this computes it once. The
+    files live on the cluster's shared storage, so a lost executor does not
+    lose them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -75,10 +75,14 @@ def with_dense_ids(df: DataFrame, start: int = 1, id_col: str = "id") -> DataFra
 
     Per-partition row counts (one small row per partition) give each
     partition its offset; a row's id is offset + its position in the
-    partition. ``df`` must be deterministic (it is read twice).
+    partition. The tagged rows are checkpointed to the shared folder, so the
+    input is computed once and the ids are stable even if it is not
+    deterministic or an executor is lost.
     """
-    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_mid", F.monotonically_increasing_id())
+    from tidewater.session import materialize
+
+    tagged = materialize(df.withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_mid", F.monotonically_increasing_id()), "dense-ids")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     # ``counts`` has one row per input partition: its size is bounded by the
     # partition count, which is what makes the broadcast and window safe.
@@ -90,26 +94,64 @@ def with_dense_ids(df: DataFrame, start: int = 1, id_col: str = "id") -> DataFra
         "_pid", "_mid", "_off", "_m0")
 
 
-def append_batch(df: DataFrame, log_path: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, log_path: str, batch_id: int) -> None:
     """Write one refresh as ``batch_id=N`` (overwrite: a replay is idempotent),
-    stamped with ``created_at``, then publish it in the manifest."""
-    spark = df.sparkSession
+    stamped with ``created_at``; not visible until published."""
     (df.withColumn("created_at", F.current_timestamp())
        .withColumn("batch_id", F.lit(batch_id).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("batch_id").parquet(f"{log_path}/data"))
+
+
+def publish(spark: SparkSession, manifest_path: str, batch_id: int) -> None:
+    """Commit: one manifest row, written after all data of the batch."""
     (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"),
                            F.current_timestamp().alias("committed_at"))
-     .write.mode("append").parquet(f"{log_path}/_manifest"))
+     .write.mode("append").parquet(manifest_path))
+
+
+def append_batch(df: DataFrame, log_path: str, batch_id: int) -> None:
+    """Write one batch of one log and publish it in that log's manifest."""
+    write_batch(df, log_path, batch_id)
+    publish(df.sparkSession, f"{log_path}/_manifest", batch_id)
 
 
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """Committed rows only: the data semi-joined with the manifest."""
+def read_log(spark: SparkSession, log_path: str, manifest_path: str | None = None) -> DataFrame:
+    """Committed rows only: the data semi-joined with the manifest (the log's
+    own, or a shared one when several logs commit together)."""
     data = spark.read.parquet(f"{log_path}/data")
-    manifest = spark.read.parquet(f"{log_path}/_manifest").select("batch_id").distinct()
+    manifest = spark.read.parquet(manifest_path or f"{log_path}/_manifest").select(
+        "batch_id").distinct()
     return data.join(manifest, "batch_id", "left_semi")
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def save_all(spark: SparkSession, datasets: dict[str, DataFrame], root: str, batch_id: int) -> None:
+    """Store one refresh of several sources with a single commit (K2 + K7).
+
+    Each dataset gets dense surrogate ids continuing after the largest
+    committed id of its log, and is written as ``root/<name>/data/batch_id=N``.
+    Only after every dataset is written does one manifest row at
+    ``root/_manifest`` publish the batch for all of them; a failure before
+    that leaves the batch invisible to readers.
+    """
+    manifest = f"{root}/_manifest"
+    committed = _path_exists(spark, manifest)
+    for name, df in datasets.items():
+        log = f"{root}/{name}"
+        start = 1
+        if committed and _path_exists(spark, f"{log}/data"):
+            last = read_log(spark, log, manifest).agg(F.max("id")).first()[0]
+            start = (last or 0) + 1
+        write_batch(with_dense_ids(df.drop("id") if "id" in df.columns else df, start), log, batch_id)
+    publish(spark, manifest, batch_id)
+
+
 def latest_per_key(log: DataFrame, keys: list[str], order_cols=("created_at", "batch_id")) -> DataFrame:
     """The newest row per natural key (upsert semantics as a view).
 
