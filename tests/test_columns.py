@@ -66,3 +66,59 @@ def test_nan_read_as_null(spark):
     from pyspark.sql import functions as F
     row = df.agg(F.sum("x").alias("s"), F.count("x").alias("n"), F.avg("x").alias("m")).first()
     assert (row.s, row.n, row.m) == (1.0, 1, 1.0)
+
+
+def _python_money(text):
+    """The reference's semantics: text stripped, ASCII spaces and the rouble
+    sign dropped, comma to point, float(); anything unparsable is 0."""
+    t = text.strip().replace(" ", "").replace("₽", "").replace(",", ".")
+    try:
+        return float(t)
+    except ValueError:
+        return 0.0
+
+
+def test_parse_money_compat_equals_python_float_on_random_texts(spark):
+    import math
+    import random
+    rnd = random.Random(17)
+    alphabet = list("0123456789") * 4 + list("., _-+eE₽") + [NBSP, "\t", "f", "n", "a", "i", "x"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 8))) for _ in range(400)]
+    texts += ["nan", "-inf", "Infinity", "1_000.5", "1__0", "_1", "1_", "1e_5", " 12 ", "1 234,5 ₽"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r.i: r.v for r in df.select("i", C.parse_money("t", compat=True).alias("v")).collect()}
+    for i, t in enumerate(texts):
+        want = _python_money(t)
+        if math.isnan(want):
+            assert math.isnan(got[i]), t
+        else:
+            assert got[i] == want, (t, got[i], want)
+
+
+def _python_text(fragment):
+    """get_text(strip=True) on a fragment: text nodes (entities decoded),
+    each stripped, empty ones dropped, joined with no separator."""
+    from html.parser import HTMLParser
+
+    parts = []
+
+    class P(HTMLParser):
+        def handle_data(self, data):
+            parts.append(data)
+
+    p = P(convert_charrefs=True)
+    p.feed(fragment)
+    p.close()
+    return "".join(t.strip() for t in parts if t.strip())
+
+
+def test_html_text_equals_stdlib_parser_on_random_fragments(spark):
+    import random
+    rnd = random.Random(23)
+    tokens = ["<b>", "</b>", "<i>", "</i>", '<span class="x">', "</span>", "<br>", "A", "bc", " ",
+              "  ", "\n", "&amp;", "&lt;", "&gt;", "&quot;", "&nbsp;", "1 2", "д", "&amp;lt;"]
+    frags = ["".join(rnd.choice(tokens) for _ in range(rnd.randint(0, 10))) for _ in range(300)]
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(frags)], "i long, f string")
+    got = {r.i: r.v for r in df.select("i", C.html_text("f").alias("v")).collect()}
+    for i, f in enumerate(frags):
+        assert got[i] == _python_text(f), (f, got[i], _python_text(f))

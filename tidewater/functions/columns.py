@@ -145,7 +145,7 @@ def html_text(c) -> Column:
     """Text of an HTML fragment: each text node trimmed, joined with no
     separator, entities decoded (what ``get_text(strip=True)`` gives)."""
     s = col_of(c)
-    s = F.replace(s, F.lit("&nbsp;"), F.lit(" "))
+    s = F.replace(s, F.lit("&nbsp;"), F.lit("\u00a0"))
     s = F.regexp_replace(s, r"(?s)<!--.*?-->", "")
     s = F.regexp_replace(s, rf"{PY_SPACE}*<[^>]*>{PY_SPACE}*", "")
     s = F.regexp_replace(s, _EDGE_SPACE, "")
