@@ -24,7 +24,7 @@ def test_guarded_pct_zero_denominator(spark):
     assert [r[0] for r in df.select(C.guarded_pct("a", "b")).collect()] == [0.0, 25.0]
 
 
-NBSP = " "
+NBSP = "\u00a0"
 
 
 @pytest.mark.parametrize("text,default,compat", [
