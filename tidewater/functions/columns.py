@@ -92,11 +92,16 @@ _PY_FLOAT = (
     r"(?:[eE][+-]?" + _DIGITS + r")?|(?i:nan|inf|infinity))$"
 )
 # The characters Python's str.isspace() accepts, i.e. what
-# str.strip() and float() strip (an explicit class is also much faster in
-# Java than the (?U) flag).
-PY_SPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
-_UNICODE_SPACE = PY_SPACE
-_EDGE_SPACE = rf"^{PY_SPACE}+|{PY_SPACE}+$"
+# str.strip() and float() strip.
+PY_SPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                  + "".join(chr(c) for c in range(0x2000, 0x200B))
+                  + "\u2028\u2029\u202f\u205f\u3000")
+PY_SPACE = "[" + "".join(f"\\u{ord(c):04x}" for c in PY_SPACE_CHARS) + "]"
+
+
+def strip_py_space(c) -> Column:
+    """``str.strip()``: trims exactly Python's whitespace set (no regex)."""
+    return F.btrim(col_of(c), F.lit(PY_SPACE_CHARS))
 
 
 def parse_money(c, compat: bool = False) -> Column:
@@ -106,28 +111,27 @@ def parse_money(c, compat: bool = False) -> Column:
     then calls float(). ``compat=True`` keeps its behaviour on interior
     no-break spaces (the value becomes 0); the default removes every
     Unicode space first, so ``1 234,50`` with a no-break space parses.
+    Only the final grammar test is a regular expression.
     """
     s = F.coalesce(col_of(c), F.lit(""))
     if compat:
         s = F.replace(s, F.lit(MONEY_DROP_ASCII_SPACE), F.lit(""))
-        s = F.replace(s, F.lit(MONEY_CURRENCY_SIGN), F.lit(""))
-        s = F.replace(s, F.lit(MONEY_DECIMAL_COMMA), F.lit("."))
-        # float() strips surrounding (Unicode) whitespace itself
-        s = F.regexp_replace(s, _EDGE_SPACE, "")
     else:
-        s = F.regexp_replace(s, _UNICODE_SPACE, "")
-        s = F.replace(s, F.lit(MONEY_CURRENCY_SIGN), F.lit(""))
-        s = F.replace(s, F.lit(MONEY_DECIMAL_COMMA), F.lit("."))
-    parsed = F.when(s.rlike(_PY_FLOAT), F.regexp_replace(s, "_", "").try_cast("double"))
+        s = F.translate(s, PY_SPACE_CHARS, "")
+    s = F.replace(s, F.lit(MONEY_CURRENCY_SIGN), F.lit(""))
+    s = F.replace(s, F.lit(MONEY_DECIMAL_COMMA), F.lit("."))
+    if compat:
+        s = strip_py_space(s)  # float() strips surrounding whitespace itself
+    parsed = F.when(s.rlike(_PY_FLOAT), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
     return F.coalesce(parsed, F.lit(0.0))
 
 
 def money_parse_ok(c, compat: bool = False) -> Column:
     """True when the text is present and parses (for parse-rate checks)."""
     s = col_of(c)
-    t = F.regexp_replace(s, _UNICODE_SPACE if not compat else " ", "")
+    t = F.replace(s, F.lit(" "), F.lit("")) if compat else F.translate(s, PY_SPACE_CHARS, "")
     t = F.replace(F.replace(t, F.lit(MONEY_CURRENCY_SIGN), F.lit("")), F.lit(","), F.lit("."))
-    t = F.regexp_replace(t, _EDGE_SPACE, "")
+    t = strip_py_space(t)
     return s.isNotNull() & t.rlike(_PY_FLOAT)
 
 
@@ -143,12 +147,15 @@ HTML_ENTITIES = [
 
 def html_text(c) -> Column:
     """Text of an HTML fragment: each text node trimmed, joined with no
-    separator, entities decoded (what ``get_text(strip=True)`` gives)."""
+    separator, entities decoded (what ``get_text(strip=True)`` gives).
+
+    The regular expressions run only on fragments that hold markup; plain
+    text takes the literal-replace path."""
     s = col_of(c)
     s = F.replace(s, F.lit("&nbsp;"), F.lit("\u00a0"))
-    s = F.regexp_replace(s, r"(?s)<!--.*?-->", "")
-    s = F.regexp_replace(s, rf"{PY_SPACE}*<[^>]*>{PY_SPACE}*", "")
-    s = F.regexp_replace(s, _EDGE_SPACE, "")
+    s = F.when(s.contains("<!--"), F.regexp_replace(s, r"(?s)<!--.*?-->", "")).otherwise(s)
+    s = F.when(s.contains("<"), F.regexp_replace(s, rf"{PY_SPACE}*<[^>]*>{PY_SPACE}*", "")).otherwise(s)
+    s = strip_py_space(s)
     for ent, ch in HTML_ENTITIES:
         s = F.replace(s, F.lit(ent), F.lit(ch))
     return F.replace(s, F.lit("&amp;"), F.lit("&"))
@@ -156,9 +163,12 @@ def html_text(c) -> Column:
 
 def strip_scripts(c) -> Column:
     """Remove script/style bodies and comments, whose text may hold tags
-    (one alternation, so the page is scanned once)."""
-    return F.regexp_replace(col_of(c),
-                            r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", "")
+    (one alternation, run only on pages that have any of them)."""
+    s = col_of(c)
+    low = F.lower(s)
+    has = low.contains("<script") | low.contains("<style") | s.contains("<!--")
+    return F.when(has, F.regexp_replace(
+        s, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", "")).otherwise(s)
 
 
 def class_block_regex(tag: str, css_class: str) -> str:

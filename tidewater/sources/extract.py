@@ -82,31 +82,42 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     parts = F.split(html, opening)
     blocks = F.slice(parts, 2, 1 << 30)
     out = pages.select("page_id", F.posexplode(blocks).alias("block_no", "b"))
-    # One scan of the block collects every element that has a class
-    # attribute; each field is then picked from that short list, so the block
-    # is not rescanned once per field.
-    elems = F.regexp_extract_all(F.col("b"), F.lit(CLASSED_ELEMENT), F.lit(0))
-    out = out.select("page_id", "block_no", elems.alias("_els"))
-
-    def pick(tag: str, cls: str) -> Column:
-        head = rf'(?is)^<{tag}\b[^>]*\bclass\s*=\s*"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"'
-        return F.try_element_at(F.filter(F.col("_els"), lambda e: e.rlike(head)), F.lit(1))
-
-    def text(tag: str, cls: str) -> Column:
-        el = F.coalesce(pick(tag, cls), F.lit(""))
-        return html_text(F.regexp_extract(el, class_block_regex(tag, cls), 1))
+    # The block's class-bearing elements as parallel arrays (tag, class,
+    # inner HTML); each field is then a lookup of (tag, class) in them, with
+    # no per-field rescan of the block and no interpreted lambda.
+    def grab(i: int) -> Column:
+        return F.regexp_extract_all(F.col("b"), F.lit(CLASSED_ELEMENT), F.lit(i))
+    out = out.select("page_id", "block_no",
+                     # tag names lower-cased without a lambda (keeps codegen)
+                     F.arrays_zip(F.split(F.lower(F.array_join(grab(1), ",")), ",").alias("t"),
+                                  grab(2).alias("c")).alias("_keys"),
+                     grab(3).alias("_inner"))
+
+    def text(tag: str, cls: str) -> tuple[Column, Column]:
+        pos = F.array_position("_keys", F.struct(F.lit(tag).alias("t"), F.lit(cls).alias("c")))
+        found = pos > 0
+        inner = F.when(found, F.element_at("_inner", pos.cast("int"))).otherwise(F.lit(""))
+        return found, html_text(inner)
 
     req_name, req_tag, req_class = required
-    out = out.filter(pick(req_tag, req_class).isNotNull())
-    cols: list[Column] = [text(req_tag, req_class).alias(req_name)]
+    req_found, req_text = text(req_tag, req_class)
+    cols: list[Column] = [req_text.alias(req_name)]
     for name, (tag, cls) in fields.items():
-        t = text(tag, cls)
+        _, t = text(tag, cls)
         cols.append(parse_money(t).alias(name) if name in money_fields else t.alias(name))
-    return out.select("page_id", "block_no", *cols, F.lit(source).alias("source"))
-
-
-# An element with a class attribute, up to the first closing tag of its name.
-CLASSED_ELEMENT = r'(?is)<([a-z][a-z0-9]*)\b[^>]*\bclass\s*=\s*"[^"]*"[^>]*>.*?</\1\s*>'
+    # Blocks without the required element are skipped by exploding a NULL
+    # array (no output row): unlike a filter, the optimizer cannot push this
+    # below the lookup arrays and evaluate them a second time.
+    kept = F.when(req_found, F.array(F.struct(*cols)))
+    return (out.select("page_id", "block_no", F.explode(kept).alias("_r"))
+            .select("page_id", "block_no", "_r.*", F.lit(source).alias("source")))
+
+
+# An element with a class attribute, up to the first closing tag of its name:
+# groups are the tag name, the class attribute and the inner HTML. Lookups
+# match the whole class attribute (single-class elements, as on these pages).
+CLASSED_ELEMENT = (r'(?is)<([a-z][a-z0-9]*)\b[^>]*?\bclass\s*=\s*"\s*([^"]*?)\s*"[^>]*>(.*?)'
+                   r"</\1\s*>")
 
 
 SUPPORT_CARD = dict(
