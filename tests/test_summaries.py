@@ -84,3 +84,22 @@ def test_cube_totals_equal_leaf_sums(spark, sf_dir):
     assert (grand.impl_count, grand.domestic_count) == (leaves[0], leaves[1])
     by_ind = cube.filter("gid = 3").agg(F.sum("impl_count")).first()[0]
     assert by_ind == grand.impl_count
+
+
+def test_materialized_fact_gives_the_same_answers(spark, sf_dir):
+    from tidewater.plans import catalog
+    from tidewater.session import scratch_path
+    from tidewater.sources import testdata as TD
+    base = sorted(catalog.regional_summary(spark, sf_dir).collect())
+    path = scratch_path(spark, "fact")
+    TD.write_fact(spark, sf_dir, path)
+    spark.conf.set(TD.FACT_CONF, path)
+    try:
+        impl = catalog._recent_impl(spark, sf_dir)
+        plan = impl._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [IsNotNull(date_go_live), GreaterThan(date_go_live" in plan
+        assert sorted(catalog.regional_summary(spark, sf_dir).collect()) == base
+        src = TD._implementations_from_sources(spark, sf_dir).schema
+        assert [(f.name, f.dataType) for f in impl.schema] == [(f.name, f.dataType) for f in src]
+    finally:
+        spark.conf.unset(TD.FACT_CONF)

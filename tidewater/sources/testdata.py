@@ -49,7 +49,35 @@ def _nation_region(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     )
 
 
+# Session setting naming a materialized rollout fact (see ``write_fact``);
+# when unset the view is computed from the source tables.
+FACT_CONF = "spark.tidewater.implementations.path"
+
+
+def write_fact(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None) -> None:
+    """Materialize the rollout view once for many queries.
+
+    Rows are range-partitioned and sorted by go-live date, so each parquet
+    row group covers a narrow date range and the window filters
+    (``date_go_live > cutoff``) skip most row groups from their min/max
+    statistics. Point ``FACT_CONF`` at ``path`` to use it.
+    """
+    df = _implementations_from_sources(spark, sf_dir)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, "date_go_live").sortWithinPartitions("date_go_live", "org_id")
+       .write.mode("overwrite").parquet(path))
+
+
 def implementations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollout view: the materialized fact when ``FACT_CONF`` names one,
+    else computed from the source tables."""
+    path = spark.conf.get(FACT_CONF, None)
+    if path:
+        return spark.read.parquet(path)
+    return _implementations_from_sources(spark, sf_dir)
+
+
+def _implementations_from_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per rollout (a lineitem), with org, vendor and money columns.
 
     The fact joins each dimension as a plain scan, nation last. The planner
