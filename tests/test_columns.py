@@ -122,3 +122,12 @@ def test_html_text_equals_stdlib_parser_on_random_fragments(spark):
     got = {r.i: r.v for r in df.select("i", C.html_text("f").alias("v")).collect()}
     for i, f in enumerate(frags):
         assert got[i] == _python_text(f), (f, got[i], _python_text(f))
+
+
+def test_to_date_lenient(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("2024-01-05",), ("05.01.2024",), ("junk",), (None,)], "t string")
+    got = [r[0] for r in df.select(C.to_date_lenient("t")).collect()]
+    assert got == [dt.date(2024, 1, 5), None, None, None]
+    got = [r[0] for r in df.select(C.to_date_lenient("t", "dd.MM.yyyy")).collect()]
+    assert got == [None, dt.date(2024, 1, 5), None, None]

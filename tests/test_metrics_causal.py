@@ -111,3 +111,12 @@ def test_exact_quantile_matches_numpy_on_skewed_groups(spark):
     got = {r.g: r.q for r in M.exact_quantile(df, "g", "v", 0.5).collect()}
     for g in got:
         assert got[g] == float(np.quantile([v for k, v in rows if k == g], 0.5))
+
+
+def test_star_dims_are_distinct_natural_keys(spark, sf_dir):
+    from tidewater.sources.testdata import implementations
+    impl = implementations(spark, sf_dir)
+    dims = M.star_dims(impl)
+    assert dims["dim_vendor"].count() == impl.select("vendor_name").distinct().count()
+    fact = M.star_fact(impl)
+    assert fact.join(dims["dim_org"], ["org_id", "region_name", "industry_name"], "left_anti").count() == 0

@@ -85,3 +85,10 @@ def test_save_all_commits_once_with_continuing_ids(spark):
     K.write_batch(K.with_dense_ids(a, 5), f"{root}/a", 3)
     assert K.read_log(spark, f"{root}/a", f"{root}/_manifest").count() == 4
     assert K.read_log(spark, f"{root}/b", f"{root}/_manifest").count() == 2
+
+
+def test_write_if_empty_loads_once(spark):
+    path = scratch_path(spark, "t-once")
+    K.write_if_empty(spark.createDataFrame([(1,)], "x long"), path)
+    K.write_if_empty(spark.createDataFrame([(2,), (3,)], "x long"), path)
+    assert [r.x for r in spark.read.parquet(path).collect()] == [1]
