@@ -62,3 +62,12 @@ def test_same_result_under_other_partition_counts(spark, sf_dir, key):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and "region_name" in df.columns
+
+
+def test_flagship_scan_is_pruned_and_filtered(spark, sf_dir):
+    plan = QUERIES["regional_summary"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "l_orderkey" in line)
+    assert "GreaterThanOrEqual(l_shipdate" in scan
+    read = scan[scan.index("ReadSchema: struct<") + len("ReadSchema: struct<"):]
+    cols = {c.split(":")[0] for c in read.rstrip(">").split(",")}
+    assert cols == {"l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"}

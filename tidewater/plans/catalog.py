@@ -11,9 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.columns import month_end, year_of
+from tidewater.functions.columns import parse_money as _parse_money
+from tidewater.operators import causal as C
+from tidewater.operators import metrics as M
+from tidewater.operators import quality as DQ
 from tidewater.operators import summaries as S
 from tidewater.plans import params as P
-from tidewater.sources.testdata import implementations, support_measures
+from tidewater.session import materialize, scratch_path
+from tidewater.sources import extract as X
+from tidewater.sources import pages as PG
+from tidewater.sources import tables as K
+from tidewater.sources.testdata import implementations, support_measures, table
+from tidewater.streaming import ingest as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -102,8 +112,6 @@ def trend_series(spark, sf_dir):
 
 # -- declared metrics (M1-M15) ---------------------------------------------------------
 
-from tidewater.functions.columns import month_end, year_of  # noqa: E402
-from tidewater.operators import metrics as M  # noqa: E402
 
 
 def _impl_support(spark, sf_dir):
@@ -202,12 +210,6 @@ def kpi_cards_text(spark, sf_dir):
 
 # -- sources and extraction (S1-S13), table maintenance (K2-K7) -------------------------------
 
-from tidewater.functions.columns import parse_money as _parse_money  # noqa: E402
-from tidewater.session import materialize, scratch_path  # noqa: E402
-from tidewater.sources import extract as X  # noqa: E402
-from tidewater.sources import pages as PG  # noqa: E402
-from tidewater.sources import tables as K  # noqa: E402
-from tidewater.sources.testdata import table  # noqa: E402
 
 
 def _solutions(spark, sf_dir):
@@ -317,7 +319,6 @@ def latest_per_key(spark, sf_dir):
 
 # -- data quality (Q1-Q6) -----------------------------------------------------------------
 
-from tidewater.operators import quality as DQ  # noqa: E402
 
 
 @query
@@ -387,7 +388,6 @@ def avg_check(spark, sf_dir):
 
 # -- causal estimators (C1-C7) --------------------------------------------------------------
 
-from tidewater.operators import causal as C  # noqa: E402
 
 
 def _match_units(spark, sf_dir):
@@ -480,7 +480,6 @@ def synth_placebo(spark, sf_dir):
 
 # -- streaming (T1-T3) ------------------------------------------------------------------------
 
-from tidewater.streaming import ingest as ST  # noqa: E402
 
 
 @query
