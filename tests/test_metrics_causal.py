@@ -120,3 +120,34 @@ def test_star_dims_are_distinct_natural_keys(spark, sf_dir):
     assert dims["dim_vendor"].count() == impl.select("vendor_name").distinct().count()
     fact = M.star_fact(impl)
     assert fact.join(dims["dim_org"], ["org_id", "region_name", "industry_name"], "left_anti").count() == 0
+
+
+def test_roi_exact_when_one_org_holds_a_third_of_rows(spark, sf_dir):
+    from pyspark.sql.window import Window
+    from tidewater.sources.testdata import implementations, support_measures
+    hot = 3
+    impl = implementations(spark, sf_dir).withColumn(
+        "org_id", F.when(F.xxhash64("impl_key") % 3 == 0, F.lit(hot)).otherwise(F.col("org_id")))
+    sup = support_measures(spark, sf_dir)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = sorted(tuple(r) for r in M.roi_by_program(impl, sup, 36).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    # brute force: every (rollout, earlier grant of its org) pair, latest grant wins
+    pairs = (impl.join(sup, (impl.org_id == sup.recipient_id) & (sup.approval_date <= impl.date_go_live))
+             .withColumn("rn", F.row_number().over(Window.partitionBy("impl_key").orderBy(
+                 F.col("approval_date").desc(), F.col("support_id").asc())))
+             .filter("rn = 1")
+             .filter(F.col("date_go_live") <= F.add_months("approval_date", 36)))
+    eff = {r[0]: (r[1], r[2]) for r in pairs.groupBy("program_name").agg(
+        F.sum(F.col("revenue_uplift") + F.col("opex_delta")), F.count(F.lit(1))).collect()}
+    for program, grant_total, effect_total, n, _ in got:
+        e, c = eff.get(program, (0, 0))
+        assert (effect_total, n) == (float(e), c)
