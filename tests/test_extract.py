@@ -75,3 +75,16 @@ def test_recent_rows_strict(spark):
                                "id long, t string").withColumn("t", F.to_timestamp_ntz("t"))
     rows = X.recent_rows(df, "t", "2024-01-30", 7).collect()
     assert [r.id for r in rows] == [2]
+
+
+def test_procurement_blocks(spark):
+    html = ('<div class="search-registry-entry-block"><a class="registry-entry__body-title" '
+            'href="/epz/1">WMS <b>supply</b></a><div class="registry-entry__body-value">ACME</div>'
+            '<div class="price-block__value">1 500,00 ₽</div><div class="data-block__value">01.02.2024'
+            '</div></div>'
+            '<div class="search-registry-entry-block"><div class="registry-entry__body-value">x</div></div>'
+            '<div class="search-registry-entry-block"><a class="registry-entry__body-title">T</a></div>')
+    rows = X.procurement_blocks(pages(spark, html), "https://h").orderBy("block_no").collect()
+    assert [(r.title, r.url, r.customer, r.price, r.publication_date, r.source) for r in rows] == [
+        ("WMSsupply", "https://h/epz/1", "ACME", 1500.0, "01.02.2024", "eis"),
+        ("T", "https://h", "", 0.0, "", "eis")]

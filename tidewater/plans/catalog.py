@@ -521,3 +521,9 @@ def refresh_commit(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query
+def procurement_blocks(spark, sf_dir):
+    pages = PG.procurement_pages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    return X.procurement_blocks(pages, P.PROCUREMENT_BASE_URL)

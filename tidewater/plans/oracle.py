@@ -156,6 +156,7 @@ select date_month, impl_count, domestic_share_pct from kpi"""
     causal_sql(q)
     stream_sql(q)
     refresh_sql(q)
+    procurement_sql(q)
     return q
 
 
@@ -584,3 +585,13 @@ def refresh_sql(q: dict[str, str]) -> None:
         parts.append(f"select '{name}' table_name, cast(2 * count(*) as bigint) n_rows, "
                      f"cast(1 as bigint) min_id, cast(2 * count(*) as bigint) max_id from ({q[key]}) t")
     q["refresh_commit"] = "\nunion all\n".join(parts)
+
+
+def procurement_sql(q: dict[str, str]) -> None:
+    q["procurement_blocks"] = f"""
+select o_orderkey page_id, cast(0 as integer) block_no, 'Order' || o_orderpriority title,
+       case when o_orderstatus <> 'P' then c_name else '' end customer,
+       cast(cast(o_totalprice as decimal(14,2)) as double) price,
+       strftime(o_orderdate, '%d.%m.%Y') publication_date, 'eis' source,
+       '{P.PROCUREMENT_BASE_URL}/epz/order/' || cast(o_orderkey as varchar) url
+from orders join customer on o_custkey = c_custkey"""

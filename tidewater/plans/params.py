@@ -48,3 +48,6 @@ FRESH_DAY_DAYS = 1
 # Matching: caliper on the score and sub-buckets per caliper width.
 CALIPER = 25.0
 CALIPER_SPLITS = 4
+
+# Base URL prefixed to relative procurement links (a neutral placeholder).
+PROCUREMENT_BASE_URL = "https://procurement.example"

@@ -69,11 +69,14 @@ def extract_links(pages: DataFrame, base_url: str = "", source: str = "pages") -
 
 def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str, str, str],
                    fields: dict[str, tuple[str, str]], money_fields: tuple[str, ...] = (),
-                   source: str = SOURCE_TAGS["support"]) -> DataFrame:
+                   source: str = SOURCE_TAGS["support"],
+                   attr_fields: dict[str, tuple[str, str, str, str]] | None = None) -> DataFrame:
     """Each ``block`` element (tag, class) of a page becomes a row when its
     ``required`` (name, tag, class) element exists; other fields are the text
     of their first (tag, class) element or ''; money fields are parsed (0
-    when absent or unparsable)."""
+    when absent or unparsable); ``attr_fields`` name -> (tag, class,
+    attribute, prefix) take ``prefix + attribute value`` of the first such
+    element ('' value when the attribute is missing)."""
     html = strip_scripts(F.col("html"))
     # A block runs from its opening tag to the next block's opening tag, so
     # nested elements of the same tag inside it do not cut it short.
@@ -87,7 +90,8 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     # no per-field rescan of the block and no interpreted lambda.
     def grab(i: int) -> Column:
         return F.regexp_extract_all(F.col("b"), F.lit(CLASSED_ELEMENT), F.lit(i))
-    out = out.select("page_id", "block_no",
+    heads = grab(0) if attr_fields else F.array()
+    out = out.select("page_id", "block_no", heads.alias("_whole"),
                      # tag names lower-cased without a lambda (keeps codegen)
                      F.arrays_zip(F.split(F.lower(F.array_join(grab(1), ",")), ",").alias("t"),
                                   grab(2).alias("c")).alias("_keys"),
@@ -105,6 +109,12 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     for name, (tag, cls) in fields.items():
         _, t = text(tag, cls)
         cols.append(parse_money(t).alias(name) if name in money_fields else t.alias(name))
+    for name, (tag, cls, attr, prefix) in (attr_fields or {}).items():
+        pos = F.array_position("_keys", F.struct(F.lit(tag).alias("t"), F.lit(cls).alias("c")))
+        whole = F.when(pos > 0, F.element_at("_whole", pos.cast("int"))).otherwise(F.lit(""))
+        opening = F.regexp_extract(whole, r"(?is)^<[^>]*>", 0)
+        value = F.regexp_extract(opening, rf'(?is)\b{attr}\s*=\s*"([^"]*)"', 1)
+        cols.append(F.concat(F.lit(prefix), value).alias(name))
     # Blocks without the required element are skipped by exploding a NULL
     # array (no output row): unlike a filter, the optimizer cannot push this
     # below the lookup arrays and evaluate them a second time.
@@ -131,6 +141,25 @@ SUPPORT_CARD = dict(
 )
 
 
+# The selectors of a procurement search result block.
+PROCUREMENT_BLOCK = dict(
+    block=("div", "search-registry-entry-block"),
+    required=("title", "a", "registry-entry__body-title"),
+    fields={"customer": ("div", "registry-entry__body-value"),
+            "price": ("div", "price-block__value"),
+            "publication_date": ("div", "data-block__value")},
+    money_fields=("price",),
+    source=SOURCE_TAGS["procurement"],
+)
+
+
+def procurement_blocks(pages: DataFrame, base_url: str) -> DataFrame:
+    """S2 on result pages: title, ``base_url + href`` of the title link,
+    customer ('' when absent), price (0 when absent), publication date."""
+    return extract_fields(pages, **PROCUREMENT_BLOCK,
+                          attr_fields={"url": ("a", "registry-entry__body-title", "href", base_url)})
+
+
 # -- S6: JSON payload -> rows -----------------------------------------------------------------
 
 def json_indicators(payloads: DataFrame, indicator_col: str = "indicator",

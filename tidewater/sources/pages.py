@@ -91,3 +91,21 @@ def money_strings(lineitem: DataFrame) -> DataFrame:
             .otherwise(F.replace(plain, F.lit(","), F.lit(""))))
     return lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
                            p.alias("price"), text.alias("money_text"))
+
+
+def procurement_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """One search-result page per order with one entry block: linked title,
+    customer (left out for status 'P'), price text and publication date."""
+    o = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    cust = F.when(F.col("o_orderstatus") != "P",
+                  F.concat(F.lit('<div class="registry-entry__body-value">'), F.col("c_name"),
+                           F.lit("</div>"))).otherwise(F.lit(""))
+    html = F.concat(
+        F.lit('<html><body><div class="search-registry-entry-block">'
+              '<a class="registry-entry__body-title" href="/epz/order/'),
+        F.col("o_orderkey").cast("string"), F.lit('">Order <b>'), F.col("o_orderpriority"),
+        F.lit("</b></a>"), cust,
+        F.lit('<div class="price-block__value">'), money_text(F.col("o_totalprice")), F.lit("</div>"),
+        F.lit('<div class="data-block__value">'), F.date_format("o_orderdate", "dd.MM.yyyy"),
+        F.lit("</div></div></body></html>"))
+    return o.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
