@@ -232,6 +232,11 @@ def _links(spark, sf_dir):
     return X.extract_links(table(spark, sf_dir, "pages"))
 
 
+def _procurements(spark, sf_dir):
+    pages = PG.procurement_pages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    return X.procurement_blocks(pages, P.PROCUREMENT_BASE_URL)
+
+
 def _hits(spark, sf_dir):
     return X.keyword_hits(table(spark, sf_dir, "documents"), P.SEARCH_KEYWORDS)
 
@@ -283,7 +288,7 @@ def recent_rows(spark, sf_dir):
 def source_counts(spark, sf_dir):
     loaders = {
         "solutions": (lambda: _solutions(spark, sf_dir), K.SCHEMAS["real_solutions"]),
-        "procurements": (lambda: _links(spark, sf_dir), K.SCHEMAS["real_procurements"]),
+        "procurements": (lambda: _procurements(spark, sf_dir), K.SCHEMAS["real_procurements"]),
         "indicators": (lambda: _indicators(spark, sf_dir), K.SCHEMAS["real_indicators"]),
         "support_measures": (lambda: _cards(spark, sf_dir), K.SCHEMAS["real_support_measures"]),
     }
@@ -505,7 +510,7 @@ def refresh_commit(spark, sf_dir):
     root = scratch_path(spark, "refresh")
     loaders = {
         "real_solutions": (lambda: _solutions(spark, sf_dir), K.SCHEMAS["real_solutions"]),
-        "real_procurements": (lambda: _links(spark, sf_dir), K.SCHEMAS["real_procurements"]),
+        "real_procurements": (lambda: _procurements(spark, sf_dir), K.SCHEMAS["real_procurements"]),
         "real_indicators": (lambda: _indicators(spark, sf_dir), K.SCHEMAS["real_indicators"]),
         "real_support_measures": (lambda: _cards(spark, sf_dir), K.SCHEMAS["real_support_measures"]),
     }
@@ -525,5 +530,4 @@ def refresh_commit(spark, sf_dir):
 
 @query
 def procurement_blocks(spark, sf_dir):
-    pages = PG.procurement_pages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
-    return X.procurement_blocks(pages, P.PROCUREMENT_BASE_URL)
+    return _procurements(spark, sf_dir)

@@ -155,8 +155,8 @@ select date_month, impl_count, domestic_share_pct from kpi"""
     quality_sql(q)
     causal_sql(q)
     stream_sql(q)
-    refresh_sql(q)
     procurement_sql(q)
+    refresh_sql(q)
     return q
 
 
@@ -401,7 +401,8 @@ select * from events where ts > timestamp '{P.EVENTS_AS_OF}' - interval {P.EVENT
     q["source_counts"] = (
         "select 'solutions' source, cast(count(*) as bigint) n_rows, 'ok' status from supplier "
         "join nation on s_nationkey = n_nationkey\nunion all\n"
-        "select 'procurements', count(*), 'ok' from (" + q["extract_links"] + ") l\nunion all\n"
+        "select 'procurements', count(*), 'ok' from orders join customer on o_custkey = c_custkey\n"
+        "union all\n"
         "select 'indicators', count(*), 'ok' from (" + q["json_indicators"] + ") i\nunion all\n"
         "select 'support_measures', count(*), 'ok' from (" + q["extract_fields"] + ") f")
     q["csv_roundtrip"] = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate from orders"
@@ -580,7 +581,7 @@ from events group by 1, 2"""
 
 def refresh_sql(q: dict[str, str]) -> None:
     parts = []
-    for name, key in (("real_solutions", "extract_table_rows"), ("real_procurements", "extract_links"),
+    for name, key in (("real_solutions", "extract_table_rows"), ("real_procurements", "procurement_blocks"),
                       ("real_indicators", "json_indicators"), ("real_support_measures", "extract_fields")):
         parts.append(f"select '{name}' table_name, cast(2 * count(*) as bigint) n_rows, "
                      f"cast(1 as bigint) min_id, cast(2 * count(*) as bigint) max_id from ({q[key]}) t")
