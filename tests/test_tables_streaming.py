@@ -92,3 +92,14 @@ def test_write_if_empty_loads_once(spark):
     K.write_if_empty(spark.createDataFrame([(1,)], "x long"), path)
     K.write_if_empty(spark.createDataFrame([(2,), (3,)], "x long"), path)
     assert [r.x for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_create_tables_if_absent(spark):
+    root = scratch_path(spark, "t-create")
+    paths = K.create_tables(spark, root)
+    assert len(paths) == 7
+    assert spark.read.parquet(f"{root}/kpi_monthly").schema.fieldNames()[:3] == ["date_month", "year", "quarter"]
+    spark.createDataFrame([(1, "x")], "id long, name string").write.mode("overwrite").parquet(
+        f"{root}/real_solutions_extra")
+    K.create_tables(spark, root)  # second call: nothing replaced
+    assert spark.read.parquet(f"{root}/real_solutions").count() == 0

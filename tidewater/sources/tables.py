@@ -169,6 +169,14 @@ def write_if_empty(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
+def create_tables(spark: SparkSession, root: str) -> list[str]:
+    """K1: every table of ``SCHEMAS`` as an empty parquet table under
+    ``root``, created only where absent (existing data is left alone)."""
+    for name, schema in SCHEMAS.items():
+        write_if_empty(empty(spark, schema), f"{root}/{name}")
+    return [f"{root}/{name}" for name in SCHEMAS]
+
+
 # -- S11: collect all sources ------------------------------------------------------------------
 
 def collect_sources(spark: SparkSession,
