@@ -151,3 +151,39 @@ def test_roi_exact_when_one_org_holds_a_third_of_rows(spark, sf_dir):
     for program, grant_total, effect_total, n, _ in got:
         e, c = eff.get(program, (0, 0))
         assert (effect_total, n) == (float(e), c)
+
+
+def test_did_clustered_se_matches_numpy(spark):
+    rnd = np.random.default_rng(9)
+    rows = []
+    for org in range(40):
+        treated = org < 15
+        for _ in range(int(rnd.integers(2, 12))):
+            post = bool(rnd.random() < 0.5)
+            rows.append((f"i{len(rows)}", org, dt.date(2020, 6, 1) if post else dt.date(2019, 6, 1),
+                         int(rnd.integers(-50, 50)), treated))
+    impl = spark.createDataFrame(
+        [(k, o, d, lt, Decimal(1), Decimal(0), Decimal(1), 0.0, Decimal(0))
+         for k, o, d, lt, _ in rows],
+        "impl_key string, org_id long, date_go_live date, lead_time_delta long, "
+        "revenue_uplift decimal(18,4), opex_delta decimal(18,4), capex decimal(12,2), "
+        "inv_turnover_delta double, penalties_delta decimal(18,4)")
+    sup = spark.createDataFrame([(o, "p", o, Decimal(1), dt.date(2019, 1, 1)) for o in range(15)], SUP)
+    got = {r.outcome: r for r in C.did_clustered_se(impl, sup, "2020-01-01").collect()}["lead_time_delta"]
+    y = np.array([r[3] for r in rows], float)
+    t = np.array([r[4] for r in rows])
+    p = np.array([r[2] >= dt.date(2020, 1, 1) for r in rows])
+    org = np.array([r[1] for r in rows])
+    psi = np.zeros(len(rows))
+    effect = 0.0
+    for tv in (True, False):
+        for pv in (True, False):
+            m = (t == tv) & (p == pv)
+            sgn = 1.0 if tv == pv else -1.0
+            effect += sgn * y[m].mean()
+            psi[m] = sgn * (y[m] - y[m].mean()) / m.sum()
+    s = np.array([psi[org == g].sum() for g in np.unique(org)])
+    g = len(s)
+    assert abs(got.effect - effect) < 1e-9
+    assert abs(got.se_cluster - np.sqrt((s ** 2).sum() * g / (g - 1))) < 1e-9
+    assert got.n_clusters == g

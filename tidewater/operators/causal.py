@@ -114,6 +114,40 @@ def did_effect(cells: DataFrame) -> DataFrame:
                       F.sqrt("_v").alias("se"))
 
 
+def did_clustered_se(impl: DataFrame, support: DataFrame, event_date: str,
+                     cluster: str = "org_id") -> DataFrame:
+    """DID effect with a cluster-robust standard error (clusters = orgs).
+
+    The estimate is a signed sum of four cell means, so each rollout's
+    influence is sign(cell) * (y - cell mean) / cell size. Influences are
+    summed per org (map-side combined, so a hot org shrinks before the
+    shuffle), squared and summed; G / (G - 1) corrects for G clusters. The
+    cell table is 16 rows (4 outcomes x 4 cells), a proven bound for the
+    broadcast.
+    """
+    outs = did_outcomes()
+    flagged = (impl.join(treated_orgs(support), "org_id", "left")
+               .select(F.col(cluster).alias("cluster"),
+                       F.coalesce("treated", F.lit(False)).alias("treated"),
+                       (F.col("date_go_live") >= F.to_date(F.lit(event_date))).alias("post"),
+                       *[c.cast("double").alias(n) for n, c in outs.items()]))
+    long = (flagged.unpivot(["cluster", "treated", "post"], list(outs), "outcome", "y")
+            .filter(F.col("y").isNotNull()))
+    cells = long.groupBy("outcome", "treated", "post").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("y").alias("m"))
+    sign = (F.when(F.col("treated") == F.col("post"), F.lit(1.0)).otherwise(F.lit(-1.0)))
+    psi = (long.join(F.broadcast(cells), ["outcome", "treated", "post"])
+           .select("outcome", "cluster", (sign * (F.col("y") - F.col("m")) / F.col("n")).alias("psi")))
+    per_cluster = psi.groupBy("outcome", "cluster").agg(F.sum("psi").alias("s"))
+    g = F.count(F.lit(1))
+    se = per_cluster.groupBy("outcome").agg(
+        g.cast("long").alias("n_clusters"),
+        F.when(g > 1, F.sqrt(F.sum(F.col("s") * F.col("s")) * g / (g - 1))).alias("se_cluster"))
+    eff = (cells.groupBy("outcome").agg(F.sum(F.when(F.col("treated") == F.col("post"), F.col("m"))
+                                                .otherwise(-F.col("m"))).alias("effect")))
+    return eff.join(se, "outcome")
+
+
 # -- C2: propensity scores ----------------------------------------------------------------------
 
 def org_features(impl: DataFrame) -> DataFrame:

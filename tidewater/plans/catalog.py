@@ -531,3 +531,8 @@ def refresh_commit(spark, sf_dir):
 @query
 def procurement_blocks(spark, sf_dir):
     return _procurements(spark, sf_dir)
+
+
+@query
+def did_clustered_se(spark, sf_dir):
+    return C.did_clustered_se(*_impl_support(spark, sf_dir), P.DID_DATE)
