@@ -48,7 +48,7 @@ def test_query_matches_oracle(spark, sf_dir, duck, key):
 
 
 @pytest.mark.parametrize("key", ["regional_summary", "roi_3y", "psm_match", "keyword_top10",
-                                 "avg_check"])
+                                 "avg_check", "did_cells", "kpi_monthly_full", "support_coverage"])
 def test_same_result_under_other_partition_counts(spark, sf_dir, key):
     base = canon(QUERIES[key](spark, sf_dir).collect())
     for n in (1, 64):
