@@ -88,3 +88,11 @@ def test_procurement_blocks(spark):
     assert [(r.title, r.url, r.customer, r.price, r.publication_date, r.source) for r in rows] == [
         ("WMSsupply", "https://h/epz/1", "ACME", 1500.0, "01.02.2024", "eis"),
         ("T", "https://h", "", 0.0, "", "eis")]
+
+
+def test_scope_filter_equality_and_membership(spark):
+    df = spark.createDataFrame([("scm", "active", "44"), ("scm", "closed", "223"), ("it", "active", "615")],
+                               "category string, status string, law string")
+    rows = X.scope_filter(df, category="scm", law=["44", "223", "615", "94"]).collect()
+    assert sorted(r.status for r in rows) == ["active", "closed"]
+    assert X.scope_filter(df, status="active", category="it").count() == 1
