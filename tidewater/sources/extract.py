@@ -90,8 +90,9 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     # no per-field rescan of the block and no interpreted lambda.
     def grab(i: int) -> Column:
         return F.regexp_extract_all(F.col("b"), F.lit(CLASSED_ELEMENT), F.lit(i))
-    heads = grab(0) if attr_fields else F.array()
-    out = out.select("page_id", "block_no", heads.alias("_whole"),
+    attrs = [F.regexp_extract(F.col("b"), _attr_regex(tag, cls, attr), 1).alias(f"_attr_{name}")
+             for name, (tag, cls, attr, _) in (attr_fields or {}).items()]
+    out = out.select("page_id", "block_no", *attrs,
                      # tag names lower-cased without a lambda (keeps codegen)
                      F.arrays_zip(F.split(F.lower(F.array_join(grab(1), ",")), ",").alias("t"),
                                   grab(2).alias("c")).alias("_keys"),
@@ -109,12 +110,8 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     for name, (tag, cls) in fields.items():
         _, t = text(tag, cls)
         cols.append(parse_money(t).alias(name) if name in money_fields else t.alias(name))
-    for name, (tag, cls, attr, prefix) in (attr_fields or {}).items():
-        pos = F.array_position("_keys", F.struct(F.lit(tag).alias("t"), F.lit(cls).alias("c")))
-        whole = F.when(pos > 0, F.element_at("_whole", pos.cast("int"))).otherwise(F.lit(""))
-        opening = F.regexp_extract(whole, r"(?is)^<[^>]*>", 0)
-        value = F.regexp_extract(opening, rf'(?is)\b{attr}\s*=\s*"([^"]*)"', 1)
-        cols.append(F.concat(F.lit(prefix), value).alias(name))
+    for name, (_, _, _, prefix) in (attr_fields or {}).items():
+        cols.append(F.concat(F.lit(prefix), F.col(f"_attr_{name}")).alias(name))
     # Blocks without the required element are skipped by exploding a NULL
     # array (no output row): unlike a filter, the optimizer cannot push this
     # below the lookup arrays and evaluate them a second time.
@@ -123,6 +120,13 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
             .select("page_id", "block_no", "_r.*", F.lit(source).alias("source")))
 
 
+def _attr_regex(tag: str, cls: str, attr: str) -> str:
+    """The ``attr`` value of the first ``tag.cls`` opening tag (the class may
+    come before or after the attribute); one match, so the scan stops early."""
+    return (rf'(?is)<{tag}\b(?=[^>]*\bclass\s*=\s*"(?:[^"]*\s)?{cls}(?:\s[^"]*)?")'
+            rf'[^>]*\b{attr}\s*=\s*"([^"]*)"')
+
+
 # An element with a class attribute, up to the first closing tag of its name:
 # groups are the tag name, the class attribute and the inner HTML. Lookups
 # match the whole class attribute (single-class elements, as on these pages).
