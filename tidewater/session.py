@@ -1,14 +1,15 @@
 """Session construction and the shared scratch location.
 
 Jobs that must cut lineage or write intermediate tables use the folder the
-cluster names in ``spark.checkpoint.dir``. Only when that is unset (local
-tests) do we create one, so a cluster run never falls back to a
-machine-local directory.
+cluster names in ``spark.checkpoint.dir``. Only on a local master, where
+driver and executors share one disk, is a folder created when that is unset;
+on a cluster the missing setting is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,17 +29,21 @@ RUNTIME_CONF = {
 def build_session(master: str | None = None, app: str = "tidewater",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    """A session with the runtime settings above. Master and partition count
+    are the caller's (or spark-submit's) choice and are set only if given."""
     builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
     )
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory",
+                                     os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -47,28 +52,28 @@ def build_session(master: str | None = None, app: str = "tidewater",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
+    """The shared folder for checkpoints and intermediate tables, as the
+    session names it (scheme included).
 
-    Read from the session; set a private one only where none is configured
-    (local tests, single-machine runs).
+    A private one is made only on a plain local master; elsewhere executors
+    would not see it, so an unset folder raises.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        sc.setCheckpointDir(root)
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share "
+                               f"(master is {sc.master})")
+        root = "file://" + tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one job run."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):
@@ -83,4 +88,4 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
