@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +45,3 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFram
     rest = tagged.filter(F.col("_hot").isNull()).drop("_hot").join(cold, key, "left")
     return done.unionByName(rest.select(done.columns))
 
-
-def set_worker_threads() -> None:
-    """One thread per Python worker: Spark already runs a worker per core."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    os.environ["RAYON_NUM_THREADS"] = "1"

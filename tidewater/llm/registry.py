@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup
+from tidewater.llm import decontaminate, exact_dedup, packing
 
 QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_packing": packing.op6_packing,
     "op7_decontamination": decontaminate.op7_decontamination,
 }
 
