@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +47,32 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFram
     rest = tagged.filter(F.col("_hot").isNull()).drop("_hot").join(cold, key, "left")
     return done.unionByName(rest.select(done.columns))
 
+
+def may_contain(ids: DataFrame, col: str, max_bits: int = 1 << 28):
+    """A test for one 64-bit id that is false only for ids not in ``ids``: a
+    bit array of about 16 bits an id, at most 32 MB whatever the table's size,
+    broadcast to the tasks."""
+    spark = ids.sparkSession
+    bits = min(max_bits, max(1 << 16, 1 << (16 * max(1, ids.count()) - 1).bit_length()))
+    block = min(bits, 1 << 20)
+    slot = F.pmod(F.xxhash64(col), F.lit(bits))
+    by_block = ids.select(slot.alias("slot")).distinct().groupBy((F.col("slot") / block).cast("long").alias("block")).agg(
+        F.collect_list((F.col("slot") % block).cast("int")).alias("slots"))
+    packed = np.zeros(bits // 8, np.uint8)
+    for row in by_block.toLocalIterator():
+        dense = np.zeros(block, bool)
+        dense[row.slots] = True
+        packed[row.block * (block // 8):(row.block + 1) * (block // 8)] = np.packbits(dense)
+    shared = spark.sparkContext.broadcast(packed.tobytes())
+
+    def test(value: int) -> bool:
+        at = xxhash64_long(value) % bits
+        return bool(shared.value[at >> 3] >> (7 - (at & 7)) & 1)
+
+    return test
+
+
+def xxhash64_long(value: int, seed: int = 42) -> int:
+    """Spark's xxhash64 of one long, as a signed number."""
+    h = xxhash.xxh64_intdigest(value.to_bytes(8, "little", signed=True), seed)
+    return h - (1 << 64) if h >> 63 else h

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup, packing
+from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing
 
 QUERIES = {
+    "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
     "op7_decontamination": decontaminate.op7_decontamination,
