@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing
+from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, warc
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
+    "op2_warc": warc.op2_warc,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
     "op7_decontamination": decontaminate.op7_decontamination,
 }
 
 ORACLES = {
+    "op2_warc": warc.OP2_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
 }
