@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, warc
+from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
     "op7_decontamination": decontaminate.op7_decontamination,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 
 ORACLES = {
