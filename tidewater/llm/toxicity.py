@@ -47,6 +47,8 @@ ENTRIES = 96
 LEXICON_VOTERS = 16
 PREFIXES = (4, 5)
 LEAST_SUPPORT = 5
+# Entries far less telling than the best one are chance finds in copied texts.
+LEAST_GAIN = 0.2
 WORD = re.compile(r"[^\W\d_]+")
 
 # Pattern voters: a name and what of a text's form it votes on.
@@ -123,8 +125,9 @@ def mined_entries(sample: DataFrame, text_col: str) -> list[str]:
     gain = 2 * (F.col("pos") * F.log((F.col("pos") + 0.5) / (p * rate + 0.5))
                 + F.col("neg") * F.log((F.col("neg") + 0.5) / (n * rate + 0.5)))
     telling = counted.filter((F.col("entry") != "") & (F.col("pos") >= LEAST_SUPPORT)
-                             & (F.col("pos") / p > 4 * (F.col("neg") + 1) / n))
-    return [r.entry for r in telling.orderBy(gain.desc(), "entry").limit(ENTRIES).collect()]
+                             & (F.col("pos") / p > 15 * (F.col("neg") + 1) / n))
+    best = telling.select("entry", gain.alias("gain")).orderBy(F.desc("gain"), "entry").limit(ENTRIES).collect()
+    return [r.entry for r in best if r.gain >= LEAST_GAIN * best[0].gain]
 
 
 def label_model(moments: np.ndarray, rows: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,16 +156,26 @@ def label_model(moments: np.ndarray, rows: int, share: float) -> tuple[np.ndarra
     return mean, accuracy, within
 
 
-def posterior_weights(mean: np.ndarray, accuracy: np.ndarray, within: np.ndarray,
-                      share: float) -> tuple[np.ndarray, float]:
-    """Log-odds of being toxic as a linear function of the votes, for classes
-    that differ by ``accuracy`` and share the covariance ``within``."""
-    ridge = 0.02 * np.diag(np.maximum(np.diag(within), 1e-4)) + 1e-4 * np.eye(len(mean))
-    values, vectors = np.linalg.eigh(within)
-    safe = (vectors * np.maximum(values, 1e-5)) @ vectors.T + ridge
-    w = np.linalg.solve(safe, accuracy)
-    middle = mean + (0.5 - share) * accuracy  # half-way between the class means
-    return w, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)) - w @ middle)
+def posteriors(votes: np.ndarray, mean: np.ndarray, accuracy: np.ndarray, within: np.ndarray,
+               share: float) -> np.ndarray:
+    """The probability of being toxic of each row of ``votes``. A voter that
+    finds nothing abstains. One that votes gives the log of its hit rates in
+    the two classes, divided by one plus its correlations (within a class) with
+    the other voters of that row, so that voters that repeat each other count
+    about once. Rows without a vote share the toxic mass that is left."""
+    hit = np.clip(mean + (1 - share) * accuracy, 1e-4, 1)
+    miss = np.clip(mean - share * accuracy, 2e-3, 1)
+    scale = np.sqrt(np.maximum(np.diag(within), 1e-9))
+    together = np.clip(within / np.outer(scale, scale), 0, 1)
+    np.fill_diagonal(together, 0)
+    evidence = votes * np.log(hit / miss) / (1 + votes * (votes @ together))
+    prior = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
+    p = 1 / (1 + np.exp(-np.clip(prior + evidence.sum(axis=1), -30, 30)))
+    none = ~votes[:, :LEXICON_VOTERS].any(axis=1)
+    if none.any():
+        rest = (share * len(votes) - p[~none].sum()) / none.sum()
+        p[none] = np.clip(rest, 1e-3, share / 2)
+    return p
 
 
 def fit_linear(rows: list[list[int]], target: np.ndarray, size: int) -> tuple[np.ndarray, float]:
@@ -247,12 +260,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     mean, model.accuracies, within = label_model(matrix, n, share)
     scale = np.sqrt(np.maximum(np.diag(within), 1e-9))
     model.correlations = within / np.outer(scale, scale)
-    w, bias = posterior_weights(mean, model.accuracies, within, share)
     drawn = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CLASSIFIER_ROWS).select("features").collect()
     rows = [list(r.features) for r in drawn]
-    logit = np.array([w @ model.votes(f) for f in rows]) + bias
-    posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    model.weights, model.bias = fit_linear(rows, posterior, len(model.entries) + len(PATTERNS))
+    target = posteriors(np.array([model.votes(f) for f in rows]), mean, model.accuracies, within, share)
+    model.weights, model.bias = fit_linear(rows, target, len(model.entries) + len(PATTERNS))
     return model
 
 
