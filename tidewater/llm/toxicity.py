@@ -44,7 +44,7 @@ HELD_OUT_OF = 5
 SAMPLE_PER_CLASS = 10_000
 CLASSIFIER_ROWS = 40_000
 ENTRIES = 96
-LEXICON_VOTERS = 16
+MOST_VOTERS = 16
 PREFIXES = (4, 5)
 LEAST_SUPPORT = 5
 # Entries far less telling than the best one are chance finds in copied texts.
@@ -80,6 +80,12 @@ class ToxicityModel:
     accuracies: np.ndarray = field(default_factory=lambda: np.zeros(0))
     correlations: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
+    @property
+    def lexicons(self) -> int:
+        """Lexicon voters: two entries or more each, dealt by rank, so that
+        voters overlap in what they find and their agreement can be measured."""
+        return max(1, min(MOST_VOTERS, len(self.entries) // 2))
+
     def features(self, text: str | None) -> list[int]:
         """Numbers of the entries (from 0) and then patterns that hold."""
         text = text or ""
@@ -95,9 +101,9 @@ class ToxicityModel:
 
     def votes(self, features: list[int]) -> np.ndarray:
         """One vote per lexicon voter (entries dealt by rank), then per pattern."""
-        v = np.zeros(LEXICON_VOTERS + len(PATTERNS))
+        v = np.zeros(self.lexicons + len(PATTERNS))
         for f in features:
-            v[f % LEXICON_VOTERS if f < len(self.entries) else LEXICON_VOTERS + f - len(self.entries)] = 1
+            v[f % self.lexicons if f < len(self.entries) else self.lexicons + f - len(self.entries)] = 1
         return v
 
 
@@ -126,11 +132,17 @@ def mined_entries(sample: DataFrame, text_col: str) -> list[str]:
                 + F.col("neg") * F.log((F.col("neg") + 0.5) / (n * rate + 0.5)))
     telling = counted.filter((F.col("entry") != "") & (F.col("pos") >= LEAST_SUPPORT)
                              & (F.col("pos") / p > 15 * (F.col("neg") + 1) / n))
-    best = telling.select("entry", gain.alias("gain")).orderBy(F.desc("gain"), "entry").limit(ENTRIES).collect()
-    return [r.entry for r in best if r.gain >= LEAST_GAIN * best[0].gain]
+    best = telling.select("entry", "pos", gain.alias("gain")).orderBy(F.desc("gain"), "entry").limit(ENTRIES).collect()
+    return [r.entry for r in best if r.gain >= LEAST_GAIN * best[0].gain
+            and not any(_covers(r.entry, o.entry) and o.pos >= 0.9 * r.pos for o in best)]
+
+
+def _covers(a: str, b: str) -> bool:
+    """Entry a is a beginning that holds wherever b does."""
+    return a != b and a[0] == "p" and b[2:].startswith(a[2:]) and (b[0] == "w" or len(b) > len(a))
 
 
-def label_model(moments: np.ndarray, rows: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(moments: np.ndarray, rows: int, share: float, lexicons: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """From the sums of votes (diagonal) and of pairs of votes: the votes'
     means, each voter's accuracy and the covariances within a class.
 
@@ -144,7 +156,7 @@ def label_model(moments: np.ndarray, rows: int, share: float) -> tuple[np.ndarra
     off = ~np.eye(len(mean), dtype=bool)
     live = np.diag(cov) > 1e-9
     weight = off & np.outer(live, live)
-    b = np.where(live & (np.arange(len(mean)) < LEXICON_VOTERS), 0.5, 0.0)  # lexicons lean to toxic
+    b = np.where(live & (np.arange(len(mean)) < lexicons), 0.5, 0.0)  # lexicons lean to toxic
     w = weight.astype(float)
     for _ in range(200):
         top, low = (w * corr) @ b, w @ (b * b)
@@ -157,7 +169,7 @@ def label_model(moments: np.ndarray, rows: int, share: float) -> tuple[np.ndarra
 
 
 def posteriors(votes: np.ndarray, mean: np.ndarray, accuracy: np.ndarray, within: np.ndarray,
-               share: float) -> np.ndarray:
+               share: float, lexicons: int) -> np.ndarray:
     """The probability of being toxic of each row of ``votes``. A voter that
     finds nothing abstains. One that votes gives the log of its hit rates in
     the two classes, divided by one plus its correlations (within a class) with
@@ -171,7 +183,7 @@ def posteriors(votes: np.ndarray, mean: np.ndarray, accuracy: np.ndarray, within
     evidence = votes * np.log(hit / miss) / (1 + votes * (votes @ together))
     prior = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
     p = 1 / (1 + np.exp(-np.clip(prior + evidence.sum(axis=1), -30, 30)))
-    none = ~votes[:, :LEXICON_VOTERS].any(axis=1)
+    none = ~votes[:, :lexicons].any(axis=1)
     if none.any():
         rest = (share * len(votes) - p[~none].sum()) / none.sum()
         p[none] = np.clip(rest, 1e-3, share / 2)
@@ -236,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return model
     found = materialize(with_features(docs, model, id_col, text_col).filter(~F.col("held_out")), "toxicity-features")
     shared = spark.sparkContext.broadcast(model)
-    size = LEXICON_VOTERS + len(PATTERNS)
+    size = model.lexicons + len(PATTERNS)
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros((size, size)), 0
@@ -257,12 +269,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             matrix[r.i, r.j] = r.s
     if not n:
         return model
-    mean, model.accuracies, within = label_model(matrix, n, share)
+    mean, model.accuracies, within = label_model(matrix, n, share, model.lexicons)
     scale = np.sqrt(np.maximum(np.diag(within), 1e-9))
     model.correlations = within / np.outer(scale, scale)
     drawn = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CLASSIFIER_ROWS).select("features").collect()
     rows = [list(r.features) for r in drawn]
-    target = posteriors(np.array([model.votes(f) for f in rows]), mean, model.accuracies, within, share)
+    target = posteriors(np.array([model.votes(f) for f in rows]), mean, model.accuracies, within, share,
+                        model.lexicons)
     model.weights, model.bias = fit_linear(rows, target, len(model.entries) + len(PATTERNS))
     return model
 
