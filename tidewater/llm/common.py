@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,31 +47,42 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFram
     return done.unionByName(rest.select(done.columns))
 
 
-def may_contain(ids: DataFrame, col: str, max_bits: int = 1 << 28):
-    """A test for one 64-bit id that is false only for ids not in ``ids``: a
-    bit array of about 16 bits an id, at most 32 MB whatever the table's size,
-    broadcast to the tasks."""
-    spark = ids.sparkSession
-    bits = min(max_bits, max(1 << 16, 1 << (16 * max(1, ids.count()) - 1).bit_length()))
-    block = min(bits, 1 << 20)
-    slot = F.pmod(F.xxhash64(col), F.lit(bits))
-    by_block = ids.select(slot.alias("slot")).distinct().groupBy((F.col("slot") / block).cast("long").alias("block")).agg(
-        F.collect_list((F.col("slot") % block).cast("int")).alias("slots"))
-    packed = np.zeros(bits // 8, np.uint8)
-    for row in by_block.toLocalIterator():
-        dense = np.zeros(block, bool)
-        dense[row.slots] = True
-        packed[row.block * (block // 8):(row.block + 1) * (block // 8)] = np.packbits(dense)
-    shared = spark.sparkContext.broadcast(packed.tobytes())
-
-    def test(value: int) -> bool:
-        at = xxhash64_long(value) % bits
-        return bool(shared.value[at >> 3] >> (7 - (at & 7)) & 1)
-
-    return test
-
-
-def xxhash64_long(value: int, seed: int = 42) -> int:
-    """Spark's xxhash64 of one long, as a signed number."""
-    h = xxhash.xxh64_intdigest(value.to_bytes(8, "little", signed=True), seed)
-    return h - (1 << 64) if h >> 63 else h
+class IdFilter:
+    """A test of 64-bit ids that is false only for ids not in the table it was
+    made from: a bit array of about 16 bits an id, at most ``max_bits`` (32 MB)
+    whatever the table's size, broadcast to the tasks."""
+
+    def __init__(self, ids: DataFrame, col: str, max_bits: int = 1 << 28):
+        self.bits = min(max_bits, max(1 << 16, 1 << (16 * max(1, ids.count()) - 1).bit_length()))
+        block = min(self.bits, 1 << 20)
+        slot = F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(self.bits))
+        blocks = ids.select(slot.alias("slot")).distinct().groupBy((F.col("slot") / block).cast("long").alias("block")).agg(
+            F.collect_list((F.col("slot") % block).cast("int")).alias("slots"))
+        packed = np.zeros(self.bits // 8, np.uint8)
+        for row in blocks.toLocalIterator():
+            dense = np.zeros(block, bool)
+            dense[row.slots] = True
+            packed[row.block * (block // 8):(row.block + 1) * (block // 8)] = np.packbits(dense)
+        self.shared = ids.sparkSession.sparkContext.broadcast(packed.tobytes())
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        at = xxhash64(ids) & np.uint64(self.bits - 1)
+        packed = np.frombuffer(self.shared.value, np.uint8)
+        return (packed[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+
+
+def xxhash64(ids: np.ndarray, seed: int | np.ndarray = 42) -> np.ndarray:
+    """Spark's xxhash64 of longs, as unsigned numbers (fixed constants of the
+    published algorithm). A second column takes the first one's hash as seed."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (
+        11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+
+    def turn(x, n):
+        return x << np.uint64(n) | x >> np.uint64(64 - n)
+
+    value = np.asarray(ids).astype(np.int64).view(np.uint64)
+    h = np.asarray(seed, np.uint64) + p5 + np.uint64(8) ^ turn(value * p2, 31) * p1
+    h = turn(h, 27) * p1 + p4
+    h = (h ^ h >> np.uint64(33)) * p2
+    h = (h ^ h >> np.uint64(29)) * p3
+    return h ^ h >> np.uint64(32)

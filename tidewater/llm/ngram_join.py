@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import attach, may_contain, table
+from tidewater.llm.common import IdFilter, attach, table
 from tidewater.llm.graph import components
 from tidewater.llm.shingles import shingle_sets
 from tidewater.session import materialize
@@ -87,7 +87,7 @@ def token_arrays(docs: DataFrame, id_col: str, text_col: str, words: int, prefix
     all. With ``wanted`` (set_id), rows whose set is certainly not in it are
     left out."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    keep = may_contain(wanted, "set_id") if wanted is not None else None
+    keep = IdFilter(wanted, "set_id") if wanted is not None else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -96,7 +96,7 @@ def token_arrays(docs: DataFrame, id_col: str, text_col: str, words: int, prefix
                 if not len(s):
                     continue
                 key = _set_id(s)
-                if keep is None or keep(key):
+                if keep is None or keep(np.array([key]))[0]:
                     ids.append((doc, key))
                     rows.append((s[:prefix_length(len(s))] if prefix else s).view(np.int64))
                     size += len(rows[-1])

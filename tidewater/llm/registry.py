@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity, warc
+from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, repeats, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
     "op2_warc": warc.op2_warc,
+    "op3_suffix_dedup": repeats.op3_suffix_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
     "op7_decontamination": decontaminate.op7_decontamination,
