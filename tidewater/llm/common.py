@@ -47,6 +47,15 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFram
     return done.unionByName(rest.select(done.columns))
 
 
+def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows as (doc_id, row_no, text). Where ids are unique row_no is 0, which
+    takes next to no room when rows are shuffled; otherwise it numbers the rows
+    in the order they are read."""
+    ids = docs.groupBy(id_col).count().filter((F.col("count") > 1) | F.col(id_col).isNull()).limit(1)
+    row_no = F.monotonically_increasing_id() if ids.count() else F.lit(0).cast("long")
+    return docs.select(F.col(id_col).alias("doc_id"), row_no.alias("row_no"), F.col(text_col).alias("text"))
+
+
 class IdFilter:
     """A test of 64-bit ids that is false only for ids not in the table it was
     made from: a bit array of about 16 bits an id, at most ``max_bits`` (32 MB)

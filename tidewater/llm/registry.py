@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, repeats, toxicity, warc
+from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, pii, repeats, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
     "op7_decontamination": decontaminate.op7_decontamination,
+    "op8_pii": pii.op8_pii,
     "op9_toxicity": toxicity.op9_toxicity,
 }
 
