@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, pii, repeats, toxicity, warc
+from tidewater.llm import decontaminate, exact_dedup, language_model, ngram_join, packing, pii, repeats, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_pii": pii.op8_pii,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_context_tree": language_model.op10_context_tree,
 }
 
 ORACLES = {
