@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup, language_model, ngram_join, packing, pii, repeats, toxicity, warc
+from tidewater.llm import decontaminate, exact_dedup, language_model, ngram_join, packing, passages, pii, repeats, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
     "op2_warc": warc.op2_warc,
     "op3_suffix_dedup": repeats.op3_suffix_dedup,
+    "op4_substring_dedup": passages.op4_substring_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
     "op7_decontamination": decontaminate.op7_decontamination,
