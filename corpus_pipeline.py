@@ -1,11 +1,60 @@
-"""The corpus pipeline (stages are added below as the operators land)."""
+"""The corpus pipeline: from raw documents to packed training sequences.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+and read again as the next stage's docs. All but the last return the columns
+of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
+from tidewater.llm.common import table
+from tidewater.session import materialize
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised classifier does not reject."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first of documents with equal text, white space aside."""
+    return exact_dedup.drop_duplicates(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of Jaccard similarity 0.75 connect."""
+    return ngram_join.drop_near_duplicates(docs)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages cut out; documents that are little else go."""
+    clean = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of power-of-two length."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_jaccard", drop_near_copies),
+    ("decontamination", remove_benchmark),
+    ("packing", pack),
+]
+
+# Tokenising and the classifier have no SQL form: tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

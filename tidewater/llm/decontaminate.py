@@ -14,7 +14,8 @@ Defined results: null and wordless texts have no words and no hits; null items
 and wordless items match nothing; items with equal texts all count; a null
 item id is matched but left out of the id list; an empty benchmark leaves all
 documents clean; an empty table gives an empty one. Repeated document rows are
-judged one by one. Extra columns pass through.
+judged one by one. Extra columns pass through; one named like a result column
+is replaced by it.
 """
 
 from __future__ import annotations
@@ -183,10 +184,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     text without its hit runs; the very same text if there are none)."""
     automata = _shards(benchmark, item_col, item_text_col, window)
     shared = [docs.sparkSession.sparkContext.broadcast(a) for a in automata]
-    taken = {c.lower() for c in docs.columns}
     report = [(n, t) for n, t in REPORT if with_text or n != "clean_text"]
-    if clash := taken & {n for n, _ in report}:
-        raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {n for n, _ in report} and c != text_col])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -215,12 +214,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     exceeds ``max_run`` words or its hit share exceeds ``max_coverage``; it then
     loses its hit runs, or goes as a whole above ``drop_coverage``. All other
     documents stay as they are."""
-    seen = scan(docs, benchmark, text_col, window=window, with_text=True)
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # no input column can clash with the scan's
+    text_at = plain[docs.columns.index(text_col)]
+    seen = scan(docs.toDF(*plain), benchmark, text_at, window=window, with_text=True)
     share = F.col("n_hit") / F.greatest(F.col("n_words"), F.lit(1))
     over = (F.col("longest_hit") > max_run) | (share > max_coverage)
-    text = F.when(over, F.col("clean_text")).otherwise(F.col(text_col))
+    text = F.when(over, F.col("clean_text")).otherwise(F.col(text_at))
     kept = seen.filter(~(over & (share > drop_coverage)))
-    return kept.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return kept.select(*[(text if c == text_at else F.col(c)).alias(n) for c, n in zip(plain, docs.columns)])
 
 
 def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -155,19 +155,18 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without later copies, all columns kept. Unique texts pass
-    straight through: a row is dropped only if its id is among the dropped
-    ones, so an id that occurs with several texts is judged by each text."""
-    found = duplicate_groups(docs, id_col, text_col)
-    dropped = found.filter(~F.col("kept")).groupBy("doc_id", "text_sha256").agg(
-        F.max(F.col("doc_id").eqNullSafe(F.col("keep_id")).cast("int")).alias("_own"))
-    gone = dropped.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "_own")
-    marked = docs.withColumn("_sha256", F.sha2(normalised(text_col).cast("binary"), 256))
-    # copies that share even the id with the row that stays: all but one go
-    first = marked.join(gone, marked[id_col].eqNullSafe(gone["_id"]) & (marked["_sha256"] == gone["_sha"]), "left")
-    stay = first.filter(F.col("_own").isNull()).select(*docs.columns)
-    same = first.filter(F.col("_own") == 1).dropDuplicates([id_col, "_sha256"]).select(*docs.columns)
-    return stay.unionByName(same)
+    """``docs`` without later copies, all columns kept. Rows are dropped by id
+    and text; of copies that share even the id with the row that stays, one
+    stays. The list of dropped rows is written once, so that the planner sees
+    its size and does not shuffle the texts for a short list."""
+    gone = materialize(duplicate_groups(docs, id_col, text_col).filter(~F.col("kept")).groupBy(
+        F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_text")).agg(
+        F.max(F.col("doc_id").eqNullSafe(F.col("keep_id")).cast("int")).alias("own")), "exact-dropped")
+    marked = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"),
+                         F.sha2(normalised(text_col).cast("binary"), 256).alias("text_sha256"))
+    met = marked.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_sha256") == F.col("gone_text")), "left")
+    same = met.filter("own = 1").groupBy("id", "text_sha256").agg(F.first("doc").alias("doc"))
+    return met.filter("own is null").select("doc.*").unionByName(same.select("doc.*"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ entries; a document with several labels is toxic if one says so; null labels
 are left out; with no label of one class every score is that class share
 (0 without labels); a null id is never a training row; repeated rows are
 scored one by one; an empty table gives an empty one; extra columns pass
-through, and columns named like the results raise an error.
+through, and one named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -280,13 +280,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-RESULTS = [("held_out", T.BooleanType()), ("score", T.DoubleType()), ("predicted", T.IntegerType())]
-
-
 def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus held_out, score and predicted."""
-    if clash := {c.lower() for c in docs.columns} & {n for n, _ in RESULTS}:
-        raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -294,11 +289,19 @@ def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
             m = shared.value
             yield batch.assign(score=[m.score(m.features(t)) for t in batch[text_col]])
 
-    named = docs.withColumn("held_out", _held_out(id_col))
+    results = ("held_out", "score", "predicted")
+    named = docs.drop(*[c for c in docs.columns if c.lower() in results]).withColumn("held_out", _held_out(id_col))
     schema = T.StructType([*named.schema.fields, T.StructField("score", T.DoubleType())])
     return named.mapInPandas(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def drop_toxic(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that the model calls toxic."""
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, plain))
+    return scored(docs.toDF(*plain), model, at[id_col], at[text_col]).filter("predicted = 0").select(plain).toDF(*docs.columns)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
