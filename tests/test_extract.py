@@ -96,3 +96,10 @@ def test_scope_filter_equality_and_membership(spark):
     rows = X.scope_filter(df, category="scm", law=["44", "223", "615", "94"]).collect()
     assert sorted(r.status for r in rows) == ["active", "closed"]
     assert X.scope_filter(df, status="active", category="it").count() == 1
+
+
+def test_cards_with_wrappers_other_classes_and_quotes(spark):
+    html = ("<div class='measure-card wide'><div class=\"head\"><h3 class='big measure-title'>T</h3></div>"
+            "<div class='measure-amount'>5</div></div>")
+    r = X.extract_fields(pages(spark, html), **X.SUPPORT_CARD).collect()
+    assert [(x.title, x.amount) for x in r] == [("T", 5.0)]

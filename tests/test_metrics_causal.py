@@ -187,3 +187,26 @@ def test_did_clustered_se_matches_numpy(spark):
     assert abs(got.effect - effect) < 1e-9
     assert abs(got.se_cluster - np.sqrt((s ** 2).sum() * g / (g - 1))) < 1e-9
     assert got.n_clusters == g
+
+
+def test_simplex_reaches_the_optimum_on_collinear_donors():
+    rng = np.random.default_rng(3)
+    base = rng.poisson(40, (40, 1)) + rng.poisson(3, (40, 24))
+    y, x = base[:, 0].astype(float), base[:, 1:].astype(float)
+    g, b = x.T @ x, x.T @ y
+    w = C.simplex_weights(g, b)
+    assert C.duality_gap(g, b, w) <= 1e-6 * np.diag(g).max() and abs(w.sum() - 1) < 1e-9 and w.min() >= 0
+
+
+def test_matches_at_the_edge_of_the_caliper(spark):
+    rows = [(1, 0.075, "a", True), (2, 0.125, "a", False)]
+    df = spark.createDataFrame(rows, "id long, s double, st string, t boolean")
+    assert C.nearest_match(df, "id", "s", "st", "t", 0.05, 4).count() == 1
+
+
+def test_placebo_without_a_ratio_has_no_p_value(spark):
+    rows = [(u, dt.date(2000, m, 28), g) for u, pre, post in (("A", 0.0, 5.0), ("B", 1.0, 2.0), ("C", 2.0, 2.0))
+            for m, g in ((1, pre), (2, post))]
+    gaps = spark.createDataFrame(rows, "treated_unit string, date_month date, gap double")
+    assert {r.p_value for r in C.placebo_test(gaps, "2000-02-01", "A").collect()} == {None}
+    assert {r.p_value for r in C.placebo_test(gaps, "2000-02-01", "B").collect()} == {0.5}

@@ -93,13 +93,15 @@ def test_materialized_fact_gives_the_same_answers(spark, sf_dir):
     base = sorted(catalog.regional_summary(spark, sf_dir).collect())
     path = scratch_path(spark, "fact")
     TD.write_fact(spark, sf_dir, path)
-    spark.conf.set(TD.FACT_CONF, path)
+    spark.conf.set(TD.fact_conf(sf_dir), path)
     try:
-        impl = catalog._recent_impl(spark, sf_dir)
+        impl = catalog.S.recent(TD.implementations(spark, sf_dir), "date_go_live", catalog.P.AS_OF)
         plan = impl._jdf.queryExecution().executedPlan().toString()
         assert "PushedFilters: [IsNotNull(date_go_live), GreaterThan(date_go_live" in plan
         assert sorted(catalog.regional_summary(spark, sf_dir).collect()) == base
-        src = TD._implementations_from_sources(spark, sf_dir).schema
+        other = sf_dir.replace("sf0.001", "sf0.01")  # another source is not answered from this fact
+        assert TD.implementations(spark, other, ["capex"]).count() > 5 * impl.sparkSession.read.parquet(path).count()
+        src = TD._implementations_from_sources(spark, sf_dir, list(TD.VIEW)).schema
         assert [(f.name, f.dataType) for f in impl.schema] == [(f.name, f.dataType) for f in src]
     finally:
-        spark.conf.unset(TD.FACT_CONF)
+        spark.conf.unset(TD.fact_conf(sf_dir))

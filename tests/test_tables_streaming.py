@@ -103,3 +103,34 @@ def test_create_tables_if_absent(spark):
         f"{root}/real_solutions_extra")
     K.create_tables(spark, root)  # second call: nothing replaced
     assert spark.read.parquet(f"{root}/real_solutions").count() == 0
+
+
+def test_seed_after_create(spark):
+    root = scratch_path(spark, "t-seed")
+    K.create_tables(spark, root)
+    row = spark.createDataFrame([(1, "n")], "id long, name string")
+    for _ in range(2):
+        K.write_if_empty(K.conform(row, K.SCHEMAS["real_solutions"]), f"{root}/real_solutions")
+    assert [r.name for r in spark.read.parquet(f"{root}/real_solutions").collect()] == ["n"]
+
+
+def test_a_source_that_fails_while_it_runs_is_left_out(spark):
+    schema = K.SCHEMAS["real_indicators"]
+    good = spark.createDataFrame([("a", 1)], "indicator string, year long")
+    loaders = {"real_indicators": (lambda: good, schema),
+               "real_solutions": (lambda: good.selectExpr("cast(indicator as int) id"), K.SCHEMAS["real_solutions"]),
+               "real_procurements": (lambda: spark.read.parquet("/nowhere"), K.SCHEMAS["real_procurements"])}
+    root = scratch_path(spark, "t-fail")
+    for batch in (1, 2):  # the second refresh meets the empty logs of the first
+        datasets, status = K.collect_sources(spark, loaders)
+        K.save_all(spark, datasets, root, batch)
+    assert {r.source: (r.n_rows, r.status == "ok") for r in status.collect()} == {
+        "real_indicators": (1, True), "real_solutions": (0, False), "real_procurements": (0, False)}
+    read = lambda n: K.read_log(spark, f"{root}/{n}", f"{root}/_manifest", K.SCHEMAS[n])
+    assert sorted(r.id for r in read("real_indicators").collect()) == [1, 2] and read("real_solutions").count() == 0
+    assert set(K.SCHEMAS["real_indicators"].names) <= set(read("real_indicators").columns)
+
+
+def test_latest_breaks_ties_by_id(spark):
+    log = spark.createDataFrame([(i, "k", 1) for i in range(6)], "id long, key string, batch_id long").repartition(3)
+    assert K.latest_per_key(log, ["key"]).first().id == 5

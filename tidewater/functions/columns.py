@@ -175,7 +175,7 @@ def class_block_regex(tag: str, css_class: str) -> str:
     """Regex capturing the inner HTML of ``<tag class="... css_class ...">``.
 
     Matches flat elements (no nested element of the same tag inside)."""
-    return (rf'(?is)<{tag}\b[^>]*\bclass\s*=\s*"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"[^>]*>'
+    return (rf"""(?is)<{tag}\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'][^>]*>"""
             rf"(.*?)</{tag}\s*>")
 
 

@@ -65,51 +65,63 @@ def support_coverage(impl: DataFrame, support: DataFrame, by: list[str]) -> Data
 
 # -- M4 / M6 / M12: as-of attribution of rollouts to grants -----------------------------
 
-def asof_grants(keys: DataFrame, support: DataFrame) -> DataFrame:
-    """For each distinct (org_id, date_go_live) in ``keys``: the org's latest
-    grant approved on or before that date (ties: smallest support_id).
+def _grants_by_day(support: DataFrame) -> DataFrame:
+    """One grant per (org, approval date): the smallest id wins."""
+    return (support.groupBy(F.col("recipient_id").alias("org_id"), F.col("approval_date").alias("d"))
+            .agg(F.min_by(F.struct("support_id", "program_name", "approval_date"), "support_id")
+                 .alias("grant")))
+
 
-    1. grants collapse to one per (org, approval date): the smallest id wins;
-    2. over the union of rollout and grant dates, per org in date order, the
-       last grant seen so far is carried forward (``last(..., ignorenulls)``).
-    The window partitions hold one row per distinct date of an org, a bound
-    set by the calendar, not by the number of rows.
+def _carried(rows: DataFrame, support: DataFrame, value: str) -> DataFrame:
+    """``rows`` (org_id, d and a struct ``value``) with the org's latest grant
+    approved on or before d.
+
+    Rows and grants are laid end to end and the last grant seen so far is
+    carried forward per org in date order (grants first on a day), so the rows
+    are read once and no org produces rows x grants pairs.
     """
-    g = (support.groupBy(F.col("recipient_id").alias("org_id"), F.col("approval_date").alias("d"))
-         .agg(F.min_by(F.struct("support_id", "program_name", "approval_date"), "support_id")
-              .alias("grant")))
-    dates = keys.select("org_id", F.col("date_go_live").alias("d")).distinct()
-    keyed = dates.join(g, ["org_id", "d"], "full")
-    w = (Window.partitionBy("org_id").orderBy("d")
+    grants = _grants_by_day(support)
+    laid = rows.select("org_id", "d", value, F.lit(None).cast(grants.schema["grant"].dataType).alias("grant")).unionByName(
+        grants.select("org_id", "d", F.lit(None).cast(rows.schema[value].dataType).alias(value), "grant"))
+    w = (Window.partitionBy("org_id").orderBy("d", F.col("grant").isNull())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = keyed.withColumn("asof", F.last("grant", ignorenulls=True).over(w))
-    return carried.select("org_id", F.col("d").alias("date_go_live"),
-                          F.col("asof.support_id").alias("support_id"),
-                          F.col("asof.program_name").alias("program_name"),
-                          F.col("asof.approval_date").alias("approval_date"))
+    return (laid.withColumn("asof", F.last("grant", ignorenulls=True).over(w))
+            .filter(F.col(value).isNotNull()).drop("grant"))
 
 
-def _attribute(rows: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
-    asof = asof_grants(rows, support).filter(F.col("support_id").isNotNull())
-    return (rows.join(asof, ["org_id", "date_go_live"])
-            .filter(F.col("date_go_live") <= F.add_months("approval_date", horizon_months)))
+def asof_grants(keys: DataFrame, support: DataFrame) -> DataFrame:
+    """For each distinct (org_id, date_go_live) in ``keys``: the org's latest
+    grant approved on or before that date (ties: smallest support_id)."""
+    dates = keys.select("org_id", F.col("date_go_live").alias("d")).distinct()
+    found = _carried(dates.withColumn("key", F.struct("d")), support, "key")
+    return found.select("org_id", F.col("d").alias("date_go_live"), "asof.support_id", "asof.program_name",
+                        "asof.approval_date")
+
+
+def _in_time(horizon_months: int):
+    return F.col("date_go_live") <= F.add_months("approval_date", horizon_months)
 
 
 def attributed(impl: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
     """Rollouts attributed to the org's latest earlier grant within the horizon."""
     rows = impl.select("impl_key", "org_id", "date_go_live", effect_col().alias("effect"))
-    return _attribute(rows, support, horizon_months)
+    asof = asof_grants(rows, support).filter(F.col("support_id").isNotNull())
+    return rows.join(asof, ["org_id", "date_go_live"]).filter(_in_time(horizon_months))
 
 
 def attributed_daily(impl: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
     """As ``attributed``, on rollouts pre-aggregated per (org, date): all
     rollouts of an org on one day share their grant, so effect sum and count
     per (org, date) are attributed as one row. The pre-aggregation combines
-    map-side (a hot org shrinks before the shuffle) and the rollout joins run
-    once for both the key set and the attributed rows."""
-    daily = (impl.groupBy("org_id", "date_go_live")
+    map-side (a hot org shrinks before the shuffle), and a window partition
+    holds at most one row and one grant per day of an org."""
+    daily = (impl.groupBy("org_id", F.col("date_go_live").alias("d"))
              .agg(sum0(effect_col()).alias("effect"), F.count(F.lit(1)).cast("long").alias("n")))
-    return _attribute(daily, support, horizon_months)
+    found = _carried(daily.select("org_id", "d", F.struct("effect", "n").alias("day")), support, "day")
+    return (found.filter(F.col("asof").isNotNull())
+            .select("org_id", F.col("d").alias("date_go_live"), "day.effect", "day.n", "asof.support_id",
+                    "asof.program_name", "asof.approval_date")
+            .filter(_in_time(horizon_months)))
 
 
 def roi_by_program(impl: DataFrame, support: DataFrame, horizon_months: int) -> DataFrame:
@@ -224,7 +236,8 @@ def vendor_share(impl: DataFrame) -> DataFrame:
 def hot_segments(impl: DataFrame, as_of: str, days: int, min_volume: int, k: int) -> DataFrame:
     """class x industry: rollouts in (as_of - days, as_of] vs the ``days`` before;
     segments with at least ``min_volume`` in the current period, top k by
-    growth (ties by key)."""
+    growth (ties by volume, then key). A segment without earlier rollouts has
+    no growth figure and ranks before all others: it is the hottest."""
     d = F.col("date_go_live")
     end = F.to_date(F.lit(as_of))
     cur = (d > F.date_sub(end, days)) & (d <= end)
@@ -237,7 +250,7 @@ def hot_segments(impl: DataFrame, as_of: str, days: int, min_volume: int, k: int
                     (F.col("n_current") - F.col("n_previous")).cast("double") / F.col("n_previous"))
     return (seg.filter(F.col("n_current") >= min_volume)
             .withColumn("growth", growth)
-            .orderBy(F.col("growth").desc_nulls_last(), "class_scm", "industry_name")
+            .orderBy(F.col("growth").desc_nulls_first(), F.desc("n_current"), "class_scm", "industry_name")
             .limit(k))
 
 

@@ -76,6 +76,15 @@ def freshness(df: DataFrame, table: str, ts_col: str, as_of: str, period_days: i
     return _rows("freshness", table, counts)
 
 
+def outside_calendar(df: DataFrame, table: str, date_col: str, start: str, end: str) -> DataFrame:
+    """Rows dated outside the months from ``start`` to ``end`` (or undated):
+    a roll-up on that calendar leaves them out."""
+    low = F.trunc(F.to_date(F.lit(start)), "month")
+    inside = F.col(date_col).between(low, F.last_day(F.to_date(F.lit(end))))
+    counts = df.agg(F.count(F.lit(1)).alias("_total"), F.count_if(~F.coalesce(inside, F.lit(False))).alias(date_col))
+    return _rows("outside_calendar", table, counts)
+
+
 def parse_rate(df: DataFrame, table: str, checks: dict[str, Column]) -> DataFrame:
     """Share of texts that fail to parse (hidden by a 0 default downstream)."""
     counts = df.agg(F.count(F.lit(1)).alias("_total"),

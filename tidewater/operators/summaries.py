@@ -7,6 +7,8 @@ percentages with a zero denominator are 0.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,6 +28,16 @@ def recent(df: DataFrame, date_col: str, as_of: str, months_back: int = 12) -> D
     return df.filter(F.col(date_col) > days_before(as_of, 30 * months_back))
 
 
+def window_start(as_of: str, months_back: int = 12) -> str:
+    """First day of the first month whose end lies in ``recent``'s window."""
+    first = date.fromisoformat(as_of) - timedelta(days=30 * months_back - 1)
+    return first.replace(day=1).isoformat()
+
+
+def since(df: DataFrame, date_col: str, start: str) -> DataFrame:
+    return df.filter(F.col(date_col) >= F.to_date(F.lit(start)))
+
+
 def count_rows(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(label).alias("dataset"), "n_rows")
 
@@ -86,7 +98,7 @@ def industry_summary(impl: DataFrame, k: int = 10) -> DataFrame:
 def industry_share(impl: DataFrame, k: int = 10) -> DataFrame:
     """Pie slices: each of the top-k industries as a share of the top-k total
     (the chart normalises what it is given, after the cut)."""
-    top = industry_summary(impl, k).select("industry_name", "impl_count")
+    top = summary(impl, "industry_name", {"impl_count": count_of("impl_key")}, order_by="impl_count", k=k)
     # ``top`` has at most k rows, so the empty-partition window is k rows wide.
     total = F.sum("impl_count").over(Window.partitionBy())
     return top.select("industry_name", "impl_count",

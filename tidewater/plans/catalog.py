@@ -34,19 +34,23 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _recent_impl(spark, sf_dir):
-    return S.recent(implementations(spark, sf_dir), "date_go_live", P.AS_OF, P.MONTHS_BACK)
+def _recent_impl(spark, sf_dir, *columns):
+    return S.recent(implementations(spark, sf_dir, ["date_go_live", *columns]), "date_go_live", P.AS_OF, P.MONTHS_BACK)
+
+
+KPI_COLUMNS = ["date_go_live", "is_domestic", "revenue_uplift", "opex_delta"]
 
 
 def _kpi(spark, sf_dir, statuses=None):
-    return S.kpi_monthly(spark, implementations(spark, sf_dir), P.CAL_START, P.CAL_END, statuses)
+    impl = implementations(spark, sf_dir, KPI_COLUMNS + ["status"] * bool(statuses))
+    return S.kpi_monthly(spark, impl, P.CAL_START, P.CAL_END, statuses)
 
 
 # -- scans (F1-F4) ------------------------------------------------------------------
 
 @query
 def impl_window(spark, sf_dir):
-    return _recent_impl(spark, sf_dir).select(
+    return _recent_impl(spark, sf_dir, "impl_key", "org_id", "region_name", "status", "is_domestic", "capex").select(
         "impl_key", "org_id", "region_name", "date_go_live", "status", "is_domestic",
         F.col("capex").cast("double").alias("capex"))
 
@@ -65,24 +69,30 @@ def row_counts(spark, sf_dir):
 
 @query
 def kpi_window(spark, sf_dir):
-    return S.recent(_kpi(spark, sf_dir), "date_month", P.AS_OF, P.MONTHS_BACK).orderBy("date_month")
+    start = S.window_start(P.AS_OF, P.MONTHS_BACK)
+    impl = S.since(implementations(spark, sf_dir, KPI_COLUMNS), "date_go_live", start)
+    kpi = S.kpi_monthly(spark, impl, start, P.CAL_END)
+    return S.recent(kpi, "date_month", P.AS_OF, P.MONTHS_BACK).orderBy("date_month")
 
 
 # -- summaries (A1-A8) --------------------------------------------------------------
 
 @query
 def regional_summary(spark, sf_dir):
-    return S.regional_summary(_recent_impl(spark, sf_dir), P.TOP_K)
+    return S.regional_summary(_recent_impl(spark, sf_dir, "impl_key", "region_name", "is_domestic", "capex"), P.TOP_K)
+
+
+INDUSTRY_COLUMNS = ["impl_key", "industry_name", "is_domestic", "capex", "revenue_uplift"]
 
 
 @query
 def industry_summary(spark, sf_dir):
-    return S.industry_summary(_recent_impl(spark, sf_dir), P.TOP_K)
+    return S.industry_summary(_recent_impl(spark, sf_dir, *INDUSTRY_COLUMNS), P.TOP_K)
 
 
 @query
 def industry_share(spark, sf_dir):
-    return S.industry_share(_recent_impl(spark, sf_dir), P.TOP_K)
+    return S.industry_share(_recent_impl(spark, sf_dir, "impl_key", "industry_name"), P.TOP_K)
 
 
 @query
@@ -92,7 +102,7 @@ def program_summary(spark, sf_dir):
 
 @query
 def top_k(spark, sf_dir):
-    return S.top_k(implementations(spark, sf_dir), "vendor_name", P.TOP_K)
+    return S.top_k(implementations(spark, sf_dir, ["vendor_name"]), "vendor_name", P.TOP_K)
 
 
 @query
@@ -114,68 +124,77 @@ def trend_series(spark, sf_dir):
 
 
 
-def _impl_support(spark, sf_dir):
-    return implementations(spark, sf_dir), support_measures(spark, sf_dir)
+def _impl_support(spark, sf_dir, *columns):
+    return implementations(spark, sf_dir, list(columns)), support_measures(spark, sf_dir)
+
 
+EFFECT_COLUMNS = ["org_id", "date_go_live", "revenue_uplift", "opex_delta"]
+DID_COLUMNS = [*EFFECT_COLUMNS, "capex", "lead_time_delta", "inv_turnover_delta", "penalties_delta"]
 
-def _kpi_full(spark, sf_dir):
-    impl, sup = _impl_support(spark, sf_dir)
-    kpi = S.kpi_monthly(spark, impl, P.CAL_START, P.CAL_END)
-    return M.kpi_monthly_full(spark, kpi, impl, sup, P.CAL_START, P.CAL_END, P.ISI_WEIGHTS)
+
+def _kpi_full(spark, sf_dir, start=P.CAL_START):
+    """From ``start`` on; the date bound reaches the scan of the rollouts.
+    Coverage looks at grants of any date, so these are not cut."""
+    impl, sup = _impl_support(spark, sf_dir, *KPI_COLUMNS, "org_id", "capex", "status")
+    impl = S.since(impl, "date_go_live", start)
+    kpi = S.kpi_monthly(spark, impl, start, P.CAL_END)
+    return M.kpi_monthly_full(spark, kpi, impl, sup, start, P.CAL_END, P.ISI_WEIGHTS)
 
 
 @query
 def domestic_share(spark, sf_dir):
-    return M.domestic_share(implementations(spark, sf_dir), [year_of("date_go_live").alias("year")])
+    return M.domestic_share(implementations(spark, sf_dir, ["date_go_live", "is_domestic"]), [year_of("date_go_live").alias("year")])
 
 
 @query
 def support_coverage(spark, sf_dir):
-    return M.support_coverage(*_impl_support(spark, sf_dir), ["region_name"])
+    return M.support_coverage(*_impl_support(spark, sf_dir, "org_id", "date_go_live", "region_name"), ["region_name"])
 
 
 @query
 def roi_3y(spark, sf_dir):
-    return M.roi_by_program(*_impl_support(spark, sf_dir), 36)
+    return M.roi_by_program(*_impl_support(spark, sf_dir, *EFFECT_COLUMNS), 36)
 
 
 @query
 def roi_5y(spark, sf_dir):
-    return M.roi_by_program(*_impl_support(spark, sf_dir), 60)
+    return M.roi_by_program(*_impl_support(spark, sf_dir, *EFFECT_COLUMNS), 60)
 
 
 @query
 def payback_month(spark, sf_dir):
-    return M.payback_month(*_impl_support(spark, sf_dir), 36)
+    return M.payback_month(*_impl_support(spark, sf_dir, *EFFECT_COLUMNS), 36)
 
 
 @query
 def isi_index(spark, sf_dir):
-    comp = M.isi_components(implementations(spark, sf_dir),
+    comp = M.isi_components(implementations(spark, sf_dir, ["date_go_live", "is_domestic", "capex", "status"]),
                             [month_end("date_go_live").alias("date_month")])
     return M.isi_index(comp, P.ISI_WEIGHTS)
 
 
+CUBE = ["industry_name", "region_name", "class_scm"]
+
+
 @query
 def domestic_cube(spark, sf_dir):
-    return M.domestic_cube(implementations(spark, sf_dir),
-                           ["industry_name", "region_name", "class_scm"])
+    return M.domestic_cube(implementations(spark, sf_dir, [*CUBE, "is_domestic"]), CUBE)
 
 
 @query
 def region_heatmap(spark, sf_dir):
-    return M.region_heatmap(implementations(spark, sf_dir))
+    return M.region_heatmap(implementations(spark, sf_dir, ["region_name", "date_go_live"]))
 
 
 @query
 def vendor_share(spark, sf_dir):
-    return M.vendor_share(implementations(spark, sf_dir))
+    return M.vendor_share(implementations(spark, sf_dir, ["vendor_name", "capex"]))
 
 
 @query
 def hot_segments(spark, sf_dir):
-    return M.hot_segments(implementations(spark, sf_dir), P.AS_OF, P.HOT_DAYS,
-                          P.HOT_MIN_VOLUME, P.TOP_K)
+    return M.hot_segments(implementations(spark, sf_dir, ["class_scm", "industry_name", "date_go_live"]),
+                          P.AS_OF, P.HOT_DAYS, P.HOT_MIN_VOLUME, P.TOP_K)
 
 
 @query
@@ -188,6 +207,16 @@ def star_fact(spark, sf_dir):
     return M.star_fact(implementations(spark, sf_dir))
 
 
+@query
+def star_dims(spark, sf_dir):
+    """The star's dimensions, one row each: which, its key and its attributes."""
+    names = ["vendor_name", "solution_name", "class_scm", "region_name", "industry_name", "org_id", "org_name"]
+    dims = M.star_dims(implementations(spark, sf_dir, names))
+    rows = [d.select(F.lit(n).alias("dimension"), F.col(d.columns[0]).cast("string").alias("key"),
+                     F.concat_ws("|", *d.columns[1:]).alias("attributes")) for n, d in dims.items()]
+    return DQ.union_all(rows)
+
+
 @query
 def support_monthly(spark, sf_dir):
     return M.support_monthly(spark, support_measures(spark, sf_dir), P.CAL_START, P.CAL_END)
@@ -200,7 +229,8 @@ def kpi_monthly_full(spark, sf_dir):
 
 @query
 def kpi_cards(spark, sf_dir):
-    return S.kpi_cards(S.recent(_kpi_full(spark, sf_dir), "date_month", P.AS_OF, P.MONTHS_BACK))
+    return S.kpi_cards(S.recent(_kpi_full(spark, sf_dir, S.window_start(P.AS_OF, P.MONTHS_BACK)),
+                                "date_month", P.AS_OF, P.MONTHS_BACK))
 
 
 @query
@@ -322,13 +352,25 @@ def latest_per_key(spark, sf_dir):
     return K.latest_per_key(log, ["doc_id", "keyword"]).select("doc_id", "keyword", "hits", "batch_id")
 
 
+@query
+def latest_procurements(spark, sf_dir):
+    """Two refreshes of the procurement rows into their declared table, then
+    the newest row per natural key."""
+    root, name = scratch_path(spark, "procurements"), "real_procurements"
+    rows = _procurements(spark, sf_dir)
+    for batch in (1, 2):
+        K.save_all(spark, {name: rows}, root, batch)
+    log = K.read_log(spark, f"{root}/{name}", f"{root}/_manifest", K.SCHEMAS[name])
+    return K.latest_per_key(log, K.NATURAL_KEYS[name]).select("url", "keyword", "title", "customer", "price", "batch_id")
+
+
 # -- data quality (Q1-Q6) -----------------------------------------------------------------
 
 
 
 @query
 def dq_unique(spark, sf_dir):
-    impl, sup = _impl_support(spark, sf_dir)
+    impl, sup = _impl_support(spark, sf_dir, "impl_key")
     return DQ.union_all([DQ.unique(impl, "implementations", "impl_key"),
                          DQ.unique(sup, "support_measures", "support_id"),
                          DQ.unique(_kpi(spark, sf_dir), "kpi_monthly", "date_month")])
@@ -336,24 +378,24 @@ def dq_unique(spark, sf_dir):
 
 @query
 def dq_not_null(spark, sf_dir):
-    impl, sup = _impl_support(spark, sf_dir)
+    checked = ["impl_key", "org_id", "region_name", "date_go_live", "capex"]
+    impl, sup = _impl_support(spark, sf_dir, *checked)
     return DQ.union_all([
-        DQ.not_null(impl, "implementations", ["impl_key", "org_id", "region_name", "date_go_live",
-                                              "capex"]),
+        DQ.not_null(impl, "implementations", checked),
         DQ.not_null(sup, "support_measures", ["support_id", "program_name", "amount_rub",
                                               "approval_date"])])
 
 
 @query
 def dq_in_set(spark, sf_dir):
-    impl, sup = _impl_support(spark, sf_dir)
+    impl, sup = _impl_support(spark, sf_dir, "status")
     return DQ.union_all([DQ.in_set(impl, "implementations", {"status": P.STATUSES}),
                          DQ.in_set(sup, "support_measures", {"measure_type": P.MEASURE_TYPES})])
 
 
 @query
 def dq_range(spark, sf_dir):
-    impl, sup = _impl_support(spark, sf_dir)
+    impl, sup = _impl_support(spark, sf_dir, *P.IMPL_RANGES)
     return DQ.union_all([DQ.in_range(impl, "implementations", P.IMPL_RANGES),
                          DQ.in_range(sup, "support_measures", P.SUPPORT_RANGES)])
 
@@ -370,9 +412,18 @@ def dq_orphans(spark, sf_dir):
                    "support_measures")])
 
 
+@query
+def dq_calendar(spark, sf_dir):
+    """Rows that the monthly roll-ups leave out: dated outside the calendar."""
+    impl, sup = _impl_support(spark, sf_dir, "date_go_live")
+    return DQ.union_all([
+        DQ.outside_calendar(impl, "implementations", "date_go_live", P.CAL_START, P.CAL_END),
+        DQ.outside_calendar(sup, "support_measures", "approval_date", P.CAL_START, P.CAL_END)])
+
+
 @query
 def dq_freshness(spark, sf_dir):
-    impl, sup = _impl_support(spark, sf_dir)
+    impl, sup = _impl_support(spark, sf_dir, "date_go_live")
     return DQ.union_all([
         DQ.freshness(impl, "implementations", "date_go_live", P.AS_OF, P.FRESH_MONTH_DAYS),
         DQ.freshness(sup, "support_measures", "approval_date", P.AS_OF, P.FRESH_MONTH_DAYS),
@@ -388,7 +439,7 @@ def dq_parse_rate(spark, sf_dir):
 
 @query
 def avg_check(spark, sf_dir):
-    return M.avg_check(implementations(spark, sf_dir), "vendor_name")
+    return M.avg_check(implementations(spark, sf_dir, ["vendor_name", "capex"]), "vendor_name")
 
 
 # -- causal estimators (C1-C7) --------------------------------------------------------------
@@ -412,7 +463,7 @@ def _matches(spark, sf_dir):
 
 @query
 def did_cells(spark, sf_dir):
-    return C.did_cells(*_impl_support(spark, sf_dir), P.DID_DATE)
+    return C.did_cells(*_impl_support(spark, sf_dir, *DID_COLUMNS), P.DID_DATE)
 
 
 @query
@@ -422,7 +473,8 @@ def did_effect(spark, sf_dir):
 
 @query
 def psm_scores(spark, sf_dir):
-    return C.propensity_scores(*_impl_support(spark, sf_dir))
+    return C.propensity_scores(*_impl_support(
+        spark, sf_dir, "org_id", "capex", "revenue_uplift", "industry_name", "region_name"))
 
 
 @query
@@ -438,11 +490,11 @@ def psm_balance(spark, sf_dir):
 
 @query
 def psm_did(spark, sf_dir):
-    return C.matched_did(implementations(spark, sf_dir), _matches(spark, sf_dir), P.DID_DATE)
+    return C.matched_did(implementations(spark, sf_dir, DID_COLUMNS), _matches(spark, sf_dir), P.DID_DATE)
 
 
 def _synth_inputs(spark, sf_dir):
-    impl = implementations(spark, sf_dir)
+    impl = implementations(spark, sf_dir, ["region_name", "date_go_live"])
     # The panel (units x months) feeds the Gram, the gaps and the placebo
     # runs: checkpoint it once to the shared folder instead of recomputing
     # the joins behind it for every consumer.
@@ -535,4 +587,4 @@ def procurement_blocks(spark, sf_dir):
 
 @query
 def did_clustered_se(spark, sf_dir):
-    return C.did_clustered_se(*_impl_support(spark, sf_dir), P.DID_DATE)
+    return C.did_clustered_se(*_impl_support(spark, sf_dir, *DID_COLUMNS), P.DID_DATE)

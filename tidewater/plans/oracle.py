@@ -302,7 +302,7 @@ from (
   from impl where date_go_live > date '{P.AS_OF}' - {2 * d} and date_go_live <= date '{P.AS_OF}'
   group by 1, 2
 ) s where n_current >= {P.HOT_MIN_VOLUME}
-order by growth desc nulls last, class_scm, industry_name limit {P.TOP_K}"""
+order by growth desc nulls first, n_current desc, class_scm, industry_name limit {P.TOP_K}"""
     mult = ", ".join(f"(cast({m} as double))" for m in P.WHATIF_MULTIPLIERS)
     q["whatif_budget"] = base[:-1] + "," + attributed_sql(36)[1:] + "," + roi_sql(36)[1:] + f"""
 select program_name, grant_total, n_attributed, roi_pct, cost_per_impl, multiplier,
@@ -315,6 +315,11 @@ select impl_key, org_id, vendor_name, solution_name, class_scm, region_name, ind
        last_day(date_go_live) date_month, date_go_live, is_domestic, cast(capex as double) capex,
        cast(revenue_uplift + opex_delta as double) econ_effect
 from impl"""
+    q["star_dims"] = with_(IMPL) + "\nunion all\n".join(
+        f"select distinct '{n}' dimension, cast({k} as varchar) as key, {a} attributes from impl" for n, k, a in (
+            ("dim_vendor", "vendor_name", "''"), ("dim_solution", "solution_name", "concat_ws('|', vendor_name, class_scm)"),
+            ("dim_region", "region_name", "''"), ("dim_industry", "industry_name", "''"),
+            ("dim_org", "org_id", "concat_ws('|', org_name, region_name, industry_name)")))
     q["support_monthly"] = with_(SUPPORT, cal()) + """
 select c.date_month, cast(coalesce(support_count, 0) as bigint) support_count,
        coalesce(total_support_amount, 0.0) total_support_amount
@@ -369,17 +374,17 @@ select * from (
         from (select page_id, regexp_extract_all({strip}, '{LINK}', 0) m from pages) a) b
 ) c where title <> ''"""
     q["extract_fields"] = with_(SUPPORT) + """
-select support_id page_id, cast(0 as integer) block_no, program_name title,
+select support_id page_id, cast(case when cast(roi_pct as integer) % 7 = 0 then 1 else 0 end as integer) block_no,
+       program_name title,
        measure_type description, cast(amount_rub as double) amount,
        cast(disbursement_date as varchar) deadline, '' requirements, 'gisp' source
-from support where cast(roi_pct as integer) % 7 <> 0"""
+from support"""
     q["json_indicators"] = """
 select event_type indicator, cast(year(ts) as bigint) "year", value, 'rub' unit,
        case k % 3 when 0 then 'Российская Федерация' when 1 then null
             else 'R' || cast(user_id as varchar) end region,
        'fedstat' source
-from (select *, cast(json_extract_string(props, '$.k') as int) k from events) e
-where k % 10 <> 9"""
+from (select *, cast(json_extract_string(props, '$.k') as int) k from events) e"""
     q["parse_money"] = """
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
        cast(cast(l_extendedprice as decimal(14,2)) as double) parsed,
@@ -464,6 +469,10 @@ def quality_sql(q: dict[str, str]) -> None:
     def stale(col, src, as_of, days):
         return (f"case when max(cast({col} as date)) is null or max(cast({col} as date)) < "
                 f"date '{as_of}' - {days} then 1 else 0 end")
+    outside = f"not coalesce({{}} between date '{P.CAL_START}' and date '{P.CAL_END}', false)"
+    q["dq_calendar"] = base + union([
+        dq_row("outside_calendar", t, c, f"count(*) filter (where {outside.format(c)})", "count(*)", src)
+        for t, c, src in (("implementations", "date_go_live", "impl"), ("support_measures", "approval_date", "support"))])
     q["dq_freshness"] = base + union([
         dq_row("freshness", "implementations", "date_go_live",
                stale("date_go_live", "impl", P.AS_OF, P.FRESH_MONTH_DAYS), "1", "impl"),
@@ -589,8 +598,13 @@ def refresh_sql(q: dict[str, str]) -> None:
 
 
 def procurement_sql(q: dict[str, str]) -> None:
+    q["latest_procurements"] = f"""
+select '{P.PROCUREMENT_BASE_URL}/epz/order/' || cast(o_orderkey as varchar) url, o_orderpriority keyword,
+       'Order' || o_orderpriority title, case when o_orderstatus <> 'P' then c_name else '' end customer,
+       cast(cast(o_totalprice as decimal(14,2)) as double) price, cast(2 as bigint) batch_id
+from orders join customer on o_custkey = c_custkey"""
     q["procurement_blocks"] = f"""
-select o_orderkey page_id, cast(0 as integer) block_no, 'Order' || o_orderpriority title,
+select o_orderkey page_id, o_orderpriority keyword, cast(0 as integer) block_no, 'Order' || o_orderpriority title,
        case when o_orderstatus <> 'P' then c_name else '' end customer,
        cast(cast(o_totalprice as decimal(14,2)) as double) price,
        strftime(o_orderdate, '%d.%m.%Y') publication_date, 'eis' source,

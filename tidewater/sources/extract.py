@@ -33,7 +33,7 @@ def extract_table_rows(pages: DataFrame, css_class: str = "solutions-table",
     html = strip_scripts(F.col("html"))
     table = F.regexp_extract(html, class_block_regex("table", css_class), 1)
     rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
-    out = (pages.select("page_id", F.posexplode(F.slice(rows, 2, 1 << 30)).alias("pos", "tr"))
+    out = (pages.select("page_id", F.posexplode(F.slice(rows, F.lit(2), F.size(rows))).alias("pos", "tr"))
            .select("page_id", (F.col("pos") + 1).alias("row_no"),
                    F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1))
                    .alias("cells"))
@@ -81,13 +81,13 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     # A block runs from its opening tag to the next block's opening tag, so
     # nested elements of the same tag inside it do not cut it short.
     tag, cls = block
-    opening = rf'(?i)<{tag}\b[^>]*\bclass\s*=\s*"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"[^>]*>'
+    opening = rf"""(?i)<{tag}\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{cls}(?:\s[^"']*)?["'][^>]*>"""
     parts = F.split(html, opening)
-    blocks = F.slice(parts, 2, 1 << 30)
+    blocks = F.slice(parts, F.lit(2), F.size(parts))
     out = pages.select("page_id", F.posexplode(blocks).alias("block_no", "b"))
-    # The block's class-bearing elements as parallel arrays (tag, class,
-    # inner HTML); each field is then a lookup of (tag, class) in them, with
-    # no per-field rescan of the block and no interpreted lambda.
+    # The block's class-bearing elements, nested ones too, as parallel arrays
+    # (tag, class list, inner HTML); each field is then a lookup of its tag and
+    # class in them, with no per-field rescan of the block.
     def grab(i: int) -> Column:
         return F.regexp_extract_all(F.col("b"), F.lit(CLASSED_ELEMENT), F.lit(i))
     attrs = [F.regexp_extract(F.col("b"), _attr_regex(tag, cls, attr), 1).alias(f"_attr_{name}")
@@ -99,7 +99,8 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
                      grab(3).alias("_inner"))
 
     def text(tag: str, cls: str) -> tuple[Column, Column]:
-        pos = F.array_position("_keys", F.struct(F.lit(tag).alias("t"), F.lit(cls).alias("c")))
+        here = F.transform("_keys", lambda k: (k["t"] == tag) & F.array_contains(F.split(k["c"], "\\s+"), cls))
+        pos = F.array_position(here, True)
         found = pos > 0
         inner = F.when(found, F.element_at("_inner", pos.cast("int"))).otherwise(F.lit(""))
         return found, html_text(inner)
@@ -123,15 +124,15 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
 def _attr_regex(tag: str, cls: str, attr: str) -> str:
     """The ``attr`` value of the first ``tag.cls`` opening tag (the class may
     come before or after the attribute); one match, so the scan stops early."""
-    return (rf'(?is)<{tag}\b(?=[^>]*\bclass\s*=\s*"(?:[^"]*\s)?{cls}(?:\s[^"]*)?")'
-            rf'[^>]*\b{attr}\s*=\s*"([^"]*)"')
+    return (rf"""(?is)<{tag}\b(?=[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{cls}(?:\s[^"']*)?["'])"""
+            rf"""[^>]*\b{attr}\s*=\s*["']([^"']*)["']""")
 
 
 # An element with a class attribute, up to the first closing tag of its name:
-# groups are the tag name, the class attribute and the inner HTML. Lookups
-# match the whole class attribute (single-class elements, as on these pages).
-CLASSED_ELEMENT = (r'(?is)<([a-z][a-z0-9]*)\b[^>]*?\bclass\s*=\s*"\s*([^"]*?)\s*"[^>]*>(.*?)'
-                   r"</\1\s*>")
+# groups are the tag name, the class attribute and the inner HTML. Only the
+# opening bracket is consumed, so elements inside other ones are found too.
+CLASSED_ELEMENT = (r"""(?is)(?=<([a-z][a-z0-9]*)\b[^>]*?\bclass\s*=\s*["']\s*([^"']*?)\s*["'][^>]*>(.*?)"""
+                   r"</\1\s*>)<")
 
 
 SUPPORT_CARD = dict(
@@ -159,9 +160,14 @@ PROCUREMENT_BLOCK = dict(
 
 def procurement_blocks(pages: DataFrame, base_url: str) -> DataFrame:
     """S2 on result pages: title, ``base_url + href`` of the title link,
-    customer ('' when absent), price (0 when absent), publication date."""
-    return extract_fields(pages, **PROCUREMENT_BLOCK,
+    customer ('' when absent), price (0 when absent), publication date. The
+    ``keyword`` that a page was found by goes with each of its rows (null for
+    pages without that column)."""
+    keyword = F.col("keyword") if "keyword" in pages.columns else F.lit(None).cast("string").alias("keyword")
+    keyed = pages.select(F.struct("page_id", keyword).alias("page_id"), "html")
+    rows = extract_fields(keyed, **PROCUREMENT_BLOCK,
                           attr_fields={"url": ("a", "registry-entry__body-title", "href", base_url)})
+    return rows.select("page_id.page_id", "page_id.keyword", *[c for c in rows.columns if c != "page_id"])
 
 
 # -- S6: JSON payload -> rows -----------------------------------------------------------------

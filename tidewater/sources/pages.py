@@ -48,34 +48,34 @@ def money_text(amount) -> F.Column:
 
 
 def support_card_pages(support: DataFrame) -> DataFrame:
-    """One page per grant with one ``measure-card``; the title is left out when
-    the grant's roi is a multiple of 7 (such cards must be skipped) and the
-    requirements element is always absent (must give '')."""
+    """One page per grant with its ``measure-card``; the requirements element is
+    always absent (must give ''). Where the grant's roi is a multiple of 7 a
+    card without title stands before it (such cards must be skipped)."""
     k = F.col("roi_pct").cast("int")
-    title = F.when(k % 7 != 0, F.concat(F.lit('<h3 class="measure-title">'), F.col("program_name"),
-                                        F.lit("</h3>"))).otherwise(F.lit(""))
-    html = F.concat(
-        F.lit('<html><body><div class="measure-card">'), title,
+    body = F.concat(
         F.lit('<div class="measure-description"> '), F.col("measure_type"), F.lit(" </div>"),
         F.lit('<div class="measure-amount">'), money_text(F.col("amount_rub")), F.lit("</div>"),
-        F.lit('<div class="measure-deadline">'), F.col("disbursement_date").cast("string"),
-        F.lit("</div></div></body></html>"))
+        F.lit('<div class="measure-deadline">'), F.col("disbursement_date").cast("string"), F.lit("</div></div>"))
+    card = F.lit('<div class="measure-card">')
+    untitled = F.when(k % 7 == 0, F.concat(card, body)).otherwise(F.lit(""))
+    html = F.concat(F.lit("<html><body>"), untitled, card, F.lit('<h3 class="measure-title">'),
+                    F.col("program_name"), F.lit("</h3>"), body, F.lit("</body></html>"))
     return support.select(F.col("support_id").alias("page_id"), html.alias("html"))
 
 
 def indicator_payloads(events: DataFrame) -> DataFrame:
     """One JSON payload per event. By k % 3 the region key is missing (0),
-    JSON null (1) or a value (2); when k % 10 == 9 the payload has no
-    ``data`` key at all."""
+    JSON null (1) or a value (2). Where k % 10 == 9 a second payload without
+    ``data`` stands beside it (must give no rows)."""
     k = F.get_json_object("props", "$.k").cast("int")
     region = (F.when(k % 3 == 0, F.lit(""))
               .when(k % 3 == 1, F.lit(',"region":null'))
               .otherwise(F.concat(F.lit(',"region":"R'), F.col("user_id").cast("string"), F.lit('"'))))
     item = F.concat(F.lit('{"year":"'), F.year("ts").cast("string"), F.lit('","value":"'),
                     F.col("value").cast("string"), F.lit('","unit":"rub"'), region, F.lit("}"))
-    body = F.when(k % 10 == 9, F.lit('{"x":1}')).otherwise(
-        F.concat(F.lit('{"data":['), item, F.lit("]}")))
-    return events.select("event_id", F.col("event_type").alias("indicator"), body.alias("body"))
+    good = F.concat(F.lit('{"data":['), item, F.lit("]}"))
+    bodies = F.when(k % 10 == 9, F.array(good, F.lit('{"x":1}'))).otherwise(F.array(good))
+    return events.select("event_id", F.col("event_type").alias("indicator"), F.explode(bodies).alias("body"))
 
 
 def money_strings(lineitem: DataFrame) -> DataFrame:
@@ -95,7 +95,8 @@ def money_strings(lineitem: DataFrame) -> DataFrame:
 
 def procurement_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """One search-result page per order with one entry block: linked title,
-    customer (left out for status 'P'), price text and publication date."""
+    customer (left out for status 'P'), price text and publication date. The
+    page was found by searching for the order's priority."""
     o = orders.join(customer, orders.o_custkey == customer.c_custkey)
     cust = F.when(F.col("o_orderstatus") != "P",
                   F.concat(F.lit('<div class="registry-entry__body-value">'), F.col("c_name"),
@@ -108,4 +109,4 @@ def procurement_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.lit('<div class="price-block__value">'), money_text(F.col("o_totalprice")), F.lit("</div>"),
         F.lit('<div class="data-block__value">'), F.date_format("o_orderdate", "dd.MM.yyyy"),
         F.lit("</div></div></body></html>"))
-    return o.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    return o.select(F.col("o_orderkey").alias("page_id"), F.col("o_orderpriority").alias("keyword"), html.alias("html"))

@@ -94,9 +94,19 @@ def with_dense_ids(df: DataFrame, start: int = 1, id_col: str = "id") -> DataFra
         "_pid", "_mid", "_off", "_m0")
 
 
-def write_batch(df: DataFrame, log_path: str, batch_id: int) -> None:
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly the declared columns and types: absent ones are
+    null, undeclared ones are left out."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def write_batch(df: DataFrame, log_path: str, batch_id: int, schema: T.StructType | None = None) -> None:
     """Write one refresh as ``batch_id=N`` (overwrite: a replay is idempotent),
-    stamped with ``created_at``; not visible until published."""
+    in the declared columns if there is a schema, stamped with ``created_at``;
+    not visible until published."""
+    if schema is not None:
+        df = conform(df, schema)
     (df.withColumn("created_at", F.current_timestamp())
        .withColumn("batch_id", F.lit(batch_id).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -116,10 +126,17 @@ def append_batch(df: DataFrame, log_path: str, batch_id: int) -> None:
     publish(df.sparkSession, f"{log_path}/_manifest", batch_id)
 
 
-def read_log(spark: SparkSession, log_path: str, manifest_path: str | None = None) -> DataFrame:
+def read_log(spark: SparkSession, log_path: str, manifest_path: str | None = None,
+             schema: T.StructType | None = None) -> DataFrame:
     """Committed rows only: the data semi-joined with the manifest (the log's
-    own, or a shared one when several logs commit together)."""
-    data = spark.read.parquet(f"{log_path}/data")
+    own, or a shared one when several logs commit together). With the declared
+    schema a log whose batches were all empty reads as no rows."""
+    reader = spark.read
+    if schema is not None:
+        stamped = [T.StructField("created_at", TS), T.StructField("batch_id", L)]
+        names = {f.name for f in stamped}
+        reader = reader.schema(T.StructType([f for f in schema if f.name not in names] + stamped))
+    data = reader.parquet(f"{log_path}/data")
     manifest = spark.read.parquet(manifest_path or f"{log_path}/_manifest").select(
         "batch_id").distinct()
     return data.join(manifest, "batch_id", "left_semi")
@@ -138,42 +155,51 @@ def save_all(spark: SparkSession, datasets: dict[str, DataFrame], root: str, bat
     committed id of its log, and is written as ``root/<name>/data/batch_id=N``.
     Only after every dataset is written does one manifest row at
     ``root/_manifest`` publish the batch for all of them; a failure before
-    that leaves the batch invisible to readers.
+    that leaves the batch invisible to readers. Tables of ``SCHEMAS`` are
+    written in their declared columns.
     """
     manifest = f"{root}/_manifest"
     committed = _path_exists(spark, manifest)
     for name, df in datasets.items():
         log = f"{root}/{name}"
         start = 1
+        schema = SCHEMAS.get(name)
         if committed and _path_exists(spark, f"{log}/data"):
-            last = read_log(spark, log, manifest).agg(F.max("id")).first()[0]
+            declared = schema or T.StructType([*df.drop("id").schema.fields, T.StructField("id", L)])
+            last = read_log(spark, log, manifest, declared).agg(F.max("id")).first()[0]
             start = (last or 0) + 1
-        write_batch(with_dense_ids(df.drop("id") if "id" in df.columns else df, start), log, batch_id)
+        write_batch(with_dense_ids(df.drop("id"), start), log, batch_id, schema)
     publish(spark, manifest, batch_id)
 
 
-def latest_per_key(log: DataFrame, keys: list[str], order_cols=("created_at", "batch_id")) -> DataFrame:
-    """The newest row per natural key (upsert semantics as a view).
+def latest_per_key(log: DataFrame, keys: list[str], order_cols=("created_at", "batch_id", "id")) -> DataFrame:
+    """The newest row per natural key (upsert semantics as a view); rows of one
+    batch are ordered by their id, the last one wins.
 
     An aggregate (``max_by`` over a struct ordering) rather than a window, so
     a key repeated in many batches is combined map-side before the shuffle.
     """
     payload = [c for c in log.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_cols])
+    order = F.struct(*[F.col(c) for c in order_cols if c in log.columns])
     agg = log.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_row"))
     return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in payload])
 
 
 def write_if_empty(df: DataFrame, path: str) -> None:
-    """K5: load only when the target does not exist yet."""
-    df.write.mode("ignore").parquet(path)
+    """K5: load only while the target holds no rows (or does not exist)."""
+    spark = df.sparkSession
+    if not _path_exists(spark, path):
+        df.write.parquet(path)
+    elif not spark.read.schema(df.schema).parquet(path).limit(1).count():
+        df.write.mode("append").parquet(path)
 
 
 def create_tables(spark: SparkSession, root: str) -> list[str]:
     """K1: every table of ``SCHEMAS`` as an empty parquet table under
     ``root``, created only where absent (existing data is left alone)."""
     for name, schema in SCHEMAS.items():
-        write_if_empty(empty(spark, schema), f"{root}/{name}")
+        if not _path_exists(spark, f"{root}/{name}"):
+            empty(spark, schema).write.parquet(f"{root}/{name}")
     return [f"{root}/{name}" for name in SCHEMAS]
 
 
@@ -182,25 +208,22 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
 def collect_sources(spark: SparkSession,
                     loaders: dict[str, tuple[Callable[[], DataFrame], T.StructType]]
                     ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Build each named dataset; one that fails to load becomes an empty frame
-    of its schema and the others go on. Returns the datasets and one status
-    row per source: (source, n_rows, status)."""
+    """Build each named dataset; one that fails, while it is planned or while
+    it runs, becomes an empty frame of its schema and the others go on. Each is
+    written once to the shared folder, so what is counted here is what is
+    stored later. Returns the datasets and one status row per source:
+    (source, n_rows, status)."""
+    from tidewater.session import materialize
+
     out, status = {}, []
     for name, (load, schema) in loaders.items():
         try:
-            df = load()
-            df.schema  # analysis errors surface here
-            out[name] = df
-            status.append((name, df, "ok"))
+            out[name] = materialize(load(), f"source-{name}")
+            status.append((name, out[name].count(), "ok"))
         except Exception as e:  # a broken source must not stop the others
             out[name] = empty(spark, schema)
-            status.append((name, out[name], f"error: {type(e).__name__}"))
-    rows = None
-    for name, df, st in status:
-        r = df.agg(F.count(F.lit(1)).cast("long").alias("n_rows")).select(
-            F.lit(name).alias("source"), "n_rows", F.lit(st).alias("status"))
-        rows = r if rows is None else rows.unionByName(r)
-    return out, rows
+            status.append((name, 0, f"error: {type(e).__name__}"))
+    return out, spark.createDataFrame(status, "source string, n_rows long, status string")
 
 
 # -- S13: CSV source ---------------------------------------------------------------------------

@@ -9,9 +9,7 @@ lineitem scan.
 
 from __future__ import annotations
 
-import weakref
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import money, nan_to_null
@@ -20,23 +18,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table as a lazy DataFrame.
-
-    The relation (file listing and footer schema) is resolved once per
-    session and path and then reused; every query still plans its own
-    pruned, filtered scan from it. A stopped session's entries are dropped.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _READS.setdefault(spark, {})
-    df = per_session.get(path)
-    if df is None or spark.sparkContext._jsc.sc().isStopped():
-        df = spark.read.parquet(path)
-        per_session[path] = df
-    return df
+    """The parquet table as a lazy DataFrame (its files are listed anew each
+    time, so a rewritten path is never read through an old listing)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _nation_region(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
@@ -49,58 +34,48 @@ def _nation_region(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     )
 
 
-# Session setting naming a materialized rollout fact (see ``write_fact``);
-# when unset the view is computed from the source tables.
+# Session settings naming a materialized rollout fact (see ``write_fact``), one
+# per source folder; without one the view is computed from the source tables.
 FACT_CONF = "spark.tidewater.implementations.path"
 
 
+def fact_conf(sf_dir: str) -> str:
+    """The setting that names the fact made from ``sf_dir``."""
+    return f"{FACT_CONF}.{sf_dir.rstrip('/')}"
+
+
 def write_fact(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None) -> None:
     """Materialize the rollout view once for many queries.
 
     Rows are range-partitioned and sorted by go-live date, so each parquet
     row group covers a narrow date range and the window filters
     (``date_go_live > cutoff``) skip most row groups from their min/max
-    statistics. Point ``FACT_CONF`` at ``path`` to use it.
+    statistics. Point ``fact_conf(sf_dir)`` at ``path`` to use it.
     """
-    df = _implementations_from_sources(spark, sf_dir)
+    df = _implementations_from_sources(spark, sf_dir, list(VIEW))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(n, "date_go_live").sortWithinPartitions("date_go_live", "org_id")
        .write.mode("overwrite").parquet(path))
 
 
-def implementations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rollout view: the materialized fact when ``FACT_CONF`` names one,
-    else computed from the source tables."""
-    path = spark.conf.get(FACT_CONF, None)
-    if path:
-        return spark.read.parquet(path)
-    return _implementations_from_sources(spark, sf_dir)
-
+def implementations(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """The rollout view, or the given columns of it: from the materialized fact
+    of this source if there is one, else computed from the source tables.
 
-def _implementations_from_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per rollout (a lineitem), with org, vendor and money columns.
-
-    The fact joins each dimension as a plain scan, nation last. The planner
-    then decides broadcast vs sort-merge per dimension from that scan's own
-    size (autoBroadcastJoinThreshold, re-checked at runtime by AQE): small
-    dimensions are broadcast, large ones (orders, part, customer at scale)
-    are shuffled on their keys. Joining customer to nation first would make
-    the optimizer multiply their sizes and shuffle even tiny dimensions.
+    Only dimensions that a column needs are joined (an inner join cannot be
+    removed by the optimizer). Rollouts without their order, customer,
+    supplier or part are therefore missing only where that dimension is asked
+    for; ``dq_orphans`` counts them.
     """
-    li = table(spark, sf_dir, "lineitem")
-    od = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    cu = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    pa = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-         .join(cu, F.col("o_custkey") == F.col("c_custkey"))
-         .join(su, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(pa, F.col("l_partkey") == F.col("p_partkey"))
-         .join(_nation_region(spark, sf_dir, "cn"), F.col("c_nationkey") == F.col("cn_nationkey"))
-         .join(_nation_region(spark, sf_dir, "sn"), F.col("s_nationkey") == F.col("sn_nationkey")))
+    wanted = list(columns or VIEW)
+    path = spark.conf.get(fact_conf(sf_dir), None)
+    if path:
+        return spark.read.parquet(path).select(*wanted)
+    return _implementations_from_sources(spark, sf_dir, wanted)
+
 
+def _view_columns() -> dict[str, tuple[str, Column]]:
+    """Column -> (the dimensions it needs, its expression)."""
     go_live = F.col("l_shipdate").cast("date")
     capex = money("l_extendedprice")
     disc = F.col("l_discount").cast("decimal(4,2)")
@@ -109,26 +84,61 @@ def _implementations_from_sources(spark: SparkSession, sf_dir: str) -> DataFrame
               .when(F.col("o_orderstatus") == "O", "pilot_ok")
               .when(F.col("l_linestatus") == "O", "pilot")
               .otherwise("planned"))
-    return j.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    go_live.cast("string")).alias("impl_key"),
-        F.col("o_custkey").alias("org_id"),
-        F.col("c_name").alias("org_name"),
-        F.col("p_name").alias("solution_name"),
-        F.col("s_name").alias("vendor_name"),
-        F.col("p_type").alias("class_scm"),
-        F.col("cn_nation").alias("region_name"),
-        F.col("c_mktsegment").alias("industry_name"),
-        go_live.alias("date_go_live"),
-        status.alias("status"),
-        (F.col("cn_regionkey") == F.col("sn_regionkey")).alias("is_domestic"),
-        capex.alias("capex"),
-        (capex * (F.lit(1) - disc)).alias("revenue_uplift"),
-        (capex * tax).cast("decimal(18,4)").alias("opex_delta"),
-        nan_to_null(F.col("l_quantity") / F.lit(25.0)).alias("inv_turnover_delta"),
-        F.datediff("l_shipdate", "o_orderdate").cast("long").alias("lead_time_delta"),
-        (capex * disc).cast("decimal(18,4)").alias("penalties_delta"),
-    )
+    return {
+        "impl_key": ("", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                     go_live.cast("string"))),
+        "org_id": ("orders", F.col("o_custkey")),
+        "org_name": ("orders customer", F.col("c_name")),
+        "solution_name": ("part", F.col("p_name")),
+        "vendor_name": ("supplier", F.col("s_name")),
+        "class_scm": ("part", F.col("p_type")),
+        "region_name": ("orders customer cn", F.col("cn_nation")),
+        "industry_name": ("orders customer", F.col("c_mktsegment")),
+        "date_go_live": ("", go_live),
+        "status": ("orders", status),
+        "is_domestic": ("orders customer supplier cn sn", F.col("cn_regionkey") == F.col("sn_regionkey")),
+        "capex": ("", capex),
+        "revenue_uplift": ("", capex * (F.lit(1) - disc)),
+        "opex_delta": ("", (capex * tax).cast("decimal(18,4)")),
+        "inv_turnover_delta": ("", nan_to_null(F.col("l_quantity") / F.lit(25.0))),
+        "lead_time_delta": ("orders", F.datediff("l_shipdate", "o_orderdate").cast("long")),
+        "penalties_delta": ("", (capex * disc).cast("decimal(18,4)")),
+    }
+
+
+VIEW = ("impl_key", "org_id", "org_name", "solution_name", "vendor_name", "class_scm", "region_name", "industry_name",
+        "date_go_live", "status", "is_domestic", "capex", "revenue_uplift", "opex_delta", "inv_turnover_delta",
+        "lead_time_delta", "penalties_delta")
+
+
+def _implementations_from_sources(spark: SparkSession, sf_dir: str, wanted: list[str]) -> DataFrame:
+    """One row per rollout (a lineitem), with the wanted columns.
+
+    The fact joins each dimension as a plain scan, nation last. The planner
+    then decides broadcast vs sort-merge per dimension from that scan's own
+    size (autoBroadcastJoinThreshold, re-checked at runtime by AQE): small
+    dimensions are broadcast, large ones (orders, part, customer at scale)
+    are shuffled on their keys. Joining customer to nation first would make
+    the optimizer multiply their sizes and shuffle even tiny dimensions.
+    """
+    columns = _view_columns()
+    needed = {d for c in wanted for d in columns[c][0].split()}
+    j = table(spark, sf_dir, "lineitem")
+    dimensions = [
+        ("orders", "l_orderkey", "o_orderkey", lambda: table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")),
+        ("customer", "o_custkey", "c_custkey", lambda: table(spark, sf_dir, "customer").select(
+            "c_custkey", "c_name", "c_nationkey", "c_mktsegment")),
+        ("supplier", "l_suppkey", "s_suppkey", lambda: table(spark, sf_dir, "supplier").select(
+            "s_suppkey", "s_name", "s_nationkey")),
+        ("part", "l_partkey", "p_partkey", lambda: table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")),
+        ("cn", "c_nationkey", "cn_nationkey", lambda: _nation_region(spark, sf_dir, "cn")),
+        ("sn", "s_nationkey", "sn_nationkey", lambda: _nation_region(spark, sf_dir, "sn")),
+    ]
+    for name, fk, pk, scan in dimensions:
+        if name in needed:
+            j = j.join(scan(), F.col(fk) == F.col(pk))
+    return j.select(*[columns[c][1].alias(c) for c in wanted])
 
 
 # Measure types by k % 4, and the approval-date spreading rule.
