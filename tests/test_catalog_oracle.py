@@ -79,8 +79,7 @@ def _plan(spark, sf_dir, key):
     return QUERIES[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key,joins", [("row_counts", 0), ("top_k", 1), ("dq_in_set", 1), ("industry_share", 2),
-                                       ("vendor_share", 1), ("dq_range", 1)])
+@pytest.mark.parametrize("key,joins", [("row_counts", 0), ("top_k", 1), ("dq_in_set", 1), ("industry_share", 2), ("dq_range", 1)])
 def test_only_needed_dimensions_are_joined(spark, sf_dir, key, joins):
     plan = QUERIES[key](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert sum(line.lstrip(" :+-").startswith("Join") for line in plan.splitlines()) == joins
