@@ -9,13 +9,16 @@ is unique leave, the others get a new rank; this ends at the threshold. Two
 steps before the first sort keep positions out that need no ranking:
 
 * Windows that share their least hashed k-gram (their anchor) form a cell, of
-  about forty windows. An anchor's k-gram that occurs in one cell only proves
-  all windows of that cell unique. One row per cell is shuffled, not one per
-  position.
-* Cells with equal content (all bytes of all their windows) are equal window
-  by window: all but the earliest are repeats as a whole. Only the earliest
-  cells of different content around the same anchor, which lie at the edges
-  of repeated passages, go on to the doubling, position by position.
+  about forty windows. Cells are compared by anchor: one row per cell is
+  shuffled, not one per position. An anchor that occurs in one cell only proves
+  all windows of that cell unique; cells with equal content (all bytes of all
+  their windows) are equal window by window, so all but the earliest are
+  repeats as a whole.
+* What is left, the earliest cells of different content around one anchor, is
+  compared again in runs of at most ``RUN`` windows at the same distance from
+  the anchor, by the bytes that all windows of such a run have in common. Only
+  runs that share those but differ elsewhere, at the edges of repeated
+  passages, go on to the doubling, position by position.
 
 Equal strings are told by 64-bit hashes of each half (128 bits together).
 
@@ -35,12 +38,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import IdFilter, table, xxhash64
+from tidewater.llm.common import IdFilter, located, table, xxhash64
 from tidewater.llm.shingles import mix
 from tidewater.session import materialize
 
 LENGTH = 100
 GRAM = 24
+RUN = 8
 CHUNK = 1 << 18
 _rng = np.random.default_rng(7)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -66,11 +70,12 @@ class Chunk:
         return mix((self.sums[at + length] - self.sums[at]) * _BACK[at])
 
     def cells(self, starts: np.ndarray, length: int, gram: int):
-        """(start, windows, anchor hash) of the cells; ``starts`` are where
-        documents begin. No window crosses into another document."""
+        """(start, windows, anchor position, anchor hash) of the cells;
+        ``starts`` are where documents begin. No window crosses into another
+        document."""
         none = np.zeros(0, np.int64)
         if self.size < length:
-            return none, none, none
+            return none, none, none, none
         key = self.hashes(slice(None), gram)
         low = key >> np.uint64(24) << np.uint64(24) | np.arange(len(key), dtype=np.uint64)
         span, width = length - gram + 1, 1
@@ -85,11 +90,11 @@ class Chunk:
         inside = doc[:len(anchor)] == doc[length - 1:length - 1 + len(anchor)]
         at = np.flatnonzero(inside)
         if not len(at):
-            return none, none, none
+            return none, none, none, none
         new = np.ones(len(at), bool)
         new[1:] = (np.diff(at) > 1) | (np.diff(anchor[at]) != 0)
         first = np.flatnonzero(new)
-        return at[first], np.diff(first, append=len(at)), key[anchor[at[first]]].view(np.int64)
+        return at[first], np.diff(first, append=len(at)), anchor[at[first]], key[anchor[at[first]]].view(np.int64)
 
 
 def chunks(texts: list[str | None], length: int) -> Iterator[tuple[Chunk, np.ndarray, np.ndarray, np.ndarray]]:
@@ -119,58 +124,89 @@ def chunks(texts: list[str | None], length: int) -> Iterator[tuple[Chunk, np.nda
         yield made()
 
 
-def _located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows as (doc_id, row_no, text). Where ids are unique row_no is 0, which
-    takes next to no room when rows are shuffled."""
-    ids = docs.groupBy(id_col).count().filter((F.col("count") > 1) | F.col(id_col).isNull()).limit(1)
-    row_no = F.monotonically_increasing_id() if ids.count() else F.lit(0).cast("long")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row_no.alias("row_no"), F.col(text_col).alias("text"))
+FOUND = "doc_id long, row_no long, start long, windows int, anchor long, content long"
 
 
 def _cells(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """One row per cell, with the hashes of its anchor and its content."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk, starts, docs, offsets in chunks(list(batch["text"]), length):
-                at, n, anchor = chunk.cells(starts, length, gram)
+                at, n, _, anchor = chunk.cells(starts, length, gram)
                 part = np.searchsorted(starts, at, "right") - 1
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].array[docs[part]], "row_no": batch["row_no"].to_numpy()[docs[part]],
                     "start": at - starts[part] + offsets[part], "windows": n.astype(np.int32), "anchor": anchor,
                     "content": chunk.hashes(at, length - 1 + n).view(np.int64)})
 
-    return rows.mapInPandas(run, "doc_id long, row_no long, start long, windows int, anchor long, content long")
+    return rows.mapInPandas(run, FOUND)
 
 
-def _open_positions(rows: DataFrame, cells: DataFrame, length: int, gram: int) -> DataFrame:
-    """The positions of the open cells with the ranks of their four quarters.
-    Cells are found again from the texts; a few more than the open ones may
-    come, which adds comparisons but no wrong ones."""
-    wanted = IdFilter(cells.select(F.xxhash64("doc_id", "row_no", "start").alias("cell")), "cell")
+def _key(cells: DataFrame) -> DataFrame:
+    return cells.select(F.xxhash64("doc_id", "row_no", "start").alias("cell"))
+
+
+def _finer(rows: DataFrame, length: int, gram: int, cells: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """The runs of the given cells or, with ``runs``, the positions of these
+    with the ranks of their four quarters. Both are found again from the texts
+    by filters that let a few more through than asked for: that adds
+    comparisons of true positions, never a wrong result."""
+    in_cells = IdFilter(_key(cells), "cell")
+    in_runs = IdFilter(_key(runs), "cell") if runs is not None else None
     quarter = length // 4
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = batch["doc_id"].fillna(0).to_numpy(np.int64)
-            null = batch["doc_id"].isna().to_numpy()
             numbers = batch["row_no"].to_numpy()
+            # Spark leaves the seed as it is for a null column
+            seeds = xxhash64(numbers, np.where(batch["doc_id"].isna(), np.uint64(42), xxhash64(ids)))
             for chunk, starts, docs, offsets in chunks(list(batch["text"]), length):
-                at, n, _ = chunk.cells(starts, length, gram)
+                at, n, anchor, _ = chunk.cells(starts, length, gram)
                 part = np.searchsorted(starts, at, "right") - 1
-                doc, start = docs[part], at - starts[part] + offsets[part]
-                # Spark leaves the seed as it is for a null column
-                seed = np.where(null[doc], np.uint64(42), xxhash64(ids[doc]))
-                cell = xxhash64(start, xxhash64(numbers[doc], seed)).view(np.int64)
-                keep = wanted(cell)
-                at, n, doc, start = at[keep], n[keep], doc[keep], start[keep]
-                if not len(at):
+                doc, shift = docs[part], offsets[part] - starts[part]
+                keep = np.flatnonzero(in_cells(xxhash64(at + shift, seeds[doc]).view(np.int64)))
+                if not len(keep):
+                    continue
+                # from cells to runs of equal distance from the anchor
+                cell = np.repeat(keep, n[keep])
+                pos = np.repeat(at[keep] - np.cumsum(n[keep]) + n[keep], n[keep]) + np.arange(len(cell))
+                band = (anchor[cell] - pos) // RUN
+                new = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (band[1:] != band[:-1])]))
+                size, cell, band, first = np.diff(new, append=len(cell)), cell[new], band[new], pos[new]
+                doc, shift = doc[cell], shift[cell]
+                if in_runs is None:
+                    core = chunk.hashes(anchor[cell] - RUN * band, length - RUN + 1)
+                    yield pd.DataFrame({
+                        "doc_id": batch["doc_id"].array[doc], "row_no": numbers[doc], "start": first + shift,
+                        "windows": size.astype(np.int32), "anchor": mix(core + band.astype(np.uint64)).view(np.int64),
+                        "content": chunk.hashes(first, length - 1 + size).view(np.int64)})
                     continue
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                at, start, doc = np.repeat(at, n) + step, np.repeat(start, n) + step, np.repeat(doc, n)
-                yield pd.DataFrame(
-                    {"doc_id": batch["doc_id"].array[doc], "row_no": numbers[doc], "start": start}
-                    | {f"r{i}": chunk.hashes(at + i * quarter, quarter).view(np.int64) for i in range(4)})
+                keep = in_runs(xxhash64(first + shift, seeds[doc]).view(np.int64))
+                first, size, doc, shift = first[keep], size[keep], doc[keep], shift[keep]
+                pos = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+                doc, shift = np.repeat(doc, size), np.repeat(shift, size)
+                yield pd.DataFrame({"doc_id": batch["doc_id"].array[doc], "row_no": numbers[doc], "start": pos + shift}
+                                   | {f"r{i}": chunk.hashes(pos + i * quarter, quarter).view(np.int64) for i in range(4)})
 
-    return rows.mapInPandas(run, "doc_id long, row_no long, start long, " + ", ".join(f"r{i} long" for i in range(4)))
+    schema = FOUND if runs is None else "doc_id long, row_no long, start long, " + ", ".join(f"r{i} long" for i in range(4))
+    return rows.mapInPandas(run, schema)
+
+
+def _compared(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Of cells or runs: those that repeat an earlier one as a whole, and the
+    earliest ones that share their anchor with others of different content."""
+    place = F.struct("doc_id", "row_no", "start")
+    anchor = Window.partitionBy("anchor")
+    # one shuffle by anchor serves both windows
+    found = (found.repartition("anchor")
+             .withColumn("first", F.min(place).over(Window.partitionBy("anchor", "content")))
+             .withColumn("low", F.min("content").over(anchor)).withColumn("high", F.max("content").over(anchor))
+             .select("doc_id", "row_no", "start", "windows", (place == F.col("first")).alias("is_first"),
+                     (F.col("low") != F.col("high")).alias("open"))
+             .filter("not is_first or open"))
+    found = materialize(found, name)
+    return found.filter("not is_first"), found.filter("is_first and open")
 
 
 def prefix_doubling(positions: DataFrame, ranks: list[str]) -> DataFrame:
@@ -195,21 +231,11 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     """(doc_id, row_no, ranges): byte ranges covered by repeated strings."""
     if length % 4:
         raise ValueError("length must be a multiple of four")
-    place = F.struct("doc_id", "row_no", "start")
-    # one shuffle by anchor serves both windows
-    found = _cells(rows, length, gram).repartition("anchor")
-    found = (found.withColumn("first", F.min(place).over(Window.partitionBy("anchor", "content")))
-             .withColumn("n", F.count("*").over(Window.partitionBy("anchor")))
-             .withColumn("low", F.min("content").over(Window.partitionBy("anchor")))
-             .withColumn("high", F.max("content").over(Window.partitionBy("anchor")))
-             .filter("n > 1").select("doc_id", "row_no", "start", "windows",
-                                     (place == F.col("first")).alias("is_first"), (F.col("low") != F.col("high")).alias("open"))
-             .filter("not is_first or open"))
-    found = materialize(found, "repeat-cells")
-    whole = found.filter("not is_first").select(
-        "doc_id", "row_no", F.struct("start", (F.col("start") + F.col("windows") - 1 + length).alias("end")).alias("range"))
-    open_cells = found.filter("is_first and open")
-    single = prefix_doubling(_open_positions(rows, open_cells, length, gram), [f"r{i}" for i in range(4)]).select(
+    cells, open_cells = _compared(_cells(rows, length, gram), "repeat-cells")
+    runs, open_runs = _compared(_finer(rows, length, gram, open_cells), "repeat-runs")
+    end = F.col("start") + F.col("windows") - 1 + length
+    whole = cells.union(runs).select("doc_id", "row_no", F.struct("start", end.alias("end")).alias("range"))
+    single = prefix_doubling(_finer(rows, length, gram, open_cells, open_runs), [f"r{i}" for i in range(4)]).select(
         "doc_id", "row_no", F.struct("start", (F.col("start") + length).alias("end")).alias("range"))
     return whole.union(single).groupBy("doc_id", "row_no").agg(F.collect_list("range").alias("ranges"))
 
@@ -229,7 +255,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  gram: int = GRAM, with_bytes: bool = True) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked
     for, the remaining bytes (a cut may fall inside a character)."""
-    rows = _located(docs, id_col, text_col)
+    rows = located(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     ranges = repeated_ranges(rows, length, gram).withColumnsRenamed({"doc_id": "_doc", "row_no": "_row"})
     joined = rows.join(ranges, rows["doc_id"].eqNullSafe(ranges["_doc"]) & (rows["row_no"] == ranges["_row"]), "left")
 
