@@ -29,6 +29,17 @@ def tasks_for(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_task))
 
 
+def drawn(rows: DataFrame, total: int, limit: int, *by: str) -> DataFrame:
+    """The ``limit`` rows of smallest hash of the ``by`` columns, ties by these
+    columns. Of many rows only those below a hash that about twice as many
+    rows as asked for fall under are sorted, so what tasks send on does not
+    grow with the table."""
+    hashed = rows.withColumn("_draw", F.xxhash64(*by))
+    if total > 2 * limit:
+        hashed = hashed.filter(F.col("_draw") < -(1 << 63) + int((1 << 64) * (2 * limit / total)))
+    return hashed.orderBy("_draw", *by).limit(limit).drop("_draw")
+
+
 def attach(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
     """Left-join per-key results to rows without a hot task.
 

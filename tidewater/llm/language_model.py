@@ -301,8 +301,19 @@ class Lookup:
 
 
 def _head(values: DataFrame) -> Lookup:
-    """The HEAD most frequent keys: a bounded table."""
-    rows = values.orderBy(F.desc("total"), "key").limit(HEAD).select("key", "value").toPandas()
+    """The most frequent keys, HEAD at most: those at or above the least step
+    of frequency (sixteenths of a doubling) that no more than HEAD reach."""
+    step = F.floor(16 * F.log2("total"))
+    steps = values.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()  # at most a thousand rows
+    least, size = None, 0
+    for r in steps:
+        size += r["count"]
+        if size > HEAD:
+            break
+        least = r.step
+    if least is None:
+        return Lookup(np.zeros(0, np.int64), np.zeros(0))
+    rows = values.filter(step >= least).select("key", "value", "total").toPandas().sort_values(["total", "key"], ascending=[False, True])
     return Lookup(rows["key"].to_numpy(np.int64), rows["value"].to_numpy(float))
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import crc32_bucket, table
+from tidewater.llm.common import crc32_bucket, drawn, table
 from tidewater.session import materialize
 
 HELD_OUT_OF = 5
@@ -238,9 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not counts.get(True) or not counts.get(False):
         return ToxicityModel(share=float(bool(counts.get(True))))
     share = counts[True] / (counts[True] + counts[False])
-    order = F.xxhash64("_id")
-    sample = known.filter("is_toxic").orderBy(order, "_id").limit(SAMPLE_PER_CLASS).union(
-        known.filter("not is_toxic").orderBy(order, "_id").limit(SAMPLE_PER_CLASS))
+    sample = drawn(known.filter("is_toxic"), counts[True], SAMPLE_PER_CLASS, "_id").union(
+        drawn(known.filter("not is_toxic"), counts[False], SAMPLE_PER_CLASS, "_id"))
     # at most 2 * SAMPLE_PER_CLASS ids: a bounded broadcast
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col)).join(F.broadcast(sample), "_id")
     model = ToxicityModel({e: i for i, e in enumerate(mined_entries(rows, text_col))}, share=share)
@@ -272,8 +271,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     mean, model.accuracies, within = label_model(matrix, n, share, model.lexicons)
     scale = np.sqrt(np.maximum(np.diag(within), 1e-9))
     model.correlations = within / np.outer(scale, scale)
-    drawn = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CLASSIFIER_ROWS).select("features").collect()
-    rows = [list(r.features) for r in drawn]
+    rows = [list(r.features) for r in drawn(found, int(n), CLASSIFIER_ROWS, "doc_id").select("features").collect()]
     target = posteriors(np.array([model.votes(f) for f in rows]), mean, model.accuracies, within, share,
                         model.lexicons)
     model.weights, model.bias = fit_linear(rows, target, len(model.entries) + len(PATTERNS))
