@@ -19,7 +19,7 @@ _FAR = np.ones(1 << 16, np.uint64)
 _FAR[1:] = np.uint64(0xD1342543DE82EF95)
 _FAR = np.multiply.accumulate(_FAR)
 _PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 250_000
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -62,7 +62,7 @@ def shingle_sets(texts: list[str | None], size: int = 5) -> Iterator[np.ndarray]
         words, counts = word_hashes(encoded[i:j])
         n = len(words)
         rows = np.zeros(n, np.uint64)
-        for k in range(size):
+        for k in range(min(size, n)):
             rows[:n - k] += words[k:] * _PLACE[k]
         rows = mix(rows)
         at = 0
@@ -70,8 +70,8 @@ def shingle_sets(texts: list[str | None], size: int = 5) -> Iterator[np.ndarray]
             if count >= size:
                 yield np.unique(rows[at:at + count - size + 1])
             elif count:
-                whole = (words[at:at + count] * _PLACE[8:8 + count]).sum(dtype=np.uint64)
-                yield mix(np.array([whole + _PLACE[20 + count]], np.uint64))
+                whole = (words[at:at + count] * _PLACE[8:8 + count]).sum(dtype=np.uint64, keepdims=True)
+                yield mix(whole + _PLACE[20 + count:21 + count])
             else:
                 yield np.zeros(0, np.uint64)
             at += count
