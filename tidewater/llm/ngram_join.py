@@ -3,17 +3,19 @@
 Documents are sets of 5-word shingles; two link when their Jaccard similarity
 is at least 0.75. All links decide the components; none is lost.
 
-1. Equal sets collapse to one. Similar sets are partitioned into groups: each
-   set is compared with one pivot per min-hash it shares, and verified links
-   join sets into groups. A group is connected already, so only links between
-   groups are left to find.
-2. Of each set the first tokens in hash order are taken (``prefix``): so many
-   that similar sets share at least ``margin`` of them. A token that occurs in
-   one group only cannot link; a set left with too few shared tokens is done.
+1. Equal sets collapse to one. Of each set the first tokens in hash order are
+   taken: so many that similar sets share at least ``margin`` of them. A set
+   with fewer tokens that occur elsewhere is done; the others are live, and
+   only their whole sets are kept.
+2. Live sets are partitioned into groups: each is compared with the most
+   central set (the pivot) among those that share a min-hash with it, and
+   verified links join sets into groups. A group is connected already, so only
+   links between groups are left to find.
 3. The token-group matrix stores each group's token union with the sizes of
-   its members. A query set meets a group at their rarest shared tokens; the
-   overlap it can reach is bounded by sizes and by the number of shared
-   tokens, and only qualifying groups are opened.
+   its members. A token that occurs in one group only cannot link; what a set
+   shares with other groups bounds its overlap with any of them. A query set
+   meets a group at the rarest of these tokens (similar sets must meet there),
+   and only groups that the bound lets through are opened.
 4. Opened members are verified on the whole sets. The smaller group asks the
    larger one, so a group of many copies is never compared with itself.
 
@@ -40,7 +42,7 @@ from tidewater.session import materialize
 WORDS = 5
 # Similarity as a fraction of integers: 100 * |A & B| >= 75 * |A | B|.
 NUM, DEN = 75, 100
-MIN_HASHES = 4
+MIN_HASHES = 8
 _SEEDS = [np.uint64(0x5851F42D4C957F2D * (2 * i + 3) & (1 << 64) - 1) for i in range(MIN_HASHES)]
 
 
@@ -81,25 +83,20 @@ def shingled(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
         run, f"doc_id {id_type}, n long, set_id long, " + ", ".join(f"{m} long" for m in mins))
 
 
-def token_arrays(docs: DataFrame, id_col: str, text_col: str, words: int, prefix: bool,
-                 wanted: DataFrame | None = None) -> DataFrame:
-    """doc_id, set_id and tokens of documents: the prefix in hash order, or
-    all. With ``wanted`` (set_id), rows whose set is certainly not in it are
-    left out."""
+def token_arrays(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: IdFilter) -> DataFrame:
+    """doc_id, set_id and the whole sets of documents; rows whose set is
+    certainly not wanted are left out."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    keep = IdFilter(wanted, "set_id") if wanted is not None else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids, rows, size = [], [], 0
             for doc, s in zip(batch["doc_id"], shingle_sets(list(batch["text"]), words)):
-                if not len(s):
-                    continue
-                key = _set_id(s)
-                if keep is None or keep(np.array([key]))[0]:
+                key = _set_id(s) if len(s) else None
+                if key is not None and wanted(np.array([key]))[0]:
                     ids.append((doc, key))
-                    rows.append((s[:prefix_length(len(s))] if prefix else s).view(np.int64))
-                    size += len(rows[-1])
+                    rows.append(s.view(np.int64))
+                    size += len(s)
                 if size > 500_000:
                     yield pd.DataFrame(ids, columns=["doc_id", "set_id"]).assign(tokens=rows)
                     ids, rows, size = [], [], 0
@@ -110,11 +107,40 @@ def token_arrays(docs: DataFrame, id_col: str, text_col: str, words: int, prefix
         run, f"doc_id {id_type}, set_id long, tokens array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+def prefix_tokens(docs: DataFrame, text_col: str, words: int) -> DataFrame:
+    """One row per prefix token of each document: token, set_id."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            tokens, ids, size = [], [], 0
+            for s in shingle_sets(list(batch["text"]), words):
+                if not len(s):
+                    continue
+                tokens.append(s[:prefix_length(len(s))].view(np.int64))
+                ids.append(np.full(len(tokens[-1]), _set_id(s)))
+                size += len(tokens[-1])
+                if size > 200_000:
+                    yield pd.DataFrame({"token": np.concatenate(tokens), "set_id": np.concatenate(ids)})
+                    tokens, ids, size = [], [], 0
+            if tokens:
+                yield pd.DataFrame({"token": np.concatenate(tokens), "set_id": np.concatenate(ids)})
+
+    return docs.selectExpr(f"`{text_col}` text").mapInPandas(run, "token long, set_id long")
+
+
+def live_sets(docs: DataFrame, classes: DataFrame, text_col: str, words: int) -> DataFrame:
+    """set_id of the sets that can have a partner. One shares at least
+    margin(ceil(t * n)) prefix tokens with this set, n being the set's size.
+    (Copies repeat a token's row, which can only let a set through.)"""
+    by_token = Window.partitionBy("token")
+    shared = (prefix_tokens(docs, text_col, words)
+              .withColumn("lo", F.min("set_id").over(by_token)).withColumn("hi", F.max("set_id").over(by_token))
+              .filter("lo <> hi").groupBy("set_id").agg(F.count("*").alias("shared")))
+    need = F.expr(f"(({NUM} * n + {DEN - 1}) div {DEN} + 9) div 10")
+    return shared.join(classes, "set_id").filter(F.col("shared") >= need).select("set_id")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of set ids whose whole sets are similar."""
-    wanted = materialize(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "wanted-sets")
-    arrays = token_arrays(docs, id_col, text_col, words, prefix=False, wanted=wanted)
-    sets = materialize(arrays.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "wanted-tokens")
     a, b = (sets.select(F.col("set_id").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
     shared = F.size(F.array_intersect("ta", "tb"))
     union = F.size("ta") + F.size("tb") - shared
@@ -126,67 +152,92 @@ def similar_sizes(n, low, high):
     return (DEN * n >= NUM * low) & (DEN * high >= NUM * n)
 
 
+def within_reach(n, reach, low, other_reach):
+    """The overlap that a link of sizes n and low needs is within what either
+    side shares at most: 100 * o >= 75 * (n + low - o)."""
+    return (NUM + DEN) * F.least(reach, other_reach) >= NUM * (n + low)
+
+
+def pivot_pairs(sets: DataFrame, total: int) -> DataFrame:
+    """(a, b): set b with the pivot a of each min-hash it shares. The pivot is
+    the member whose min-hashes are shared most, so it lies in the middle."""
+    hashes = sets.select("set_id", "n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"m{i}").alias("m")) for i in range(MIN_HASHES)])).alias("key"))
+    counts = hashes.groupBy("key").agg(F.count("*").alias("group_rows")).filter("group_rows > 1")
+    counted = materialize(attach(hashes, counts, "key", total).filter("group_rows is not null"), "min-hashes")
+    centre = counted.groupBy("set_id").agg(F.sum("group_rows").alias("weight"))
+    pivots = counted.join(centre, "set_id").groupBy("key").agg(
+        F.count("*").alias("group_rows"), F.max(F.struct("weight", "set_id", "n")).alias("p"))
+    met = attach(counted.select("key", "set_id", "n"), pivots, "key", total)
+    return met.filter((F.col("p.set_id") != F.col("set_id")) & similar_sizes(F.col("n"), F.col("p.n"), F.col("p.n"))).select(
+        F.col("p.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
+
+
+def opened_pairs(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b): query set a and member b of a group that the matrix lets through.
+    ``known`` has set_id, n, grp and group_size."""
+    by_token, by_set = Window.partitionBy("token"), Window.partitionBy("set_id")
+    least = F.expr(f"({NUM} * n + {DEN - 1}) div {DEN}")
+    tokens = sets.select("set_id", F.explode("tokens").alias("token")).join(known, "set_id")
+    kept = (tokens.withColumn("df", F.count("*").over(by_token))
+            .withColumn("lo", F.min("grp").over(by_token)).withColumn("hi", F.max("grp").over(by_token))
+            .filter("lo <> hi").drop("lo", "hi")
+            .withColumn("reach", F.count("*").over(by_set)).filter(F.col("reach") >= least)
+            .withColumn("nth", F.row_number().over(by_set.orderBy("df", "token")))
+            .filter(F.col("nth") <= F.col("reach") - least + 1))
+    kept = materialize(kept.select("token", "set_id", "n", "reach", "grp", "group_size"), "matrix-tokens")
+    matrix = kept.groupBy("token", "grp").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("far"),
+        F.first("group_size").alias("size")).withColumnRenamed("grp", "other")
+    asked = kept.join(matrix, "token").filter(
+        (F.struct("group_size", "grp") < F.struct(F.col("size"), F.col("other")))
+        & similar_sizes(F.col("n"), F.col("low"), F.col("high"))
+        & within_reach(F.col("n"), F.col("reach"), F.col("low"), F.col("far")))
+    opened = asked.select("set_id", "n", "reach", "other").distinct()
+    members = kept.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("reach").alias("far"),
+                          F.col("grp").alias("other")).distinct()
+    return opened.join(members, "other").filter(
+        similar_sizes(F.col("n"), F.col("nb"), F.col("nb"))
+        & within_reach(F.col("n"), F.col("reach"), F.col("nb"), F.col("far"))).select(F.col("set_id").alias("a"), "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    sets = materialize(shingled(docs, id_col, text_col, words), "shingled")
-    total = sets.count()
-    classes = materialize(sets.filter("n > 0").groupBy("set_id").agg(
+    found = materialize(shingled(docs, id_col, text_col, words), "shingled")
+    total = found.count()
+    mins = [f"m{i}" for i in range(MIN_HASHES)]
+    classes = materialize(found.filter("n > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("first_doc"), F.count("*").alias("group_rows"), F.first("n").alias("n"),
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(MIN_HASHES)]), "set-classes")
-
-    # groups: links to the pivot (smallest set id) of each shared min-hash
-    hashes = classes.select("set_id", "n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(f"m{i}").alias("m")) for i in range(MIN_HASHES)])).alias("h"))
-    hashes = hashes.select("set_id", "n", F.struct("h.i", "h.m").alias("key"))
-    pivots = hashes.groupBy("key").agg(F.count("*").alias("group_rows"), F.min(F.struct("set_id", "n")).alias("p")).filter("group_rows > 1")
-    pairs = attach(hashes, pivots, "key", total).filter("p is not null and p.set_id <> set_id").filter(
-        similar_sizes(F.col("n"), F.col("p.n"), F.col("p.n"))).select(
-        F.col("p.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
-    links = materialize(verified(materialize(pairs, "pivot-pairs"), docs, id_col, text_col, words), "pivot-links")
+        *[F.first(m).alias(m) for m in mins]), "set-classes")
+    live = materialize(live_sets(docs, classes, text_col, words), "live-sets")
+    arrays = token_arrays(docs, id_col, text_col, words, IdFilter(live, "set_id"))
+    one = classes.join(live, "set_id", "left_semi").select("set_id", "first_doc", "n", *mins)
+    sets = materialize(arrays.join(one, "set_id").filter(F.col("doc_id").eqNullSafe(F.col("first_doc")))
+                       .drop("doc_id", "first_doc").dropDuplicates(["set_id"]), "live-tokens")
+    links = materialize(verified(materialize(pivot_pairs(sets.drop("tokens"), total), "pivot-pairs"), sets), "pivot-links")
     groups = materialize(components(links), "groups")
     sizes = groups.groupBy("root").agg(F.count("*").alias("group_size"))
-    known = classes.join(groups.join(sizes, "root").select(F.col("node").alias("set_id"), "root", "group_size"), "set_id", "left")
-    known = known.select("set_id", "first_doc", "n", F.coalesce("root", "set_id").alias("grp"), F.coalesce("group_size", F.lit(1)).alias("group_size"))
+    known = sets.select("set_id", "n").join(
+        groups.join(sizes, "root").select(F.col("node").alias("set_id"), "root", "group_size"), "set_id", "left").select(
+        "set_id", "n", F.coalesce("root", "set_id").alias("grp"), F.coalesce("group_size", F.lit(1)).alias("group_size"))
+    across = verified(materialize(opened_pairs(sets, known), "opened-pairs"), sets)
+    linked = materialize(components(links.union(across)), "components")
 
-    # shared prefix tokens
-    arrays = token_arrays(docs, id_col, text_col, words, prefix=True)
-    tokens = arrays.join(known, "set_id").filter(F.col("doc_id").eqNullSafe(F.col("first_doc"))).select("set_id", "n", "grp", "group_size", F.explode("tokens").alias("token"))
-    by_token = Window.partitionBy("token")
-    shared = (tokens.withColumn("df", F.count("*").over(by_token))
-              .withColumn("lo", F.min("grp").over(by_token)).withColumn("hi", F.max("grp").over(by_token))
-              .filter("lo <> hi").drop("lo", "hi"))
-    shared = materialize(shared, "shared-tokens")
-    # a partner shares at least margin(ceil(t * n)) prefix tokens: enough must
-    # be left, and the rarest of them up to there must hold a common one
-    need = F.expr(f"(({NUM} * n + {DEN - 1}) div {DEN} + 9) div 10")
-    by_set = Window.partitionBy("set_id")
-    live = (shared.withColumn("left", F.count("*").over(by_set)).withColumn("need", need).filter("left >= need")
-            .withColumn("nth", F.row_number().over(by_set.orderBy("df", "token")))
-            .filter("nth <= left - need + 1").select("token", "set_id", "n", "grp", "group_size"))
-    live = materialize(live, "live-tokens")
-
-    # token-group matrix, queries from the smaller group to the larger
-    matrix = live.groupBy("token", "grp").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.first("group_size").alias("size"))
-    matrix = matrix.withColumnRenamed("grp", "other")
-    asked = live.join(matrix, "token").filter(
-        (F.struct("group_size", "grp") < F.struct(F.col("size"), F.col("other")))
-        & similar_sizes(F.col("n"), F.col("low"), F.col("high")))
-    opened = asked.select("set_id", "n", "other").distinct()
-    members = known.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("grp").alias("other"))
-    pairs = opened.join(members, "other").filter(similar_sizes(F.col("n"), F.col("nb"), F.col("nb"))).select(
-        F.col("set_id").alias("a"), "b").distinct()
-    across = verified(materialize(pairs, "opened-pairs"), docs, id_col, text_col, words)
-    comp = materialize(components(links.union(across)), "components")
-
-    # back to documents
-    named = classes.join(comp.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn(
+    named = classes.join(linked.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn(
         "root", F.coalesce("root", "set_id"))
     first = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     named = named.join(first, "root").select("set_id", "group_rows", "component_id")
-    found = attach(sets.select("doc_id", "n", "set_id"), named, "set_id", total)
-    return found.select("doc_id", F.col("n").alias("n_shingles"),
-                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return attach(found.select("doc_id", "n", "set_id"), named, "set_id", total).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: the one of smallest id.
+    The dropped ids are written once, so that the planner sees their number."""
+    gone = materialize(near_duplicates(docs, id_col, text_col).filter("component_id <> doc_id").select(
+        F.col("doc_id").alias(id_col)).distinct(), "near-dropped")
+    return docs.join(gone, id_col, "left_anti")
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
