@@ -51,7 +51,8 @@ def test_language_model_matches_dictionaries(docs, rows, monkeypatch):
     want = L.brute_force(some)
     chosen = docs.filter(docs.doc_id.isin([r[0] for r in some]))
     for head, piece in ((1 << 19, 1 << 18), (200, 500)):  # all in the head and whole; mostly joined and in pieces
-        monkeypatch.setattr(L, "HEAD", head)
+        monkeypatch.setattr(L, "HEAD_STRINGS", head)
+        monkeypatch.setattr(L, "HEAD_WORDS", head)
         monkeypatch.setattr(L, "PIECE", piece)
         got = {r.doc_id: (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in L.score(chosen).collect()}
         assert set(got) == set(want)

@@ -12,9 +12,9 @@ of all texts sum to one. A text's code length is -log2 of its probability.
 The counts of all (context, byte) strings and of all words are summed over the
 whole training part in Spark. The tree is worked on in partitions by the two
 nearest context bytes; only depths 0 and 1 (at most 65,280 nodes) are put
-together on the driver. Scoring broadcasts the ``HEAD`` most frequent strings
-and words; the rarer ones are joined by shuffle, so no table's size is bounded
-by the driver or a worker.
+together on the driver. Scoring broadcasts the most frequent strings and words
+(``HEAD_STRINGS``, ``HEAD_WORDS``); the rarer ones are joined by shuffle, so no
+table's size is bounded by the driver or a worker.
 
 Base score: add-0.1 smoothed unigrams of words (see the SQL-like formula in
 ``base``), with the end of a text as one token.
@@ -42,7 +42,8 @@ from tidewater.session import materialize
 
 HELD_OUT_OF = 10
 DEPTH = 4
-HEAD = 1 << 19
+HEAD_STRINGS = 1 << 19
+HEAD_WORDS = 1 << 18
 PIECE = 1 << 18
 END = b"\xff"
 # The end token's hash; no word can contain a blank, so none is hashed like it.
@@ -275,7 +276,7 @@ class Lookup:
     keys whose slot is taken by a more frequent one."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(8, (4 * len(keys) + 1).bit_length())
+        self.bits = max(8, (2 * len(keys) + 1).bit_length())
         slot = self._slot(keys)
         self.key, self.value = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
         self.key[slot[::-1]], self.value[slot[::-1]] = keys[::-1], values[::-1]  # the first of a slot is written last
@@ -300,21 +301,22 @@ class Lookup:
         return value, found
 
 
-def _head(values: DataFrame) -> Lookup:
-    """The most frequent keys, HEAD at most: those at or above the least step
-    of frequency (sixteenths of a doubling) that no more than HEAD reach."""
+def _head(values: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of the most frequent keys, ``most`` at most, in falling
+    order: those at or above the least step of frequency (sixteenths of a
+    doubling) that no more than ``most`` reach."""
     step = F.floor(16 * F.log2("total"))
     steps = values.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()  # at most a thousand rows
     least, size = None, 0
     for r in steps:
         size += r["count"]
-        if size > HEAD:
+        if size > most:
             break
         least = r.step
     if least is None:
-        return Lookup(np.zeros(0, np.int64), np.zeros(0))
+        return np.zeros(0, np.int64), np.zeros(0)
     rows = values.filter(step >= least).select("key", "value", "total").toPandas().sort_values(["total", "key"], ascending=[False, True])
-    return Lookup(rows["key"].to_numpy(np.int64), rows["value"].to_numpy(float))
+    return rows["key"].to_numpy(np.int64), rows["value"].to_numpy(float)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: int = HELD_OUT_OF) -> DataFrame:
@@ -330,11 +332,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: i
     strings = materialize(counted.filter("not is_word").select("key", "train", "total"), "lm-strings")
     by_context = strings.repartition(F.expr("key >> 8 & 65535"))
     log_strings = materialize(string_scores(by_context), "lm-scores")
-    shared = spark.sparkContext.broadcast((_head(log_strings), _head(log_words)))
+    shared = spark.sparkContext.broadcast((_head(log_strings, HEAD_STRINGS), _head(log_words, HEAD_WORDS)))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heads = shared.value
+        heads = [Lookup(*head) for head in shared.value]
         for batch in batches:
             size = len(batch)
             sums, hits, seen = np.zeros((2, size)), np.zeros((2, size), np.int64), np.zeros((2, size), np.int64)
