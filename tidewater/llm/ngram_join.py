@@ -43,6 +43,7 @@ WORDS = 5
 # Similarity as a fraction of integers: 100 * |A & B| >= 75 * |A | B|.
 NUM, DEN = 75, 100
 MIN_HASHES = 8
+SKETCH = 128
 _SEEDS = [np.uint64(0x5851F42D4C957F2D * (2 * i + 3) & (1 << 64) - 1) for i in range(MIN_HASHES)]
 
 
@@ -160,22 +161,26 @@ def within_reach(n, reach, low, other_reach):
 
 def pivot_pairs(sets: DataFrame, total: int) -> DataFrame:
     """(a, b): set b with the pivot a of each min-hash it shares. The pivot is
-    the member whose min-hashes are shared most, so it lies in the middle."""
-    hashes = sets.select("set_id", "n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(f"m{i}").alias("m")) for i in range(MIN_HASHES)])).alias("key"))
-    counts = hashes.groupBy("key").agg(F.count("*").alias("group_rows")).filter("group_rows > 1")
-    counted = materialize(attach(hashes, counts, "key", total).filter("group_rows is not null"), "min-hashes")
-    centre = counted.groupBy("set_id").agg(F.sum("group_rows").alias("weight"))
-    pivots = counted.join(centre, "set_id").groupBy("key").agg(
-        F.count("*").alias("group_rows"), F.max(F.struct("weight", "set_id", "n")).alias("p"))
-    met = attach(counted.select("key", "set_id", "n"), pivots, "key", total)
+    the member whose tokens occur most often (by its first SKETCH tokens in
+    hash order), so it lies in the middle of a family of copies."""
+    sketch = sets.select("set_id", F.explode(F.slice("tokens", 1, SKETCH)).alias("token"))
+    often = sketch.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    centre = sketch.join(often, "token").groupBy("set_id").agg(F.sum("df").alias("weight"))
+    hashes = sets.join(centre, "set_id", "left").select(
+        "set_id", "n", F.coalesce("weight", F.lit(0)).alias("weight"), F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.col(f"m{i}").alias("m")) for i in range(MIN_HASHES)])).alias("key"))
+    hashes = materialize(hashes, "min-hashes")
+    pivots = hashes.groupBy("key").agg(F.count("*").alias("group_rows"), F.max(F.struct("weight", "set_id", "n")).alias("p")).filter(
+        "group_rows > 1")
+    met = attach(hashes.select("key", "set_id", "n"), pivots, "key", total)
     return met.filter((F.col("p.set_id") != F.col("set_id")) & similar_sizes(F.col("n"), F.col("p.n"), F.col("p.n"))).select(
         F.col("p.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
 
 
 def opened_pairs(sets: DataFrame, known: DataFrame) -> DataFrame:
     """(a, b): query set a and member b of a group that the matrix lets through.
-    ``known`` has set_id, n, grp and group_size."""
+    ``known`` has set_id, n, grp and group_size. Within a group the matrix
+    keeps sets of nearly equal size (a band) apart, so its bounds are tight."""
     by_token, by_set = Window.partitionBy("token"), Window.partitionBy("set_id")
     least = F.expr(f"({NUM} * n + {DEN - 1}) div {DEN}")
     tokens = sets.select("set_id", F.explode("tokens").alias("token")).join(known, "set_id")
@@ -186,17 +191,18 @@ def opened_pairs(sets: DataFrame, known: DataFrame) -> DataFrame:
             .withColumn("nth", F.row_number().over(by_set.orderBy("df", "token")))
             .filter(F.col("nth") <= F.col("reach") - least + 1))
     kept = materialize(kept.select("token", "set_id", "n", "reach", "grp", "group_size"), "matrix-tokens")
-    matrix = kept.groupBy("token", "grp").agg(
+    kept = kept.withColumn("band", F.floor(50 * F.log("n")))
+    matrix = kept.groupBy("token", "grp", "band").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("far"),
-        F.first("group_size").alias("size")).withColumnRenamed("grp", "other")
+        F.first("group_size").alias("size")).withColumnsRenamed({"grp": "other", "band": "other_band"})
     asked = kept.join(matrix, "token").filter(
         (F.struct("group_size", "grp") < F.struct(F.col("size"), F.col("other")))
         & similar_sizes(F.col("n"), F.col("low"), F.col("high"))
         & within_reach(F.col("n"), F.col("reach"), F.col("low"), F.col("far")))
-    opened = asked.select("set_id", "n", "reach", "other").distinct()
+    opened = asked.select("set_id", "n", "reach", "other", "other_band").distinct()
     members = kept.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("reach").alias("far"),
-                          F.col("grp").alias("other")).distinct()
-    return opened.join(members, "other").filter(
+                          F.col("grp").alias("other"), F.col("band").alias("other_band")).distinct()
+    return opened.join(members, ["other", "other_band"]).filter(
         similar_sizes(F.col("n"), F.col("nb"), F.col("nb"))
         & within_reach(F.col("n"), F.col("reach"), F.col("nb"), F.col("far"))).select(F.col("set_id").alias("a"), "b").distinct()
 
@@ -214,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = classes.join(live, "set_id", "left_semi").select("set_id", "first_doc", "n", *mins)
     sets = materialize(arrays.join(one, "set_id").filter(F.col("doc_id").eqNullSafe(F.col("first_doc")))
                        .drop("doc_id", "first_doc").dropDuplicates(["set_id"]), "live-tokens")
-    links = materialize(verified(materialize(pivot_pairs(sets.drop("tokens"), total), "pivot-pairs"), sets), "pivot-links")
+    links = materialize(verified(materialize(pivot_pairs(sets, total), "pivot-pairs"), sets), "pivot-links")
     groups = materialize(components(links), "groups")
     sizes = groups.groupBy("root").agg(F.count("*").alias("group_size"))
     known = sets.select("set_id", "n").join(
