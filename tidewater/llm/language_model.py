@@ -41,10 +41,11 @@ from tidewater.llm.shingles import mix, word_hashes
 from tidewater.session import materialize
 
 HELD_OUT_OF = 10
-DEPTH = 4
+DEPTH = 6
 HEAD_STRINGS = 1 << 19
 HEAD_WORDS = 1 << 18
 PIECE = 1 << 18
+HELD_KEYS = 4_000_000
 END = b"\xff"
 # The end token's hash; no word can contain a blank, so none is hashed like it.
 END_TOKEN = 0x5DEECE66D1234567
@@ -76,8 +77,10 @@ def pieces(texts: list[str | None]) -> Iterator[list[tuple[int, bytes, bytes]]]:
 def grams(batch: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Each byte with its context as one number, and the batch's text numbers."""
     raw = np.frombuffer(b"".join(c + r for _, c, r in batch), np.uint8).astype(np.int64)
-    pair = raw[:-1] << 8 | raw[1:]
-    found = (pair[:-3] << 16 | pair[2:-1])[:len(raw) - DEPTH] << 8 | raw[DEPTH:]
+    n = len(raw) - DEPTH
+    found = raw[:n]
+    for k in range(1, DEPTH + 1):
+        found = found << 8 | raw[k:n + k]
     sizes = np.array([len(r) for _, _, r in batch])
     ends = np.cumsum(sizes + DEPTH)
     inside = np.ones(len(raw), bool)
@@ -130,9 +133,15 @@ class Counts:
 
 def count_strings(rows: DataFrame) -> DataFrame:
     """(is_word, key, train, total): the corpus counts. Each task sends every
-    string it saw once, with its counts."""
+    string it saw once, with its counts (again, after HELD_KEYS others)."""
+    def sent(is_word: int, counts: Counts) -> Iterator[pd.DataFrame]:
+        keys, (trained, total) = counts.merge()
+        for at in range(0, len(keys), 100_000):
+            cut = slice(at, at + 100_000)
+            yield pd.DataFrame({"is_word": bool(is_word), "key": keys[cut], "train": trained[cut], "total": total[cut]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = Counts(), Counts()
+        tables = [Counts(), Counts()]
         for batch in batches:
             train = ~batch["held_out"].to_numpy(bool)
             for part in pieces(list(batch["text"])):
@@ -140,11 +149,12 @@ def count_strings(rows: DataFrame) -> DataFrame:
                     counts.add(keys, train[text])
             n = len(train)
             tables[1].add(np.full(n, END_TOKEN), train)
+            for is_word, counts in enumerate(tables):
+                if len(counts.keys) and len(counts.keys[0]) > HELD_KEYS:
+                    yield from sent(is_word, counts)
+                    tables[is_word] = Counts()
         for is_word, counts in enumerate(tables):
-            keys, (trained, total) = counts.merge()
-            for at in range(0, len(keys), 100_000):
-                cut = slice(at, at + 100_000)
-                yield pd.DataFrame({"is_word": bool(is_word), "key": keys[cut], "train": trained[cut], "total": total[cut]})
+            yield from sent(is_word, counts)
 
     return rows.mapInPandas(run, "is_word boolean, key long, train long, total long").groupBy("is_word", "key").agg(
         F.sum("train").alias("train"), F.sum("total").alias("total"))
@@ -191,10 +201,9 @@ def decisions(key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield context | 1 << j | symbol >> (8 - j), symbol >> (7 - j) & 1
 
 
-def levels(key: np.ndarray, n: np.ndarray) -> list[tuple[Level, np.ndarray | None]]:
-    """Levels DEPTH down to 2 of the given (context, byte) counts."""
-    nodes, bits = zip(*decisions(key))
-    node, bit, n = np.concatenate(nodes), np.concatenate(bits), np.tile(n.astype(float), 8)
+def levels(node: np.ndarray, bit: np.ndarray, n: np.ndarray) -> list[tuple[Level, np.ndarray | None]]:
+    """Levels DEPTH down to 2 of the counts of one decision. Decisions share no
+    nodes, so one at a time needs an eighth of the memory."""
     keys, at = np.unique(node, return_inverse=True)
     out = [(Level(keys, np.bincount(at, n * (1 - bit), len(keys)), np.bincount(at, n * bit, len(keys))), None)]
     for depth in range(DEPTH - 1, 1, -1):
@@ -215,8 +224,9 @@ def _tree_top(strings: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         rows = _gathered(batches)
         rows = rows[rows["train"] > 0]
         if len(rows):
-            level = levels(rows["key"].to_numpy(), rows["train"].to_numpy())[-1][0]
-            yield pd.DataFrame({"node": level.keys & 0xFFFF, "n0": level.n0, "n1": level.n1, "below": level.weighted})
+            for node, bit in decisions(rows["key"].to_numpy()):
+                level = levels(node, bit, rows["train"].to_numpy(float))[-1][0]
+                yield pd.DataFrame({"node": level.keys & 0xFFFF, "n0": level.n0, "n1": level.n1, "below": level.weighted})
 
     found = strings.mapInPandas(run, "node long, n0 double, n1 double, below double").groupBy("node").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below")).toPandas().sort_values("node")
@@ -247,24 +257,23 @@ def string_scores(strings: DataFrame) -> DataFrame:
             return
         key = rows["key"].to_numpy()
         mixture, left = top.value
-        seen = rows["train"].to_numpy() > 0
-        chain = []  # (level, mixture so far, weight left), from depth 2 down
-        if seen.any():
-            below = levels(key[seen], rows["train"].to_numpy()[seen])
-            for level, _ in reversed(below):
-                if not chain:
-                    before, rest = mixture[level.keys & 0xFFFF], left[level.keys & 0xFFFF]
-                else:
-                    before, rest = chain[-1][1][parent], chain[-1][2][parent]
-                chain.append((level, before + rest * level.stop * level.one, rest * (1 - level.stop)))
-                parent = below[len(below) - len(chain) - 1][1] if len(chain) < len(below) else None
+        n = rows["train"].to_numpy(float)
+        seen = n > 0
         value = np.zeros(len(key))
         for node, bit in decisions(key):
             p = mixture[node & 0xFFFF] + left[node & 0xFFFF] / 2
-            for depth, (level, so_far, rest) in enumerate(chain, 2):
+            below = levels(node[seen], bit[seen], n[seen]) if seen.any() else []
+            before = None
+            for depth, (level, _) in enumerate(reversed(below), 2):  # mixture so far and weight left, from depth 2 down
+                if before is None:
+                    before, rest = mixture[level.keys & 0xFFFF], left[level.keys & 0xFFFF]
+                else:
+                    parent = below[DEPTH - depth][1]
+                    before, rest = before[parent], rest[parent]
+                before, rest = before + rest * level.stop * level.one, rest * (1 - level.stop)
                 want = node & (1 << 8 * (depth + 1)) - 1
                 at = np.minimum(np.searchsorted(level.keys, want), len(level.keys) - 1)
-                p = np.where(level.keys[at] == want, so_far[at] + rest[at] / 2, p)
+                p = np.where(level.keys[at] == want, before[at] + rest[at] / 2, p)
             value += np.log10(np.where(bit == 1, p, 1 - p))
         yield pd.DataFrame({"key": key, "total": rows["total"], "value": value})
 
@@ -335,43 +344,46 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: i
     shared = spark.sparkContext.broadcast((_head(log_strings, HEAD_STRINGS), _head(log_words, HEAD_WORDS)))
     id_type = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pd.DataFrame], misses: bool) -> Iterator[pd.DataFrame]:
+        """Sums over the keys of the heads, or else each other key with its row."""
         heads = [Lookup(*head) for head in shared.value]
         for batch in batches:
             size = len(batch)
             sums, hits, seen = np.zeros((2, size)), np.zeros((2, size), np.int64), np.zeros((2, size), np.int64)
-            rare: list[list[list]] = [[[] for _ in range(size)] for _ in heads]
 
             def look(which, keys, text):
                 value, found = heads[which](keys)
-                sums[which] += np.bincount(text, value, size)
-                hits[which] += np.bincount(text[found], minlength=size)
-                seen[which] += np.bincount(text, minlength=size)
-                for key, i in zip(keys[~found].tolist(), text[~found].tolist()):
-                    rare[which][i].append(key)
+                if misses:
+                    of = text[~found]
+                    yield pd.DataFrame({"doc_id": batch["doc_id"].array[of], "row_no": batch["row_no"].to_numpy()[of],
+                                        "is_word": bool(which), "key": keys[~found]})
+                else:
+                    sums[which] += np.bincount(text, value, size)
+                    hits[which] += np.bincount(text[found], minlength=size)
+                    seen[which] += np.bincount(text, minlength=size)
 
             for part in pieces(list(batch["text"])):
-                look(0, *grams(part))
-                look(1, *words(part))
-            look(1, np.full(size, END_TOKEN), np.arange(size))
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].array, "row_no": batch["row_no"], "held_out": batch["held_out"],
-                "n_bytes": seen[0] - 1, "n_tokens": seen[1], "n_known": hits[1], "log_words": sums[1], "log_strings": sums[0],
-                "rare_words": rare[1], "rare_strings": rare[0]})
-
-    firsts = materialize(rows.mapInPandas(
-        run, f"doc_id {id_type}, row_no long, held_out boolean, n_bytes long, n_tokens long, n_known long, log_words double, "
-             "log_strings double, rare_words array<long>, rare_strings array<long>"), "lm-firsts")
+                yield from look(0, *grams(part))
+                yield from look(1, *words(part))
+            yield from look(1, np.full(size, END_TOKEN), np.arange(size))
+            if not misses:
+                yield pd.DataFrame({
+                    "doc_id": batch["doc_id"].array, "row_no": batch["row_no"], "held_out": batch["held_out"],
+                    "n_bytes": seen[0] - 1, "n_tokens": seen[1], "n_known": hits[1], "log_words": sums[1], "log_strings": sums[0]})
+
+    # texts are read once for the sums and once for the rare keys, as these take more room than the texts
+    firsts = rows.mapInPandas(
+        lambda batches: scan(batches, False),
+        f"doc_id {id_type}, row_no long, held_out boolean, n_bytes long, n_tokens long, n_known long, log_words double, log_strings double")
+    rare = rows.mapInPandas(lambda batches: scan(batches, True), f"doc_id {id_type}, row_no long, is_word boolean, key long")
     values = log_words.select(F.lit(True).alias("is_word"), "key", "value").union(
         log_strings.select(F.lit(False).alias("is_word"), "key", "value"))
-    rare = firsts.select("doc_id", "row_no", F.lit(True).alias("is_word"), F.explode("rare_words").alias("key")).union(
-        firsts.select("doc_id", "row_no", F.lit(False).alias("is_word"), F.explode("rare_strings").alias("key")))
-    seconds = rare.groupBy("doc_id", "row_no", "is_word", "key").count().join(values, ["is_word", "key"], "left").groupBy(
+    seconds = rare.join(values.hint("shuffle_hash"), ["is_word", "key"], "left").groupBy(
         F.col("doc_id").alias("_doc"), F.col("row_no").alias("_row")).agg(
-        F.sum(F.when(F.col("is_word"), F.col("count") * F.coalesce("value", F.lit(-1.0)))).alias("more_words"),
-        F.sum(F.when(~F.col("is_word"), F.col("count") * F.col("value"))).alias("more_strings"),
-        F.sum(F.when(F.col("is_word") & F.col("value").isNotNull(), F.col("count"))).alias("more_known"))
-    joined = firsts.drop("rare_words", "rare_strings").join(
+        F.sum(F.when(F.col("is_word"), F.coalesce("value", F.lit(-1.0)))).alias("more_words"),
+        F.sum(F.when(~F.col("is_word"), F.col("value"))).alias("more_strings"),
+        F.count_if(F.col("is_word") & F.col("value").isNotNull()).alias("more_known"))
+    joined = firsts.join(
         seconds, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row_no") == F.col("_row")), "left")
     zero = F.lit(0)
     total = F.col("log_strings") + F.coalesce("more_strings", zero)
