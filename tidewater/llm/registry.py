@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, exact_dedup, hard_negatives, language_model, ngram_join, packing, passages, pii, repeats, toxicity, warc
+from tidewater.llm import (collocations, decontaminate, exact_dedup, hard_negatives, language_model, ngram_join, packing,
+                           passages, pii, repeats, toxicity, warc)
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -15,11 +16,13 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_context_tree": language_model.op10_context_tree,
+    "op12_collocations": collocations.op12_collocations,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLES = {
     "op2_warc": warc.OP2_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op12_collocations": collocations.OP12_SQL,
     "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
