@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidewater.llm import (collocations, decontaminate, exact_dedup, hard_negatives, language_model, ngram_join, packing,
-                           passages, pii, repeats, toxicity, warc)
+from tidewater.llm import (collocations, decontaminate, exact_dedup, hard_negatives, language_model, ngram_join, odd_sketches,
+                           packing, passages, pii, repeats, toxicity, warc)
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_context_tree": language_model.op10_context_tree,
+    "op11_odd_sketches": odd_sketches.op11_odd_sketches,
     "op12_collocations": collocations.op12_collocations,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
