@@ -4,10 +4,9 @@ Texts are cut into pieces at punctuation and line ends, pieces into words.
 Nodes are runs of words, edges the longest grams (five words) that join two
 overlapping nodes, weighted by how often they occur.
 
-1. A first pass counts words and word pairs by hash slot, with counts up to
-   ``least``. A slot is never too low, so a word or pair whose slot stays below
-   ``least`` is certainly in no candidate; pieces are also ended there. This
-   saves shuffle only.
+1. A first pass counts words, pairs and triples by hash slot, with counts up to
+   ``least``. A slot is never too low, so what stays below ``least`` is certainly
+   in no candidate; pieces are also ended there. This saves shuffle only.
 2. A second pass gives one row per place: the edge that starts there, or, in
    the last places of a piece, the shorter gram up to its end. Equal rows are
    added up in the task, then dealt by their first three words.
@@ -51,6 +50,7 @@ LEAST = 100
 TOP = 2000
 BREAKS = b".,;:!?\n\v\f\r"
 CHUNK_BYTES = 4_000_000
+HELD_ROWS = 1_000_000
 SEGMENT = 1 << 16
 # Hash slots: one for 32 bytes of text, at most 128 MB in a task and 16 MB as
 # a broadcast bit set. Fuller slots let more places through, nothing else.
@@ -133,6 +133,10 @@ class Words:
         """A key for each word and the next one."""
         return mix(self.ids[:-1] * _PLACES[0] + self.ids[1:] * _PLACES[1])
 
+    def triples(self) -> np.ndarray:
+        """A key for each word and the next two."""
+        return mix(self.ids[:-2] * _PLACES[2] + self.ids[1:-1] * _PLACES[3] + self.ids[2:] * _PLACES[4])
+
     def text(self, i: int) -> bytes:
         start = self.starts[i]
         stop = self.starts[i + 1] if i + 1 < len(self.starts) else len(self.raw)
@@ -152,7 +156,8 @@ def _slot_counts(slots: int, least: int):
             if not len(words.ids):
                 continue
             total[lang] = total.get(lang, 0) + len(words.ids)
-            keys = np.concatenate([words.ids, words.pairs()[words.joined[:-1]]])
+            keys = np.concatenate([words.ids, words.pairs()[words.joined[:-1]],
+                                   words.triples()[words.joined[:-2] & words.joined[1:-1]]])
             slot, n = np.unique((keys & np.uint64(slots - 1)).astype(np.int64), return_counts=True)
             counts[slot] = np.minimum(counts[slot] + np.minimum(n, top), top)
         for lang, n in total.items():
@@ -231,26 +236,32 @@ def combined(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def longest_grams(words: Words, frequent) -> np.ndarray:
     """A row for each place with a frequent word: the words from there on, up
-    to five, the end of the piece or a rare pair; 0 where there is none."""
+    to five, the end of the piece, or a rare word, pair or triple; 0 where there
+    is none."""
     ids = words.ids
     known = frequent(ids)
     on = words.joined.copy()
     on[:-1] &= known[:-1] & known[1:]
     at = np.flatnonzero(on)
-    on[at] = frequent(mix(ids[at] * _PLACES[0] + ids[at + 1] * _PLACES[1])) if len(at) else False
+    on[at] = frequent(words.pairs()[at])
+    on_two = on.copy()  # the word after next goes along too
+    on_two[:-1] &= on[1:]
+    at = np.flatnonzero(on_two)
+    on_two[at] = frequent(words.triples()[at])
     padded = np.concatenate([ids, np.zeros(LONGEST, np.uint64)])
     grams = np.zeros((len(ids), LONGEST), np.uint64)
     grams[:, 0] = ids
-    going = np.concatenate([on, np.zeros(LONGEST, bool)])
+    going = np.concatenate([on_two, np.zeros(LONGEST, bool)])
     live = on
     for k in range(1, LONGEST):
         grams[:, k] = np.where(live, padded[k:k + len(ids)], 0)
-        live = live & going[k:k + len(ids)]
+        live = live & going[k - 1:k - 1 + len(ids)]
     return grams[known]
 
 
 def gram_rows(texts: DataFrame, bits) -> DataFrame:
-    """w1..w5, n: the longest gram of every place, added up per chunk."""
+    """w1..w5, n: the longest gram of every place, added up in the task as far
+    as ``HELD_ROWS`` rows go."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packed = bits.value
         mask = np.uint64(8 * len(packed) - 1)
@@ -260,13 +271,28 @@ def gram_rows(texts: DataFrame, bits) -> DataFrame:
             return (packed[(slot >> np.uint64(3)).astype(np.int64)]
                     >> (np.uint64(7) - (slot & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
 
+        held, size, joined = [], 0, 0
+
+        def added_up():
+            return combined(np.concatenate([g for g, _ in held]), np.concatenate([n for _, n in held]))
+
+        def rows(grams, n):
+            return pd.DataFrame(grams.view(np.int64), columns=_COLS).assign(n=n)
+
         for lang, part in chunks(batches):
             words = Words(lang, part)
-            if len(words.ids):
-                grams = longest_grams(words, frequent)
-                if len(grams):
-                    grams, n = combined(grams, np.ones(len(grams), np.int64))
-                    yield pd.DataFrame(grams.view(np.int64), columns=_COLS).assign(n=n)
+            grams = longest_grams(words, frequent) if len(words.ids) else ()
+            if len(grams):
+                held.append(combined(grams, np.ones(len(grams), np.int64)))
+                size += len(held[-1][0])
+            if size > max(HELD_ROWS // 2, 2 * joined):
+                held = [added_up()]
+                size = joined = len(held[0][0])
+                if size > HELD_ROWS:
+                    yield rows(*held[0])
+                    held, size, joined = [], 0, 0
+        if held:
+            yield rows(*added_up())
 
     return texts.mapInPandas(run, ", ".join(f"{c} long" for c in _COLS) + ", n long")
 
