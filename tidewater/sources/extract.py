@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.functions.columns import class_block_regex, html_text, parse_money, strip_scripts
+from tidewater.functions import markup as M
+from tidewater.functions.columns import html_text, parse_money, strip_scripts
 
 # The default region of an indicator row with no region key,
 # and the provenance tag each source writes into its rows' ``source`` column.
@@ -20,6 +21,16 @@ SOURCE_TAGS = {"registry": "reestr_po", "procurement": "eis", "statistics": "fed
                "support": "gisp"}
 
 
+def from_trees(pages: DataFrame, selectors: list[tuple[str, str | None]], rows) -> DataFrame:
+    """page_id and one ``_r`` for each struct in the array ``rows(tags, texts,
+    spans)`` of a page's element tree; null structs are left out. Pages without
+    the class of the first selector are not split at all."""
+    marker = selectors[0][1]
+    some = pages.filter(F.contains("html", F.lit(marker))) if marker else pages
+    found = F.array_compact(M.page_tree(F.col("html"), selectors, rows))
+    return some.select("page_id", F.explode(found).alias("_r"))
+
+
 # -- S1: HTML table -> rows --------------------------------------------------------------
 
 TABLE_FIELDS = ["name", "vendor", "version", "registration_date", "status"]
@@ -27,20 +38,20 @@ TABLE_FIELDS = ["name", "vendor", "version", "registration_date", "status"]
 
 def extract_table_rows(pages: DataFrame, css_class: str = "solutions-table",
                        min_cells: int = 6, source: str = SOURCE_TAGS["registry"]) -> DataFrame:
-    """First ``table.css_class`` of each page; header row skipped; rows with at
-    least ``min_cells`` cells give name, vendor, version, registration date,
+    """First ``table.css_class`` of each page; header row skipped; rows (those of
+    nested tables too) with at least ``min_cells`` cells give name, vendor, version, registration date,
     status (cells 0-4), plus the constant columns of the registry source."""
-    html = strip_scripts(F.col("html"))
-    table = F.regexp_extract(html, class_block_regex("table", css_class), 1)
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
-    out = (pages.select("page_id", F.posexplode(F.slice(rows, F.lit(2), F.size(rows))).alias("pos", "tr"))
-           .select("page_id", (F.col("pos") + 1).alias("row_no"),
-                   F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1))
-                   .alias("cells"))
-           .filter(F.size("cells") >= min_cells))
+    def rows(tags: Column, texts: Column, spans: Column) -> Column:
+        def row(tr: Column, no: Column) -> Column:
+            return M.let(M.matching(M.inside(spans, tr), 2), lambda cells: F.when(
+                (no > 0) & (F.size(cells) >= min_cells), F.struct(no.alias("no"), F.transform(
+                    F.slice(cells, 1, len(TABLE_FIELDS)), lambda c: M.element_text(texts, c)).alias("texts"))))
+        return F.transform(M.matching(M.inside(spans, M.first_matching(spans, 0)), 1), row)
+
+    out = from_trees(pages, [("table", css_class), ("tr", None), ("td", None)], rows)
     return out.select(
-        "page_id", "row_no",
-        *[html_text(F.col("cells")[i]).alias(n) for i, n in enumerate(TABLE_FIELDS)],
+        "page_id", F.col("_r.no").alias("row_no"),
+        *[F.col("_r.texts")[i].alias(n) for i, n in enumerate(TABLE_FIELDS)],
         F.lit("SCM").alias("category"), F.lit(True).alias("is_domestic"),
         F.lit(source).alias("source"))
 
@@ -77,62 +88,30 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     when absent or unparsable); ``attr_fields`` name -> (tag, class,
     attribute, prefix) take ``prefix + attribute value`` of the first such
     element ('' value when the attribute is missing)."""
-    html = strip_scripts(F.col("html"))
-    # A block runs from its opening tag to the next block's opening tag, so
-    # nested elements of the same tag inside it do not cut it short.
-    tag, cls = block
-    opening = rf"""(?i)<{tag}\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{cls}(?:\s[^"']*)?["'][^>]*>"""
-    parts = F.split(html, opening)
-    blocks = F.slice(parts, F.lit(2), F.size(parts))
-    out = pages.select("page_id", F.posexplode(blocks).alias("block_no", "b"))
-    # The block's class-bearing elements, nested ones too, as parallel arrays
-    # (tag, class list, inner HTML); each field is then a lookup of its tag and
-    # class in them, with no per-field rescan of the block.
-    def grab(i: int) -> Column:
-        return F.regexp_extract_all(F.col("b"), F.lit(CLASSED_ELEMENT), F.lit(i))
-    attrs = [F.regexp_extract(F.col("b"), _attr_regex(tag, cls, attr), 1).alias(f"_attr_{name}")
-             for name, (tag, cls, attr, _) in (attr_fields or {}).items()]
-    out = out.select("page_id", "block_no", *attrs,
-                     # tag names lower-cased without a lambda (keeps codegen)
-                     F.arrays_zip(F.split(F.lower(F.array_join(grab(1), ",")), ",").alias("t"),
-                                  grab(2).alias("c")).alias("_keys"),
-                     grab(3).alias("_inner"))
-
-    def text(tag: str, cls: str) -> tuple[Column, Column]:
-        here = F.transform("_keys", lambda k: (k["t"] == tag) & F.array_contains(F.split(k["c"], "\\s+"), cls))
-        pos = F.array_position(here, True)
-        found = pos > 0
-        inner = F.when(found, F.element_at("_inner", pos.cast("int"))).otherwise(F.lit(""))
-        return found, html_text(inner)
-
-    req_name, req_tag, req_class = required
-    req_found, req_text = text(req_tag, req_class)
-    cols: list[Column] = [req_text.alias(req_name)]
-    for name, (tag, cls) in fields.items():
-        _, t = text(tag, cls)
-        cols.append(parse_money(t).alias(name) if name in money_fields else t.alias(name))
-    for name, (_, _, _, prefix) in (attr_fields or {}).items():
-        cols.append(F.concat(F.lit(prefix), F.col(f"_attr_{name}")).alias(name))
-    # Blocks without the required element are skipped by exploding a NULL
-    # array (no output row): unlike a filter, the optimizer cannot push this
-    # below the lookup arrays and evaluate them a second time.
-    kept = F.when(req_found, F.array(F.struct(*cols)))
-    return (out.select("page_id", "block_no", F.explode(kept).alias("_r"))
-            .select("page_id", "block_no", "_r.*", F.lit(source).alias("source")))
-
-
-def _attr_regex(tag: str, cls: str, attr: str) -> str:
-    """The ``attr`` value of the first ``tag.cls`` opening tag (the class may
-    come before or after the attribute); one match, so the scan stops early."""
-    return (rf"""(?is)<{tag}\b(?=[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{cls}(?:\s[^"']*)?["'])"""
-            rf"""[^>]*\b{attr}\s*=\s*["']([^"']*)["']""")
-
-
-# An element with a class attribute, up to the first closing tag of its name:
-# groups are the tag name, the class attribute and the inner HTML. Only the
-# opening bracket is consumed, so elements inside other ones are found too.
-CLASSED_ELEMENT = (r"""(?is)(?=<([a-z][a-z0-9]*)\b[^>]*?\bclass\s*=\s*["']\s*([^"']*?)\s*["'][^>]*>(.*?)"""
-                   r"</\1\s*>)<")
+    req_name, *req = required
+    attr_fields = attr_fields or {}
+    wanted = [block, tuple(req), *fields.values(), *[(tag, cls) for tag, cls, _, _ in attr_fields.values()]]
+    selectors = list(dict.fromkeys(wanted))
+    at = selectors.index
+
+    def rows(tags: Column, texts: Column, spans: Column) -> Column:
+        def row(inner: Column, no: Column) -> Column:
+            def text(selector) -> Column:
+                return M.element_text(texts, M.first_matching(inner, at(selector)))
+
+            def attr(tag, cls, name, prefix) -> Column:
+                start = M.first_matching(inner, at((tag, cls)))["start"]
+                return F.concat(F.lit(prefix), F.coalesce(M.attribute(F.element_at(tags, start + 1), name), F.lit("")))
+
+            cols = [no.alias("block_no"), text(tuple(req)).alias(req_name)]
+            cols += [(M.let(text(f), lambda t: parse_money(t)) if name in money_fields else text(f)).alias(name) for name, f in fields.items()]
+            cols += [attr(*f).alias(name) for name, f in attr_fields.items()]
+            return F.when(M.first_matching(inner, at(tuple(req))).isNotNull(), F.struct(*cols))
+
+        return F.transform(M.matching(spans, at(block)), lambda card, no: M.let(
+            M.inside(spans, card), lambda inner: row(inner, no)))
+
+    return from_trees(pages, selectors, rows).select("page_id", "_r.*", F.lit(source).alias("source"))
 
 
 SUPPORT_CARD = dict(
