@@ -4,7 +4,7 @@ Texts are cut into pieces at punctuation and line ends, pieces into words.
 Nodes are runs of words, edges the longest grams (five words) that join two
 overlapping nodes, weighted by how often they occur.
 
-1. A first pass counts words, pairs and triples by hash slot, with counts up to
+1. A first pass counts words and word pairs by hash slot, with counts up to
    ``least``. A slot is never too low, so what stays below ``least`` is certainly
    in no candidate; pieces are also ended there. This saves shuffle only.
 2. A second pass gives one row per place: the edge that starts there, or, in
@@ -133,10 +133,6 @@ class Words:
         """A key for each word and the next one."""
         return mix(self.ids[:-1] * _PLACES[0] + self.ids[1:] * _PLACES[1])
 
-    def triples(self) -> np.ndarray:
-        """A key for each word and the next two."""
-        return mix(self.ids[:-2] * _PLACES[2] + self.ids[1:-1] * _PLACES[3] + self.ids[2:] * _PLACES[4])
-
     def text(self, i: int) -> bytes:
         start = self.starts[i]
         stop = self.starts[i + 1] if i + 1 < len(self.starts) else len(self.raw)
@@ -156,8 +152,7 @@ def _slot_counts(slots: int, least: int):
             if not len(words.ids):
                 continue
             total[lang] = total.get(lang, 0) + len(words.ids)
-            keys = np.concatenate([words.ids, words.pairs()[words.joined[:-1]],
-                                   words.triples()[words.joined[:-2] & words.joined[1:-1]]])
+            keys = np.concatenate([words.ids, words.pairs()[words.joined[:-1]]])
             slot, n = np.unique((keys & np.uint64(slots - 1)).astype(np.int64), return_counts=True)
             counts[slot] = np.minimum(counts[slot] + np.minimum(n, top), top)
         for lang, n in total.items():
@@ -236,26 +231,21 @@ def combined(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def longest_grams(words: Words, frequent) -> np.ndarray:
     """A row for each place with a frequent word: the words from there on, up
-    to five, the end of the piece, or a rare word, pair or triple; 0 where there
-    is none."""
+    to five, the end of the piece, or a rare word or pair; 0 where there is none."""
     ids = words.ids
     known = frequent(ids)
     on = words.joined.copy()
     on[:-1] &= known[:-1] & known[1:]
     at = np.flatnonzero(on)
     on[at] = frequent(words.pairs()[at])
-    on_two = on.copy()  # the word after next goes along too
-    on_two[:-1] &= on[1:]
-    at = np.flatnonzero(on_two)
-    on_two[at] = frequent(words.triples()[at])
     padded = np.concatenate([ids, np.zeros(LONGEST, np.uint64)])
     grams = np.zeros((len(ids), LONGEST), np.uint64)
     grams[:, 0] = ids
-    going = np.concatenate([on_two, np.zeros(LONGEST, bool)])
+    going = np.concatenate([on, np.zeros(LONGEST, bool)])
     live = on
     for k in range(1, LONGEST):
         grams[:, k] = np.where(live, padded[k:k + len(ids)], 0)
-        live = live & going[k - 1:k - 1 + len(ids)]
+        live = live & going[k:k + len(ids)]
     return grams[known]
 
 
