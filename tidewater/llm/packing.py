@@ -56,6 +56,9 @@ def load_encoding(path: str):
     return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                              special_tokens=special)
 
+# Ids that a task gathers before it sends rows on (2 MB as 32-bit numbers).
+HELD_IDS = 500_000
+
 
 def binary_cuts(n: int, longest: int = MAX_LENGTH) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n tokens, longest first."""
@@ -84,7 +87,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         encoding = load_encoding(path)
         task, made = TaskContext.get().partitionId(), 0
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 ids = encoding.encode_to_numpy(text or "", allowed_special="all")
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -94,9 +97,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
                     made += 1
                     row = (doc, start, length, zlib.crc32(piece.tobytes()), len(ids), number, 0)
                     rows.append((*row, piece.astype(np.int32)) if with_ids else row)
-                if len(rows) > 20_000:
+                size += len(ids) if with_ids else 0
+                if len(rows) > 20_000 or size > HELD_IDS:
                     yield pd.DataFrame(rows, columns=names)
-                    rows = []
+                    rows, size = [], 0
             if rows:
                 yield pd.DataFrame(rows, columns=names)
 
