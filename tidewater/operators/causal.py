@@ -8,13 +8,15 @@ Scale rules:
     (stratum, sub-bucket) groups of width caliper/k; a treated row meets the
     as-of neighbours inside its own sub-bucket and only the extreme control
     of each of the k sub-buckets on either side: at most 2 + 2k candidates;
-  * synthetic control works on the unit x unit Gram matrix (one aggregate
-    over a month x unit pivot, no self-join); the simplex weights are solved
-    per treated unit in ``applyInPandas`` on that bounded matrix.
+  * synthetic control works on the unit x unit Gram matrix (months joined with
+    themselves, summed in Spark); the simplex weights are solved per treated
+    unit in tasks, from that matrix as one row of checked size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -296,35 +298,45 @@ def matched_did(impl: DataFrame, matches: DataFrame, event_date: str) -> DataFra
 
 # -- C6 / C7: synthetic control ------------------------------------------------------------------------
 
+# The unit made of supported orgs, and the most units that a matrix may have.
+TREATED = "(supported)"
+MAX_UNITS = 1000
+
+
 def unit_panel(impl: DataFrame, unit_col: str) -> DataFrame:
     """Outcome per (unit, month): rollout count."""
     return (impl.groupBy(F.col(unit_col).alias("unit"), month_end("date_go_live").alias("date_month"))
             .agg(F.count(F.lit(1)).cast("long").alias("y")))
 
 
-def gram(panel: DataFrame, units: list[str], before: str) -> DataFrame:
-    """G[i, j] = sum over pre-period months of y_i * y_j, for all unit pairs.
+def supported_unit_panel(impl: DataFrame, orgs: DataFrame, treated_unit: str) -> DataFrame:
+    """Rollouts per org and month: of the supported orgs of ``treated_unit``
+    (unit ``TREATED``), and of the unsupported orgs of every unit, which serve
+    as donors. ``orgs`` has org_id, unit, treated; a month without rollouts has
+    no row. Rates are decimals, so sums of products are exact."""
+    side = orgs.filter(~F.col("treated") | (F.col("unit") == treated_unit)).select(
+        "org_id", F.when(F.col("treated"), TREATED).otherwise(F.col("unit")).alias("unit"))
+    sizes = side.groupBy("unit").agg(F.count("*").alias("n_orgs"))
+    counts = impl.select("org_id", month_end("date_go_live").alias("date_month")).join(side, "org_id").groupBy(
+        "unit", "date_month").agg(F.count("*").alias("n"))
+    return counts.join(sizes, "unit").select(
+        "unit", "date_month", F.round(F.col("n").cast("decimal(18,0)") / F.col("n_orgs"), 6).cast("decimal(18,6)").alias("y"))
 
-    The panel (bounded: units x months) is pivoted to one vector per month
-    over the fixed unit list, and MLlib's ``RowMatrix.computeGramianMatrix``
-    sums the outer products with a tree aggregate; no unit pairs are ever
-    materialised as rows. The result has U x U entries.
-    """
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    spark = panel.sparkSession
-    wide = (panel.filter(F.col("date_month") < F.to_date(F.lit(before)))
-            .groupBy("date_month").pivot("unit", units).agg(F.first("y")))
-    vecs = wide.select(F.array(*[F.coalesce(F.col(f"`{u}`"), F.lit(0)).cast("double")
-                                 for u in units]).alias("v"))
-    rows = vecs.rdd.map(lambda r: r.v)
-    n = len(units)
-    if rows.isEmpty():
-        g = np.zeros((n, n))
-    else:
-        g = RowMatrix(rows, numCols=n).computeGramianMatrix().toArray()
-    data = [(a, b, int(round(float(g[i, j])))) for i, a in enumerate(units) for j, b in enumerate(units)]
-    return spark.createDataFrame(data, "unit_i string, unit_j string, g long")
+
+def gram(panel: DataFrame, units: list[str], before: str) -> DataFrame:
+    """G[i, j] = sum over pre-period months of y_i * y_j, for all unit pairs
+    (0 where two units share no month): the panel joined with itself by month,
+    products summed per pair before the shuffle. Integers stay integers, and
+    decimals are summed exactly."""
+    past = panel.filter(F.col("date_month") < F.to_date(F.lit(before))).filter(F.col("unit").isin(units))
+    left = past.select("date_month", F.col("unit").alias("unit_i"), F.col("y").alias("a"))
+    right = past.select("date_month", F.col("unit").alias("unit_j"), F.col("y").alias("b"))
+    product = F.sum(F.col("a") * F.col("b"))
+    whole = panel.schema["y"].dataType in (T.LongType(), T.IntegerType())
+    sums = left.join(right, "date_month").groupBy("unit_i", "unit_j").agg(product.cast("long" if whole else "double").alias("g"))
+    names = F.array(*[F.lit(u) for u in units])
+    pairs = panel.sparkSession.range(1).select(F.explode(names).alias("unit_i")).select("unit_i", F.explode(names).alias("unit_j"))
+    return pairs.join(sums, ["unit_i", "unit_j"], "left").select("unit_i", "unit_j", F.coalesce("g", F.lit(0)).alias("g"))
 
 
 def _simplex_projection(v: np.ndarray) -> np.ndarray:
@@ -393,22 +405,33 @@ WEIGHT_SCHEMA = T.StructType([T.StructField("treated_unit", T.StringType()),
                               T.StructField("weight", T.DoubleType())])
 
 
-def _solve_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    t = pdf["treated_unit"].iloc[0]
-    donors = sorted(set(pdf["unit_i"]) - {t})
-    m = pdf.pivot_table(index="unit_i", columns="unit_j", values="g", aggfunc="first")
-    gm = m.loc[donors, donors].to_numpy(dtype=float)
-    bv = m.loc[donors, t].to_numpy(dtype=float)
-    w = simplex_weights(gm, bv)
-    return pd.DataFrame({"treated_unit": t, "donor": donors, "weight": w})
-
-
-def synth_weights(gram_long: DataFrame, treated_units: list[str]) -> DataFrame:
-    """Simplex weights for every unit in ``treated_units`` (one group each; a
-    group holds one copy of the bounded unit x unit Gram). The copies come
-    from exploding the unit list, not from a join."""
-    g = gram_long.withColumn("treated_unit", F.explode(F.array(*[F.lit(u) for u in treated_units])))
-    return g.groupBy("treated_unit").applyInPandas(_solve_group, WEIGHT_SCHEMA)
+def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per row one treated unit, the donors and the packed Gram matrix."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            index = {u: k for k, u in enumerate(sorted({e["unit_i"] for e in row.entries}))}
+            g = np.zeros((len(index), len(index)))
+            for e in row.entries:
+                g[index[e["unit_i"]], index[e["unit_j"]]] = e["g"]
+            donors = [u for u in sorted(row.donors) if u != row.treated_unit and u in index]
+            at = [index[u] for u in donors]
+            w = simplex_weights(g[np.ix_(at, at)], g[at, index[row.treated_unit]])
+            yield pd.DataFrame({"treated_unit": row.treated_unit, "donor": donors, "weight": w})
+
+
+def synth_weights(gram_long: DataFrame, treated_units: list[str], donors: list[str] | None = None) -> DataFrame:
+    """Simplex weights over the donors (all units if not given) for every unit
+    in ``treated_units``. The matrix is packed into one row, which goes to the
+    tasks; it has at most MAX_UNITS units, more are an error."""
+    packed = gram_long.select("unit_i", "unit_j", F.col("g").cast("double").alias("g")).agg(
+        F.count("*").alias("n"), F.collect_list(F.struct("unit_i", "unit_j", "g")).alias("entries"))
+    packed = packed.select(F.when(F.col("n") > MAX_UNITS ** 2, F.raise_error(F.lit("too many units"))).otherwise(
+        F.col("entries")).alias("entries"))
+    names = F.array(*[F.lit(u) for u in treated_units])
+    pool = F.array(*[F.lit(u) for u in donors]) if donors else F.transform("entries", lambda e: e["unit_i"])
+    each = gram_long.sparkSession.range(1).select(F.explode(names).alias("treated_unit")).repartition("treated_unit")
+    each = each.crossJoin(F.broadcast(packed)).select("treated_unit", F.array_distinct(pool).alias("donors"), "entries")
+    return each.mapInPandas(_solve, WEIGHT_SCHEMA)
 
 
 def synth_gap(panel: DataFrame, weights: DataFrame, months: DataFrame,

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import month_end, year_of
 from tidewater.functions.columns import parse_money as _parse_money
 from tidewater.operators import causal as C
+from tidewater.operators import matching as MT
 from tidewater.operators import metrics as M
 from tidewater.operators import quality as DQ
+from tidewater.operators import staggered as SG
 from tidewater.operators import summaries as S
 from tidewater.plans import params as P
 from tidewater.session import materialize, scratch_path
@@ -519,20 +521,121 @@ def synth_gram(spark, sf_dir):
     return C.gram(panel, units, P.DID_DATE)
 
 
+def _supported_inputs(spark, sf_dir):
+    """Panel of the supported orgs of the region that has most of them and, as
+    donors, of each region's unsupported orgs; the donors' names (at most one
+    per nation)."""
+    orgs = (table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("org_id"), "c_nationkey")
+            .join(table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("unit")),
+                  F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(C.treated_orgs(support_measures(spark, sf_dir)), "org_id", "left")
+            .select("org_id", "unit", F.coalesce("treated", F.lit(False)).alias("treated")))
+    orgs = materialize(orgs, "synth-orgs")
+    top = orgs.filter("treated").groupBy("unit").count().orderBy(F.col("count").desc(), "unit").first()
+    panel = materialize(C.supported_unit_panel(implementations(spark, sf_dir, ["org_id", "date_go_live"]), orgs,
+                                               top[0] if top else ""), "synth-rates")
+    donors = sorted(r[0] for r in panel.filter(F.col("unit") != C.TREATED).select("unit").distinct().collect())
+    return panel, donors
+
+
+@query
+def synth_gram_rates(spark, sf_dir):
+    panel, donors = _supported_inputs(spark, sf_dir)
+    return C.gram(panel, [C.TREATED, *donors], P.DID_DATE)
+
+
 @query
 def synth_gap(spark, sf_dir):
-    _, panel, units, treated = _synth_inputs(spark, sf_dir)
-    w = C.synth_weights(C.gram(panel, units, P.DID_DATE), [treated])
-    return C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), [treated])
+    """The supported orgs against a synthetic control of unsupported ones."""
+    panel, donors = _supported_inputs(spark, sf_dir)
+    w = C.synth_weights(C.gram(panel, [C.TREATED, *donors], P.DID_DATE), [C.TREATED], donors)
+    return C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), [C.TREATED])
 
 
 @query
 def synth_placebo(spark, sf_dir):
-    _, panel, units, treated = _synth_inputs(spark, sf_dir)
-    w = materialize(C.synth_weights(C.gram(panel, units, P.DID_DATE), units), "synth-weights")
-    gaps = materialize(C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), units),
-                       "synth-gaps")
-    return C.placebo_test(gaps, P.DID_DATE, treated)
+    """Every donor in the place of the supported orgs, from the other donors."""
+    panel, donors = _supported_inputs(spark, sf_dir)
+    units = [C.TREATED, *donors]
+    w = materialize(C.synth_weights(C.gram(panel, units, P.DID_DATE), units, donors), "synth-weights")
+    gaps = materialize(C.synth_gap(panel, w, S.month_calendar(spark, P.CAL_START, P.CAL_END), units), "synth-gaps")
+    return C.placebo_test(gaps, P.DID_DATE, C.TREATED)
+
+
+# -- grants that start at different times (C1), matching on covariates (C2-C5) -----------------
+
+def _staggered_inputs(spark, sf_dir):
+    return implementations(spark, sf_dir, DID_COLUMNS), support_measures(spark, sf_dir)
+
+
+@query
+def did_event_time(spark, sf_dir):
+    """Effect by quarters since an org's first large grant."""
+    impl, sup = _staggered_inputs(spark, sf_dir)
+    cells = materialize(SG.org_cells(impl, SG.first_grant(sup, P.LARGE_GRANT)).groupBy(*SG.CELL).agg(
+        F.sum("n").alias("n"), F.sum("s").cast("decimal(38,8)").alias("s")), "cells")
+    found = SG.event_time_effects(SG.cohort_effects(cells), *P.EVENT_QUARTERS)
+    return found.withColumn("effect", F.round("effect", 8))
+
+
+@query
+def did_event_time_se(spark, sf_dir):
+    impl, sup = _staggered_inputs(spark, sf_dir)
+    return SG.staggered_did(impl, sup, P.LARGE_GRANT, *P.EVENT_QUARTERS)
+
+
+@query
+def did_event_time_bootstrap(spark, sf_dir):
+    impl, sup = _staggered_inputs(spark, sf_dir)
+    return SG.bootstrap_errors(SG.org_cells(impl, SG.first_grant(sup, P.LARGE_GRANT)), P.REPLICATES, *P.EVENT_QUARTERS)
+
+
+COVARIATE_COLUMNS = ["org_id", "date_go_live", "capex", "revenue_uplift", "industry_name", "region_name"]
+
+
+def _covariates(spark, sf_dir):
+    return MT.org_covariates(implementations(spark, sf_dir, COVARIATE_COLUMNS), support_measures(spark, sf_dir), P.DID_DATE)
+
+
+@query
+def match_orgs(spark, sf_dir):
+    """Nearest unsupported org by size, spending and revenue (each in its own
+    deviations) within the industry."""
+    units = MT.standardised(materialize(_covariates(spark, sf_dir), "covariates"), MT.NUMERIC)
+    found = MT.nearest_control(units, "org_id", "industry_name", P.MATCH_CALIPER, len(MT.NUMERIC))
+    return found.withColumn("distance", F.round("distance", 8))
+
+
+@query
+def match_once(spark, sf_dir):
+    """One-to-one matching on the account balance."""
+    return MT.match_once(_match_units(spark, sf_dir), "c_custkey", "c_acctbal", "c_mktsegment", "treated", P.CALIPER,
+                         P.CALIPER_SPLITS)
+
+
+def _chain(spark, sf_dir):
+    """Score, whitening and matches, written once."""
+    units = MT.fitted_scores(_covariates(spark, sf_dir), MT.NUMERIC, MT.CATEGORICAL)
+    units = materialize(MT.whitened(materialize(units, "scored"), ["logit", *MT.NUMERIC]), "whitened")
+    dims = units.agg(F.max(F.size("z"))).first()[0] or 1
+    return units, materialize(MT.nearest_control(units, "org_id", "industry_name", P.MATCH_CALIPER, dims), "chain-matches")
+
+
+@query
+def psm_chain_match(spark, sf_dir):
+    return _chain(spark, sf_dir)[1]
+
+
+@query
+def psm_chain_balance(spark, sf_dir):
+    units, matches = _chain(spark, sf_dir)
+    return C.balance(units, matches, "org_id", "treated", ["logit", *MT.NUMERIC])
+
+
+@query
+def psm_chain_did(spark, sf_dir):
+    _, matches = _chain(spark, sf_dir)
+    return MT.matched_did(implementations(spark, sf_dir, DID_COLUMNS), matches, P.DID_DATE, P.REPLICATES)
 
 
 # -- streaming (T1-T3) ------------------------------------------------------------------------

@@ -578,6 +578,56 @@ select a.unit unit_i, b.unit unit_j, cast(coalesce(sum(a.y * b.y), 0) as bigint)
 from full_panel a join full_panel b on a.date_month = b.date_month
 group by 1, 2"""
 
+    q["synth_gram_rates"] = with_(IMPL, SUPPORT) + f"""
+, orgs as (select c_custkey org_id, n_name unit, c_custkey in (select recipient_id from support) treated
+           from customer join nation on c_nationkey = n_nationkey),
+top as (select unit from orgs where treated group by unit order by count(*) desc, unit limit 1),
+side as (select org_id, case when treated then '(supported)' else unit end unit from orgs
+         where not treated or unit in (select unit from top)),
+sizes as (select unit, count(*) k from side group by 1),
+panel as (select s.unit, last_day(date_go_live) date_month, round(count(*)::decimal(18,6) / any_value(k), 6)::decimal(18,6) y
+          from impl join side s on impl.org_id = s.org_id join sizes on sizes.unit = s.unit group by 1, 2),
+units as (select distinct unit from panel),
+sums as (select a.unit unit_i, b.unit unit_j, cast(sum(a.y * b.y) as double) g
+         from panel a join panel b on a.date_month = b.date_month
+         where a.date_month < date '{P.DID_DATE}' group by 1, 2)
+select a.unit unit_i, b.unit unit_j, coalesce(g, 0) g
+from units a cross join units b left join sums on sums.unit_i = a.unit and sums.unit_j = b.unit"""
+    first, last = P.EVENT_QUARTERS
+    q["did_event_time"] = with_(IMPL, SUPPORT) + "," + DID_PANEL[1:].replace("tr as (select distinct recipient_id org_id from support)", f"""
+tr as (select recipient_id org_id, cast(min(year(approval_date) * 4 + quarter(approval_date) - 1) as integer) cohort
+       from support where amount_rub >= {P.LARGE_GRANT} group by 1)""").replace("coalesce(tr.org_id is not null, false) treated", """
+         coalesce(tr.cohort, 1048576) cohort""").replace(f"date_go_live >= date '{P.DID_DATE}' post", """
+         cast(year(date_go_live) * 4 + quarter(date_go_live) - 1 as integer) period""").replace(
+        "select outcome, treated, post, " + moments("y"), "select outcome, cohort, period, count(y) n, sum(y) s") + f"""
+, t as (select * from cells where cohort < 1048576),
+w as (select a.outcome, a.cohort, a.period, a.cohort - 1 base, greatest(a.cohort, a.period) until, a.n, a.s, b.n bn, b.s bs
+      from t a join t b on a.outcome = b.outcome and a.cohort = b.cohort and b.period = a.cohort - 1
+      where a.period <> a.cohort - 1),
+now as (select w.outcome, w.cohort, w.period, sum(c.n) n, sum(c.s) s from w join cells c
+        on c.outcome = w.outcome and c.period = w.period and c.cohort > w.until group by 1, 2, 3),
+before as (select w.outcome, w.cohort, w.period, sum(c.n) n, sum(c.s) s from w join cells c
+           on c.outcome = w.outcome and c.period = w.base and c.cohort > w.until group by 1, 2, 3),
+att as (select w.outcome, w.period - w.cohort event_time, w.n,
+               (w.s::double / w.n - w.bs::double / w.bn) - (now.s::double / now.n - before.s::double / before.n) att
+        from w join now using (outcome, cohort, period) join before using (outcome, cohort, period)),
+near as (select outcome, event_time, n, att from att where event_time between {first} and {last}
+         union all select outcome, null, n, att from att where event_time >= 0)
+select outcome, event_time, count(*) n_cells, cast(sum(n) as bigint) n_rollouts, round(sum(n * att) / sum(n), 8) effect
+from near group by 1, 2"""
+    q["match_orgs"] = with_(IMPL, SUPPORT) + f"""
+, cov as (select org_id, ln(1 + count(*)::double) a, ln(1 + greatest(sum(capex), 0)::double) b,
+                 ln(1 + greatest(sum(revenue_uplift), 0)::double) c, min(industry_name) stratum,
+                 org_id in (select recipient_id from support) t
+          from impl where date_go_live < date '{P.DID_DATE}' group by org_id),
+dev as (select stddev_samp(a) sa, stddev_samp(b) sb, stddev_samp(c) sc from cov),
+u as (select org_id, stratum, t, a / sa a, b / sb b, c / sc c from cov, dev),
+pairs as (select x.org_id treated_id, y.org_id control_id, x.stratum,
+                 sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) + (x.c - y.c) * (x.c - y.c)) distance
+          from u x join u y on x.t and not y.t and x.stratum = y.stratum)
+select treated_id, control_id, stratum, round(distance, 8) distance from pairs where distance <= {P.MATCH_CALIPER}
+qualify row_number() over (partition by treated_id order by distance, control_id) = 1"""
+
 
 def stream_sql(q: dict[str, str]) -> None:
     q["stream_survey_ingest"] = "select event_id, ts, user_id, event_type, value, props from events"

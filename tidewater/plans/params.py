@@ -51,3 +51,11 @@ CALIPER_SPLITS = 4
 
 # Base URL prefixed to relative procurement links (a neutral placeholder).
 PROCUREMENT_BASE_URL = "https://procurement.example"
+
+# Staggered grants: the grant that starts an org's cohort, quarters around it.
+LARGE_GRANT = 200
+EVENT_QUARTERS = (-4, 8)
+REPLICATES = 100
+
+# Matching on covariates: caliper in standard deviations.
+MATCH_CALIPER = 0.5
