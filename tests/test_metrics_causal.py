@@ -3,6 +3,7 @@ import random
 from decimal import Decimal
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import causal as C
@@ -210,3 +211,18 @@ def test_placebo_without_a_ratio_has_no_p_value(spark):
     gaps = spark.createDataFrame(rows, "treated_unit string, date_month date, gap double")
     assert {r.p_value for r in C.placebo_test(gaps, "2000-02-01", "A").collect()} == {None}
     assert {r.p_value for r in C.placebo_test(gaps, "2000-02-01", "B").collect()} == {0.5}
+
+
+@pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 1.0])
+def test_exact_quantile_by_counts(spark, p):
+    """Heavy tails, ties, one value with most rows, groups of one and two rows."""
+    rnd = np.random.default_rng(6)
+    groups = {"tail": np.exp(rnd.normal(0, 9, 501)), "ties": rnd.integers(0, 4, 400) / 4, "one": np.array([3.25]),
+              "two": np.array([-1e9, 1e-9]), "hot": np.concatenate([np.full(900, 7.125), rnd.normal(7, 1e-7, 301)])}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("ties", None), (None, 1.0), ("one", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    got = {r.g: r.q for r in M.exact_quantile(df, "g", "v", p).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert got[g] == pytest.approx(float(np.quantile(vs, p)), rel=1e-12)
+

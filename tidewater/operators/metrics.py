@@ -342,49 +342,55 @@ def kpi_monthly_full(spark: SparkSession, kpi: DataFrame, impl: DataFrame, suppo
 
 # -- M10: average check with an exact, skew-safe median ------------------------------------------
 
+QUANTILE_BINS = 256
+
+
 def exact_quantile(df: DataFrame, group: str, value: str, p: float) -> DataFrame:
-    """Exact linear-interpolated quantile per group (``quantile_cont``) without
-    gathering any group's values in one task.
-
-    A global sort on (group, value) range-partitions the rows, so a group
-    holding a third of them spans many partitions. Each row's rank inside
-    its group is the count of its group's rows in earlier partitions (from a
-    small (partition, group) count table) plus its position in its own
-    partition. The sorted rows are written once to the shared folder (see
-    ``materialize``) so the positions are
-    stable. Only the (at most two) rows at the target ranks are kept.
+    """Exact linear-interpolated quantile per group (``quantile_cont``) by
+    counting, without a sort and without gathering any group's values.
+
+    Each group has a bracket of values that holds the wanted rank. In a round
+    the values in the bracket are counted in 256 bins; the bin that holds the
+    rank becomes the bracket, from its least to its greatest value. Counts are
+    combined before the shuffle, so only they move and a group (or one value)
+    with a third of the rows is counted by all tasks; a bracket of one value is
+    done, however often that occurs. The brackets (a row per group) are joined
+    by whatever way their size asks for. Rows are written once and read per
+    round (about log256 of the range over the spacing). Null and NaN values and
+    null groups are left out.
     """
     from tidewater.session import materialize
 
-    srt = materialize(
-        df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
-        .filter(F.col("g").isNotNull() & F.col("v").isNotNull())
-        .orderBy("g", "v")
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id()), "quantile-sorted")
-    parts = srt.groupBy("_pid", "g").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.partitionBy("g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (parts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-             .withColumn("_total", F.sum("_n").over(Window.partitionBy("g"))))
-    pos = F.col("_total").cast("double") - 1.0
-    parts = (parts.withColumn("_lo", F.floor(pos * p).cast("long"))
-             .withColumn("_hi", F.ceil(pos * p).cast("long"))
-             .withColumn("_frac", pos * p - F.floor(pos * p)))
-    ranked = (srt.join(parts, ["_pid", "g"])
-              .withColumn("_rank", F.col("_before") + F.col("_mid") - F.col("_m0"))
-              .filter((F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi"))))
-    q = ranked.groupBy("g").agg(
-        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("v"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
-    return q.select(F.col("g").alias(group),
-                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("q"))
+    rows = materialize(df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).filter(
+        "g is not null and v is not null and not isnan(v)"), "quantile-rows")
+    pos = (F.col("n") - 1).cast("double") * p
+    whole = materialize(rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).select(
+        "g", F.floor(pos).cast("long").alias("lo"), F.ceil(pos).cast("long").alias("hi"), (pos - F.floor(pos)).alias("frac"),
+        F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"), "a", "b"), "quantile-bracket")
+    done, open_ = whole.filter("a = b"), whole.filter("a < b")
+    while not open_.isEmpty():
+        bins = F.least(F.floor((F.col("v") - F.col("a")) / (F.col("b") - F.col("a")) * QUANTILE_BINS), F.lit(QUANTILE_BINS - 1))
+        counts = rows.join(open_.select("g", "a", "b"), "g").filter("v between a and b").groupBy("g", bins.alias("bin")).agg(
+            F.count("*").alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+        before = Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        found = counts.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0))).join(open_, "g").filter(
+            "lo >= below + before and lo < below + before + c")
+        narrowed = materialize(found.select(
+            "g", "lo", "hi", "frac", (F.col("below") + F.col("before")).alias("below"), F.col("c").alias("inside"),
+            F.col("least").alias("a"), F.col("most").alias("b")), "quantile-bracket")
+        done, open_ = done.unionByName(narrowed.filter("a = b")), narrowed.filter("a < b")
+    done = materialize(done, "quantile-found")
+    # The upper of the two ranks: the same value where it occurs often enough.
+    beyond = done.filter("hi >= below + inside").select("g", "a")
+    upper = rows.join(beyond, "g").filter("v > a").groupBy("g").agg(F.min("v").alias("next"))
+    return done.join(upper, "g", "left").select(
+        F.col("g").alias(group), (F.col("a") + (F.coalesce("next", "a") - F.col("a")) * F.col("frac")).alias("q"))
 
 
 def avg_check(impl: DataFrame, by: str = "vendor_name", approx: bool = False) -> DataFrame:
     """Average and median capex per vendor (or class). ``approx=True`` uses a
     bounded-memory sketch (``percentile_approx``) instead of the exact
-    sort-based median."""
+    median."""
     base = (impl.filter(F.col(by).isNotNull()).groupBy(by)
             .agg(F.count(F.lit(1)).cast("long").alias("impl_count"),
                  (F.sum("capex").cast("double") / F.count(F.lit(1))).alias("avg_capex")))
