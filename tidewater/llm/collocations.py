@@ -4,9 +4,11 @@ Texts are cut into pieces at punctuation and line ends, pieces into words.
 Nodes are runs of words, edges the longest grams (five words) that join two
 overlapping nodes, weighted by how often they occur.
 
-1. A first pass counts words and word pairs by hash slot, with counts up to
-   ``least``. A slot is never too low, so what stays below ``least`` is certainly
-   in no candidate; pieces are also ended there. This saves shuffle only.
+1. A first pass counts words and word pairs by hash slot. A slot is never too
+   low, so what stays below ``least`` is certainly in no candidate; pieces are
+   also ended there. This saves shuffle only. A quarter of ``least`` is asked
+   for: with all of it a small corpus would shuffle next to nothing and a
+   larger one out of proportion more.
 2. A second pass gives one row per place: the edge that starts there, or, in
    the last places of a piece, the shorter gram up to its end. Equal rows are
    added up in the task, then dealt by their first three words.
@@ -51,6 +53,8 @@ TOP = 2000
 BREAKS = b".,;:!?\n\v\f\r"
 CHUNK_BYTES = 4_000_000
 HELD_ROWS = 1_000_000
+# Words and pairs below this part of ``least`` end a piece.
+RARE = 4
 SEGMENT = 1 << 16
 # Hash slots: one for 32 bytes of text, at most 128 MB in a task and 16 MB as
 # a broadcast bit set. Fuller slots let more places through, nothing else.
@@ -370,7 +374,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.col(text_col).alias("text")).filter("text is not null")
-    totals, bits = frequent_slots(texts, least)
+    totals, bits = frequent_slots(texts, max(1, least // RARE))
     shared = spark.sparkContext.broadcast(bits)
     phrases = materialize(phrase_counts(gram_rows(texts, shared), least), "phrases")
     shared.unpersist()
