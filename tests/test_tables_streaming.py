@@ -134,3 +134,35 @@ def test_a_source_that_fails_while_it_runs_is_left_out(spark):
 def test_latest_breaks_ties_by_id(spark):
     log = spark.createDataFrame([(i, "k", 1) for i in range(6)], "id long, key string, batch_id long").repartition(3)
     assert K.latest_per_key(log, ["key"]).first().id == 5
+
+
+def test_snapshots_give_what_the_whole_log_gives(spark):
+    """Ten refreshes, snapshots only when the batches since weigh enough."""
+    log, wrote = scratch_path(spark, "t-snap"), []
+    for batch in range(1, 11):
+        rows = [(f"k{i}", f"v{batch}-{i}") for i in range(40) if (i + batch) % (2 if batch < 3 else 9) == 0]
+        K.append_batch(spark.createDataFrame(rows, "k string, v string"), log, batch)
+        wrote.append(K.compact(spark, log, ["k"]))
+        got = sorted((r.k, r.v, r.batch_id) for r in K.read_latest(spark, log, ["k"]).collect())
+        assert got == sorted((r.k, r.v, r.batch_id) for r in K.latest_per_key(K.read_log(spark, log), ["k"]).collect())
+    assert wrote[0] and 2 <= sum(wrote) < 7
+    assert not K.compact(spark, log, ["k"], ratio=1.0)
+    # earlier batches are not read: their folders may go
+    newest = K._snapshots(spark, log)
+    plan = K.read_latest(spark, log, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert f"(batch_id" in plan and f"> {newest.upto})" in plan
+
+
+def test_state_answers_from_the_commits(spark):
+    root = scratch_path(spark, "t-state")
+    cards = [("a", "x"), ("b", "x"), (None, "x")]
+    one = spark.createDataFrame(cards, "title string, description string")
+    K.save_all(spark, {"real_support_measures": one, "real_solutions": K.empty(spark, K.SCHEMAS["real_solutions"])}, root, 1)
+    two = spark.createDataFrame([("b", "y"), ("c", "y")], "title string, description string")
+    K.save_all(spark, {"real_support_measures": two}, root, 2)
+    K.save_all(spark, {"real_support_measures": two}, root, 2)  # a replay
+    s = {r.name: r for r in K.source_state(spark, f"{root}/_manifest").collect()}
+    cards = s["real_support_measures"]
+    assert (cards.n_rows, cards.last_id, cards.null_keys, cards.n_keys) == (5, 5, 1, 3)
+    assert cards.first_created <= cards.last_created
+    assert (s["real_solutions"].n_rows, s["real_solutions"].last_created) == (0, None)

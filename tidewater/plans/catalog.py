@@ -356,14 +356,17 @@ def latest_per_key(spark, sf_dir):
 
 @query
 def latest_procurements(spark, sf_dir):
-    """Two refreshes of the procurement rows into their declared table, then
-    the newest row per natural key."""
+    """Two refreshes of the procurement rows into their declared table with a
+    snapshot between them, then the newest row per natural key."""
     root, name = scratch_path(spark, "procurements"), "real_procurements"
-    rows = _procurements(spark, sf_dir)
+    rows = materialize(_procurements(spark, sf_dir), "procurement-rows")
+    log, keys, schema = f"{root}/{name}", K.NATURAL_KEYS[name], K.SCHEMAS[name]
     for batch in (1, 2):
         K.save_all(spark, {name: rows}, root, batch)
-    log = K.read_log(spark, f"{root}/{name}", f"{root}/_manifest", K.SCHEMAS[name])
-    return K.latest_per_key(log, K.NATURAL_KEYS[name]).select("url", "keyword", "title", "customer", "price", "batch_id")
+        if batch == 1:
+            K.compact(spark, log, keys, f"{root}/_manifest", schema)
+    latest = K.read_latest(spark, log, keys, f"{root}/_manifest", schema)
+    return latest.select("url", "keyword", "title", "customer", "price", "batch_id")
 
 
 # -- data quality (Q1-Q6) -----------------------------------------------------------------
@@ -433,6 +436,22 @@ def dq_freshness(spark, sf_dir):
                      P.FRESH_DAY_DAYS)])
 
 
+@query
+def dq_ingest_state(spark, sf_dir):
+    """Freshness and completeness of each source by ingestion time, answered
+    from what the commits keep: rows, highest id, rows with an incomplete key,
+    and whether the newest row is older than the source's period."""
+    root = scratch_path(spark, "ingest")
+    loaders = {"real_solutions": _solutions, "real_procurements": _procurements, "real_indicators": _indicators,
+               "real_support_measures": _cards}
+    K.save_all(spark, {n: load(spark, sf_dir) for n, load in loaders.items()}, root, 1)
+    state = K.source_state(spark, f"{root}/_manifest")
+    days = F.create_map(*[F.lit(x) for pair in P.SOURCE_DAYS.items() for x in pair])
+    age = F.datediff(F.current_date(), F.col("last_created"))
+    return state.select("name", "n_rows", "last_id", "null_keys",
+                        (F.col("last_created").isNull() | (age > days[F.col("name")])).cast("long").alias("stale"))
+
+
 @query
 def dq_parse_rate(spark, sf_dir):
     m = PG.money_strings(table(spark, sf_dir, "lineitem"))

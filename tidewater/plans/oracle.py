@@ -645,6 +645,13 @@ def refresh_sql(q: dict[str, str]) -> None:
         parts.append(f"select '{name}' table_name, cast(2 * count(*) as bigint) n_rows, "
                      f"cast(1 as bigint) min_id, cast(2 * count(*) as bigint) max_id from ({q[key]}) t")
     q["refresh_commit"] = "\nunion all\n".join(parts)
+    keys = {"real_solutions": "name is null or vendor is null or version is null", "real_procurements": "url is null or keyword is null",
+            "real_indicators": "indicator is null or year is null or region is null", "real_support_measures": "title is null"}
+    q["dq_ingest_state"] = "\nunion all\n".join(
+        f"select '{name}' as name, count(*) n_rows, count(*) last_id, count(*) filter (where {keys[name]}) null_keys, "
+        f"cast(0 as bigint) stale from ({q[key]}) t"
+        for name, key in (("real_solutions", "extract_table_rows"), ("real_procurements", "procurement_blocks"),
+                          ("real_indicators", "json_indicators"), ("real_support_measures", "extract_fields")))
 
 
 def procurement_sql(q: dict[str, str]) -> None:

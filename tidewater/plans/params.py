@@ -59,3 +59,6 @@ REPLICATES = 100
 
 # Matching on covariates: caliper in standard deviations.
 MATCH_CALIPER = 0.5
+
+# How often each source is refreshed, in days.
+SOURCE_DAYS = {"real_solutions": 31, "real_procurements": 1, "real_indicators": 31, "real_support_measures": 31}

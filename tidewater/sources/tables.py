@@ -113,11 +113,50 @@ def write_batch(df: DataFrame, log_path: str, batch_id: int, schema: T.StructTyp
        .partitionBy("batch_id").parquet(f"{log_path}/data"))
 
 
-def publish(spark: SparkSession, manifest_path: str, batch_id: int) -> None:
-    """Commit: one manifest row, written after all data of the batch."""
-    (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"),
-                           F.current_timestamp().alias("committed_at"))
-     .write.mode("append").parquet(manifest_path))
+# What a commit keeps about each table's batch. The summaries of batches merge:
+# counts add up, bounds widen, the sketches of distinct keys unite.
+SUMMARY = T.StructType([
+    T.StructField("name", S), T.StructField("n_rows", L), T.StructField("last_id", L), T.StructField("null_keys", L),
+    T.StructField("first_created", TS), T.StructField("last_created", TS), T.StructField("keys", T.BinaryType())])
+MANIFEST = T.StructType([T.StructField("batch_id", L), T.StructField("committed_at", TS),
+                         T.StructField("tables", T.ArrayType(SUMMARY))])
+
+
+def publish(spark: SparkSession, manifest_path: str, batch_id: int, tables: list | None = None) -> None:
+    """Commit: one manifest row, written after all data of the batch, with the
+    summary of each table's batch."""
+    row = spark.createDataFrame([(batch_id, None, tables or [])], MANIFEST)
+    row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(manifest_path)
+
+
+def batch_summary(spark: SparkSession, name: str, log_path: str, batch_id: int):
+    """The summary of a written batch (one pass over its few columns). Keys are
+    the table's natural key; a table without one counts none."""
+    batch = spark.read.parquet(f"{log_path}/data/batch_id={batch_id}")
+    keys = [k for k in NATURAL_KEYS.get(name, []) if k in batch.columns]
+    lacks = F.lit(False)
+    for k in keys:
+        lacks = lacks | F.col(k).isNull()
+    key = F.when(~lacks, F.xxhash64(*keys)) if keys else F.lit(None).cast("long")
+    return batch.agg(
+        F.lit(name).alias("name"), F.count("*").alias("n_rows"),
+        (F.max("id") if "id" in batch.columns else F.lit(None)).cast("long").alias("last_id"),
+        F.count_if(lacks).alias("null_keys"), F.min("created_at").alias("first_created"), F.max("created_at").alias("last_created"),
+        F.hll_sketch_agg(key, F.lit(14)).alias("keys")).first()
+
+
+def source_state(spark: SparkSession, manifest_path: str) -> DataFrame:
+    """What is known of each table from the commits alone, without reading any
+    data: n_rows, last_id, null_keys, first_created, last_created, and
+    n_keys, an estimate of its distinct natural keys. A replayed batch counts as
+    last committed."""
+    commits = spark.read.schema(MANIFEST).parquet(manifest_path)
+    each = commits.select("batch_id", "committed_at", F.explode("tables").alias("t")).groupBy("batch_id", "t.name").agg(
+        F.max_by("t", "committed_at").alias("t"))
+    return each.groupBy("name").agg(
+        F.sum("t.n_rows").alias("n_rows"), F.max("t.last_id").alias("last_id"), F.sum("t.null_keys").alias("null_keys"),
+        F.min("t.first_created").alias("first_created"), F.max("t.last_created").alias("last_created"),
+        F.hll_sketch_estimate(F.hll_union_agg("t.keys")).alias("n_keys"))
 
 
 def append_batch(df: DataFrame, log_path: str, batch_id: int) -> None:
@@ -152,24 +191,24 @@ def save_all(spark: SparkSession, datasets: dict[str, DataFrame], root: str, bat
     """Store one refresh of several sources with a single commit (K2 + K7).
 
     Each dataset gets dense surrogate ids continuing after the largest
-    committed id of its log, and is written as ``root/<name>/data/batch_id=N``.
+    committed id of its log (kept in the manifest, so no log is read), and is written as ``root/<name>/data/batch_id=N``.
     Only after every dataset is written does one manifest row at
     ``root/_manifest`` publish the batch for all of them; a failure before
     that leaves the batch invisible to readers. Tables of ``SCHEMAS`` are
     written in their declared columns.
     """
     manifest = f"{root}/_manifest"
-    committed = _path_exists(spark, manifest)
+    last = {}
+    if _path_exists(spark, manifest):
+        earlier = spark.read.schema(MANIFEST).parquet(manifest).filter(F.col("batch_id") != batch_id)
+        last = dict(earlier.select(F.explode("tables").alias("t")).groupBy("t.name").agg(F.max("t.last_id")).collect())
+    tables = []
     for name, df in datasets.items():
         log = f"{root}/{name}"
-        start = 1
-        schema = SCHEMAS.get(name)
-        if committed and _path_exists(spark, f"{log}/data"):
-            declared = schema or T.StructType([*df.drop("id").schema.fields, T.StructField("id", L)])
-            last = read_log(spark, log, manifest, declared).agg(F.max("id")).first()[0]
-            start = (last or 0) + 1
-        write_batch(with_dense_ids(df.drop("id"), start), log, batch_id, schema)
-    publish(spark, manifest, batch_id)
+        write_batch(with_dense_ids(df.drop("id"), (last.get(name) or 0) + 1), log, batch_id, SCHEMAS.get(name))
+        written = _path_exists(spark, f"{log}/data/batch_id={batch_id}")  # an empty batch leaves no folder
+        tables.append(batch_summary(spark, name, log, batch_id) if written else (name, 0, None, 0, None, None, None))
+    publish(spark, manifest, batch_id, tables)
 
 
 def latest_per_key(log: DataFrame, keys: list[str], order_cols=("created_at", "batch_id", "id")) -> DataFrame:
@@ -185,6 +224,52 @@ def latest_per_key(log: DataFrame, keys: list[str], order_cols=("created_at", "b
     return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in payload])
 
 
+def _snapshots(spark: SparkSession, log_path: str):
+    """The newest snapshot as (upto, n_rows, path), or None."""
+    where = f"{log_path}/_snapshots"
+    if not _path_exists(spark, where):
+        return None
+    return spark.read.schema("upto long, n_rows long, path string").parquet(where).orderBy(F.col("upto").desc()).first()
+
+
+def read_latest(spark: SparkSession, log_path: str, keys: list[str], manifest_path: str | None = None,
+                schema: T.StructType | None = None) -> DataFrame:
+    """The newest committed row per natural key (``latest_per_key`` of the whole
+    log) from the newest snapshot and the batches after it; the folders of
+    earlier batches are not read."""
+    log = read_log(spark, log_path, manifest_path, schema)
+    newest = _snapshots(spark, log_path)
+    if newest is None:
+        return latest_per_key(log, keys)
+    kept = spark.read.schema(log.schema).parquet(newest.path)
+    return latest_per_key(kept.unionByName(log.filter(F.col("batch_id") > newest.upto)), keys)
+
+
+def compact(spark: SparkSession, log_path: str, keys: list[str], manifest_path: str | None = None,
+            schema: T.StructType | None = None, ratio: float = 0.5) -> bool:
+    """Write a new snapshot when the batches after the last one hold at least
+    ``ratio`` times its rows. So every appended row is rewritten a bounded number
+    of times on average, and a refresh costs what its batch does, not what the log
+    does. The snapshot becomes visible by one row in ``_snapshots``, written
+    last; batches up to it must not be replayed with other rows. Returns whether
+    it wrote one."""
+    import uuid
+
+    newest = _snapshots(spark, log_path)
+    log = read_log(spark, log_path, manifest_path, schema)
+    fresh = log.filter(F.col("batch_id") > newest.upto) if newest else log
+    state = fresh.agg(F.count("*").alias("n"), F.max("batch_id").alias("upto")).first()
+    if not state.n or (newest and state.n < ratio * newest.n_rows):
+        return False
+    path = f"{log_path}/snapshot/upto={state.upto}-{uuid.uuid4().hex[:8]}"
+    current = read_latest(spark, log_path, keys, manifest_path, schema)
+    current.filter(F.col("batch_id") <= state.upto).select(log.columns).write.parquet(path)
+    n_rows = spark.read.parquet(path).count()
+    spark.createDataFrame([(state.upto, n_rows, path)], "upto long, n_rows long, path string").coalesce(1).write.mode(
+        "append").parquet(f"{log_path}/_snapshots")
+    return True
+
+
 def write_if_empty(df: DataFrame, path: str) -> None:
     """K5: load only while the target holds no rows (or does not exist)."""
     spark = df.sparkSession
