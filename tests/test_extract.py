@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -103,3 +104,16 @@ def test_cards_with_wrappers_other_classes_and_quotes(spark):
             "<div class='measure-amount'>5</div></div>")
     r = X.extract_fields(pages(spark, html), **X.SUPPORT_CARD).collect()
     assert [(x.title, x.amount) for x in r] == [("T", 5.0)]
+
+
+def test_relevance_counts_rarity_and_length(spark):
+    texts = ["wms " + "x " * 50, "wms wms", "the the the the", "the wms", None, "the", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = X.keyword_relevance(docs, ["wms", "the"], 2).collect()
+    got = {(r.keyword, r["rank"]): (r.doc_id, r.hits) for r in rows}
+    assert got == {("wms", 1): (1, 2), ("wms", 2): (3, 1), ("the", 1): (2, 4), ("the", 2): (5, 1)}
+    mean = sum(len(t) for t in texts if t) / 6
+    for r in rows:
+        idf = math.log((6 - 3 + 0.5) / (3 + 0.5) + 1)
+        want = idf * r.hits * 2.2 / (r.hits + 1.2 * (0.25 + 0.75 * len(texts[r.doc_id]) / mean))
+        assert abs(r.score - want) < 1e-7

@@ -311,6 +311,18 @@ def keyword_top10(spark, sf_dir):
     return X.keyword_top(_hits(spark, sf_dir), P.TOP_K)
 
 
+@query
+def keyword_relevance(spark, sf_dir):
+    return X.keyword_relevance(table(spark, sf_dir, "documents"), P.SEARCH_KEYWORDS, P.TOP_K)
+
+
+@query
+def scoped_implementations(spark, sf_dir):
+    """S9: the request's scope as column filters."""
+    impl = implementations(spark, sf_dir, ["impl_key", "status", "region_name", "is_domestic"])
+    return X.scope_filter(impl, status=P.ACTIVE_STATUSES, is_domestic=True)
+
+
 @query
 def recent_rows(spark, sf_dir):
     return X.recent_rows(table(spark, sf_dir, "events"), "ts", P.EVENTS_AS_OF, P.EVENTS_DAYS_BACK)

@@ -401,6 +401,18 @@ where contains(low, keyword)"""
 select * from (
   select *, row_number() over (partition by keyword order by hits desc, doc_id asc) "rank" from h
 ) r where "rank" <= {P.TOP_K}"""
+    q["keyword_relevance"] = "with h as (" + q["keyword_hits"] + f"""),
+c as (select count(*) n, sum(length(text)) / count(*) mean from documents where text is not null),
+f as (select keyword, count(*) df from h group by 1),
+s as (select h.doc_id, h.keyword, h.hits,
+             round(ln((n - df + 0.5::double) / (df + 0.5::double) + 1.0::double)
+                   * (hits * 2.2::double / (hits + 1.2::double * (0.25::double + 0.75::double * length(d.text) / mean))), 8) score
+      from h join f using (keyword) join documents d on d.doc_id = h.doc_id, c)
+select *, row_number() over (partition by keyword order by score desc, doc_id) "rank" from s
+qualify "rank" <= {P.TOP_K}"""
+    active = ", ".join(f"'{x}'" for x in P.ACTIVE_STATUSES)
+    q["scoped_implementations"] = with_(IMPL) + f"""
+select impl_key, status, region_name, is_domestic from impl where status in ({active}) and is_domestic"""
     q["recent_rows"] = f"""
 select * from events where ts > timestamp '{P.EVENTS_AS_OF}' - interval {P.EVENTS_DAYS_BACK} day"""
     q["source_counts"] = (

@@ -174,22 +174,24 @@ def json_indicators(payloads: DataFrame, indicator_col: str = "indicator",
 # -- S7 / S8: keyword search ------------------------------------------------------------------
 
 def keyword_hits(docs: DataFrame, keywords: list[str], text_col: str = "text",
-                 id_col: str = "doc_id") -> DataFrame:
+                 id_col: str = "doc_id", keep: tuple[Column, ...] = ()) -> DataFrame:
     """One row per (document, keyword) whose lower-cased text contains the
-    keyword; a document matching two keywords gives two rows.
+    keyword; a document matching two keywords gives two rows. ``keep`` names
+    more columns of the documents to go with the rows.
 
     The keyword list is a literal array filtered per document: no join, no
     shuffle; each text is lower-cased once and scanned in full.
     """
     kws = F.array(*[F.lit(k.lower()) for k in keywords])
     low = F.lower(F.col(text_col))
-    with_low = docs.select(id_col, low.alias("_low"))
-    hits = with_low.select(id_col, "_low",
+    with_low = docs.select(id_col, low.alias("_low"), *keep)
+    kept = [c for c in with_low.columns if c not in (id_col, "_low")]
+    hits = with_low.select(id_col, "_low", *kept,
                            F.explode(F.filter(kws, lambda k: F.contains(F.col("_low"), k)))
                            .alias("keyword"))
     n = ((F.length("_low") - F.length(F.replace(F.col("_low"), F.col("keyword"), F.lit(""))))
          / F.length("keyword")).cast("long")
-    return hits.select(id_col, "keyword", n.alias("hits"))
+    return hits.select(id_col, "keyword", n.alias("hits"), *kept)
 
 
 def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
@@ -213,6 +215,27 @@ def keyword_top(hits: DataFrame, n: int = 10, id_col: str = "doc_id") -> DataFra
                            salt_col=id_col)
 
 
+def keyword_relevance(docs: DataFrame, keywords: list[str], n: int = 10, text_col: str = "text", id_col: str = "doc_id",
+                      k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """The ``n`` most relevant documents per keyword by BM25: how often the
+    keyword stands in the text, how rare it is in the collection, and how long
+    the text is against the mean. Ties by id.
+
+    The collection's size and mean length are scalars of the plan; a keyword's
+    document frequency is one row per keyword of the list. The ranking is
+    two-phase with a salt, as for ``keyword_top``.
+    """
+    known = docs.filter(F.col(text_col).isNotNull())
+    n_docs = known.agg(F.count("*")).scalar()
+    mean = known.agg(F.sum(F.length(text_col)) / F.count("*")).scalar()
+    hits = keyword_hits(known, keywords, text_col, id_col, (F.length(text_col).alias("n_chars"),))
+    found = hits.groupBy("keyword").agg(F.count("*").alias("df"))  # a row per keyword of the list
+    idf = F.log((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0)
+    weight = F.col("hits") * (k1 + 1.0) / (F.col("hits") + k1 * (1.0 - b + b * F.col("n_chars") / mean))
+    scored = hits.join(F.broadcast(found), "keyword").select(id_col, "keyword", "hits", F.round(idf * weight, 8).alias("score"))
+    return top_n_per_group(scored, ["keyword"], [F.col("score").desc(), F.col(id_col).asc()], n, salt_col=id_col)
+
+
 # -- S9 / S10: scope and recency filters --------------------------------------------------------
 
 def scope_filter(df: DataFrame, **equals) -> DataFrame:
