@@ -222,10 +222,12 @@ def frequent_slots(texts: DataFrame, least: int) -> tuple[DataFrame, np.ndarray]
 
 
 def combined(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal rows added up. (Rows whose order key collides may stay apart; they
-    meet later.)"""
-    key = mix((grams * _PLACES).sum(axis=1, dtype=np.uint64))
-    order = np.argsort(key)
+    """Equal rows added up. Rows of the same first two words stand together,
+    which compresses well in the shuffle. (Rows whose order key collides may
+    stay apart; they meet later.)"""
+    rest = mix((grams * _PLACES).sum(axis=1, dtype=np.uint64))
+    first = grams[:, 0] & np.uint64(0xFFFFFF0000000000) | grams[:, 1] >> np.uint64(24) & np.uint64(0xFFFF000000)
+    order = np.argsort(first | rest & np.uint64(0xFFFFFF))
     grams = grams[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]).any(axis=1)
