@@ -334,3 +334,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op11_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+           lambda x: x <> '') w
+  from documents),
+s as (
+  select doc_id, list_sort(case when len(w) < 2 then w else list_distinct(list_transform(
+           range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end) s
+  from w),
+classes as (select s, min(doc_id) c, len(s) n from s where len(s) > 0 group by s),
+t as (select c, n, unnest(s) g from classes),
+links as (
+  select a.c x, b.c y
+  from t a join t b on a.g = b.g and a.c < b.c and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.c, b.c, a.n, b.n
+  having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges as (select x, y from links union select y, x from links),
+reach as (
+  select c node, c root from classes
+  union
+  select r.node, e.y from reach r join edges e on r.root = e.x),
+roots as (select node, min(root) component from reach group by node)
+select doc_id, cast(len(s.s) as bigint) n_shingles, coalesce(component, doc_id) component_id,
+       doc_id = coalesce(component, doc_id) kept
+from s left join classes using (s) left join roots on node = c
+"""

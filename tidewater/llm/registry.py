@@ -24,6 +24,7 @@ QUERIES = {
 ORACLES = {
     "op2_warc": warc.OP2_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op11_odd_sketches": odd_sketches.OP11_SQL,
     "op12_collocations": collocations.OP12_SQL,
     "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
