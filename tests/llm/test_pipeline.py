@@ -21,7 +21,7 @@ def test_stages_chain_and_keep_columns(spark, sf_dir):
 
 
 def test_every_operator_is_registered():
-    assert {q.split("_")[0] for q in registry.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {q.split("_")[0] for q in registry.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_xxhash64_is_sparks(spark):
