@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tidewater.llm import common
 from tidewater.llm import exact_dedup as E
 from tidewater.llm import graph
 from tidewater.llm import ngram_join as N
@@ -84,6 +85,36 @@ def test_near_finds_links_between_many_random_copies(spark):
     assert got == ref and len({c for _, c in ref.values()}) > 5
 
 
+def test_near_drop_leaves_one_row_of_each_group(spark, docs, rows, odd, none):
+    left = N.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    want = N.brute_force(rows)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, (_, c) in want.items() if d == c)
+    kept = Counter((r.doc_id, r.text) for r in N.drop_near_duplicates(odd).collect())
+    base = odd.filter("doc_id = 1").first().text
+    assert kept == {(1, base): 1, (2, "another text"): 1, (3, None): 2, (None, None): 1}
+    assert N.drop_near_duplicates(none).columns == none.columns and N.drop_near_duplicates(none).count() == 0
+    unnamed = spark.createDataFrame([(None, base), (None, base + " end"), (None, "other words")], "doc_id long, text string")
+    assert len({r.text for r in N.drop_near_duplicates(unnamed).collect()}) == N.drop_near_duplicates(unnamed).count() == 2
+
+
+def test_rows_that_the_filters_cannot_tell_are_joined(spark, monkeypatch):
+    """Filters of eight bits: nearly every row is met in the exact join."""
+    monkeypatch.setattr(common.IdFilter, "__init__", _tiny(common.IdFilter.__init__))
+    rows = [(i % 300, f"text {i % 400}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    least = {}
+    for d, t in rows:
+        least[t] = min(d, least.get(t, d))
+    assert sorted((r.doc_id, r.text) for r in E.drop_duplicates(docs).collect()) == sorted((d, t) for t, d in least.items())
+
+
+def _tiny(init):
+    def made(self, ids, col, per_id=16, max_bits=1 << 28):
+        init(self, ids, col, per_id, 8)
+    return made
+
+
 @pytest.mark.parametrize("links", [[], [(1, 1)], [(1, 2), (2, 3), (5, 4), (7, 6), (6, 5)], [(i, i + 1) for i in range(40)]])
 def test_components(spark, links):
     found = graph.components(spark.createDataFrame(links, "a long, b long")).collect()

@@ -5,9 +5,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import materialize
+
 # White space of the contracts: blank, tab, newline, vertical tab, form feed, return.
 BLANKS = "[\\x20\\x09-\\x0D]"
 # ASCII-only lower-casing, as the contracts ask for A-Z.
@@ -69,11 +72,11 @@ def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 class IdFilter:
     """A test of 64-bit ids that is false only for ids not in the table it was
-    made from: a bit array of about 16 bits an id, at most ``max_bits`` (32 MB)
-    whatever the table's size, broadcast to the tasks."""
+    made from: a bit array of about ``per_id`` bits an id, at most ``max_bits``
+    (32 MB) whatever the table's size, broadcast to the tasks."""
 
-    def __init__(self, ids: DataFrame, col: str, max_bits: int = 1 << 28):
-        self.bits = min(max_bits, max(1 << 16, 1 << (16 * max(1, ids.count()) - 1).bit_length()))
+    def __init__(self, ids: DataFrame, col: str, per_id: int = 16, max_bits: int = 1 << 28):
+        self.bits = min(max_bits, max(1 << 16, 1 << (per_id * max(1, ids.count()) - 1).bit_length()))
         block = min(self.bits, 1 << 20)
         slot = F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(self.bits))
         blocks = ids.select(slot.alias("slot")).distinct().groupBy((F.col("slot") / block).cast("long").alias("block")).agg(
@@ -90,6 +93,40 @@ class IdFilter:
         packed = np.frombuffer(self.shared.value, np.uint8)
         return (packed[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
 
+    def column(self, key: str):
+        """The test as a column expression over the column ``key``."""
+        return F.pandas_udf(lambda ids: pd.Series(self(ids.to_numpy())), "boolean")(F.col(key))
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, digest) -> DataFrame:
+    """The rows of ``docs`` that ``decided`` keeps, all columns kept.
+
+    ``decided`` has doc_id, digest and kept for all rows of ``docs``; ``digest``
+    is the same digest as an expression over ``docs``. Rows are told apart by
+    id and digest; where an id and digest are both kept and dropped, one of
+    their rows stays.
+
+    No text is shuffled to look its row up: a broadcast filter of the dropped
+    keys lets almost every kept row through, and a filter of the kept keys that
+    it stops tells the rows that are dropped for certain. Only rows that both
+    filters stop (about one in 100) are joined."""
+    key = F.xxhash64("doc_id", "digest").alias("key")
+    gone = materialize(decided.filter("not kept").select("doc_id", "digest", key).distinct(), "rows-dropped")
+    dropped = IdFilter(gone, "key", per_id=128)
+    spared = materialize(
+        decided.filter("kept").select("doc_id", "digest", key).filter(dropped.column("key")).distinct(), "rows-spared")
+    stopped = IdFilter(spared, "key", per_id=128)
+    doubtful = spared.join(gone.select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest"), F.lit(True).alias("one")),
+                           F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("digest") == F.col("gone_digest")), "left").select(
+        F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"), "one")
+    marked = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("doc_id"), digest.alias("digest")).select(
+        "*", key).withColumn("hit", dropped.column("key"))
+    met = marked.filter("hit").filter(stopped.column("key")).join(
+        doubtful, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")))
+    one = met.filter("one").groupBy("doc_id", "digest").agg(F.first("doc").alias("doc"))
+    return (marked.filter("not hit").select("doc.*").unionByName(met.filter("one is null").select("doc.*"))
+            .unionByName(one.select("doc.*")))
+
 
 def xxhash64(ids: np.ndarray, seed: int | np.ndarray = 42) -> np.ndarray:
     """Spark's xxhash64 of longs, as unsigned numbers (fixed constants of the

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import attach, table
+from tidewater.llm.common import attach, keep_rows, table
 from tidewater.session import materialize
 
 SEGMENT_BITS = 1 << 20
@@ -157,16 +157,11 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without later copies, all columns kept. Rows are dropped by id
     and text; of copies that share even the id with the row that stays, one
-    stays. The list of dropped rows is written once, so that the planner sees
-    its size and does not shuffle the texts for a short list."""
-    gone = materialize(duplicate_groups(docs, id_col, text_col).filter(~F.col("kept")).groupBy(
-        F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_text")).agg(
-        F.max(F.col("doc_id").eqNullSafe(F.col("keep_id")).cast("int")).alias("own")), "exact-dropped")
-    marked = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"),
-                         F.sha2(normalised(text_col).cast("binary"), 256).alias("text_sha256"))
-    met = marked.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_sha256") == F.col("gone_text")), "left")
-    same = met.filter("own = 1").groupBy("id", "text_sha256").agg(F.first("doc").alias("doc"))
-    return met.filter("own is null").select("doc.*").unionByName(same.select("doc.*"))
+    stays. Texts are shuffled only for the few rows that filters of the dropped
+    and kept keys leave open."""
+    decided = materialize(duplicate_groups(docs, id_col, text_col).select(
+        "doc_id", F.unhex("text_sha256").alias("digest"), "kept"), "exact-decided")
+    return keep_rows(docs, decided, id_col, F.unhex(F.sha2(normalised(text_col).cast("binary"), 256)))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

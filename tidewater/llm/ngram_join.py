@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import IdFilter, attach, table
+from tidewater.llm.common import IdFilter, attach, keep_rows, table
 from tidewater.llm.graph import components
 from tidewater.llm.shingles import shingle_sets
 from tidewater.session import materialize
@@ -65,8 +65,13 @@ def _set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def shingled(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """doc_id, n, set_id and the min-hashes of each document's set."""
+def text_digest(text_col: str):
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+
+
+def shingled(docs: DataFrame, id_col: str, text_col: str, words: int, digests: bool) -> DataFrame:
+    """doc_id, digest (of the text, if asked for), n, set_id and the min-hashes
+    of each document's set."""
     id_type = docs.schema[id_col].dataType.simpleString()
     mins = [f"m{i}" for i in range(MIN_HASHES)]
 
@@ -78,10 +83,12 @@ def shingled(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
                 rows.append((len(s), _set_id(s), *least))
             out = pd.DataFrame(rows, columns=["n", "set_id", *mins])
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            out.insert(1, "digest", batch["digest"].to_numpy())
             yield out
 
-    return docs.selectExpr(f"`{id_col}` doc_id", f"`{text_col}` text").mapInPandas(
-        run, f"doc_id {id_type}, n long, set_id long, " + ", ".join(f"{m} long" for m in mins))
+    digest = text_digest(text_col) if digests else F.lit(None).cast("binary")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), digest.alias("digest")).mapInPandas(
+        run, f"doc_id {id_type}, digest binary, n long, set_id long, " + ", ".join(f"{m} long" for m in mins))
 
 
 def token_arrays(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: IdFilter) -> DataFrame:
@@ -207,9 +214,10 @@ def opened_pairs(sets: DataFrame, known: DataFrame) -> DataFrame:
         & within_reach(F.col("n"), F.col("reach"), F.col("nb"), F.col("far"))).select(F.col("set_id").alias("a"), "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    found = materialize(shingled(docs, id_col, text_col, words), "shingled")
+def classified(docs: DataFrame, id_col: str, text_col: str, words: int, digests: bool) -> DataFrame:
+    """One row per document: doc_id, digest, n, component_id and root, a set of
+    its component (null without words)."""
+    found = materialize(shingled(docs, id_col, text_col, words, digests), "shingled")
     total = found.count()
     mins = [f"m{i}" for i in range(MIN_HASHES)]
     classes = materialize(found.filter("n > 0").groupBy("set_id").agg(
@@ -232,18 +240,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.join(linked.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn(
         "root", F.coalesce("root", "set_id"))
     first = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = named.join(first, "root").select("set_id", "group_rows", "component_id")
-    return attach(found.select("doc_id", "n", "set_id"), named, "set_id", total).select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    named = named.join(first, "root").select("set_id", "group_rows", "component_id", "root")
+    some = F.col("n") > 0
+    return attach(found.select("doc_id", "digest", "n", "set_id"), named, "set_id", total).select(
+        "doc_id", "digest", "n", F.when(some, F.col("root")).alias("root"),
+        F.when(some, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return classified(docs, id_col, text_col, words, False).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one of smallest id.
-    The dropped ids are written once, so that the planner sees their number."""
-    gone = materialize(near_duplicates(docs, id_col, text_col).filter("component_id <> doc_id").select(
-        F.col("doc_id").alias(id_col)).distinct(), "near-dropped")
-    return docs.join(gone, id_col, "left_anti")
+    """``docs`` with one row of each component: the one of smallest id (a null
+    id comes last), ties by the text's digest; of rows equal in both, one.
+    Another text under a dropped row's id is a row of its own. Texts without
+    words are in no component and all stay."""
+    found = materialize(classified(docs, id_col, text_col, WORDS, True), "near-classified")
+    grouped = found.filter("root is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    first = grouped.groupBy("root").agg(F.count("*").alias("group_rows"), F.min(order).alias("first"))
+    met = materialize(attach(grouped.select("root", "doc_id", "digest"), first, "root", found.count()).select(
+        "root", "doc_id", "digest",
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))).alias("kept")), "near-met")
+    again = met.filter("kept").groupBy("root", "doc_id", "digest").count().filter("count > 1")
+    decided = (met.select("doc_id", "digest", "kept")
+               .unionByName(again.select("doc_id", "digest", F.lit(False).alias("kept")))
+               .unionByName(found.filter("root is null").select("doc_id", "digest", F.lit(True).alias("kept"))))
+    return keep_rows(docs, decided, id_col, text_digest(text_col))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
