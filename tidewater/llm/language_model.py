@@ -16,8 +16,8 @@ together on the driver. Scoring broadcasts the most frequent strings and words
 (``HEAD_STRINGS``, ``HEAD_WORDS``); the rarer ones are joined by shuffle, so no
 table's size is bounded by the driver or a worker.
 
-Base score: add-0.1 smoothed unigrams of words (see the SQL-like formula in
-``base``), with the end of a text as one token.
+Base score: add-0.1 smoothed unigrams of words, the sum over tokens of
+log10((c + 0.1) / (N + 0.1 (V + 1))), with the end of a text as one token.
 
 Defined results: a null text is empty: one token, and the end symbol alone; a
 null id is held out; repeated rows are scored (and counted) one by one;
@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import crc32_bucket, located, table
+from tidewater.llm.common import crc32_bucket, located, table, tasks_for
 from tidewater.llm.shingles import mix, word_hashes
 from tidewater.session import materialize
 
@@ -45,7 +45,10 @@ DEPTH = 6
 HEAD_STRINGS = 1 << 19
 HEAD_WORDS = 1 << 18
 PIECE = 1 << 18
-HELD_KEYS = 4_000_000
+HELD_KEYS = 1_000_000
+BUCKETS = 1 << 12
+PENDING_KEYS = 500_000
+TREE_KEYS = 400_000
 END = b"\xff"
 # The end token's hash; no word can contain a blank, so none is hashed like it.
 END_TOKEN = 0x5DEECE66D1234567
@@ -112,10 +115,14 @@ class Counts:
         else:
             some = np.sort(keys[counted])
             train = np.searchsorted(some, unique, "right") - np.searchsorted(some, unique, "left")
-        self.keys.append(unique)
-        self.columns.append(np.stack([train, total]))
-        self.size += len(unique)
-        if self.size > 3_000_000:
+        self.put(unique, np.stack([train, total]))
+
+    def put(self, keys: np.ndarray, columns: np.ndarray) -> None:
+        """Counts of distinct keys."""
+        self.keys.append(keys)
+        self.columns.append(columns)
+        self.size += len(keys)
+        if self.size > PENDING_KEYS:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
@@ -131,33 +138,85 @@ class Counts:
         return self.keys[0], self.columns[0]
 
 
+COUNTED = "is_word boolean, bucket int, n long, key binary, train binary, total binary"
+
+
+def packed(column: np.ndarray) -> bytes:
+    """Numbers by byte planes: all lowest bytes first, the highest last. Sorted
+    keys and small counts then compress well where they are shuffled."""
+    return np.ascontiguousarray(column, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def bucket_of(is_word: bool, keys: np.ndarray) -> np.ndarray:
+    """Strings go by their two nearest context bytes, words by themselves."""
+    by = keys if is_word else keys >> 8 & 65535
+    return (mix(by.view(np.uint64)) % np.uint64(BUCKETS)).astype(np.int32)
+
+
+def bucket_rows(is_word: bool, bucket: int, keys, trained, total) -> dict:
+    return {"is_word": is_word, "bucket": int(bucket), "n": len(keys), "key": packed(keys), "train": packed(trained), "total": packed(total)}
+
+
 def count_strings(rows: DataFrame) -> DataFrame:
-    """(is_word, key, train, total): the corpus counts. Each task sends every
-    string it saw once, with its counts (again, after HELD_KEYS others)."""
-    def sent(is_word: int, counts: Counts) -> Iterator[pd.DataFrame]:
+    """One row per kind and bucket: its keys in order with their corpus counts.
+    A task sends what it counted, cut by bucket, once HELD_KEYS keys have
+    gathered; a bucket's parts are added up one after another."""
+    def sent(is_word: bool, counts: Counts) -> Iterator[pd.DataFrame]:
         keys, (trained, total) = counts.merge()
-        for at in range(0, len(keys), 100_000):
-            cut = slice(at, at + 100_000)
-            yield pd.DataFrame({"is_word": bool(is_word), "key": keys[cut], "train": trained[cut], "total": total[cut]})
+        bucket = bucket_of(is_word, keys)
+        order = np.argsort(bucket, kind="stable")
+        bucket, keys, trained, total = bucket[order], keys[order], trained[order], total[order]
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = np.append(first[1:], len(keys))
+        for at in range(0, len(first), 256):
+            yield pd.DataFrame([bucket_rows(is_word, bucket[i], keys[i:j], trained[i:j], total[i:j])
+                                for i, j in zip(first[at:at + 256], ends[at:at + 256])])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = [Counts(), Counts()]
         for batch in batches:
             train = ~batch["held_out"].to_numpy(bool)
             for part in pieces(list(batch["text"])):
-                for counts, (keys, text) in zip(tables, (grams(part), words(part))):
-                    counts.add(keys, train[text])
+                for is_word, (keys, text) in enumerate((grams(part), words(part))):
+                    tables[is_word].add(keys, train[text])
+                    if len(tables[is_word].keys) == 1 and len(tables[is_word].keys[0]) > HELD_KEYS:
+                        yield from sent(bool(is_word), tables[is_word])
+                        tables[is_word] = Counts()
             n = len(train)
             tables[1].add(np.full(n, END_TOKEN), train)
-            for is_word, counts in enumerate(tables):
-                if len(counts.keys) and len(counts.keys[0]) > HELD_KEYS:
-                    yield from sent(is_word, counts)
-                    tables[is_word] = Counts()
         for is_word, counts in enumerate(tables):
-            yield from sent(is_word, counts)
+            yield from sent(bool(is_word), counts)
 
-    return rows.mapInPandas(run, "is_word boolean, key long, train long, total long").groupBy("is_word", "key").agg(
-        F.sum("train").alias("train"), F.sum("total").alias("total"))
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, counts = None, Counts()
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                if (r.is_word, r.bucket) != current:
+                    if current is not None:
+                        keys, columns = counts.merge()
+                        yield pd.DataFrame([bucket_rows(*current, keys, *columns)])
+                    current, counts = (r.is_word, r.bucket), Counts()
+                counts.put(unpacked(r.key), np.stack([unpacked(r.train), unpacked(r.total)]))
+        if current is not None:
+            keys, columns = counts.merge()
+            yield pd.DataFrame([bucket_rows(*current, keys, *columns)])
+
+    return (rows.mapInPandas(run, COUNTED).repartition("is_word", "bucket")
+            .sortWithinPartitions("is_word", "bucket").mapInPandas(add_up, COUNTED))
+
+
+def spread(counted: DataFrame) -> DataFrame:
+    """(key, train, total), one row per key."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                yield pd.DataFrame({"key": unpacked(r.key), "train": unpacked(r.train), "total": unpacked(r.total)})
+
+    return counted.mapInPandas(run, "key long, train long, total long")
 
 
 _HALVES = np.array([math.lgamma(i + 0.5) for i in range(1024)])
@@ -213,20 +272,16 @@ def levels(node: np.ndarray, bit: np.ndarray, n: np.ndarray) -> list[tuple[Level
     return out
 
 
-def _gathered(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    got = list(batches)
-    return pd.concat(got, ignore_index=True) if got else pd.DataFrame({"key": [], "train": []}, dtype=np.int64)
-
-
 def _tree_top(strings: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """For every node of depth 1: the mixture so far and the weight left."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = _gathered(batches)
-        rows = rows[rows["train"] > 0]
-        if len(rows):
-            for node, bit in decisions(rows["key"].to_numpy()):
-                level = levels(node, bit, rows["train"].to_numpy(float))[-1][0]
-                yield pd.DataFrame({"node": level.keys & 0xFFFF, "n0": level.n0, "n1": level.n1, "below": level.weighted})
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                n = unpacked(r.train)
+                if n.any():
+                    for node, bit in decisions(unpacked(r.key)[n > 0]):
+                        level = levels(node, bit, n[n > 0].astype(float))[-1][0]
+                        yield pd.DataFrame({"node": level.keys & 0xFFFF, "n0": level.n0, "n1": level.n1, "below": level.weighted})
 
     found = strings.mapInPandas(run, "node long, n0 double, n1 double, below double").groupBy("node").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below")).toPandas().sort_values("node")
@@ -248,16 +303,13 @@ def _tree_top(strings: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def string_scores(strings: DataFrame) -> DataFrame:
     """(key, total, value): log10 probability of each string's last byte.
-    ``strings`` is partitioned by the two nearest context bytes."""
+    A row of ``strings`` is a bucket: all strings of some pairs of nearest
+    context bytes."""
     top = strings.sparkSession.sparkContext.broadcast(_tree_top(strings))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = _gathered(batches)
-        if not len(rows):
-            return
-        key = rows["key"].to_numpy()
+    def scored(row) -> pd.DataFrame:
+        key, n = unpacked(row.key), unpacked(row.train).astype(float)
         mixture, left = top.value
-        n = rows["train"].to_numpy(float)
         seen = n > 0
         value = np.zeros(len(key))
         for node, bit in decisions(key):
@@ -275,7 +327,12 @@ def string_scores(strings: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(level.keys, want), len(level.keys) - 1)
                 p = np.where(level.keys[at] == want, before[at] + rest[at] / 2, p)
             value += np.log10(np.where(bit == 1, p, 1 - p))
-        yield pd.DataFrame({"key": key, "total": rows["total"], "value": value})
+        return pd.DataFrame({"key": key, "total": unpacked(row.total), "value": value})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                yield scored(row)
 
     return strings.mapInPandas(run, "key long, total long, value double")
 
@@ -335,11 +392,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: i
     rows = located(docs, id_col, text_col).withColumn(
         "held_out", F.coalesce(crc32_bucket("doc_id", of) == 0, F.lit(True)))
     counted = materialize(count_strings(rows), "lm-counts")
-    vocabulary = counted.filter("is_word and train > 0")
-    n, v = vocabulary.agg(F.coalesce(F.sum("train"), F.lit(0)), F.count("*")).first()
-    log_words = materialize(vocabulary.select("key", "total", F.log10(F.col("train") + 0.1).alias("value")), "lm-words")
-    strings = materialize(counted.filter("not is_word").select("key", "train", "total"), "lm-strings")
-    by_context = strings.repartition(F.expr("key >> 8 & 65535"))
+    log_words = materialize(spread(counted.filter("is_word")).filter("train > 0").select(
+        "key", "train", "total", F.log10(F.col("train") + 0.1).alias("value")), "lm-words")
+    n, v = log_words.agg(F.coalesce(F.sum("train"), F.lit(0)), F.count("*")).first()
+    strings = counted.filter("not is_word")
+    held = strings.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    by_context = strings.repartition(tasks_for(spark, held, TREE_KEYS), "bucket")
     log_strings = materialize(string_scores(by_context), "lm-scores")
     shared = spark.sparkContext.broadcast((_head(log_strings, HEAD_STRINGS), _head(log_words, HEAD_WORDS)))
     id_type = docs.schema[id_col].dataType.simpleString()
