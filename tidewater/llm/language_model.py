@@ -272,16 +272,28 @@ def levels(node: np.ndarray, bit: np.ndarray, n: np.ndarray) -> list[tuple[Level
     return out
 
 
+def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys, training and whole counts of buckets, several small ones at a time."""
+    got, size = [], 0
+    for batch in batches:
+        for r in batch.itertuples(index=False):
+            got.append((unpacked(r.key), unpacked(r.train), unpacked(r.total)))
+            size += r.n
+            if size > TREE_KEYS:
+                yield tuple(map(np.concatenate, zip(*got)))
+                got, size = [], 0
+    if got:
+        yield tuple(map(np.concatenate, zip(*got)))
+
+
 def _tree_top(strings: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """For every node of depth 1: the mixture so far and the weight left."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                n = unpacked(r.train)
-                if n.any():
-                    for node, bit in decisions(unpacked(r.key)[n > 0]):
-                        level = levels(node, bit, n[n > 0].astype(float))[-1][0]
-                        yield pd.DataFrame({"node": level.keys & 0xFFFF, "n0": level.n0, "n1": level.n1, "below": level.weighted})
+        for key, n, _ in _buckets(batches):
+            if n.any():
+                for node, bit in decisions(key[n > 0]):
+                    level = levels(node, bit, n[n > 0].astype(float))[-1][0]
+                    yield pd.DataFrame({"node": level.keys & 0xFFFF, "n0": level.n0, "n1": level.n1, "below": level.weighted})
 
     found = strings.mapInPandas(run, "node long, n0 double, n1 double, below double").groupBy("node").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below")).toPandas().sort_values("node")
@@ -307,8 +319,8 @@ def string_scores(strings: DataFrame) -> DataFrame:
     context bytes."""
     top = strings.sparkSession.sparkContext.broadcast(_tree_top(strings))
 
-    def scored(row) -> pd.DataFrame:
-        key, n = unpacked(row.key), unpacked(row.train).astype(float)
+    def scored(key: np.ndarray, train: np.ndarray, total: np.ndarray) -> pd.DataFrame:
+        n = train.astype(float)
         mixture, left = top.value
         seen = n > 0
         value = np.zeros(len(key))
@@ -327,12 +339,11 @@ def string_scores(strings: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(level.keys, want), len(level.keys) - 1)
                 p = np.where(level.keys[at] == want, before[at] + rest[at] / 2, p)
             value += np.log10(np.where(bit == 1, p, 1 - p))
-        return pd.DataFrame({"key": key, "total": unpacked(row.total), "value": value})
+        return pd.DataFrame({"key": key, "total": total, "value": value})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield scored(row)
+        for bucket in _buckets(batches):
+            yield scored(*bucket)
 
     return strings.mapInPandas(run, "key long, total long, value double")
 
