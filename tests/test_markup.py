@@ -141,3 +141,36 @@ def test_time_follows_the_page_size(spark):
     for make in (lambda n: card("<div>" * n + "x" + "</div>" * n), lambda n: card("<div class='measure-amount'>5</div>") * n):
         small, large = seconds(make(1500)), seconds(make(6000))
         assert large < 10 * small + 1
+
+
+def test_rows_taken_in_tasks_equal_the_columns(spark):
+    """``page_rows`` and the column form give the same texts of the same elements."""
+    rnd = random.Random(9)
+    odd = ["&#65279;x", "&#0;&#xD800;&#128512;&#150;&unknown;&copy;", "<td class=a>  q </td></td></p>", "<scriptй class='a'>z</scriptй>",
+           "<DIV\tCLASS='b a'>&lt;</DIV >", "<td><script>x", "<!-- <td>", "<div class='A'>n</div>", "<div class=\"xa\">n</div>", "</div>"]
+    pages = [random_page(rnd, rnd.randint(0, 60)) + rnd.choice(odd) + random_page(rnd, 3) for _ in range(120)] + odd + ["", None]
+    selectors = [("div", "a"), ("td", None), ("br", None), ("div", None)]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+
+    def rows(page):
+        return [(s[0], [page.text(s), page.attribute(s, "class")]) for s in page.find(0) + page.find(1) + page.find(2)]
+
+    got = df.select("page_id", M.page_rows(F.col("html"), selectors, rows).alias("r"))
+    want = df.select("page_id", M.page_tree(F.col("html"), selectors, lambda tags, texts, spans: F.flatten(F.array(*[
+        F.transform(M.matching(spans, k), lambda e: F.struct(e["no"].alias("no"), F.array(
+            M.element_text(texts, e), M.attribute(F.element_at(tags, e["start"] + 1), "class")).alias("texts"))) for k in range(3)]))).alias("r"))
+    got, want = ({r.page_id: [tuple(x) for x in r.r or []] for r in d.collect()} for d in (got, want))
+    assert got == want and sum(map(len, got.values())) > 500
+
+
+def test_pages_of_one_file_are_read_by_many_tasks(spark, tmp_path):
+    """One file is one scan task; the pages made of it are not left to it."""
+    from tidewater.sources import pages as PG
+
+    spark.range(400).selectExpr("id o_orderkey", "id % 5 o_custkey", "'P' o_orderstatus", "1.5 o_totalprice", "timestamp'2020-01-01' o_orderdate",
+                                "'1-URGENT' o_orderpriority").coalesce(1).write.parquet(f"{tmp_path}/o")
+    spark.range(5).selectExpr("id c_custkey", "'c' c_name").coalesce(1).write.parquet(f"{tmp_path}/c")
+    pages = PG.procurement_pages(spark.read.parquet(f"{tmp_path}/o"), spark.read.parquet(f"{tmp_path}/c"))
+    rows = X.procurement_blocks(pages, "").withColumn("task", F.spark_partition_id())
+    assert rows.select("page_id").distinct().count() == 400
+    assert rows.select("task").distinct().count() > 4

@@ -22,13 +22,12 @@ SOURCE_TAGS = {"registry": "reestr_po", "procurement": "eis", "statistics": "fed
 
 
 def from_trees(pages: DataFrame, selectors: list[tuple[str, str | None]], rows) -> DataFrame:
-    """page_id and one ``_r`` for each struct in the array ``rows(tags, texts,
-    spans)`` of a page's element tree; null structs are left out. Pages without
-    the class of the first selector are not split at all."""
+    """page_id and ``_r`` (no, texts) for each of the ``rows(page)`` of a page's
+    element tree. Pages without the class of the first selector are not split at
+    all."""
     marker = selectors[0][1]
     some = pages.filter(F.contains("html", F.lit(marker))) if marker else pages
-    found = F.array_compact(M.page_tree(F.col("html"), selectors, rows))
-    return some.select("page_id", F.explode(found).alias("_r"))
+    return some.select("page_id", F.explode(M.page_rows(F.col("html"), selectors, rows)).alias("_r"))
 
 
 # -- S1: HTML table -> rows --------------------------------------------------------------
@@ -41,12 +40,13 @@ def extract_table_rows(pages: DataFrame, css_class: str = "solutions-table",
     """First ``table.css_class`` of each page; header row skipped; rows (those of
     nested tables too) with at least ``min_cells`` cells give name, vendor, version, registration date,
     status (cells 0-4), plus the constant columns of the registry source."""
-    def rows(tags: Column, texts: Column, spans: Column) -> Column:
-        def row(tr: Column, no: Column) -> Column:
-            return M.let(M.matching(M.inside(spans, tr), 2), lambda cells: F.when(
-                (no > 0) & (F.size(cells) >= min_cells), F.struct(no.alias("no"), F.transform(
-                    F.slice(cells, 1, len(TABLE_FIELDS)), lambda c: M.element_text(texts, c)).alias("texts"))))
-        return F.transform(M.matching(M.inside(spans, M.first_matching(spans, 0)), 1), row)
+    def rows(page: M.Page) -> list[tuple[int, list[str]]]:
+        table, out = page.first(0), []
+        for no, tr in enumerate(page.find(1, table) if table else []):
+            cells = page.find(2, tr)
+            if no and len(cells) >= min_cells:
+                out.append((no, [page.text(c) for c in cells[:len(TABLE_FIELDS)]]))
+        return out
 
     out = from_trees(pages, [("table", css_class), ("tr", None), ("td", None)], rows)
     return out.select(
@@ -94,24 +94,19 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     selectors = list(dict.fromkeys(wanted))
     at = selectors.index
 
-    def rows(tags: Column, texts: Column, spans: Column) -> Column:
-        def row(inner: Column, no: Column) -> Column:
-            def text(selector) -> Column:
-                return M.element_text(texts, M.first_matching(inner, at(selector)))
-
-            def attr(tag, cls, name, prefix) -> Column:
-                start = M.first_matching(inner, at((tag, cls)))["start"]
-                return F.concat(F.lit(prefix), F.coalesce(M.attribute(F.element_at(tags, start + 1), name), F.lit("")))
-
-            cols = [no.alias("block_no"), text(tuple(req)).alias(req_name)]
-            cols += [(M.let(text(f), lambda t: parse_money(t)) if name in money_fields else text(f)).alias(name) for name, f in fields.items()]
-            cols += [attr(*f).alias(name) for name, f in attr_fields.items()]
-            return F.when(M.first_matching(inner, at(tuple(req))).isNotNull(), F.struct(*cols))
-
-        return F.transform(M.matching(spans, at(block)), lambda card, no: M.let(
-            M.inside(spans, card), lambda inner: row(inner, no)))
-
-    return from_trees(pages, selectors, rows).select("page_id", "_r.*", F.lit(source).alias("source"))
+    def rows(page: M.Page) -> list[tuple[int, list[str]]]:
+        out = []
+        for no, card in enumerate(page.find(at(block))):
+            if title := page.first(at(tuple(req)), card):
+                texts = [page.text(page.first(at(f), card)) for f in fields.values()]
+                links = [prefix + page.attribute(page.first(at((tag, cls)), card), name) for tag, cls, name, prefix in attr_fields.values()]
+                out.append((no, [page.text(title), *texts, *links]))
+        return out
+
+    names = [req_name, *fields, *attr_fields]
+    texts = [F.get("_r.texts", F.lit(i)) for i in range(len(names))]
+    return from_trees(pages, selectors, rows).select("page_id", F.col("_r.no").alias("block_no"), *[
+        (parse_money(t) if n in money_fields else t).alias(n) for n, t in zip(names, texts)], F.lit(source).alias("source"))
 
 
 SUPPORT_CARD = dict(

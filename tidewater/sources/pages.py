@@ -13,11 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(rows: DataFrame, *columns: str) -> DataFrame:
+    """These columns of the rows, dealt over the session's shuffle partitions. A
+    table of one file (or row group) is read by one task, which would then
+    render and parse every page; the narrow rows are cheap to send, pages not."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(*columns).repartition(n, *columns)
+
+
 def registry_pages(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """One page per supplier: a header row, a 5-cell row (must be skipped) and
     the supplier's 6-cell row with nested tags and an entity; a second table
     after it must be ignored."""
-    s = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+    s = spread(supplier, "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    s = s.join(nation, s.s_nationkey == nation.n_nationkey)
     status = F.when(F.col("s_acctbal") >= 0, F.lit("active")).otherwise(F.lit("suspended"))
     td = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
     row6 = F.concat(
@@ -51,6 +60,7 @@ def support_card_pages(support: DataFrame) -> DataFrame:
     """One page per grant with its ``measure-card``; the requirements element is
     always absent (must give ''). Where the grant's roi is a multiple of 7 a
     card without title stands before it (such cards must be skipped)."""
+    support = spread(support, "support_id", "program_name", "measure_type", "amount_rub", "disbursement_date", "roi_pct")
     k = F.col("roi_pct").cast("int")
     body = F.concat(
         F.lit('<div class="measure-description"> '), F.col("measure_type"), F.lit(" </div>"),
@@ -97,7 +107,8 @@ def procurement_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """One search-result page per order with one entry block: linked title,
     customer (left out for status 'P'), price text and publication date. The
     page was found by searching for the order's priority."""
-    o = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    o = spread(orders, "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = o.join(customer.select("c_custkey", "c_name"), o.o_custkey == F.col("c_custkey"))
     cust = F.when(F.col("o_orderstatus") != "P",
                   F.concat(F.lit('<div class="registry-entry__body-value">'), F.col("c_name"),
                            F.lit("</div>"))).otherwise(F.lit(""))
