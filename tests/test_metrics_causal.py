@@ -226,3 +226,11 @@ def test_exact_quantile_by_counts(spark, p):
     for g, vs in groups.items():
         assert got[g] == pytest.approx(float(np.quantile(vs, p)), rel=1e-12)
 
+
+
+def test_did_clustered_se_reads_the_rollouts_once(spark, sf_dir):
+    """Sums per org are written once; cells and influences are both taken from them."""
+    from tidewater.plans import catalog
+
+    files = catalog.CATALOG["did_clustered_se"](spark, sf_dir).inputFiles()
+    assert files and all("cluster-sums" in f for f in files)

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidewater.functions.columns import month_end
+from tidewater.session import materialize
 
 
 # -- C1: difference in differences ------------------------------------------------------------
@@ -118,17 +119,17 @@ def did_clustered_se(impl: DataFrame, support: DataFrame, event_date: str,
     broadcast.
     """
     outs = did_outcomes()
-    flagged = (impl.join(treated_orgs(support), "org_id", "left")
-               .select(F.col(cluster).alias("cluster"),
-                       F.coalesce("treated", F.lit(False)).alias("treated"),
-                       (F.col("date_go_live") >= F.to_date(F.lit(event_date))).alias("post"),
-                       *[c.alias(n) for n, c in outs.items()]))
-    # one pass over the rollouts: count and exact sum of every outcome per org and cell
-    sums = [x for n in outs for x in (F.count(n).alias(f"{n}__n"), F.sum(n).cast("double").alias(f"{n}__s"))]
-    per_org = flagged.groupBy("cluster", "treated", "post").agg(*sums)
-    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("outcome"), F.col(f"{n}__n").alias("n"), F.col(f"{n}__s").alias("s"))
+    # one pass over the rollouts: count and exact sum of every outcome per org
+    # and cell, written once; only these sums meet the treated orgs
+    flagged = impl.select(*dict.fromkeys([cluster, "org_id"]), (F.col("date_go_live") >= F.to_date(F.lit(event_date))).alias("post"),
+                          *[c.alias(n) for n, c in outs.items()])
+    keys = [*dict.fromkeys([cluster, "org_id"]), "post"]
+    sums = flagged.groupBy(*keys).agg(*[x for n in outs for x in (F.count(n).alias(f"{n}__n"), F.sum(n).alias(f"{n}__s"))])
+    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("outcome"), F.col(f"{n}__n").alias("n"), F.col(f"{n}__s").cast("double").alias("s"))
                                for n in outs]))
-    per_org = per_org.select("cluster", "treated", "post", rows.alias("r")).select(
+    per_org = materialize(sums.join(treated_orgs(support), "org_id", "left").select(
+        F.col(cluster).alias("cluster"), F.coalesce("treated", F.lit(False)).alias("treated"), "post",
+        *[f"{n}__{x}" for n in outs for x in "ns"]), "cluster-sums").select("cluster", "treated", "post", rows.alias("r")).select(
         "r.outcome", "cluster", "treated", "post", "r.n", "r.s").filter("n > 0")
     cells = per_org.groupBy("outcome", "treated", "post").agg(
         F.sum("n").alias("cell_n"), (F.sum("s") / F.sum("n")).alias("m"))
@@ -171,8 +172,6 @@ def propensity_scores(impl: DataFrame, support: DataFrame, max_iter: int = 25) -
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    from tidewater.session import materialize
-
     data = materialize(org_features(impl).join(treated_orgs(support), "org_id", "left")
                        .withColumn("label", F.coalesce(F.col("treated"), F.lit(False))
                                    .cast("double")), "psm-features")
