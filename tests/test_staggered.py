@@ -1,5 +1,6 @@
 """Staggered grants: planted effects, plain numpy, resampling."""
 import datetime as dt
+from decimal import Context, Decimal
 
 import numpy as np
 import pytest
@@ -129,3 +130,38 @@ def test_nobody_supported_and_no_rollouts(spark, rows):
     impl, sup = frames(spark, *rows)
     assert S.staggered_did(impl, sup, 1e9, outcomes=out()).count() == 0
     assert S.staggered_did(impl.limit(0), sup, outcomes=out()).count() == 0
+
+
+def test_weights_of_a_task_are_those_of_the_column(spark):
+    units = spark.range(-150, 150).select(F.when(F.col("id") != 0, F.col("id")).alias("id"))
+    rows = units.select(F.xxhash64(F.lit("bootstrap"), "id").alias("seed"),
+                        F.array(*[S.poisson_weight(F.col("id"), F.lit(k)) for k in range(20)]).alias("w")).collect()
+    got = S.poisson_weights(np.array([r.seed for r in rows]), 20)
+    assert got.tolist() == [r.w for r in rows]
+
+
+def test_resampled_sums_are_exact_and_rows_are_not_repeated(spark):
+    big = [Decimal("-12345678901234567890.12345678"), Decimal("0.00000001"), Decimal("-0.5"), Decimal("99999999999.99999999")]
+    rows = [(i % 40, ["a", "b", None][i % 3], i % 2 == 0, i % 5, big[i % 4] * (i % 7)) for i in range(400)]
+    df = spark.createDataFrame(rows, "unit long, outcome string, post boolean, n long, s decimal(38,8)").repartition(3)
+    got = S.resampled(df, "unit", ["outcome", "post"], 12)
+    assert "Generate" not in got._jdf.queryExecution().toString()
+    weight = {r.id: r.w for r in spark.range(40).select("id", F.array(*[S.poisson_weight(F.col("id"), F.lit(k)) for k in range(12)]).alias("w")).collect()}
+    want = {}
+    for unit, outcome, post, n, s in rows:
+        for k, w in enumerate(weight[unit]):
+            if w:
+                a, b = want.get((k, outcome, post), (0, Decimal(0)))
+                want[k, outcome, post] = a + w * n, Context(prec=60).add(b, Context(prec=60).multiply(s, w))
+    assert {(r.replicate, r.outcome, r.post): (r.n, r.s) for r in got.collect()} == want
+
+
+def test_influences_are_not_grouped_by_event_time(spark):
+    """An org's influences on all event times come from one row of weights."""
+    per_org = spark.createDataFrame([("y", c, p, o, 1, Decimal(o)) for o, c in ((1, 8), (2, 9), (3, S.NEVER), (4, S.NEVER)) for p in range(5, 12)],
+                                    "outcome string, cohort int, period int, org_id long, n long, s decimal(38,8)")
+    effects = S.cohort_effects(per_org.groupBy(*S.CELL).agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+    errors = S.influence_errors(per_org, effects)
+    assert {r.n_orgs for r in errors.collect()} <= {3, 4}
+    plan = errors._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("org_id" in line and "event_time" in line for line in plan.splitlines() if "Aggregate [" in line)
