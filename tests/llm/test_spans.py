@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pytest
 
 from tidewater.llm import decontaminate as D
 from tidewater.llm import passages as S
@@ -114,3 +115,23 @@ def test_passages_exact_fuzzy_and_odd(spark, odd, none):
     assert S.find_passages(none).count() == 0
     left = {r.doc_id: r.text for r in S.drop_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert left[2] == filler[2] and left[3] == filler[3] and left[6] is None
+
+
+def test_pii_model_is_fitted_on_half_of_all_known_candidates(spark, monkeypatch):
+    from tidewater.llm import pii
+
+    class Fitted(Exception):
+        pass
+
+    class Recorder:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            raise Fitted(rows.count())
+
+    monkeypatch.setattr(pii, "GBTClassifier", Recorder)
+    docs = spark.range(6_000).selectExpr("id doc_id", "concat('a', id, '@b.org at 1.2.3.', id % 300, ' and 9.9.', id, '.1') text")
+    with pytest.raises(Fitted) as found:
+        pii.find_pii(docs)
+    assert found.value.args[0] > 15_000  # a sample of 20,000 would give 10,000

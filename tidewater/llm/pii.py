@@ -7,8 +7,8 @@
 2. Base spans are the base matches that pass their rule. They always stay.
 3. All candidates get features of their format and of the text around them.
    Gradient boosted trees are trained on candidates whose kind has a sure rule
-   or a telling context, at most ``TRAINING_ROWS`` of them (smallest hashes);
-   half of them set each kind's threshold: the least score whose candidates are
+   or a telling context: on half of all of them, by a hash of the candidate. The
+   other half sets each kind's threshold: the least score whose candidates are
    right in at least ``PRECISION`` of the cases.
 4. Candidates over their kind's threshold become added spans, where they do not
    overlap a base span; of overlapping ones the best scored stays.
@@ -30,10 +30,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import drawn, located, table
+from tidewater.llm.common import located, table
 from tidewater.session import materialize
 
-TRAINING_ROWS = 20_000
 PRECISION = 0.97
 CONTEXT = 24
 # Kinds in the order of the contract; the two added ones follow.
@@ -116,23 +115,23 @@ def _judged(candidates: DataFrame) -> DataFrame:
 
 def _added(judged: DataFrame) -> DataFrame:
     """The candidates over their kind's threshold, with ``score``. Training and
-    calibration rows are halves of a bounded sample."""
+    calibration rows are halves of all candidates with a weak label."""
     names = [c for c in judged.columns if c.startswith("f_")]
-    known = judged.filter("known is not null").select(
-        "kind", F.col("known").cast("double").alias("label"), *names, F.xxhash64("kind", "span", "before", "after").alias("draw"))
-    sample = materialize(drawn(known, known.count(), TRAINING_ROWS, "draw", "kind", *names).coalesce(1), "pii-sample")
-    half = F.pmod(F.col("draw"), F.lit(2)) == 0
-    if sample.filter(half).select("label").distinct().count() < 2:
+    known = judged.filter("known is not null").select("kind", F.col("known").cast("double").alias("label"), *names, F.pmod(
+        F.xxhash64("kind", "span", "before", "after"), F.lit(2)).alias("half"))
+    known = materialize(known, "pii-known")
+    training, calibration = known.filter("half = 0"), known.filter("half = 1")
+    if training.select("label").distinct().count() < 2:
         return judged.filter("false").withColumn("score", F.lit(0.0))
     features = VectorAssembler(inputCols=names, outputCol="features")
-    model = GBTClassifier(maxIter=8, maxDepth=4, maxBins=32, stepSize=0.3, seed=1).fit(features.transform(sample.filter(half)))
+    model = GBTClassifier(maxIter=8, maxDepth=4, maxBins=32, stepSize=0.3, seed=1).fit(features.transform(training))
 
     def scored(rows: DataFrame) -> DataFrame:
         return model.transform(features.transform(rows)).withColumn("score", vector_to_array("probability")[1]).drop(
             "features", "rawPrediction", "probability", "prediction")
 
     # per kind, rows at or above each score (in hundredths) and how many are right
-    steps = scored(sample.filter(~half)).groupBy("kind", F.floor(F.col("score") * 100).alias("step")).agg(
+    steps = scored(calibration).groupBy("kind", F.floor(F.col("score") * 100).alias("step")).agg(
         F.count("*").alias("n"), F.sum("label").alias("right"))
     above = Window.partitionBy("kind").orderBy(F.desc("step"))
     least = steps.withColumn("n", F.sum("n").over(above)).withColumn("right", F.sum("right").over(above)).filter(
