@@ -316,7 +316,10 @@ def _tree_top(strings: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def string_scores(strings: DataFrame) -> DataFrame:
     """(key, total, value): log10 probability of each string's last byte.
     A row of ``strings`` is a bucket: all strings of some pairs of nearest
-    context bytes."""
+    context bytes; rows of single strings are put into buckets first."""
+    if dict(strings.dtypes)["key"] == "bigint":
+        strings = strings.withColumn("bucket", F.shiftright("key", 8).bitwiseAND(F.lit(65535)) % BUCKETS).groupBy("bucket").applyInPandas(
+            lambda b: pd.DataFrame([bucket_rows(False, b["bucket"].iat[0], *(b[c].to_numpy() for c in ("key", "train", "total")))]), COUNTED)
     top = strings.sparkSession.sparkContext.broadcast(_tree_top(strings))
 
     def scored(key: np.ndarray, train: np.ndarray, total: np.ndarray) -> pd.DataFrame:
