@@ -73,6 +73,21 @@ def test_once_equals_the_sequential_order(spark, digits):
     assert [g[:3] for g in got] == [w[:3] for w in sequential(rows, 2.0)]
 
 
+def test_many_units_of_one_score_are_paired_in_few_rounds(spark, monkeypatch):
+    """Counted ties on both sides, rows of equal steps, and 60 units of a score."""
+    rows, at = [], iter(np.random.default_rng(8).permutation(2000).tolist())
+    for s, t, n in ((0.0, True, 60), (1.0, False, 60), (10.0, True, 50), (9.0, False, 20), (11.0, False, 20),
+                    (20.0, False, 30), (19.0, True, 9), (21.0, True, 9), (30.0, True, 3), (31.0, False, 4), (32.0, True, 3), (33.0, False, 2),
+                    (40.0, True, 40), (41.5, False, 30), (42.5, True, 20)):
+        rows += [(next(at), s, "a", t) for _ in range(n)]
+    df = spark.createDataFrame(rows, "id long, s double, stratum string, t boolean")
+    writes = []
+    monkeypatch.setattr(M, "materialize", lambda d, name, write=M.materialize: writes.append(name) or write(d, name))
+    got = sorted(tuple(r) for r in M.match_once(df, "id", "s", "stratum", "t", 2.0).collect())
+    assert [g[:3] for g in got] == [w[:3] for w in sequential(rows, 2.0)]
+    assert writes.count("once-round") <= 10
+
+
 def test_whitening_gives_unit_covariance_and_drops_dependent_directions(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(0, 1, (400, 2)) @ np.array([[3.0, 1.0], [0.0, 0.1]])

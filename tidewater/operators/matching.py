@@ -18,10 +18,10 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.causal import did_effect, did_outcomes, nearest_match, treated_orgs
+from tidewater.operators.causal import did_effect, did_outcomes, treated_orgs
 from tidewater.operators.staggered import resampled
 from tidewater.session import materialize
 
@@ -174,9 +174,10 @@ def match_once(units: DataFrame, id_col: str, score_col: str, stratum_col: str,
                k: int = 4) -> DataFrame:
     """Matching without replacement: the pairs that taking the nearest free pair
     again and again gives (ties by treated id, then control id), found in rounds.
-    In a round every free unit looks for its nearest free counterpart; pairs
-    that name each other are what the sequential order would take as well, so
-    they are kept. Units of equal score are paired by rank before."""
+    In a round every score with free units looks for its nearest free scores of
+    the other side; where they name each other their units are paired by rank,
+    as the sequential order would. Units of equal score are paired by rank
+    before. Rounds do not grow with the number of units of one score."""
     u = units.select(F.col(id_col).alias("id"), F.col(score_col).cast("double").alias("s"), F.col(stratum_col).alias("stratum"),
                      F.col(treated_col).alias("t")).filter("id is not null and s is not null and stratum is not null")
     u = materialize(u, "once-units")
@@ -189,23 +190,82 @@ def match_once(units: DataFrame, id_col: str, score_col: str, stratum_col: str,
     while True:
         gone = done.select(F.explode(F.array(F.struct(F.col("treated_id").alias("id"), F.lit(True).alias("t")),
                                              F.struct(F.col("control_id").alias("id"), F.lit(False).alias("t")))).alias("g")).select("g.*")
-        u = materialize(u.join(gone, ["id", "t"], "left_anti"), "once-free")
-        there = nearest_match(u, "id", "s", "stratum", "t", caliper, k).select("treated_id", "control_id", "stratum", "distance")
-        back = nearest_match(u.withColumn("c", ~F.col("t")), "id", "s", "stratum", "c", caliper, k).select(
-            F.col("treated_id").alias("control_id"), F.col("control_id").alias("treated_id"))
-        done = materialize(there.join(back, ["treated_id", "control_id"]), "once-round")
+        u = materialize(u.join(gone.hint("merge"), ["id", "t"], "left_anti").dropDuplicates(["stratum", "s", "t", "id"]), "once-free")
+        met = materialize(_meetings(u, caliper, k), "once-meetings")
+        called = u.hint("merge").join(met.hint("merge"), ["stratum", "s", "t"]).filter("not first_only or id = first")
+        ranked = _ranked(called.select("stratum", "place", "t", "id", "s"), "place")
+        done = materialize(ranked.filter("t").select("stratum", "place", "nth", F.col("id").alias("treated_id"), F.col("s").alias("ts")).hint("merge").join(
+            ranked.filter("not t").select("stratum", "place", "nth", F.col("id").alias("control_id"), F.col("s").alias("cs")),
+            ["stratum", "place", "nth"]).select("treated_id", "control_id", "stratum", F.abs(F.col("ts") - F.col("cs")).alias("distance")), "once-round")
         if done.isEmpty():
             return pairs
         pairs = pairs.unionByName(done)
 
 
-def _ranked(units: DataFrame) -> DataFrame:
+def _nearest_scores(scores: DataFrame, caliper: float, k: int) -> DataFrame:
+    """(stratum, s, t, d, o) for each side's scores (stratum, s, t): the nearest
+    scores of the other side, at most ``caliper`` away; two rows where one below
+    and one above are equally near. Scores meet in sub-buckets as in
+    ``nearest_match``."""
+    u = scores.select("stratum", "s", "t", F.floor(F.col("s") / (caliper / k)).alias("sb"))
+    below = Window.partitionBy("stratum", "sb").orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    above = Window.partitionBy("stratum", "sb").orderBy("s").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    sides = [F.when(F.col("t") == F.lit(t), F.col("s")) for t in (True, False)]
+    other = [F.when(F.col("t"), f(sides[1], ignorenulls=True).over(w)).otherwise(f(sides[0], ignorenulls=True).over(w))
+             for f, w in ((F.last, below), (F.first, above))]
+    inside = u.withColumn("others", F.array(*other)).select("stratum", "s", "t", F.explode("others").alias("o"))
+    ends = u.groupBy("stratum", "sb", (~F.col("t")).alias("t")).agg(F.max("s").alias("top"), F.min("s").alias("bottom"))
+    offsets = F.explode(F.array(*[F.lit(o) for o in range(-k - 1, k + 2) if o])).alias("off")
+    across = u.select("stratum", "s", "t", "sb", offsets).withColumn("sb", F.col("sb") + F.col("off")).hint("merge").join(
+        ends.hint("merge"), ["stratum", "sb", "t"]).select("stratum", "s", "t", F.when(F.col("off") < 0, F.col("top")).otherwise(F.col("bottom")).alias("o"))
+    near = inside.unionByName(across).withColumn("d", F.abs(F.col("s") - F.col("o"))).filter(F.col("d") <= caliper)
+    best = near.groupBy("stratum", "s", "t").agg(F.collect_set(F.struct("d", "o")).alias("c"))
+    return best.select("stratum", "s", "t", F.explode(F.filter("c", lambda x: x["d"] == F.array_min("c")["d"])).alias("c")).select(
+        "stratum", "s", "t", "c.d", "c.o")
+
+
+def _meetings(units: DataFrame, caliper: float, k: int) -> DataFrame:
+    """(stratum, s, t, place, first, first_only): the scores of each side whose
+    units are paired by rank of their ids in this round, and where.
+
+    Scores that are each other's nearest meet, all their units at once: the
+    sequential order takes the smallest free ids of both until a side is used
+    up. So it does where one score has a nearest one on either side, equally
+    far. A score that is also equally near to one that has nearer ones waits
+    for these, as units left over there come first if their ids are smaller.
+    In longer rows of equal steps only the smallest ids that name each other
+    are paired."""
+    scores = materialize(units.groupBy("stratum", "s", "t").agg(F.min("id").alias("first")), "once-scores")
+    near = materialize(_nearest_scores(scores, caliper, k), "once-near")
+    back = near.select("stratum", F.col("o").alias("s"), F.col("s").alias("o"), (~F.col("t")).alias("t"), F.lit(True).alias("back"))
+    names = scores.select("stratum", F.col("s").alias("o"), (~F.col("t")).alias("t"), F.col("first").alias("theirs"))
+    edges = near.hint("merge").join(back.hint("merge"), ["stratum", "s", "o", "t"], "left").join(
+        names.hint("merge"), ["stratum", "o", "t"])
+    settled = edges.groupBy("stratum", "s", "t").agg(
+        F.bool_and(F.col("back").isNotNull()).alias("clean"), F.count("*").alias("degree"),
+        F.collect_list(F.struct("theirs", "o")).alias("others")).filter("clean").drop("clean")
+    sides = materialize(settled.hint("merge").join(scores, ["stratum", "s", "t"]), "once-sides")
+    mine = sides.select("stratum", "s", "t", "degree", "first", F.array_min("others")["o"].alias("named"), F.explode("others.o").alias("o"))
+    theirs = sides.select("stratum", F.col("s").alias("o"), (~F.col("t")).alias("t"), F.col("degree").alias("their_degree"),
+                          F.col("first").alias("theirs"), F.array_min("others")["o"].alias("names"))
+    met = materialize(mine.hint("merge").join(theirs.hint("merge"), ["stratum", "o", "t"]), "once-met")
+    middles = met.groupBy("stratum", "s", "t", "degree").agg(F.count("*").alias("known"), F.max("their_degree").alias("far")).filter(
+        "known = degree and far = 1 and (t or degree = 2)").select("stratum", "s", "t", F.lit(True).alias("middle"))
+    marked = met.hint("merge").join(middles.hint("merge"), ["stratum", "s", "t"], "left").withColumn("middle", F.coalesce("middle", F.lit(False)))
+    marked = marked.filter("middle or (t and o = named and s = names)")
+    ends = F.explode(F.array(F.struct("s", "t", "first"), F.struct(F.col("o").alias("s"), (~F.col("t")).alias("t"), F.col("theirs").alias("first")))).alias("e")
+    return marked.select("stratum", F.struct("middle", F.col("s").alias("place")).alias("at"), ends).groupBy(
+        "stratum", "e.s", "e.t", "e.first").agg(F.max("at").alias("at")).select(
+        "stratum", "s", "t", "first", "at.place", (~F.col("at.middle")).alias("first_only"))
+
+
+def _ranked(units: DataFrame, by: str = "s") -> DataFrame:
     """Units with their rank (from 0) by id among those of the same stratum,
-    score and side. Rows are sorted by range and counted per partition, so a
+    score (or other column ``by``) and side. Rows are sorted by range and counted per partition, so a
     score that a third of the rows share is not one task."""
-    rows = materialize(units.repartitionByRange(F.col("stratum"), F.col("s"), F.col("t"), F.col("id")).sortWithinPartitions(
-        "stratum", "s", "t", "id").select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")), "ranked")
-    key = ["stratum", "s", "t"]
+    rows = materialize(units.repartitionByRange(F.col("stratum"), F.col(by), F.col("t"), F.col("id")).sortWithinPartitions(
+        "stratum", by, "t", "id").select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")), "ranked")
+    key = ["stratum", by, "t"]
     parts = rows.groupBy(*key, "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     before = parts.select(*key, F.col("_part").alias("_earlier"), F.col("_n").alias("_m"))
     offset = parts.join(before, key).groupBy(*key, "_part", "_first").agg(
