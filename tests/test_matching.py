@@ -96,6 +96,24 @@ def test_whitening_gives_unit_covariance_and_drops_dependent_directions(spark):
     assert z.shape[1] == 2 and np.allclose(np.cov(z.T), np.eye(2), atol=1e-6)
 
 
+def test_covariates_do_not_sort_the_rollouts(spark):
+    """An org of two industries keeps the least; the rollouts themselves are hashed, not sorted."""
+    day = dt.date(1999, 1, 1)
+    impl = spark.createDataFrame([(1, day, 1.0, 2.0, "b", "x"), (1, day, 3.0, 2.0, "a", "y"), (1, day, 5.0, None, "b", None), (2, day, -9.0, 0.0, None, "x"),
+                                  (2, dt.date(2001, 1, 1), 7.0, 7.0, "a", "a")],
+                                 "org_id long, date_go_live date, capex double, revenue_uplift double, industry_name string, region_name string")
+    support = spark.createDataFrame([(2, day, 1.0)], "recipient_id long, approval_date date, amount_rub double")
+    df = M.org_covariates(impl, support, "2000-01-01")
+    got = {r.org_id: r for r in df.collect()}
+    assert np.allclose([got[1].n_impl, got[1].capex_total, got[1].revenue_total], np.log1p([3, 9, 4]))
+    assert (got[1].industry_name, got[1].region_name, got[1].treated) == ("a", "x", False)
+    assert np.allclose([got[2].n_impl, got[2].capex_total, got[2].revenue_total], np.log1p([1, 0, 0]))
+    assert (got[2].industry_name, got[2].region_name, got[2].treated) == (None, "x", True)
+    steps = [line for line in M.org_covariates(impl, support, "2000-01-01")._jdf.queryExecution().sparkPlan().toString().splitlines()
+             if "Aggregate(" in line and "capex" in line]
+    assert "HashAggregate" in steps[-1]
+
+
 @pytest.fixture(scope="module")
 def chain(spark):
     """Large orgs are supported more often and improve faster on their own;

@@ -37,10 +37,13 @@ def org_covariates(impl: DataFrame, support: DataFrame, before: str) -> DataFram
     """Per org with rollouts before the event: whether it was supported, and
     its size, spending and revenue (log scale), industry and region."""
     past = impl.filter(F.col("date_go_live") < F.to_date(F.lit(before)))
-    sums = past.groupBy("org_id").agg(
-        F.log1p(F.count("*").cast("double")).alias("n_impl"),
+    # the least of strings makes Spark sort its rows: only the few (org, industry, region) are, not the rollouts
+    parts = past.groupBy("org_id", "industry_name", "region_name").agg(
+        F.count("*").alias("n"), F.sum("capex").alias("capex"), F.sum("revenue_uplift").alias("revenue"))
+    sums = parts.groupBy("org_id").agg(
+        F.log1p(F.sum("n").cast("double")).alias("n_impl"),
         F.log1p(F.greatest(F.sum("capex"), F.lit(0)).cast("double")).alias("capex_total"),
-        F.log1p(F.greatest(F.sum("revenue_uplift"), F.lit(0)).cast("double")).alias("revenue_total"),
+        F.log1p(F.greatest(F.sum("revenue"), F.lit(0)).cast("double")).alias("revenue_total"),
         F.min("industry_name").alias("industry_name"), F.min("region_name").alias("region_name"))
     return sums.join(treated_orgs(support), "org_id", "left").withColumn("treated", F.coalesce("treated", F.lit(False)))
 
@@ -132,9 +135,12 @@ def nearest_control(units: DataFrame, id_col: str, stratum_col: str, caliper: fl
     u = units.select(F.col(id_col).alias("id"), F.col(stratum_col).alias("stratum"), F.col(treated_col).alias("t"), "z").filter(
         "id is not null and stratum is not null and not exists(z, x -> x is null or isnan(x))")
     u = materialize(u, "match-units")
-    controls = materialize(u.filter("not t").groupBy("stratum", "z").agg(F.min("id").alias("id")), "match-controls")
+    # a point becomes many cells: as many tasks as the session has, however few bytes the points are
+    tasks = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = u.repartition(tasks, "stratum", "z")
+    controls = materialize(dealt.filter("not t").groupBy("stratum", "z").agg(F.min("id").alias("id")), "match-controls")
     tree = materialize(cell_tree(controls, caliper, levels), "match-cells")
-    points = u.filter("t").groupBy("stratum", "z").agg(F.min("id").alias("point"))
+    points = dealt.filter("t").groupBy("stratum", "z").agg(F.min("id").alias("point"))
     around = F.array(*[F.array(*[F.element_at("home", i + 1) + o for i, o in enumerate(offsets)])
                        for offsets in itertools.product((-1, 0, 1), repeat=dimensions)])
     frontier = points.withColumn("home", _cell("z", float(caliper))).select("point", "stratum", "z", F.explode(around).alias("cell"))
