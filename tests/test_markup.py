@@ -1,5 +1,6 @@
 """The element tree against a plain stack builder on top of html.parser."""
 import random
+import re
 import time
 from html.parser import HTMLParser
 
@@ -174,3 +175,22 @@ def test_pages_of_one_file_are_read_by_many_tasks(spark, tmp_path):
     rows = X.procurement_blocks(pages, "").withColumn("task", F.spark_partition_id())
     assert rows.select("page_id").distinct().count() == 400
     assert rows.select("task").distinct().count() > 4
+
+
+def test_markup_is_split_as_its_expression_says():
+    """The tag expression of the tasks finds what TAG finds, odd and open tags too."""
+    plain = re.compile(M.TAG.replace(r"\z", r"\Z").replace(r"\b", r"(?u:\b)"), re.ASCII)
+    rnd = random.Random(5)
+    parts = ["<", "</", ">", "<!--", "-->", "script", "STYLE", "scriptй", "div", " class='a", ' id="b>c"', "'", '"', "/>", "ſtyle", "\n", "!",
+             "</Script >", "</style>", "<td>", "</td>", "x"]
+    for _ in range(5000):
+        page = M.Page(text := "".join(rnd.choices(parts, k=rnd.randint(0, 25))), M.tag_reader([("td", None)]))
+        assert page.tags == [m[0] for m in plain.finditer(text)]
+        assert "".join(t + g for t, g in zip(page.texts, [*page.tags, ""])) == text
+
+
+def test_page_rows_keep_null_and_empty_pages(spark):
+    df = spark.createDataFrame([(1, "<td>a</td><td>b</td>"), (2, None), (3, ""), (4, "<td> c")], "page_id long, html string").repartition(1)
+    got = df.select("page_id", M.page_rows(F.col("html"), [("td", None)], lambda p: [(s[0], [p.text(s)]) for s in p.find(0)]).alias("r"))
+    assert {r.page_id: r.r and [tuple(x) for x in r.r] for r in got.collect()} == {
+        1: [(0, ["a"]), (1, ["b"])], 2: None, 3: [], 4: [(0, ["c"])]}

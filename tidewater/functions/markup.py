@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html.entities
 import re
+from collections import defaultdict
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -230,8 +231,12 @@ def element_text(texts: Column, span: Column) -> Column:
 
 # -- the same in tasks ----------------------------------------------------------------------
 
-# Java's \z, and its \b, which knows all letters while the rest is ASCII.
-_TAG = re.compile(TAG.replace(r"\z", r"\Z").replace(r"\b", r"(?u:\b)"), re.ASCII)
+# TAG with its common first character in front, by which the search skips the text, and
+# tags that cannot be scripts or styles tried first; with Java's \z, and its \b, which
+# knows all letters while the rest is ASCII.
+_TAG = re.compile(r"""(?s)(<(?:/?[a-rt-zA-RT-Z][^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
+                  r"""|!--.*?(?:-->|\Z)|(?i:(script|style))(?u:\b).*?(?:</(?i:\2)\s*>|\Z)"""
+                  r"""|/?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|/?[a-zA-Z][^>]*>|[!?/][^>]*>))""", re.ASCII)
 _NAME = re.compile(r"^</?([a-zA-Z][^\s/>]*)", re.ASCII)
 _ENTITY = re.compile(ENTITY)
 ROWS = pa.list_(pa.struct([pa.field("no", pa.int32()), pa.field("texts", pa.list_(pa.string()))]))
@@ -255,7 +260,9 @@ def _decoded(text: str) -> str:
 
 def tag_reader(selectors: list[tuple[str, str | None]]) -> Callable[[str], tuple[int, str, int]]:
     """What ``_tag_rows`` tells of a tag: (does, name, sel)."""
-    tests = [(tag, css, css and re.compile(_class_pattern(css), re.ASCII)) for tag, css in selectors]
+    tests: dict[str, list] = {}
+    for i, (tag, css) in enumerate(selectors):
+        tests.setdefault(tag, []).append((1 << i, css, css and re.compile(_class_pattern(css), re.ASCII).search))
 
     @lru_cache(4096)
     def read(tag: str) -> tuple[int, str, int]:
@@ -265,7 +272,10 @@ def tag_reader(selectors: list[tuple[str, str | None]]) -> Callable[[str], tuple
             return 0, name, 0
         if tag.startswith("</"):
             return -1, name, 0
-        bits = sum(1 << i for i, (t, css, pattern) in enumerate(tests) if t == name and (not css or (css in tag and pattern.search(tag))))
+        bits = 0
+        for bit, css, has in tests.get(name, ()):
+            if not css or (css in tag and has(tag)):
+                bits |= bit
         return (2 if tag.endswith("/>") or name in VOID else 1), name, bits
 
     return read
@@ -275,37 +285,32 @@ class Page:
     """A page's tags, texts and the spans of its selected elements."""
 
     def __init__(self, source: str, read: Callable[[str], tuple[int, str, int]]):
-        self.tags, self.texts, self.spans = [], [], []
-        done = 0
-        for m in _TAG.finditer(source):
-            self.tags.append(m[0])
-            self.texts.append(source[done:m.start()])
-            done = m.end()
-        self.texts.append(source[done:])
+        parts = _TAG.split(source)  # text, tag, its name if it is a script or style, text, ...
+        self.texts, self.tags = parts[0::3], parts[1::3]
+        self.spans = spans = []
         stack: list[tuple[str, list | None]] = []
-        count: dict[str, int] = {}
-        for at, tag in enumerate(self.tags):
-            does, name, sel = read(tag)
+        count: dict[str, int] = defaultdict(int)  # open elements of each name
+        for at, (does, name, sel) in enumerate(map(read, self.tags)):
+            if does == -1:
+                if name not in count or not count[name]:
+                    continue
+                top = None
+                while top != name:
+                    top, span = stack.pop()
+                    count[top] -= 1
+                    if span:
+                        span[1], span[4] = len(spans) - 1, at
+                continue
             span = None
             if sel:
-                span = [len(self.spans), len(self.spans), sel, at, at]
-                self.spans.append(span)
+                span = [len(spans), len(spans), sel, at, at]
+                spans.append(span)
             if does == 1:
                 stack.append((name, span))
-                count[name] = count.get(name, 0) + 1
-            elif does == -1 and count.get(name):
-                top = None
-                while top != name:
-                    top = self._end(stack, at)
-                    count[top] -= 1
-        while stack:
-            self._end(stack, len(self.tags))
-
-    def _end(self, stack: list[tuple[str, list | None]], at: int) -> str:
-        name, span = stack.pop()
-        if span:
-            span[1], span[4] = len(self.spans) - 1, at
-        return name
+                count[name] += 1
+        for _, span in stack:
+            if span:
+                span[1], span[4] = len(spans) - 1, len(self.tags)
 
     def find(self, selector: int, within: list | None = None) -> list[list]:
         """The matching spans of the page, or of those inside a span."""
@@ -313,21 +318,43 @@ class Page:
         return [s for s in some if s[2] >> selector & 1]
 
     def first(self, selector: int, within: list | None = None) -> list | None:
-        return next(iter(self.find(selector, within)), None)
+        some = self.spans[within[0] + 1:within[1] + 1] if within else self.spans
+        for s in some:
+            if s[2] >> selector & 1:
+                return s
+        return None
 
     def text(self, span: list | None) -> str:
-        return "".join(_decoded(t).strip(PY_SPACE_CHARS) for t in self.texts[span[3] + 1:span[4] + 1]) if span else ""
+        if span is None:
+            return ""
+        nodes = self.texts[span[3] + 1:span[4] + 1]
+        return _decoded(nodes[0]).strip() if len(nodes) == 1 else "".join([_decoded(t).strip() for t in nodes if t])
 
     def attribute(self, span: list | None, name: str) -> str:
-        got = re.search(_attribute_pattern(name), self.tags[span[3]], re.ASCII) if span else None
+        got = _attribute_search(name)(self.tags[span[3]]) if span else None
         return _decoded("".join(g or "" for g in got.groups())) if got else ""
 
 
+@lru_cache(256)
+def _attribute_search(name: str) -> Callable[[str], re.Match | None]:
+    return re.compile(_attribute_pattern(name), re.ASCII).search
+
+
 def page_rows(html_col: Column, selectors: list[tuple[str, str | None]], rows: Callable[[Page], list[tuple[int, list[str]]]]) -> Column:
     """array<struct<no, texts>>: what ``rows`` gives for each page's tree."""
     @F.arrow_udf("array<struct<no:int,texts:array<string>>>")
     def run(pages: pa.Array) -> pa.Array:
         read = tag_reader(selectors)
-        return pa.array([None if p is None else [{"no": n, "texts": t} for n, t in rows(Page(p, read))] for p in pages.to_pylist()], ROWS)
+        numbers, ends, texts, text_ends = [], [0], [], [0]
+        for source in pages.to_pylist():
+            for no, found in rows(Page(source, read)) if source is not None else ():
+                numbers.append(no)
+                texts += found
+                text_ends.append(len(texts))
+            ends.append(len(numbers))
+        each = pa.StructArray.from_arrays(
+            [pa.array(numbers, pa.int32()), pa.ListArray.from_arrays(pa.array(text_ends, pa.int32()), pa.array(texts, pa.string()))],
+            fields=list(ROWS.value_type))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each, type=ROWS, mask=pages.is_null() if pages.null_count else None)
 
     return run(html_col)

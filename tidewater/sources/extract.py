@@ -94,12 +94,15 @@ def extract_fields(pages: DataFrame, block: tuple[str, str], required: tuple[str
     selectors = list(dict.fromkeys(wanted))
     at = selectors.index
 
+    block_at, title_at, texts_at = at(block), at(tuple(req)), [at(f) for f in fields.values()]
+    links_at = [(at((tag, cls)), name, prefix) for tag, cls, name, prefix in attr_fields.values()]
+
     def rows(page: M.Page) -> list[tuple[int, list[str]]]:
         out = []
-        for no, card in enumerate(page.find(at(block))):
-            if title := page.first(at(tuple(req)), card):
-                texts = [page.text(page.first(at(f), card)) for f in fields.values()]
-                links = [prefix + page.attribute(page.first(at((tag, cls)), card), name) for tag, cls, name, prefix in attr_fields.values()]
+        for no, card in enumerate(page.find(block_at)):
+            if title := page.first(title_at, card):
+                texts = [page.text(page.first(i, card)) for i in texts_at]
+                links = [prefix + page.attribute(page.first(i, card), name) for i, name, prefix in links_at]
                 out.append((no, [page.text(title), *texts, *links]))
         return out
 
