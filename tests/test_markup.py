@@ -194,3 +194,18 @@ def test_page_rows_keep_null_and_empty_pages(spark):
     got = df.select("page_id", M.page_rows(F.col("html"), [("td", None)], lambda p: [(s[0], [p.text(s)]) for s in p.find(0)]).alias("r"))
     assert {r.page_id: r.r and [tuple(x) for x in r.r] for r in got.collect()} == {
         1: [(0, ["a"]), (1, ["b"])], 2: None, 3: [], 4: [(0, ["c"])]}
+
+
+def test_events_of_one_file_are_rendered_by_many_tasks_and_parsed_once(spark, tmp_path):
+    """The payloads made of one file are not left to its one task, and an event's JSON is read once."""
+    from tidewater.sources import pages as PG
+    from tidewater.sources import testdata as TD
+
+    spark.range(400).selectExpr("id event_id", "'e' event_type", "id % 7 user_id", "1.5D value", "timestamp'2020-01-01' ts",
+                                "concat('{\"k\":', id % 30, '}') props").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    events = spark.read.parquet(f"{tmp_path}/events.parquet")
+    rows = X.json_indicators(PG.indicator_payloads(events)).withColumn("task", F.spark_partition_id())
+    assert rows.count() == 400 and rows.select("task").distinct().count() > 4
+    for df in (PG.indicator_payloads(events), TD.support_measures(spark, str(tmp_path))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("get_json_object") == 1

@@ -77,7 +77,9 @@ def indicator_payloads(events: DataFrame) -> DataFrame:
     """One JSON payload per event. By k % 3 the region key is missing (0),
     JSON null (1) or a value (2). Where k % 10 == 9 a second payload without
     ``data`` stands beside it (must give no rows)."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    events = spread(events, "event_id", "event_type", "user_id", "value", "ts", "props").withColumn(
+        "k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     region = (F.when(k % 3 == 0, F.lit(""))
               .when(k % 3 == 1, F.lit(',"region":null'))
               .otherwise(F.concat(F.lit(',"region":"R'), F.col("user_id").cast("string"), F.lit('"'))))
