@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidewater.plans import catalog
 from tidewater.session import scratch_path
 from tidewater.sources import tables as K
 from tidewater.streaming import ingest as ST
@@ -131,6 +133,27 @@ def test_a_source_that_fails_while_it_runs_is_left_out(spark):
     assert set(K.SCHEMAS["real_indicators"].names) <= set(read("real_indicators").columns)
 
 
+@pytest.mark.parametrize("refresh,broken", [
+    (1, lambda df: df.select("no_such_column")),
+    (2, lambda df: df.withColumn("value", F.raise_error(F.lit("unreadable")).cast("double")))])
+def test_a_refresh_with_a_failing_source_is_an_error(spark, sf_dir, monkeypatch, refresh, broken):
+    """While it is planned or while it runs: the other sources are tried, that refresh commits nothing."""
+    tried, root, indicators, cards = [], scratch_path(spark, "t-refresh"), catalog._indicators, catalog._cards
+
+    def loaded(*a):
+        tried.append("indicators")
+        return broken(indicators(*a)) if tried.count("indicators") == refresh else indicators(*a)
+
+    monkeypatch.setattr(catalog, "scratch_path", lambda *_: root)
+    monkeypatch.setattr(catalog, "_indicators", loaded)
+    monkeypatch.setattr(catalog, "_cards", lambda *a: tried.append("cards") or cards(*a))
+    with pytest.raises(RuntimeError, match="real_indicators: "):
+        catalog.refresh_commit(spark, sf_dir)
+    assert tried.count("cards") == refresh
+    committed = spark.read.parquet(f"{root}/_manifest").select("batch_id").collect() if K._path_exists(spark, f"{root}/_manifest") else []
+    assert [r.batch_id for r in committed] == list(range(1, refresh))
+
+
 def test_latest_breaks_ties_by_id(spark):
     log = spark.createDataFrame([(i, "k", 1) for i in range(6)], "id long, key string, batch_id long").repartition(3)
     assert K.latest_per_key(log, ["key"]).first().id == 5

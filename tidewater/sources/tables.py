@@ -290,24 +290,39 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
 
 # -- S11: collect all sources ------------------------------------------------------------------
 
+class SourcesFailed(RuntimeError):
+    """Sources that could not be collected; ``errors`` has each one's exception."""
+
+    def __init__(self, errors: dict[str, Exception]):
+        self.errors = errors
+        super().__init__("; ".join(f"{name}: {type(e).__name__}: {str(e).strip().partition(chr(10))[0]}" for name, e in errors.items()))
+
+
 def collect_sources(spark: SparkSession,
-                    loaders: dict[str, tuple[Callable[[], DataFrame], T.StructType]]
-                    ) -> tuple[dict[str, DataFrame], DataFrame]:
+                    loaders: dict[str, tuple[Callable[[], DataFrame], T.StructType]],
+                    every: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Build each named dataset; one that fails, while it is planned or while
     it runs, becomes an empty frame of its schema and the others go on. Each is
     written once to the shared folder, so what is counted here is what is
     stored later. Returns the datasets and one status row per source:
-    (source, n_rows, status)."""
+    (source, n_rows, status).
+
+    Only the status tells a failed source from one without rows. Who does not
+    read it asks for ``every`` source: then ``SourcesFailed`` is raised after
+    all were tried, if any failed."""
     from tidewater.session import materialize
 
-    out, status = {}, []
+    out, status, errors = {}, [], {}
     for name, (load, schema) in loaders.items():
         try:
             out[name] = materialize(load(), f"source-{name}")
             status.append((name, out[name].count(), "ok"))
         except Exception as e:  # a broken source must not stop the others
+            errors[name] = e
             out[name] = empty(spark, schema)
             status.append((name, 0, f"error: {type(e).__name__}"))
+    if every and errors:
+        raise SourcesFailed(errors) from next(iter(errors.values()))
     return out, spark.createDataFrame(status, "source string, n_rows long, status string")
 
 
