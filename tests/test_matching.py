@@ -1,5 +1,6 @@
 """Matching on several covariates against all pairs and plain sequential code."""
 import datetime as dt
+import re
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import matching as M
 from tidewater.operators import staggered as S
+from tidewater.plans import catalog
 
 SCHEMA = "id long, stratum string, treated boolean, z array<double>"
 
@@ -44,6 +46,49 @@ def test_nearest_equals_all_pairs(spark, dims, caliper, levels):
     assert np.allclose([g[3] for g in got], [w[3] for w in want])
 
 
+def test_cells_around_a_point_are_compiled(spark):
+    """Four dimensions have 81 cells around a point: still code that Spark can compile."""
+    rows = points(np.random.default_rng(4), 200, 4)
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        got = sorted(tuple(r)[:3] for r in M.nearest_control(spark.createDataFrame(rows, SCHEMA), "id", "stratum", 3.0, 4).collect())
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    assert got == [w[:3] for w in all_pairs(rows, 3.0)] and len(got) > 10
+
+
+@pytest.mark.parametrize("query", ["psm_chain_balance"])
+def test_the_chain_sends_no_orgs_through_the_driver(spark, sf_dir, monkeypatch, query):
+    """Only nations (25 rows) and results of grouped sums are broadcast, also at the default threshold."""
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    for module in (M, catalog):
+        monkeypatch.setattr(module, "materialize", lambda d, name, write=module.materialize: write(seen(d), name))
+    final = catalog.CATALOG[query](spark, sf_dir)
+    if query == "psm_chain_balance":
+        seen(final)
+    broadcast = [p for p in plans if re.search(r"BroadcastExchange|BroadcastNestedLoopJoin", p)]
+    assert len(plans) > 8 and all(p.count("BroadcastExchange") == 1 and "n_nationkey" in p for p in broadcast)
+
+
+def test_covariates_of_orgs_given_apart(spark):
+    """Same rows whether the rollouts carry industry and region or the orgs do; an org listed twice counts twice."""
+    day = dt.date(1999, 1, 1)
+    rollouts = [(1, day, 1.0, 2.0), (1, day, 3.0, None), (2, day, -9.0, 0.0), (3, day, 1.0, 1.0), (None, day, 1.0, 1.0), (1, dt.date(2001, 1, 1), 7.0, 7.0)]
+    places = [(1, "b", "x"), (1, "a", "y"), (2, None, "x"), (4, "a", "a"), (None, "a", "a")]
+    impl = spark.createDataFrame(rollouts, "org_id long, date_go_live date, capex double, revenue_uplift double")
+    orgs = spark.createDataFrame(places, "org_id long, industry_name string, region_name string")
+    support = spark.createDataFrame([(2,)], "recipient_id long")
+    order = ["org_id", "treated", "n_impl", "capex_total", "revenue_total", "industry_name", "region_name"]
+    got, want = (sorted(map(tuple, d.select(order).collect()), key=str) for d in (
+        M.org_covariates(impl, support, "2000-01-01", orgs), M.org_covariates(impl.join(orgs, "org_id"), support, "2000-01-01")))
+    assert got == want and [g[0] for g in got] == [1, 2]
+
+
 def test_nulls_and_empty(spark):
     rows = [(1, "a", True, [0.0]), (2, "a", False, [None]), (3, None, False, [0.0]), (4, "a", False, [float("nan")]), (5, "a", False, [0.25])]
     got = M.nearest_control(spark.createDataFrame(rows, SCHEMA), "id", "stratum", 1.0, 1).collect()

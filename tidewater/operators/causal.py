@@ -262,7 +262,7 @@ def balance(units: DataFrame, matches: DataFrame, id_col: str, treated_col: str,
     before = moment_cells(long, ["covariate", "t"], "x").withColumn("sample", F.lit("before"))
     matched_t = matches.select(F.col("treated_id").alias("id"), F.lit(True).alias("t"))
     matched_c = matches.select(F.col("control_id").alias("id"), F.lit(False).alias("t"))
-    after_rows = matched_t.unionByName(matched_c).join(long.drop("t"), "id")
+    after_rows = matched_t.unionByName(matched_c).hint("merge").join(long.drop("t").hint("merge"), "id")
     after = moment_cells(after_rows, ["covariate", "t"], "x").withColumn("sample", F.lit("after"))
     cells = before.unionByName(after)
 

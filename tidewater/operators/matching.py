@@ -33,19 +33,26 @@ CATEGORICAL = ["industry_name", "region_name"]
 
 # -- covariates and score -----------------------------------------------------------------
 
-def org_covariates(impl: DataFrame, support: DataFrame, before: str) -> DataFrame:
+def org_covariates(impl: DataFrame, support: DataFrame, before: str, orgs: DataFrame | None = None) -> DataFrame:
     """Per org with rollouts before the event: whether it was supported, and
-    its size, spending and revenue (log scale), industry and region."""
+    its size, spending and revenue (log scale), industry and region. The last
+    two are columns of the rollouts, or of ``orgs`` (org_id, industry_name,
+    region_name), which then meet the sums per org, not the rollouts.
+
+    Orgs are joined by merging: a file of few bytes may hold so many of them
+    that the driver has no room to broadcast them."""
     past = impl.filter(F.col("date_go_live") < F.to_date(F.lit(before)))
     # the least of strings makes Spark sort its rows: only the few (org, industry, region) are, not the rollouts
-    parts = past.groupBy("org_id", "industry_name", "region_name").agg(
+    parts = past.groupBy("org_id", *([] if orgs else ["industry_name", "region_name"])).agg(
         F.count("*").alias("n"), F.sum("capex").alias("capex"), F.sum("revenue_uplift").alias("revenue"))
+    if orgs:
+        parts = parts.hint("merge").join(orgs.hint("merge"), "org_id")
     sums = parts.groupBy("org_id").agg(
         F.log1p(F.sum("n").cast("double")).alias("n_impl"),
         F.log1p(F.greatest(F.sum("capex"), F.lit(0)).cast("double")).alias("capex_total"),
         F.log1p(F.greatest(F.sum("revenue"), F.lit(0)).cast("double")).alias("revenue_total"),
         F.min("industry_name").alias("industry_name"), F.min("region_name").alias("region_name"))
-    return sums.join(treated_orgs(support), "org_id", "left").withColumn("treated", F.coalesce("treated", F.lit(False)))
+    return sums.hint("merge").join(treated_orgs(support).hint("merge"), "org_id", "left").withColumn("treated", F.coalesce("treated", F.lit(False)))
 
 
 def fitted_scores(units: DataFrame, numeric: list[str], categorical: list[str], most: int = 400) -> DataFrame:
@@ -116,6 +123,14 @@ def _cell(z: str, width) -> Column:
     return F.transform(z, lambda x: F.floor(x / width))
 
 
+def _around(home: str, dimensions: int) -> Column:
+    """The cells that touch a cell, itself among them. One expression over a
+    constant list of steps: written out they would be more code than Spark can
+    compile."""
+    steps = F.array(*[F.array(*[F.lit(o).cast("long") for o in step]) for step in itertools.product((-1, 0, 1), repeat=dimensions)])
+    return F.transform(steps, lambda step: F.zip_with(home, step, lambda x, o: x + o))
+
+
 def cell_tree(points: DataFrame, caliper: float, levels: int = LEVELS) -> DataFrame:
     """(level, stratum, cell, parent, n, member, at) of points (stratum, id, z)."""
     rows = points.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).withColumn(
@@ -141,17 +156,16 @@ def nearest_control(units: DataFrame, id_col: str, stratum_col: str, caliper: fl
     controls = materialize(dealt.filter("not t").groupBy("stratum", "z").agg(F.min("id").alias("id")), "match-controls")
     tree = materialize(cell_tree(controls, caliper, levels), "match-cells")
     points = dealt.filter("t").groupBy("stratum", "z").agg(F.min("id").alias("point"))
-    around = F.array(*[F.array(*[F.element_at("home", i + 1) + o for i, o in enumerate(offsets)])
-                       for offsets in itertools.product((-1, 0, 1), repeat=dimensions)])
-    frontier = points.withColumn("home", _cell("z", float(caliper))).select("point", "stratum", "z", F.explode(around).alias("cell"))
+    frontier = points.withColumn("home", _cell("z", float(caliper))).select(
+        "point", "stratum", "z", F.explode(_around("home", dimensions)).alias("cell"))
     seen = None
     for level in range(levels):
         width = caliper / FINER ** level
         here = tree.filter(F.col("level") == level)
         if level:  # opened cells become their finer ones
-            met = frontier.withColumnRenamed("cell", "parent").join(here, ["stratum", "parent"])
+            met = frontier.withColumnRenamed("cell", "parent").hint("merge").join(here.hint("merge"), ["stratum", "parent"])
         else:
-            met = frontier.join(here, ["stratum", "cell"])
+            met = frontier.hint("merge").join(here.hint("merge"), ["stratum", "cell"])
         met = materialize(met.select("point", "stratum", "z", "cell", "n", "member", _distance("z", "at").alias("d"),
                                      _to_cell("z", "cell", width).alias("least")), "match-level")
         found = met.select("point", "member", "d")
@@ -159,18 +173,18 @@ def nearest_control(units: DataFrame, id_col: str, stratum_col: str, caliper: fl
         seen = materialize(seen.groupBy("point").agg(F.min(F.struct("d", "member")).alias("b")).select(
             "point", F.col("b.member").alias("member"), F.col("b.d").alias("d")), "match-best")
         bound = seen.select("point", (F.least("d", F.lit(float(caliper))) * (1 + 1e-9) + 1e-12).alias("bound"))
-        frontier = materialize(met.filter("n > 1").join(bound, "point").filter("least <= bound").select(
+        frontier = materialize(met.filter("n > 1").hint("merge").join(bound.hint("merge"), "point").filter("least <= bound").select(
             "point", "stratum", "z", "cell"), "match-open")
         if frontier.isEmpty():
             break
     else:
         last = controls.select("stratum", _cell("z", caliper / FINER ** (levels - 1)).alias("cell"), F.col("id").alias("member"),
                                F.col("z").alias("at"))
-        found = frontier.join(last, ["stratum", "cell"]).select("point", "member", _distance("z", "at").alias("d"))
+        found = frontier.hint("merge").join(last.hint("merge"), ["stratum", "cell"]).select("point", "member", _distance("z", "at").alias("d"))
         seen = seen.unionByName(found).groupBy("point").agg(F.min(F.struct("d", "member")).alias("b")).select(
             "point", F.col("b.member").alias("member"), F.col("b.d").alias("d"))
-    best = points.join(seen.filter(F.col("d") <= caliper), "point").select("stratum", "z", "member", "d")
-    return u.filter("t").join(best, ["stratum", "z"]).select(
+    best = points.hint("merge").join(seen.filter(F.col("d") <= caliper).hint("merge"), "point").select("stratum", "z", "member", "d")
+    return u.filter("t").hint("merge").join(best.hint("merge"), ["stratum", "z"]).select(
         F.col("id").alias("treated_id"), F.col("member").alias("control_id"), "stratum", F.col("d").alias("distance"))
 
 

@@ -24,7 +24,7 @@ from tidewater.session import materialize, scratch_path
 from tidewater.sources import extract as X
 from tidewater.sources import pages as PG
 from tidewater.sources import tables as K
-from tidewater.sources.testdata import implementations, support_measures, table
+from tidewater.sources.testdata import implementations, org_places, support_measures, table
 from tidewater.streaming import ingest as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -621,11 +621,12 @@ def did_event_time_bootstrap(spark, sf_dir):
     return SG.bootstrap_errors(SG.org_cells(impl, SG.first_grant(sup, P.LARGE_GRANT)), P.REPLICATES, *P.EVENT_QUARTERS)
 
 
-COVARIATE_COLUMNS = ["org_id", "date_go_live", "capex", "revenue_uplift", "industry_name", "region_name"]
+COVARIATE_COLUMNS = ["org_id", "date_go_live", "capex", "revenue_uplift"]
 
 
 def _covariates(spark, sf_dir):
-    return MT.org_covariates(implementations(spark, sf_dir, COVARIATE_COLUMNS), support_measures(spark, sf_dir), P.DID_DATE)
+    return MT.org_covariates(implementations(spark, sf_dir, COVARIATE_COLUMNS), support_measures(spark, sf_dir), P.DID_DATE,
+                             org_places(spark, sf_dir))
 
 
 @query
