@@ -309,7 +309,7 @@ def matched_cells(impl: DataFrame, matches: DataFrame, event_date: str, outcomes
     cells = F.explode(F.array(*[F.struct(
         F.lit(n).alias("outcome"), (F.col("w") * F.col(f"{n}__n")).alias("n"),
         (F.col("w") * F.col(f"{n}__s").cast("decimal(30,8)")).cast("decimal(38,8)").alias("s")) for n in outs]))
-    return sums.join(weights, "org_id").select("org_id", "treated", "post", cells.alias("c")).select(
+    return sums.hint("merge").join(weights.hint("merge"), "org_id").select("org_id", "treated", "post", cells.alias("c")).select(
         "c.outcome", "treated", "post", "org_id", "c.n", "c.s").filter("n > 0")
 
 
